@@ -19,7 +19,7 @@ def widen(df: DataFrame, contract: Contract) -> DataFrame:
     return df.selectExpr("*", *missing) if missing else df
 
 
-def conform(df: DataFrame, contract: Contract, **columns: str) -> DataFrame:
+def conform(df: DataFrame, contract: Contract, /, **columns: str) -> DataFrame:
     """Project to the contract: the given expressions cast to their type, others typed NULLs."""
     unknown = set(columns) - set(contract.names)
     if unknown:

@@ -35,10 +35,12 @@ def scalar(text: str, json: str, path: str) -> str:
     A string may itself start with a bracket, so text that looks nested is
     checked against the type of the value; all other text passes at once.
     """
-    value = f"try_variant_get(try_parse_json({json}), {quoted(path)}, 'variant')"
+    kind = f"schema_of_variant(try_variant_get(try_parse_json({json}), {quoted(path)}, 'variant'))"
+    # Nested ifs, not an AND: Spark may hoist a common right side of an AND and
+    # would then parse every row.
     return (
-        f"case when substring({text}, 1, 1) in ('{{', '[') "
-        f"and schema_of_variant({value}) rlike '^(OBJECT|ARRAY)' then null else {text} end"
+        f"if(substring({text}, 1, 1) in ('{{', '['), "
+        f"if({kind} rlike '^(OBJECT|ARRAY)', null, {text}), {text})"
     )
 
 

@@ -12,6 +12,8 @@ SESSION_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Wide rows make long generated methods; above this size the JVM does not compile them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
