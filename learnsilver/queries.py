@@ -15,7 +15,7 @@ from learnsilver.operators.warehouse import Warehouse
 from learnsilver.plans import REGISTRY, build_model
 from learnsilver.plans.staging import staging_rejects
 from learnsilver.schemas import RAW, SILVER
-from learnsilver.session import scratch_path
+from learnsilver.session import scratch_path, tune
 from learnsilver.sources.documents import default_tables, parse_documents, valid_documents
 from learnsilver.sources.fixtures import (
     EXTENSION_PREFIX,
@@ -39,6 +39,7 @@ def _query(build: Query) -> Query:
 
 def _reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
     """Raw tables, and the staging view over them as a lazy DataFrame."""
+    tune(spark)
     raw = raw_reader(spark, folder)
 
     def read(name: str) -> DataFrame:
@@ -66,6 +67,7 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """All models built into the shared folder, once per application and data folder."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _BUILT:
+        tune(spark)
         built = Warehouse(
             spark, scratch_path(spark, "warehouse"), raw_reader(spark, folder),
             run_ts=RUN_TS, **STAGING_OPTIONS,

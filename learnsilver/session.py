@@ -7,14 +7,17 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Wide rows make long generated methods, and the JVM does not compile methods
+# beyond this size; Spark then splits the work into smaller ones.
+TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Wide rows make long generated methods; above this size the JVM does not compile them.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
+    **TUNING,
 }
 
 
@@ -34,6 +37,12 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return spark
 
 
+def tune(spark: SparkSession) -> None:
+    """Settings the wide tables profit from, on a session of the caller's."""
+    for key, value in TUNING.items():
+        spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
