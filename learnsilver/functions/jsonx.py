@@ -29,21 +29,25 @@ def json_text(df: DataFrame, name: str) -> str:
     return f"to_json(`{name}`)" if isinstance(dtype, nested) else f"cast(`{name}` as string)"
 
 
-def scalar(text: str, json: str, path: str) -> str:
-    """Extracted text, or NULL where the JSON value is an object or an array.
+def scalar(text: str, value: str) -> str:
+    """Extracted text, or NULL where the JSON value (a VARIANT) is an object or an array.
 
     A string may itself start with a bracket, so text that looks nested is
     checked against the type of the value; all other text passes at once.
     """
-    kind = f"schema_of_variant(try_variant_get(try_parse_json({json}), {quoted(path)}, 'variant'))"
     # Nested ifs, not an AND: Spark may hoist a common right side of an AND and
     # would then parse every row.
     return (
         f"if(substring({text}, 1, 1) in ('{{', '['), "
-        f"if({kind} rlike '^(OBJECT|ARRAY)', null, {text}), {text})"
+        f"if(schema_of_variant({value}) rlike '^(OBJECT|ARRAY)', null, {text}), {text})"
     )
 
 
+def value_at(json: str, path: str, dtype: str = "variant") -> str:
+    """The value at a path of JSON text."""
+    return f"try_variant_get(try_parse_json({json}), {quoted(path)}, '{dtype}')"
+
+
 def struct_ddl(fields: Iterable[str]) -> str:
     """A struct type of text fields."""
     return "struct<" + ",".join(f"`{field}`:string" for field in fields) + ">"

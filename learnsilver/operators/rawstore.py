@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from learnsilver.operators.incremental import (
     changed_since,
@@ -108,20 +109,24 @@ class RawStore:
         self._add_lines(lines)
 
     def _land(self, table: str, df: DataFrame) -> tuple[str, list[str], int, str | None]:
-        """Write a batch; its folder, parts, row count and latest cursor, in one pass."""
-        seen = Observation()
-        watched = df.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.expr(f"cast(max({cursor_of(df)}) as string)").alias("cursor"),
+        """Write a batch; its folder, parts, row count and latest cursor."""
+        folder = self._write(table, df)
+        landed = self._landed(table, folder, df)
+        parts = (
+            landed.groupBy(PART)
+            .agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.expr(f"cast(max({cursor_of(df)}) as string)").alias("cursor"),
+            )
+            .collect()
         )
-        folder = self._write(table, watched)
-        facts = seen.get
-        if not facts["rows"]:
-            return folder, [], 0, None
-        landed = self.spark.read.parquet(f"{self.root}/{table}/{folder}")
-        parts = [str(r[0]) for r in landed.select(PART).distinct().collect()]
-        return folder, parts, facts["rows"], facts["cursor"]
+        cursor = max((p.cursor for p in parts if p.cursor), default=None)
+        return folder, [p[PART] for p in parts], sum(p.rows for p in parts), cursor
+
+    def _landed(self, table: str, folder: str, like: DataFrame) -> DataFrame:
+        """A written batch read back, so that what follows does not compute it again."""
+        schema = T.StructType([*like.schema, T.StructField(PART, T.StringType())])
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/{folder}")
 
     def append(self, table: str, df: DataFrame, batch: str | None = None) -> int:
         """Add rows as they are; the number of rows."""
@@ -160,7 +165,7 @@ class RawStore:
             return 0
         touched = self.read(table, only=set(parts))
         if touched is not None:
-            landed = self.spark.read.parquet(f"{self.root}/{table}/{folder}").drop(PART)
+            landed = self._landed(table, folder, fresh).drop(PART)
             folder = self._write(table, upsert(touched, landed, key))
         cursor = max(filter(None, [cursor, last]), default=None)
         self._commit(table, folder, parts, "merge", cursor=cursor, batch=batch, rows=rows)

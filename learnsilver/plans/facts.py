@@ -36,7 +36,8 @@ def fact_learning_event(events: DataFrame) -> DataFrame:
         time_of_day_id=time_of_day_id(ts),
         timezone="timezone",
         event_type_key="eventType",
-        verb_id="try_cast(verbId as int)",
+        # The pattern first: a failing cast is slow, and verb ids are mostly IRIs.
+        verb_id="if(verbId rlike '^[+-]?[0-9]+$', try_cast(verbId as int), null)",
         verb_raw="verbIri",
         person_id="userId",
         actor_type="actorType",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from learnsilver.functions.columns import cases, conform
-from learnsilver.functions.jsonx import json_text, key_path, scalar
+from learnsilver.functions.jsonx import json_text, key_path, scalar, value_at
 from learnsilver.plans.registry import model
 from learnsilver.schemas import SILVER
 
@@ -39,11 +39,11 @@ def ref_verb(statements: DataFrame) -> DataFrame:
     parsed = statements.selectExpr(f"{json_text(statements, 'verb')} as verb").selectExpr(
         "verb", "from_json(verb, 'struct<id:string,display:struct<`en-US`:string>>') as parsed"
     )
+    name = key_path("display", "en-US")
     found = (
         parsed.selectExpr(
-            f"{scalar('parsed.id', 'verb', '$.id')} as iri",
-            f"{scalar('parsed.display.`en-US`', 'verb', key_path('display', 'en-US'))}"
-            " as description",
+            f"{scalar('parsed.id', value_at('verb', '$.id'))} as iri",
+            f"{scalar('parsed.display.`en-US`', value_at('verb', name))} as description",
         )
         .filter("iri is not null")
         .distinct()

@@ -7,7 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from learnsilver.functions.columns import cast_text, conform, utc
-from learnsilver.functions.jsonx import json_text, key_path, quoted, scalar, struct_ddl
+from learnsilver.functions.jsonx import (
+    json_text,
+    key_path,
+    quoted,
+    scalar,
+    struct_ddl,
+    value_at,
+)
 from learnsilver.functions.timeids import seconds_from_ms
 from learnsilver.plans.registry import model
 from learnsilver.schemas import STAGING
@@ -81,7 +88,8 @@ def _extracted(
     keys = None if prefix is None else sorted({prefix + name for name in names.values()})
     texts = {
         column: scalar(
-            f"_{part}." + ".".join(f"`{key}`" for key in path), f"`{part}`", key_path(*path)
+            f"_{part}." + ".".join(f"`{key}`" for key in path),
+            value_at(f"`{part}`", key_path(*path)),
         )
         for column, (part, *path) in _PATHS.items()
     }
@@ -89,12 +97,13 @@ def _extracted(
         if prefix is not None:
             key = prefix + name
             texts[column] = scalar(
-                f"_context.extensions.`{key}`", "`context`", key_path("extensions", key)
+                f"_context.extensions.`{key}`", value_at("`context`", key_path("extensions", key))
             )
         else:
             hits = f"map_filter(_context.extensions, (k, v) -> endswith(k, {quoted('/' + name)}))"
             hit = f"try_element_at(array_sort(map_entries({hits})), 1)"
-            texts[column] = scalar(f"{hit}.value", f"{hit}.value", "$")
+            values = value_at("`context`", "$.extensions", "map<string,variant>")
+            texts[column] = scalar(f"{hit}.value", f"{values}[{hit}.key]")
     return _parsed(statements, keys), texts
 
 

@@ -69,7 +69,7 @@ def _select(df: DataFrame, **columns: Column) -> DataFrame:
 
 @_fixture
 def lrs_statements(read: Read) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.regexp_extract("props", r"\d+", 0).cast("int")
     events = read("events").select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
     k, kind = F.col("k"), F.col("event_type")
 

@@ -1,0 +1,328 @@
+import datetime as dt
+import json
+
+import pytest
+
+from learnsilver.operators.lineage import assert_schema
+from learnsilver.plans import REGISTRY, build_model
+from learnsilver.schemas import CONTRACTS, MODELS, SILVER
+
+RUN_TS = "timestamp_ntz'2024-02-01'"
+
+
+@pytest.fixture
+def build(spark):
+    """Build a model from some tables; the others are empty."""
+
+    def run(name, **tables):
+        def read(table):
+            if table in tables:
+                return tables[table]
+            return spark.createDataFrame([], CONTRACTS[table].ddl)
+
+        result = build_model(name, read, **(
+            {"run_ts": RUN_TS} if REGISTRY[name].stamped else {}
+        ))
+        assert_schema(result, MODELS[name])
+        return result.collect()
+
+    return run
+
+
+@pytest.fixture
+def events(spark):
+    """Staging rows from a few named columns."""
+
+    def rows(*records):
+        contract = MODELS["stg_lrs_events"]
+        return spark.createDataFrame(
+            [tuple(r.get(n) for n in contract.names) for r in records], contract.ddl
+        )
+
+    return rows
+
+
+@pytest.mark.parametrize("name", list(MODELS))
+def test_every_model_builds_on_empty_tables(build, name):
+    assert build(name) == []
+
+
+@pytest.mark.parametrize(
+    "name", ["dim_device", "ref_signal_type", "fact_learning_signal", "fact_variant_exposure"]
+)
+def test_typed_empty_models_stay_empty(build, events, name):
+    assert build(name, stg_lrs_events=events({"event_id": "1", "metadata": "{}"})) == []
+
+
+def test_first_run_of_the_mock_collections(frame, build):
+    """One-row tables that lack most columns."""
+    users = frame(
+        [("user-1", "Ada", "Lovelace", "student", "10", 42)],
+        "_id string, first_name string, last_name string, role string, grade string, coins int",
+    )
+    enrollments = frame(
+        [("enroll-1", "user-1", "course-1", "started", 1)],
+        "_id string, student string, course string, status string, total_lessons int",
+    )
+    tables = {"lms_users": users, "lms_enrollments": enrollments}
+    person = build("dim_person", **tables)[0]
+    assert (person.full_name, person.person_type) == ("Ada Lovelace", "LEARNER")
+    member = build("bridge_course_membership", **tables)[0]
+    assert (member.course_membership_id, member.role_key, member.status) == (
+        "course-1_user-1", "Learner", "started",
+    )
+    for empty in ("dim_section", "dim_academic_term", "bridge_section_membership"):
+        assert build(empty, **tables) == []
+
+
+def test_date_attributes(frame, build):
+    raw = frame([(dt.datetime(2024, 1, 7, 23, 59, 59, 999999),), (None,)],
+                "timestamp timestamp_ntz")
+    (row,) = build("dim_date", lrs_statements=raw)
+    assert (row.date_id, row.week_of_year, row.day_of_week, row.day_name, row.is_weekend) == (
+        19729, 1, 1, "Sunday", True,
+    )
+    (second,) = build("dim_time_of_day", lrs_statements=raw)
+    assert (second.time_of_day_id, second.label) == (86399, "23:59:59")
+
+
+@pytest.mark.parametrize(
+    "role, kind",
+    [
+        ('["teacher","student"]', "LEARNER"),
+        ('["staff", "teacher"]', "TEACHER"),
+        ('["staff"]', "STAFF"),
+        ("teacher", "TEACHER"),
+        ("staff", "STAFF"),
+        ('"student"', "LEARNER"),
+        ("admin", "UNKNOWN"),
+        ("[]", "UNKNOWN"),
+        (None, "UNKNOWN"),
+    ],
+)
+def test_person_type(frame, build, role, kind):
+    users = frame([("1", role)], "_id string, role string")
+    assert build("dim_person", lms_users=users)[0].person_type == kind
+
+
+def test_native_role_list(spark, build):
+    users = spark.sql("select '1' as _id, array('teacher') as role")
+    assert build("dim_person", lms_users=users)[0].person_type == "TEACHER"
+
+
+def test_full_name_of_nobody_is_a_space(frame, build):
+    users = frame([("1",)], "_id string")
+    assert build("dim_person", lms_users=users)[0].full_name == " "
+
+
+def test_first_element_of_empty_and_null_arrays(frame, build):
+    courses = frame([("1", [], None), ("2", ["a", "b"], ["g"])],
+                    "_id string, disciplines array<string>, grades array<string>")
+    rows = {r.course_id: r for r in build("dim_course", lms_courses=courses)}
+    assert (rows["1"].subject, rows["1"].grade_band) == (None, None)
+    assert (rows["2"].subject, rows["2"].grade_band) == ("a", "g")
+
+
+def test_member_roles_compare_the_role_as_written(frame, build):
+    users = frame([("1", '["teacher"]'), ("2", "teacher"), ("3", "staff"), ("4", "admin")],
+                  "_id string, role string")
+    enrollments = frame([(f"e{n}", str(n), "g", "c") for n in range(1, 6)],
+                        "_id string, student string, group string, course string")
+    for model in ("bridge_section_membership", "bridge_course_membership"):
+        rows = build(model, lms_users=users, lms_enrollments=enrollments)
+        assert {r.person_id: r.role_key for r in rows} == {
+            "1": "Learner", "2": "Instructor", "3": "TeachingAssistant", "4": "Learner",
+            "5": "Learner",
+        }
+
+
+def test_course_membership_is_one_row_per_course_and_student(frame, build):
+    enrollments = frame(
+        [("a", "u", "c", "x", dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)),
+         ("b", "u", "c", "y", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 9))],
+        "_id string, student string, course string, status string, "
+        "created_on timestamp_ntz, modified_on timestamp_ntz",
+    )
+    (row,) = build("bridge_course_membership", lms_enrollments=enrollments)
+    assert (row.status, row.created_at.day, row.updated_at.day) == ("y", 1, 9)
+
+
+def test_term_update_comes_from_the_creation_time(frame, build):
+    enrollments = frame(
+        [("a", 2024, dt.datetime(2024, 1, 1), dt.datetime(2025, 1, 1)),
+         ("b", 2024, dt.datetime(2024, 5, 1), dt.datetime(2025, 1, 1)),
+         ("c", None, dt.datetime(2024, 5, 1), None)],
+        "_id string, year int, created_on timestamp_ntz, modified_on timestamp_ntz",
+    )
+    (row,) = build("dim_academic_term", lms_enrollments=enrollments)
+    assert (row.term_id, row.name, row.updated_at) == (
+        "2024_default", "Default Term 2024", dt.datetime(2024, 5, 1),
+    )
+
+
+def test_exercises_without_a_score_are_no_assessments(frame, build):
+    exercises = frame([("1", 5.0), ("2", None)], "_id string, maxScore double")
+    (row,) = build("dim_assessment", lms_exercises=exercises)
+    assert (row.assessment_id, row.content_id, row.assessment_type) == ("1", "1", "exercise")
+
+
+ITEMS = [
+    {"type": "mcq", "prompt": "p" * 250, "difficulty": 0.5, "metadata": {"a": 1},
+     "skills": ["s1", {"skillId": "s2"}]},
+    {"difficulty": "hard", "maxScore": "2"},
+    {"skills": []},
+]
+
+
+@pytest.mark.parametrize("shape", ["text", "texts", "records", "variants"])
+def test_items_in_any_shape(spark, build, shape):
+    text = json.dumps(ITEMS)
+    expressions = {
+        "text": "value",
+        "texts": "from_json(value, 'array<string>')",
+        "records": "from_json(value, 'array<struct<type:string,prompt:string,difficulty:string,"
+        "maxScore:string,metadata:struct<a:int>,skills:array<string>>>')",
+        "variants": "cast(parse_json(value) as array<variant>)",
+    }
+    exercises = spark.createDataFrame([("e", text)], "_id string, value string").selectExpr(
+        "_id", f"{expressions[shape]} as items"
+    )
+    rows = build("dim_assessment_item", lms_exercises=exercises)
+    assert [r.item_id for r in rows] == ["e_0", "e_1", "e_2"]
+    assert (rows[0].prompt_summary, rows[0].difficulty_estimate) == ("p" * 200, 0.5)
+    assert json.loads(rows[0].metadata) == {"a": 1}
+    assert (rows[1].difficulty_estimate, rows[1].max_score) == (None, 2.0)
+    skills = build("bridge_item_skill_map", lms_exercises=exercises)
+    assert [(r.item_skill_map_id, r.weight) for r in skills] == [
+        ("e_0_s1", 1.0), ("e_0_s2", 1.0),
+    ]
+
+
+def test_no_items_no_rows(frame, build):
+    exercises = frame([("1", "[]"), ("2", None), ("3", "no json")], "_id string, items string")
+    assert build("dim_assessment_item", lms_exercises=exercises) == []
+
+
+def test_content_skills(frame, build):
+    skills = [{"skillId": "a", "skillWeight": 0.5}, {"skillId": "b"}, "c", {"other": 1}, None]
+    pages = frame([("p", json.dumps({"skills": skills})), ("q", None), ("r", "{}")],
+                  "_id string, metadata string")
+    rows = build("bridge_content_skill_map", lms_pages=pages)
+    assert [(r.content_skill_map_id, r.weight) for r in rows] == [
+        ("p_a", 0.5), ("p_b", 1.0), ("p_c", 1.0),
+    ]
+    assert rows[0].created_at == dt.datetime(2024, 2, 1)
+
+
+def test_standard_mappings(frame, build):
+    mappings = [
+        {"skillId": "s", "standardId": "a", "weight": 0.25, "source": "import"},
+        {"skillId": "s", "standardId": "b"},
+        {"skillId": "s"},
+    ]
+    metadata = json.dumps({"standardMappings": mappings})
+    rules = frame([("1", "skill", metadata), ("2", "standard", metadata)],
+                  "_id string, type string, metadata string")
+    rows = build("bridge_skill_standard_map", lms_rules=rules)
+    assert [(r.skill_standard_map_id, r.weight, r.source) for r in rows] == [
+        ("s_a", 0.25, "import"), ("s_b", 1.0, "manual"),
+    ]
+
+
+def test_position_and_points_are_smallest_each_on_its_own(spark, build):
+    profiles = spark.sql(
+        "select 'a' as _id, array(named_struct('itemId', 'i', 'position', 2, 'points', 1.0D), "
+        "named_struct('itemId', 'i', 'position', 1, 'points', 5.0D)) as items"
+    )
+    (row,) = build("bridge_assessment_item_map", lms_assessment_profiles=profiles)
+    assert (row.assessment_item_map_id, row.position, row.points) == ("a_i", 1, 1.0)
+
+
+def test_key_with_a_missing_part_is_null(spark, build):
+    profiles = spark.sql("select 'a' as _id, array(named_struct('position', 2)) as items")
+    (row,) = build("bridge_assessment_item_map", lms_assessment_profiles=profiles)
+    assert row.assessment_item_map_id is None
+
+
+def test_answers_keep_their_own_fields(frame, build):
+    answers = [
+        {"itemId": "i1", "response": {"a": 1}, "isCorrect": True, "itemScore": 1,
+         "responseTime": "2024-01-07T00:01:02Z"},
+        {"response": "x"},
+    ]
+    submissions = frame([("s", "u", "top", 2, json.dumps(answers)), ("t", "u", "top", 2, None)],
+                        "_id string, userId string, itemId string, attemptNumber int, "
+                        "itemResponses string")
+    one, two = build("fact_item_response", lms_exercise_submissions=submissions)
+    assert (one.item_response_id, one.date_id, one.time_of_day_id) == ("s_i1", 19729, 62)
+    assert (one.response, one.is_correct, one.score_raw) == ('{"a":1}', True, 1.0)
+    assert (one.person_id, one.attempt_number) == ("u", 2)
+    assert (two.item_response_id, two.item_id, two.response) == (None, None, "x")
+
+
+def test_session_totals(build, events):
+    base = {"sessionId": "s", "userId": "u"}
+    rows = events(
+        {**base, "contentId": "a", "isCorrect": True, "durationSeconds": 5, "metadata": "x"},
+        {**base, "contentId": "a", "isCorrect": False, "durationSeconds": 7, "metadata": "z"},
+        {**base, "contentId": "b", "isCorrect": None, "aiToolId": "t", "metadata": "y"},
+        {**base, "contentId": None, "isCorrect": True},
+        {"contentId": "c"},
+    )
+    (row,) = build("fact_session_summary", stg_lrs_events=rows)
+    assert (row.total_events, row.active_seconds, row.items_attempted, row.items_mastered) == (
+        4, 12, 2, 1,
+    )
+    assert (row.ai_interactions, row.metadata, row.idle_seconds) == (1, "z", None)
+
+
+def test_session_without_durations_has_no_active_time(build, events):
+    (row,) = build("fact_session_summary", stg_lrs_events=events({"sessionId": "s"}))
+    assert (row.active_seconds, row.items_attempted, row.total_events) == (None, 0, 1)
+
+
+def test_session_groups_unknown_settings_together(build, events):
+    at = dt.datetime(2024, 1, 1)
+    rows = events(
+        {"sessionId": "s", "event_timestamp": at, "durationSeconds": 1},
+        {"sessionId": "s", "event_timestamp": at + dt.timedelta(hours=1), "durationSeconds": 2},
+        {"sessionId": "s", "event_timestamp": at, "courseId": "c"},
+    )
+    found = {r.course_id: r for r in build("dim_session", stg_lrs_events=rows)}
+    assert found[None].session_duration_seconds == 3
+    assert found[None].session_end == at + dt.timedelta(hours=1)
+    assert found["c"].session_duration_seconds is None
+
+
+def test_launch_id_needs_a_session(build, events):
+    at = dt.datetime(2024, 1, 1, 1, 2, 3, 4)
+    rows = events(
+        {"ltiToolId": "t", "sessionId": "s", "event_timestamp": at},
+        {"ltiToolId": "t", "event_timestamp": at},
+        {"sessionId": "s", "event_timestamp": at},
+    )
+    ids = {r.launch_id for r in build("fact_launch", stg_lrs_events=rows)}
+    assert ids == {"s_2024-01-01 01:02:03.000004", None}
+
+
+def test_verb_id_is_a_number_or_null(build, events):
+    rows = build("fact_learning_event", stg_lrs_events=events(
+        {"event_id": "1", "verbId": "17"}, {"event_id": "2", "verbId": "http://v"},
+        {"event_id": "3", "verbId": "99999999999"},
+    ))
+    assert {r.event_id: r.verb_id for r in rows} == {"1": 17, "2": None, "3": None}
+
+
+def test_membership_roles_are_named(frame, build):
+    users = frame([(r,) for r in ("student", "student", "proctor", '["staff"]', None)],
+                  "role string")
+    rows = {r.role_key: r.description for r in build("ref_membership_role", lms_users=users)}
+    assert rows == {"student": "Learner", "proctor": "Proctor", '["staff"]': "Unknown"}
+
+
+def test_contracts_have_the_key_first_and_known_columns():
+    for contract in SILVER.values():
+        assert contract.key == contract.names[0]
+        assert set(contract.required) <= set(contract.names)
+        for columns in contract.unique:
+            assert set(columns) <= set(contract.names)
