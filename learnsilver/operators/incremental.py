@@ -88,13 +88,17 @@ def latest_per_key(df: DataFrame, key: str) -> DataFrame:
     return ranked.filter("_rank = 1").drop("_rank")
 
 
-def upsert(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+def upsert(
+    target: DataFrame, incoming: DataFrame, key: str, broadcast: bool = False
+) -> DataFrame:
     """Replace the rows whose key comes in, keep the others, add the new ones.
 
-    ``incoming`` must hold a key once (see ``latest_per_key``). A small batch
-    is broadcast by Spark, so that the target is scanned without a shuffle.
+    ``incoming`` must hold a key once (see ``latest_per_key``). With
+    ``broadcast``, for a batch whose size the caller has checked, the target
+    is scanned without a shuffle; without, Spark decides by its own estimate.
     """
-    kept = target.join(incoming.select(key), key, "left_anti")
+    keys = incoming.select(key)
+    kept = target.join(F.broadcast(keys) if broadcast else keys, key, "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 

@@ -1,9 +1,9 @@
 """Raw tables on shared storage: parquet folders, and a log of what is current.
 
-A load writes its rows to a fresh folder and only then adds a line to the log
-that makes the folder current, together with the cursor it reached. A load
-that fails leaves a folder no line names: it is never read. The log is plain
-JSON appended by Spark.
+A load writes its rows to a fresh folder and only then adds a line to the
+table's log that makes the folder current, together with the cursor it
+reached. A load that fails leaves a folder no line names: it is never read.
+The log is plain JSON appended by Spark; a table has one writer at a time.
 
 A table is split by a partition expression, so that a merge reads and
 rewrites only the parts its rows fall into. The part must hang on the key:
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,10 +26,20 @@ from learnsilver.operators.incremental import (
 )
 
 _LOG = (
-    "table string, version bigint, folder string, part string, mode string, "
-    "cursor string, batch string, rows bigint"
+    "version bigint, folder string, part string, mode string, cursor string, batch string, "
+    "rows bigint"
 )
 PART = "_part"
+# Up to this many keys a batch is small enough to be sent to every executor:
+# some tens of megabytes for ids of usual length.
+BROADCAST_KEYS = 500_000
+# Partition expression of statements: the day they were stored.
+STORED_DAY = "to_date(stored)"
+
+
+def hashed_parts(key: str, count: int) -> str:
+    """A partition expression: a hash of the key, spread over a number of parts."""
+    return f"pmod(xxhash64(`{key}`), {count})"
 
 
 class RawStore:
@@ -38,25 +48,43 @@ class RawStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.parts = parts or {}
-        self._add_lines([])  # so that the folder of the log is there
+        self._logged: set[str] = set()
+        self._ensure_log("_none")  # so that the folder of the logs is there
 
     # -- the log ---------------------------------------------------------------
 
-    def log(self) -> DataFrame:
-        return self.spark.read.schema(_LOG).json(f"{self.root}/_log")
+    def _log_path(self, table: str) -> str:
+        return f"{self.root}/_log/table={table}"
 
-    def _add_lines(self, lines: list[tuple]) -> None:
+    def _add_lines(self, table: str, lines: list[tuple]) -> None:
         self.spark.createDataFrame(lines, _LOG).coalesce(1).write.mode("append").json(
-            f"{self.root}/_log"
+            self._log_path(table)
         )
 
-    def _current(self, table: str) -> list:
+    def _ensure_log(self, table: str) -> None:
+        if table not in self._logged:
+            self._add_lines(table, [])
+            self._logged.add(table)
+
+    def _lines(self, table: str) -> DataFrame:
+        self._ensure_log(table)
+        return self.spark.read.schema(_LOG).json(self._log_path(table))
+
+    def _status(self, table: str, batch: str | None = None) -> Row:
+        """Version and cursor of the last load, and whether a batch is known."""
+        return self._lines(table).agg(
+            F.coalesce(F.max("version"), F.lit(0)).alias("version"),
+            F.max("cursor").alias("cursor"),
+            F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False)).alias("known"),
+        ).first()
+
+    def _current(self, table: str) -> list[Row]:
         """The log lines that name the table's present folders.
 
         Per part, those are the last rewrite and the appends after it. Only
         these lines reach the driver.
         """
-        lines = self.log().filter(F.col("table") == table)
+        lines = self._lines(table)
         rewrites = (
             lines.filter("mode = 'merge'").groupBy("part").agg(F.max("version").alias("rewritten"))
         )
@@ -65,11 +93,12 @@ class RawStore:
 
     def cursor(self, table: str) -> str | None:
         """The cursor of the last load."""
-        return self.log().filter(F.col("table") == table).agg(F.max("cursor")).first()[0]
+        return self._status(table).cursor
 
     def state(self) -> DataFrame:
         """One row per table: version and cursor of the last load."""
-        return self.log().groupBy("table").agg(
+        logs = self.spark.read.schema(f"{_LOG}, table string").json(f"{self.root}/_log")
+        return logs.groupBy("table").agg(
             F.max("version").alias("version"), F.max("cursor").alias("last_cursor")
         )
 
@@ -90,53 +119,61 @@ class RawStore:
 
     # -- writing ---------------------------------------------------------------
 
-    def _write(self, table: str, df: DataFrame) -> str:
-        """Write rows by part to a fresh folder; its name."""
+    def _write(self, table: str, df: DataFrame, scattered: bool) -> str:
+        """Write rows by part to a fresh folder; its name.
+
+        Rows that are scattered over tasks whatever their part are gathered
+        by part first, else every task would write a file per part. Spark
+        splits a part with very many rows over tasks (rebalance).
+        """
         folder = f"load-{uuid.uuid4().hex}"
-        part = self.parts.get(table, "'all'")
-        # Rebalancing lets Spark split a part with very many rows over tasks.
-        rows = df.selectExpr("*", f"cast({part} as string) as {PART}").hint("rebalance", PART)
+        part = self.parts.get(table)
+        rows = df.selectExpr("*", f"cast({part or repr('all')} as string) as {PART}")
+        if part and scattered:
+            rows = rows.hint("rebalance", PART)
         rows.write.partitionBy(PART).parquet(f"{self.root}/{table}/{folder}")
         return folder
 
-    def _commit(self, table: str, folder: str, parts: list[str], mode: str, **facts) -> None:
-        last = self.log().filter(F.col("table") == table).agg(F.max("version")).first()[0]
-        lines = [
-            (table, (last or 0) + 1, folder, part, mode, facts["cursor"], facts["batch"],
-             facts["rows"])
-            for part in parts
-        ]
-        self._add_lines(lines)
+    def _landed(self, table: str, folder: str, like: DataFrame) -> DataFrame:
+        """A written batch read back, so that what follows does not compute it again."""
+        schema = T.StructType([*like.schema, T.StructField(PART, T.StringType())])
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/{folder}")
 
-    def _land(self, table: str, df: DataFrame) -> tuple[str, list[str], int, str | None]:
-        """Write a batch; its folder, parts, row count and latest cursor."""
-        folder = self._write(table, df)
-        landed = self._landed(table, folder, df)
+    def _land(self, table: str, df: DataFrame) -> tuple[str, list[Row]]:
+        """Write a batch; its folder, and per part the row count and latest cursor."""
+        folder = self._write(table, df, scattered=True)
         parts = (
-            landed.groupBy(PART)
+            self._landed(table, folder, df)
+            .groupBy(PART)
             .agg(
                 F.count(F.lit(1)).alias("rows"),
                 F.expr(f"cast(max({cursor_of(df)}) as string)").alias("cursor"),
             )
             .collect()
         )
-        cursor = max((p.cursor for p in parts if p.cursor), default=None)
-        return folder, [p[PART] for p in parts], sum(p.rows for p in parts), cursor
+        return folder, parts
 
-    def _landed(self, table: str, folder: str, like: DataFrame) -> DataFrame:
-        """A written batch read back, so that what follows does not compute it again."""
-        schema = T.StructType([*like.schema, T.StructField(PART, T.StringType())])
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/{folder}")
+    def _commit(
+        self, table: str, folder: str, parts: list[Row], mode: str, status: Row, batch: str | None
+    ) -> int:
+        """Make a folder current; the number of rows that came in."""
+        cursor = max((c for c in [status.cursor, *[p.cursor for p in parts]] if c), default=None)
+        self._add_lines(
+            table,
+            [
+                (status.version + 1, folder, p[PART], mode, cursor, batch, p.rows)
+                for p in parts
+            ],
+        )
+        return sum(p.rows for p in parts)
 
     def append(self, table: str, df: DataFrame, batch: str | None = None) -> int:
-        """Add rows as they are; the number of rows."""
-        if batch and self.has_batch(table, batch):
+        """Add rows as they are; the number of rows. A known batch is not added again."""
+        status = self._status(table, batch)
+        if status.known:
             return 0
-        folder, parts, rows, cursor = self._land(table, df)
-        if parts:
-            cursor = max(filter(None, [cursor, self.cursor(table)]), default=None)
-            self._commit(table, folder, parts, "append", cursor=cursor, batch=batch, rows=rows)
-        return rows
+        folder, parts = self._land(table, df)
+        return self._commit(table, folder, parts, "append", status, batch) if parts else 0
 
     def merge(
         self,
@@ -154,31 +191,22 @@ class RawStore:
         rows, for a source that knows itself what is new. A batch that is
         known already is not loaded again.
         """
-        if batch and self.has_batch(table, batch):
+        status = self._status(table, batch)
+        if status.known:
             return 0
-        last = self.cursor(table)
         if changed_only:
-            df = changed_since(df, since or last, overlap=overlap)
+            df = changed_since(df, since or status.cursor, overlap=overlap)
         fresh = latest_per_key(df, key)
-        folder, parts, rows, cursor = self._land(table, fresh)
+        folder, parts = self._land(table, fresh)
         if not parts:
             return 0
-        touched = self.read(table, only=set(parts))
+        touched = self.read(table, only={p[PART] for p in parts})
         if touched is not None:
+            # A small batch leaves the target's rows where they are, by part; a
+            # large one is joined by key, which scatters them.
+            small = sum(p.rows for p in parts) <= BROADCAST_KEYS
             landed = self._landed(table, folder, fresh).drop(PART)
-            folder = self._write(table, upsert(touched, landed, key))
-        cursor = max(filter(None, [cursor, last]), default=None)
-        self._commit(table, folder, parts, "merge", cursor=cursor, batch=batch, rows=rows)
-        return rows
-
-    def has_batch(self, table: str, batch: str) -> bool:
-        known = self.log().filter((F.col("table") == table) & (F.col("batch") == batch))
-        return not known.isEmpty()
-
-
-def hashed_parts(key: str, count: int) -> str:
-    """A partition expression: a hash of the key, spread over a number of parts."""
-    return f"pmod(xxhash64(`{key}`), {count})"
-
-
-STORED_DAY = "to_date(stored)"
+            folder = self._write(
+                table, upsert(touched, landed, key, broadcast=small), scattered=not small
+            )
+        return self._commit(table, folder, parts, "merge", status, batch)

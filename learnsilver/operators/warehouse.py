@@ -50,6 +50,11 @@ class Warehouse:
             return self.spark.read.schema(MODELS[name].ddl).parquet(self.path(name))
         return self.read_raw(name)
 
+    def register_views(self, names: Iterable[str] = tuple(MODELS)) -> None:
+        """Make built tables known to SQL as temporary views."""
+        for name in names:
+            self.table(name).createOrReplaceTempView(name)
+
     def plan(self, name: str) -> DataFrame:
         """A model as a lazy DataFrame over the tables it reads."""
         options = self.staging_options if REGISTRY[name].layer == "staging" else {}

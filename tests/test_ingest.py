@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from learnsilver.operators import incremental as inc
+from learnsilver.operators.ingestion import load_collections, load_statements
 from learnsilver.operators.rawstore import STORED_DAY, RawStore, hashed_parts
 from learnsilver.operators.report import load_report
 from learnsilver.schemas import RAW
@@ -145,6 +146,41 @@ def test_latest_per_key_limits_on_the_map_side(spark, tmp_path):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_large_batch_is_merged_by_a_shuffled_join(spark, store, monkeypatch):
+    monkeypatch.setattr("learnsilver.operators.rawstore.BROADCAST_KEYS", 3)
+    store.merge("users", users(spark, *[(str(n), 1, "x") for n in range(50)]), "_id")
+    store.merge("users", users(spark, *[(str(n), 2, "y") for n in range(20)]), "_id")
+    names = [r.name for r in store.read("users").collect()]
+    assert (names.count("x"), names.count("y")) == (30, 20)
+
+
+def test_raw_load_of_all_collections(spark, tmp_path):
+    """Collections side by side, without a cursor and with one, then the statements."""
+    store = RawStore(spark, f"{tmp_path}/raw", parts={"lrs_statements": STORED_DAY})
+
+    def read(collection):
+        lines = spark.createDataFrame(
+            [('{"_id":{"$oid":"1"},"modified_on":{"$date":"2024-01-01T00:00:00Z"},'
+              '"updatedAt":{"$date":"2024-01-01T00:00:00Z"}}',)], "value string")
+        return valid_documents(parse_documents(lines, RAW[table_of(collection)]))
+
+    loaded = load_collections(store, read)
+    # Submissions have no time of change, so all rows come again with each load.
+    again = load_collections(store, read)
+    assert set(loaded) == set(default_tables()) and set(loaded.values()) == {1}
+    assert {t for t, n in again.items() if n} == {"lms_exercise_submissions"}
+    pages = spark.createDataFrame(
+        [(json.dumps([statement("a"), statement("b", "2024-01-02T00:00:00Z")]),)], "value string"
+    )
+    assert load_statements(store, pages) == 2
+    assert load_statements(store, pages) == 0
+    assert load_statements(store, pages, since="2024-01-01T12:00:00Z") == 1
+    assert load_statements(store, pages, overlap="1 day") == 1
+    assert store.read("lrs_statements").count() == 2
+    assert store.state().count() == 18
+    assert store.read("lms_exercise_submissions").count() == 1
+
+
 def test_small_batch_is_merged_without_a_shuffle_of_the_target(spark, tmp_path):
     users(spark, *[(str(n), 1, "") for n in range(1000)]).write.parquet(f"{tmp_path}/target")
     users(spark, ("1", 2, "new")).write.parquet(f"{tmp_path}/batch")
@@ -203,6 +239,7 @@ def test_merge_uses_and_writes_the_cursor(spark, store):
     assert {r._id: r.name for r in store.read("users").collect()}["a"] == "ignored"
     (state,) = store.state().collect()
     assert (state.table, state.last_cursor) == ("users", "2024-01-05 00:00:00")
+    assert RawStore(spark, store.root).cursor("users") == state.last_cursor
 
 
 def test_rewritten_cursor_never_goes_back(spark, store):
@@ -229,7 +266,7 @@ def test_append_keeps_all_rows(spark, store):
 
 def test_folders_the_log_does_not_name_are_never_read(spark, store):
     store.merge("users", users(spark, ("a", 1, "x")), "_id")
-    store._write("users", users(spark, ("left", 1, "over")))
+    store._write("users", users(spark, ("left", 1, "over")), scattered=True)
     assert [r._id for r in store.read("users").collect()] == ["a"]
 
 
