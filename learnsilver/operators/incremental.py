@@ -17,6 +17,8 @@ EPOCH = "1970-01-01 00:00:00"
 CHANGE_FIELDS = ("modified_on", "updatedAt", "updated_at", "modifiedAt")
 CREATION_FIELDS = ("created_on", "createdAt")
 STATEMENT_FIELDS = ("stored", "timestamp")
+# The time of the last change as parsed documents hold it, whatever its name there.
+CHANGED_AT = "_changed_at"
 
 
 def present(df: DataFrame, names: tuple[str, ...]) -> list[str]:
@@ -26,7 +28,7 @@ def present(df: DataFrame, names: tuple[str, ...]) -> list[str]:
 
 def cursor_column(df: DataFrame) -> str | None:
     """The column that tells when a row last changed, judged from the schema."""
-    found = present(df, ("stored",)) or present(df, CHANGE_FIELDS)
+    found = present(df, (CHANGED_AT, "stored", *CHANGE_FIELDS))
     return found[0] if found else None
 
 
@@ -44,9 +46,9 @@ def changed_since(
     """Rows changed strictly after ``since``.
 
     One cursor column is used; with several, a row counts when any of them is
-    later. A table without any is loaded whole. ``overlap`` (an interval, such
-    as ``1 hour``) reads that much again, for late rows; the upsert makes
-    that harmless.
+    later. A table without any is loaded whole, and so are documents that do
+    not say when they changed. ``overlap`` (an interval, such as ``1 hour``)
+    reads that much again, for late rows; the upsert makes all that harmless.
     """
     if columns is None:
         found = cursor_column(df)
@@ -54,13 +56,16 @@ def changed_since(
     if not columns:
         return df
     bound = F.expr(as_cursor(since) + (f" - interval {overlap}" if overlap else ""))
-    return df.filter(reduce(lambda a, b: a | b, [F.col(f"`{c}`") > bound for c in columns]))
+    conditions = [F.col(f"`{c}`") > bound for c in columns]
+    if columns == [CHANGED_AT]:
+        conditions.append(F.col(CHANGED_AT).isNull())
+    return df.filter(reduce(lambda a, b: a | b, conditions))
 
 
 def cursor_of(df: DataFrame) -> str:
     """A row's own cursor: the first of the known times that is set."""
     names = present(df, STATEMENT_FIELDS) if "stored" in df.columns else present(
-        df, CHANGE_FIELDS + CREATION_FIELDS
+        df, (CHANGED_AT, *CHANGE_FIELDS, *CREATION_FIELDS)
     )
     if not names:
         return "cast(null as timestamp_ntz)"

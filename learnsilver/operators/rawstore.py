@@ -12,6 +12,7 @@ the day a statement was stored, or a hash of a document id.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -27,7 +28,7 @@ from learnsilver.operators.incremental import (
 
 _LOG = (
     "version bigint, folder string, part string, mode string, cursor string, batch string, "
-    "rows bigint"
+    "rows bigint, schema string"
 )
 PART = "_part"
 # Up to this many keys a batch is small enough to be sent to every executor:
@@ -75,6 +76,7 @@ class RawStore:
         return self._lines(table).agg(
             F.coalesce(F.max("version"), F.lit(0)).alias("version"),
             F.max("cursor").alias("cursor"),
+            F.max_by("schema", "version").alias("schema"),
             F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False)).alias("known"),
         ).first()
 
@@ -89,7 +91,7 @@ class RawStore:
             lines.filter("mode = 'merge'").groupBy("part").agg(F.max("version").alias("rewritten"))
         )
         current = lines.join(rewrites, "part", "left").filter("version >= coalesce(rewritten, 0)")
-        return current.select("folder", "part").collect()
+        return current.select("version", "folder", "part", "schema").collect()
 
     def cursor(self, table: str) -> str | None:
         """The cursor of the last load."""
@@ -104,18 +106,22 @@ class RawStore:
 
     # -- reading ---------------------------------------------------------------
 
-    def _paths(self, table: str, only: set[str] | None = None) -> list[str]:
-        """The present folders, of some parts or all."""
-        return [
+    def read(self, table: str, only: set[str] | None = None) -> DataFrame | None:
+        """The table, or some parts of it; None when nothing is there yet.
+
+        The schema is that of the last load, which has the columns of all
+        loads before it; no file is opened to find it out.
+        """
+        lines = self._current(table)
+        paths = [
             f"{self.root}/{table}/{line.folder}/{PART}={line.part}"
-            for line in self._current(table)
+            for line in lines
             if only is None or line.part in only
         ]
-
-    def read(self, table: str, only: set[str] | None = None) -> DataFrame | None:
-        """The table, or some parts of it; None when nothing is there yet."""
-        paths = self._paths(table, only)
-        return self.spark.read.option("mergeSchema", "true").parquet(*paths) if paths else None
+        if not paths:
+            return None
+        schema = T.StructType.fromJson(json.loads(max(lines, key=lambda l: l.version).schema))
+        return self.spark.read.schema(schema).parquet(*paths)
 
     # -- writing ---------------------------------------------------------------
 
@@ -154,14 +160,25 @@ class RawStore:
         return folder, parts
 
     def _commit(
-        self, table: str, folder: str, parts: list[Row], mode: str, status: Row, batch: str | None
+        self,
+        table: str,
+        folder: str,
+        parts: list[Row],
+        mode: str,
+        status: Row,
+        batch: str | None,
+        schema: T.StructType,
     ) -> int:
         """Make a folder current; the number of rows that came in."""
+        if status.schema:
+            known = T.StructType.fromJson(json.loads(status.schema))
+            new = [f for f in schema if f.name not in known.names]
+            schema = T.StructType([*known, *new])
         cursor = max((c for c in [status.cursor, *[p.cursor for p in parts]] if c), default=None)
         self._add_lines(
             table,
             [
-                (status.version + 1, folder, p[PART], mode, cursor, batch, p.rows)
+                (status.version + 1, folder, p[PART], mode, cursor, batch, p.rows, schema.json())
                 for p in parts
             ],
         )
@@ -173,7 +190,9 @@ class RawStore:
         if status.known:
             return 0
         folder, parts = self._land(table, df)
-        return self._commit(table, folder, parts, "append", status, batch) if parts else 0
+        if not parts:
+            return 0
+        return self._commit(table, folder, parts, "append", status, batch, df.schema)
 
     def merge(
         self,
@@ -209,4 +228,4 @@ class RawStore:
             folder = self._write(
                 table, upsert(touched, landed, key, broadcast=small), scattered=not small
             )
-        return self._commit(table, folder, parts, "merge", status, batch)
+        return self._commit(table, folder, parts, "merge", status, batch, df.schema)

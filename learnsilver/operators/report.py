@@ -18,9 +18,6 @@ def load_report(
         DataFrame.unionByName,
         [read(t).agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("rows")) for t in present],
     )
-    spark = counts.sparkSession
-    names = spark.createDataFrame([(t,) for t in expected], "table string")
-    missing = names.join(counts.select("table"), "table", "left_anti").selectExpr(
-        "table", "cast(null as bigint) as rows"
-    )
+    absent = [(t, None) for t in expected if t not in set(present)]
+    missing = counts.sparkSession.createDataFrame(absent, "table string, rows bigint")
     return counts.unionByName(missing).selectExpr("table", "rows", "rows is not null as present")

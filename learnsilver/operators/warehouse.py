@@ -39,6 +39,7 @@ class Warehouse:
         self.prefix = prefix
         self.run_ts = run_ts
         self.staging_options = staging_options
+        self.built: set[str] = set()
 
     def path(self, name: str) -> str:
         layer = layer_name(REGISTRY[name].layer, self.prefix)
@@ -61,14 +62,27 @@ class Warehouse:
         return build_model(name, self.table, run_ts=self.run_ts, **options)
 
     def build(self, name: str) -> None:
+        """Write a model anew. Staging must be there where the model reads it."""
         df = self.plan(name)
         assert_schema(df, MODELS[name])
         with_comments(df, MODELS[name]).write.mode("overwrite").parquet(self.path(name))
+        self.built.add(name)
 
     def build_all(self, names: Iterable[str] = tuple(SILVER)) -> None:
-        """Build the named models, and staging first where one of them reads it."""
+        """Write the named models anew, and staging first where one of them reads it."""
         names = list(names)
-        for staged in sorted({i for n in names for i in REGISTRY[n].inputs if i in MODELS}):
+        for staged in self._staging_of(names):
             self.build(staged)
         with ThreadPoolExecutor(CONCURRENT_MODELS) as pool:
             list(pool.map(self.build, names))
+
+    def build_missing(self, names: Iterable[str]) -> None:
+        """Write those of the named models, and of the staging they read, not yet written."""
+        for staged in self._staging_of(names):
+            if staged not in self.built:
+                self.build(staged)
+        with ThreadPoolExecutor(CONCURRENT_MODELS) as pool:
+            list(pool.map(self.build, [n for n in names if n not in self.built]))
+
+    def _staging_of(self, names: Iterable[str]) -> list[str]:
+        return sorted({i for n in names for i in REGISTRY[n].inputs if i in MODELS})

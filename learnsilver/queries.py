@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from learnsilver.operators.report import load_report
 from learnsilver.operators.warehouse import Warehouse
 from learnsilver.plans import REGISTRY, build_model
 from learnsilver.plans.staging import staging_rejects
-from learnsilver.schemas import RAW, SILVER
+from learnsilver.schemas import MODELS, RAW, SILVER, STAGING
 from learnsilver.session import scratch_path, tune
 from learnsilver.sources.documents import default_tables, parse_documents, valid_documents
 from learnsilver.sources.fixtures import (
@@ -29,6 +29,7 @@ from learnsilver.streaming.loader import landed_stream, merge_stream
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_TS = "timestamp_ntz'2024-02-01 00:00:00'"
 STAGING_OPTIONS = {"extension_map": EXTRA_EXTENSIONS, "extension_prefix": EXTENSION_PREFIX}
+TYPED_EMPTY = ("dim_device", "ref_signal_type", "fact_learning_signal", "fact_variant_exposure")
 _QUERIES: dict[str, Query] = {}
 
 
@@ -37,46 +38,43 @@ def _query(build: Query) -> Query:
     return build
 
 
-def _reader(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
-    """Raw tables, and the staging view over them as a lazy DataFrame."""
-    tune(spark)
-    raw = raw_reader(spark, folder)
+_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 
-    def read(name: str) -> DataFrame:
-        if REGISTRY.get(name) and REGISTRY[name].layer == "staging":
-            return build_model(name, raw, **STAGING_OPTIONS)
-        return raw(name)
 
-    return read
+def warehouse(spark: SparkSession, folder: str, models: Iterable[str]) -> Warehouse:
+    """The tables of a data folder, in the shared folder; builds the models not yet built.
+
+    One per application and data folder, so that the staging table that most
+    event models read is written once and not parsed anew by each of them.
+    """
+    tune(spark)
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = Warehouse(
+            spark, scratch_path(spark, "warehouse"), raw_reader(spark, folder),
+            run_ts=RUN_TS, **STAGING_OPTIONS,
+        )
+    _WAREHOUSES[key].build_missing(models)
+    return _WAREHOUSES[key]
 
 
 def _model(name: str) -> Query:
+    """A model as a lazy DataFrame; the event models read the written staging table."""
+
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        read = _reader(spark, folder)
-        if REGISTRY[name].layer == "staging":
-            return read(name)
+        raw = raw_reader(spark, folder)
+        tune(spark)
+        if name in STAGING:
+            return build_model(name, raw, **STAGING_OPTIONS)
+        if name in TYPED_EMPTY:  # nothing is read, so nothing needs to be written
+            return build_model(name, lambda n: build_model(n, raw, **STAGING_OPTIONS))
+        staged = [i for i in REGISTRY[name].inputs if i in STAGING]
+        read = warehouse(spark, folder, staged).table if staged else raw
         return build_model(name, read, run_ts=RUN_TS)
 
     return run
 
 
-_BUILT: dict[tuple[str, str], Warehouse] = {}
-
-
-def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """All models built into the shared folder, once per application and data folder."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _BUILT:
-        tune(spark)
-        built = Warehouse(
-            spark, scratch_path(spark, "warehouse"), raw_reader(spark, folder),
-            run_ts=RUN_TS, **STAGING_OPTIONS,
-        )
-        built.build_all()
-        _BUILT[key] = built
-    return _BUILT[key]
-
-
 @_query
 def staging_rejects_query(spark: SparkSession, folder: str) -> DataFrame:
     """Some events carry a word where a number belongs."""
@@ -91,7 +89,7 @@ def staging_rejects_query(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def silver_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per written table, after a full build."""
-    built = warehouse(spark, folder)
+    built = warehouse(spark, folder, MODELS)
     return reduce(
         DataFrame.unionByName,
         [
@@ -260,7 +258,7 @@ def ingest_load_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _check(check: Callable[..., DataFrame]) -> Query:
-    return lambda spark, folder: check(warehouse(spark, folder).table)
+    return lambda spark, folder: check(warehouse(spark, folder, MODELS).table)
 
 
 def queries() -> dict[str, Query]:

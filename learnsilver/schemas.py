@@ -61,11 +61,6 @@ _CONTENT = f"""
     string: metadata
     {_CAMEL_TIMES}
 """
-_SUPPORT = f"""
-    string: _id title metadata
-    {_CAMEL_TIMES}
-"""
-
 _RAW = {
     "lms_users": (
         f"""
@@ -142,12 +137,50 @@ _RAW = {
         """,
         "Skill and standard definitions",
     ),
-    "lms_modules": (_SUPPORT, "Course modules; loaded, read by no model"),
-    "lms_projects": (_SUPPORT, "Projects; loaded, read by no model"),
-    "lms_project_enrollments": (_SUPPORT, "Project members; loaded, read by no model"),
-    "lms_surveys": (_SUPPORT, "Surveys; loaded, read by no model"),
-    "lms_survey_enrollments": (_SUPPORT, "Survey members; loaded, read by no model"),
-    "lms_survey_submissions": (_SUPPORT, "Survey answers; loaded, read by no model"),
+    "lms_modules": (
+        f"""
+        string: _id schoolId courseId title description
+        int: order
+        string: metadata
+        {_CAMEL_TIMES}
+        """,
+        "Course modules; loaded, read by no model",
+    ),
+    "lms_projects": (
+        f"""
+        string: _id schoolId courseId title description metadata
+        {_CAMEL_TIMES}
+        """,
+        "Projects; loaded, read by no model",
+    ),
+    "lms_project_enrollments": (
+        f"""
+        string: _id userId projectId status metadata
+        {_CAMEL_TIMES}
+        """,
+        "Project members; loaded, read by no model",
+    ),
+    "lms_surveys": (
+        f"""
+        string: _id schoolId title description metadata
+        {_CAMEL_TIMES}
+        """,
+        "Surveys; loaded, read by no model",
+    ),
+    "lms_survey_enrollments": (
+        f"""
+        string: _id userId surveyId status metadata
+        {_CAMEL_TIMES}
+        """,
+        "Survey members; loaded, read by no model",
+    ),
+    "lms_survey_submissions": (
+        f"""
+        string: _id userId surveyId responses metadata
+        timestamp_ntz: submittedAt createdAt updatedAt
+        """,
+        "Survey answers; loaded, read by no model",
+    ),
     STATEMENTS_TABLE: (
         """
         string: id

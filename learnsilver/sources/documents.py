@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from learnsilver.functions.columns import utc_from_text
 from learnsilver.functions.jsonx import quoted
+from learnsilver.operators.incremental import CHANGE_FIELDS, CHANGED_AT
 from learnsilver.schemas import DEFAULT_COLLECTIONS, RAW, Contract
 
 CORRUPT = "_corrupt_record"
+DOCUMENT = "_document"
 
 
 def table_of(collection: str) -> str:
@@ -29,27 +31,33 @@ def normalise(json: str) -> str:
 
 
 def parse_documents(documents: DataFrame, contract: Contract, column: str = "value") -> DataFrame:
-    """Document text to the contract's columns, plus the text itself where it is no JSON.
+    """Document text to the contract's columns; one parse, no Python.
 
     Nested values of text columns stay as JSON text. Times are read as text
-    and shifted to UTC. One parse, no Python.
+    and shifted to UTC. Besides, a row holds the whole document as text, so
+    that no field is lost; the time of its last change under whatever name the
+    document has it; and the text itself where it is no JSON.
     """
-    stamps = {name for name, dtype in contract.columns if dtype == "timestamp_ntz"}
+    stamps = [name for name, dtype in contract.columns if dtype == "timestamp_ntz"]
+    times = dict.fromkeys([*stamps, *CHANGE_FIELDS])
+    others = {name: dtype for name, dtype in contract.columns if name not in times}
     ddl = ",".join(
-        f"`{name}` {'string' if name in stamps else dtype}" for name, dtype in contract.columns
+        f"`{name}` {dtype}" for name, dtype in {**others, **dict.fromkeys(times, "string")}.items()
     )
-    parsed = documents.select(
+    parsed = documents.select(F.expr(normalise(f"`{column}`")).alias(DOCUMENT)).select(
+        DOCUMENT,
         F.from_json(
-            F.expr(normalise(f"`{column}`")),
-            f"{ddl},`{CORRUPT}` string",
-            {"columnNameOfCorruptRecord": CORRUPT},
-        ).alias("doc")
+            DOCUMENT, f"{ddl},`{CORRUPT}` string", {"columnNameOfCorruptRecord": CORRUPT}
+        ).alias("doc"),
     )
+    changes = ", ".join(utc_from_text(f"doc.`{name}`") for name in CHANGE_FIELDS)
     return parsed.selectExpr(
         *[
-            f"{utc_from_text(f'doc.`{name}`')} as `{name}`" if name in stamps else f"doc.`{name}`"
+            f"{utc_from_text(f'doc.`{name}`')} as `{name}`" if name in times else f"doc.`{name}`"
             for name in contract.names
         ],
+        f"coalesce({changes}) as {CHANGED_AT}",
+        DOCUMENT,
         f"doc.`{CORRUPT}`",
     )
 
