@@ -47,7 +47,6 @@ def warehouse(spark: SparkSession, folder: str, models: Iterable[str]) -> Wareho
     One per application and data folder, so that the staging table that most
     event models read is written once and not parsed anew by each of them.
     """
-    tune(spark)
     key = (spark.sparkContext.applicationId, folder)
     if key not in _WAREHOUSES:
         _WAREHOUSES[key] = Warehouse(
@@ -63,7 +62,6 @@ def _model(name: str) -> Query:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         raw = raw_reader(spark, folder)
-        tune(spark)
         if name in STAGING:
             return build_model(name, raw, **STAGING_OPTIONS)
         if name in TYPED_EMPTY:  # nothing is read, so nothing needs to be written
@@ -261,6 +259,14 @@ def _check(check: Callable[..., DataFrame]) -> Query:
     return lambda spark, folder: check(warehouse(spark, folder, MODELS).table)
 
 
+def _tuned(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        tune(spark)
+        return query(spark, folder)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     named = dict(_QUERIES)
     named["staging_rejects"] = named.pop("staging_rejects_query")
@@ -272,8 +278,9 @@ def queries() -> dict[str, Query]:
         "dq_accepted_values": quality.accepted_values,
         "dq_referential": quality.referential,
     }
-    return {
+    found = {
         **{name: _model(name) for name in REGISTRY},
         **named,
         **{name: _check(check) for name, check in checks.items()},
     }
+    return {name: _tuned(query) for name, query in found.items()}

@@ -7,9 +7,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Wide rows make long generated methods, and the JVM does not compile methods
-# beyond this size; Spark then splits the work into smaller ones.
-TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+TUNING = {
+    # Wide rows make long generated methods, and the JVM does not compile methods
+    # beyond this size; Spark then splits the work into smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,6 +19,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Noting the place of every column expression costs more than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     **TUNING,
 }
 
