@@ -54,15 +54,19 @@ def cast_text(text: str, dtype: str, strict: bool) -> str:
     return f"{'cast' if strict else 'try_cast'}({text} as {dtype})"
 
 
+def _utc_of_instant(instant: str) -> str:
+    """An instant as UTC timestamp; counted from 1970, so no local hour is ambiguous."""
+    return f"timestampadd(MICROSECOND, unix_micros({instant}), timestamp_ntz'1970-01-01 00:00:00')"
+
+
 def utc_from_text(text: str) -> str:
     """ISO time text as a UTC timestamp, whatever the session's time zone.
 
     An offset is applied; text without one is taken as UTC; other text is NULL.
     """
-    instant = f"cast(try_cast({text} as timestamp) as timestamp_ntz)"
     return (
         rf"if({text} rlike ':\\d{{2}}(\\.\\d+)?([Zz]|[+-]\\d{{2}}(:?\\d{{2}})?)$', "
-        f"convert_timezone(current_timezone(), 'UTC', {instant}), "
+        f"{_utc_of_instant(f'try_cast({text} as timestamp)')}, "
         f"try_cast({text} as timestamp_ntz))"
     )
 
@@ -73,5 +77,5 @@ def utc(df: DataFrame, name: str) -> str:
     if isinstance(dtype, T.StringType):
         return utc_from_text(f"`{name}`")
     if isinstance(dtype, T.TimestampType):
-        return f"convert_timezone(current_timezone(), 'UTC', cast(`{name}` as timestamp_ntz))"
+        return _utc_of_instant(f"`{name}`")
     return f"cast(`{name}` as timestamp_ntz)"

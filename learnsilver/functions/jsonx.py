@@ -70,7 +70,10 @@ def explode_records(
     dtype = df.schema[column].dataType
     ddl = struct_ddl(fields)
     native = isinstance(dtype, T.ArrayType)
-    array = f"`{column}`" if native else f"from_json({json_text(df, column)}, 'array<{ddl}>')"
+    text = json_text(df, column)
+    # A lone object would be read as an array of one, hence the bracket.
+    read = f"if(startswith(ltrim({text}), '['), from_json({text}, 'array<{ddl}>'), null)"
+    array = f"`{column}`" if native else read
     generator = f"posexplode({array}) as ({position}, _item)" if position else (
         f"explode({array}) as _item"
     )

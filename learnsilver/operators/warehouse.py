@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from learnsilver.operators.lineage import assert_schema, with_comments
 from learnsilver.plans import REGISTRY, build_model
-from learnsilver.schemas import MODELS, SILVER
+from learnsilver.schemas import MODELS, RAW, SILVER
 from learnsilver.sources.catalog import layer_name
 
 # Fixed value: how many models are built at the same time.
@@ -28,7 +28,7 @@ class Warehouse:
         self,
         spark: SparkSession,
         root: str,
-        read_raw: Callable[[str], DataFrame],
+        read_raw: Callable[[str], DataFrame | None],
         prefix: str = "",
         run_ts: str = "current_timestamp()",
         **staging_options,
@@ -46,10 +46,11 @@ class Warehouse:
         return f"{self.root}/{layer}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        """A built model, or a raw table."""
+        """A built model, or a raw table; a raw table not loaded yet is empty."""
         if name in MODELS:
             return self.spark.read.schema(MODELS[name].ddl).parquet(self.path(name))
-        return self.read_raw(name)
+        raw = self.read_raw(name)
+        return self.spark.createDataFrame([], RAW[name].ddl) if raw is None else raw
 
     def register_views(self, names: Iterable[str] = tuple(MODELS)) -> None:
         """Make built tables known to SQL as temporary views."""

@@ -199,7 +199,8 @@ def test_items_in_any_shape(spark, build, shape):
 
 
 def test_no_items_no_rows(frame, build):
-    exercises = frame([("1", "[]"), ("2", None), ("3", "no json")], "_id string, items string")
+    texts = ["[]", None, "no json", '{"type":"mcq"}']
+    exercises = frame(list(enumerate(texts)), "_id int, items string")
     assert build("dim_assessment_item", lms_exercises=exercises) == []
 
 

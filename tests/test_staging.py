@@ -147,8 +147,15 @@ def test_time_zone_offsets_are_applied(stage):
 def test_times_do_not_depend_on_the_session_time_zone(spark, stage):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        row = stage({"timestamp": "2024-01-07T10:00:00+02:00"})[0]
-        assert str(row.event_timestamp) == "2024-01-07 08:00:00"
+        # The last two fall into the hour that New York has twice.
+        rows = stage(
+            {"timestamp": "2024-01-07T10:00:00+02:00"},
+            {"timestamp": "2024-11-03T05:30:00Z"},
+            {"timestamp": "2024-11-03T06:30:00Z"},
+        )
+        assert [str(r.event_timestamp) for r in rows] == [
+            "2024-01-07 08:00:00", "2024-11-03 05:30:00", "2024-11-03 06:30:00",
+        ]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
