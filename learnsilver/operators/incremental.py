@@ -47,8 +47,9 @@ def changed_since(
 
     One cursor column is used; with several, a row counts when any of them is
     later. A table without any is loaded whole, and so are documents that do
-    not say when they changed. ``overlap`` (an interval, such as ``1 hour``)
-    reads that much again, for late rows; the upsert makes all that harmless.
+    not say when they changed and statements that do not say when they were
+    stored. ``overlap`` (an interval, such as ``1 hour``) reads that much
+    again, for late rows; the upsert makes all that harmless.
     """
     if columns is None:
         found = cursor_column(df)
@@ -57,8 +58,8 @@ def changed_since(
         return df
     bound = F.expr(as_cursor(since) + (f" - interval {overlap}" if overlap else ""))
     conditions = [F.col(f"`{c}`") > bound for c in columns]
-    if columns == [CHANGED_AT]:
-        conditions.append(F.col(CHANGED_AT).isNull())
+    if columns in ([CHANGED_AT], ["stored"]):
+        conditions.append(F.col(columns[0]).isNull())
     return df.filter(reduce(lambda a, b: a | b, conditions))
 
 

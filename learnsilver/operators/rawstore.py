@@ -134,7 +134,9 @@ class RawStore:
         """
         folder = f"load-{uuid.uuid4().hex}"
         part = self.parts.get(table)
-        rows = df.selectExpr("*", f"cast({part or repr('all')} as string) as {PART}")
+        # Folder names: no value stands as its own part, other signs as underscores.
+        name = f"coalesce(regexp_replace(cast({part} as string), '[^A-Za-z0-9.-]', '_'), 'none')"
+        rows = df.selectExpr("*", f"{name if part else repr('all')} as {PART}")
         if part and scattered:
             rows = rows.hint("rebalance", PART)
         rows.write.partitionBy(PART).parquet(f"{self.root}/{table}/{folder}")

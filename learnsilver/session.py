@@ -24,6 +24,9 @@ SESSION_CONF = {
     **TUNING,
 }
 
+# Folders of this machine, for local sessions that name no shared folder.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def local_session(cpus: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
@@ -59,9 +62,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="learnsilver-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="learnsilver-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -275,6 +275,24 @@ def test_folders_the_log_does_not_name_are_never_read(spark, store):
     assert [r._id for r in store.read("users").collect()] == ["a"]
 
 
+def test_parts_without_value_and_with_odd_signs(spark, tmp_path):
+    store = RawStore(spark, f"{tmp_path}/raw", parts={"users": "name"})
+    rows = users(spark, ("a", 1, None), ("b", 1, "x/y:z"), ("c", 1, "__"))
+    store.merge("users", rows, "_id")
+    store.merge("users", users(spark, ("a", 2, None), ("b", 2, "x/y:z")), "_id")
+    assert sorted((r._id, r.modified_on.day) for r in store.read("users").collect()) == [
+        ("a", 3), ("b", 3), ("c", 2),
+    ]
+
+
+def test_statement_without_stored_time_is_not_lost(spark, store):
+    page = json.dumps([{"id": "a", "timestamp": "2024-01-01T00:00:00Z"}, statement("b")])
+    pages = spark.createDataFrame([(page,)], "value string")
+    assert load_statements(store, pages) == 2
+    assert load_statements(store, pages) == 1
+    assert store.read("lrs_statements").count() == 2
+
+
 def test_known_batch_is_not_loaded_twice(spark, store):
     assert store.append("users", users(spark, ("a", 1, "x")), batch="q#1") == 1
     assert store.append("users", users(spark, ("a", 1, "x")), batch="q#1") == 0
