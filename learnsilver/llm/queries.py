@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from learnsilver.llm import agenda_pieces
+from learnsilver.llm import agenda_pieces, chat_prefix_targets, line_chunks
 from learnsilver.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,14 +23,41 @@ def model_bytes(path: str = VOCABULARY) -> bytes:
         return file.read()
 
 
+def op2_chat_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    trap = F.explode(
+        F.array(*[
+            F.struct(
+                F.lit(-1).cast("long").alias("conv_id"), F.lit(turn).cast("long").alias("turn"),
+                F.lit(role).alias("role"), F.lit(chat_prefix_targets.TRAP).alias("text"),
+            )
+            for turn, role in enumerate(("user", "assistant"))
+        ])
+    )
+    added = spark.range(1).select(trap.alias("row")).select("row.*")
+    return chat_prefix_targets.digests(chat_prefix_targets.examples(turns.union(added)))
+
+
+def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return line_chunks.remove_repeated(docs)
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return agenda_pieces.digests(read(spark, folder, "documents"), model_bytes())
 
 
 def queries() -> dict[str, Query]:
-    found = (op8_sentencepiece,)
+    found = (
+        op2_chat_prefix_targets,
+        op8_sentencepiece,
+        op10_line_chunks,
+    )
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_chat_prefix_targets": chat_prefix_targets.ORACLE_SQL,
+        "op10_line_chunks": line_chunks.ORACLE_SQL,
+    }
