@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnsilver.llm import agenda_pieces, chat_prefix_targets, line_chunks
+from learnsilver.llm import agenda_pieces, block_mixture, chat_prefix_targets, line_chunks
 from learnsilver.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op2_chat_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
     return chat_prefix_targets.digests(chat_prefix_targets.examples(turns.union(added)))
 
 
+def op5_block_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return block_mixture.taken(read(spark, folder, "documents").select("doc_id", "text", "source"))
+
+
 def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return line_chunks.remove_repeated(docs)
@@ -50,6 +54,7 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found = (
         op2_chat_prefix_targets,
+        op5_block_mixture,
         op8_sentencepiece,
         op10_line_chunks,
     )
