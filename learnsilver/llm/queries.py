@@ -8,8 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnsilver.llm import agenda_pieces, block_mixture, chat_prefix_targets, line_chunks
-from learnsilver.llm.shared import read
+from learnsilver.llm import (
+    agenda_pieces,
+    block_mixture,
+    chat_prefix_targets,
+    line_chunks,
+    positive_unlabelled,
+)
+from learnsilver.llm.shared import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +48,15 @@ def op5_block_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return block_mixture.taken(read(spark, folder, "documents").select("doc_id", "text", "source"))
 
 
+def op9_positive_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    model = positive_unlabelled.fit_on(docs, read(spark, folder, "labels"))
+    good = F.col("score") >= positive_unlabelled.LEAST_SCORE
+    return positive_unlabelled.score(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", good.cast("int").alias("predicted")
+    )
+
+
 def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text")
     return line_chunks.remove_repeated(docs)
@@ -56,6 +71,7 @@ def queries() -> dict[str, Query]:
         op2_chat_prefix_targets,
         op5_block_mixture,
         op8_sentencepiece,
+        op9_positive_unlabelled,
         op10_line_chunks,
     )
     return {query.__name__: query for query in found}
