@@ -1,9 +1,9 @@
 """SentencePiece encoding and decoding of merge-type (BPE) vocabularies.
 
 Encoding keeps a score-ordered agenda of adjacent symbol pairs: a text starts
-as one symbol per character, every adjacent pair that is a piece waits in a
-heap under its score (leftmost first among equal scores), and the best pair is
-merged until none is left. Characters without a piece become byte pieces.
+as one symbol per character, every adjacent pair that is a piece waits under
+its score (leftmost first among equal scores), and the best pair is merged
+until none is left. Characters without a piece become byte pieces.
 
 A text is cut where no piece can reach across (before a run of white space
 after something else, and around characters that are in no longer piece), so
@@ -22,7 +22,9 @@ from functools import lru_cache
 from itertools import chain
 from operator import add
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,10 +32,11 @@ from pyspark.sql import functions as F
 from learnsilver.llm.shared import text_of
 
 SPACE = "▁"  # what stands for a space inside pieces
-REMEMBERED = 250_000  # stretches kept by a worker, twice at most
+REMEMBERED = 500_000  # stretches kept by a worker, twice at most
 LONGEST_REMEMBERED = 40  # characters of a stretch worth keeping
-TEXTS_AT_ONCE = 256
-PLACE = (1 << 40) - 1  # mask of a place in a stretch
+BYTES_AT_ONCE = 2_000_000
+PLACE = (1 << 40) - 1  # mask of a place, below the rank of a score
+SHORT = 32  # characters of a stretch that is merged side by side with others
 
 
 class Vocabulary:
@@ -58,6 +61,22 @@ class Vocabulary:
         order = {score: i for i, score in enumerate(sorted(set(scores.values()), reverse=True))}
         #: Smaller is better; the low bits are left to the place in the stretch.
         self.ranks = {piece: order[score] * (PLACE + 1) for piece, score in scores.items()}
+        self.names = [str(i) for i in range(library.get_piece_size())]
+        #: For the stretches merged side by side: ids of characters, and the pairs that merge.
+        self.of_point = np.full(0x110000, -1, np.int32)
+        pairs = {}
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.of_point[ord(piece)] = i
+            for k in range(1, len(piece)):
+                left, right = self.ids.get(piece[:k]), self.ids.get(piece[k:])
+                if left is not None and right is not None:
+                    pairs[left * len(self.names) + right] = (self.ranks[piece], i)
+        self.pairs = np.array(sorted(pairs), np.int64)
+        #: One entry more, for pairs that do not merge.
+        nothing = (len(order) + 1) * (PLACE + 1)
+        self.pair_ranks = np.array([*(pairs[key][0] for key in self.pairs.tolist()), nothing], np.int64)
+        self.merged = np.array([*(pairs[key][1] for key in self.pairs.tolist()), -1], np.int32)
         longer = [piece for piece in self.ids if len(piece) > 1]
         if any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in longer):
             raise ValueError("pieces that reach over white space are not supported")
@@ -71,39 +90,49 @@ class Vocabulary:
         self.wall_ids = len(library.encode(self.wall))
         self.end = library.eos_id()
 
-    def merge(self, stretch: str) -> list[int]:
-        """The ids of a stretch, by the agenda.
+    def merge(self, stretches: list[str]) -> list[bytes]:
+        """The ids of each stretch, by the agenda, as 32-bit numbers in a row."""
+        found = [b""] * len(stretches)
+        short = [i for i, stretch in enumerate(stretches) if len(stretch) <= SHORT]
+        for i, code in zip(short, self._merge_short([stretches[i] for i in short])):
+            found[i] = code
+        for i, stretch in enumerate(stretches):
+            if len(stretch) > SHORT:
+                found[i] = np.array(self._merge_long(stretch), np.int32).tobytes()
+        return found
+
+    def _merge_long(self, stretch: str) -> list[int]:
+        """One stretch, its agenda a heap.
 
-        An entry of the agenda is a number: the rank of the pair's score, then its place.
+        An entry is a number: the rank of the pair's score, then its place.
         """
         ranks = self.ranks
         symbols: list[str | None] = list(stretch)
         n = len(symbols)
+        before, after = list(range(-1, n)), list(range(1, n + 1))
         agenda = [
             rank + i
             for i, pair in enumerate(map(add, stretch, stretch[1:]))
             if (rank := ranks.get(pair)) is not None
         ]
-        if agenda:
-            heapq.heapify(agenda)
-            before, after = list(range(-1, n)), list(range(1, n + 1))
-            while agenda:
-                entry = heapq.heappop(agenda)
-                i = entry & PLACE
-                j = after[i]
-                # An entry is stale once one of its symbols has been merged into another.
-                if symbols[i] is None or j >= n:
-                    continue
-                pair = symbols[i] + symbols[j]
-                if ranks.get(pair) != entry - i:
-                    continue
-                symbols[i], symbols[j] = pair, None
-                after[i] = k = after[j]
-                before[k] = i
-                if k < n and (rank := ranks.get(pair + symbols[k])) is not None:
-                    heapq.heappush(agenda, rank + i)
-                if (h := before[i]) >= 0 and (rank := ranks.get(symbols[h] + pair)) is not None:
-                    heapq.heappush(agenda, rank + h)
+        heapq.heapify(agenda)
+        while agenda:
+            entry = heapq.heappop(agenda)
+            i = entry & PLACE
+            j = after[i]
+            # An entry is stale once one of its symbols has been merged into another.
+            if symbols[i] is None or j >= n:
+                continue
+            pair = symbols[i] + symbols[j]
+            if ranks.get(pair) != entry - i:
+                continue
+            symbols[i], symbols[j] = pair, None
+            after[i] = k = after[j]
+            before[k] = i
+            if k < n and (rank := ranks.get(pair + symbols[k])) is not None:
+                heapq.heappush(agenda, rank + i)
+            if (h := before[i]) >= 0 and (rank := ranks.get(symbols[h] + pair)) is not None:
+                heapq.heappush(agenda, rank + h)
         found: list[int] = []
         for symbol in symbols:
             if symbol is not None:
@@ -111,12 +140,68 @@ class Vocabulary:
                 found += [i] if i is not None else [self.bytes[b] for b in symbol.encode()]
         return found
 
-    def check(self, stretches: list[str], ids: list[list[int]]) -> None:
+    def _pair_entries(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Where each pair of ids stands among the pairs that merge, or the place after them."""
+        keys = left.astype(np.int64) * len(self.names) + right
+        at = np.searchsorted(self.pairs, keys)
+        hit = (left >= 0) & (right >= 0) & (self.pairs[np.minimum(at, len(self.pairs) - 1)] == keys)
+        return np.where(hit, at, len(self.pairs))
+
+    def _merge_short(self, stretches: list[str]) -> list[bytes]:
+        """Many stretches side by side: in every round the best pair of each agenda is merged."""
+        if not stretches:
+            return []
+        lengths = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        points = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32)
+        symbols = self.of_point[points]  # negative where a character has no piece
+        symbols = np.where(symbols < 0, -1 - points.astype(np.int64), symbols)
+        owner = np.repeat(np.arange(len(stretches)), lengths)
+        last = np.append(owner[1:] != owner[:-1], True)
+        none = len(self.pairs)
+        entry = np.where(last, none, self._pair_entries(symbols, np.append(symbols[1:], -1)))
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(owner):
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            # The smallest rank, and the leftmost place among equals.
+            best = np.minimum.reduceat(self.pair_ranks[entry] | np.arange(len(owner)), first)
+            live = best < self.pair_ranks[none]
+            at = best[live] & PLACE
+            symbols[at] = self.merged[entry[at]]
+            keep = np.repeat(live, np.diff(np.append(first, len(owner))))
+            done.append((owner[~keep], symbols[~keep]))
+            last[at] = last[at + 1]
+            keep[at + 1] = False
+            place = np.cumsum(keep) - 1
+            owner, symbols, last, entry = owner[keep], symbols[keep], last[keep], entry[keep]
+            at = place[at]
+            changed = np.unique(np.concatenate([at, at[at > 0] - 1]))
+            changed_pairs = self._pair_entries(symbols[changed], symbols[np.minimum(changed + 1, len(symbols) - 1)])
+            entry[changed] = np.where(last[changed], none, changed_pairs)
+        owners = np.concatenate([part[0] for part in done])
+        order = np.argsort(owners, kind="stable")
+        flat = np.concatenate([part[1] for part in done])[order].astype(np.int32)
+        odd = set(owners[order][flat < 0].tolist())
+        ends = (4 * np.cumsum(np.bincount(owners, minlength=len(stretches)))).tolist()
+        blob = flat.tobytes()
+        found = [blob[start:end] for start, end in zip([0, *ends], ends)]
+        for i in odd:  # characters without a piece
+            ids = (
+                [k] if k >= 0 else [self.bytes[b] for b in chr(-1 - k).encode()]
+                for k in np.frombuffer(found[i], np.int32).tolist()
+            )
+            found[i] = np.fromiter(chain.from_iterable(ids), np.int32).tobytes()
+        return found
+
+    def check(self, stretches: list[str], codes: list[bytes]) -> None:
         """Raise if the library encodes one of the stretches in another way."""
         texts = [self.wall + stretch.replace(SPACE, " ") for stretch in stretches]
-        for stretch, own, theirs in zip(stretches, ids, self.library.encode(texts, num_threads=1)):
-            if own != theirs[self.wall_ids :]:
-                raise ValueError(f"the library encodes {stretch!r} as {theirs}, not as {own}")
+        theirs = [ids[self.wall_ids :] for ids in self.library.encode(texts, num_threads=1)]
+        flat = np.fromiter(chain.from_iterable(theirs), np.int32)
+        if flat.tobytes() == b"".join(codes) and [4 * len(ids) for ids in theirs] == list(map(len, codes)):
+            return
+        for stretch, code, ids in zip(stretches, codes, theirs):
+            if (own := np.frombuffer(code, np.int32).tolist()) != ids:
+                raise ValueError(f"the library encodes {stretch!r} as {ids}, not as {own}")
 
 
 @lru_cache(2)
@@ -129,17 +214,18 @@ class Encoder:
 
     def __init__(self, model: bytes) -> None:
         self.vocabulary = vocabulary(model)
-        self.recent: dict[str, tuple[list[int], str]] = {}
-        self.older: dict[str, tuple[list[int], str]] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _meet(self, stretches: set[str]) -> None:
         """Have the codes of all stretches at hand, new ones checked against the library."""
         unknown = stretches - self.recent.keys()
-        new = sorted(unknown - self.older.keys())
-        ids = [self.vocabulary.merge(stretch) for stretch in new]
-        self.vocabulary.check(new, ids)
-        self.recent |= {stretch: self.older[stretch] for stretch in unknown - set(new)}
-        self.recent |= {s: (own, " ".join(map(str, own))) for s, own in zip(new, ids)}
+        again = unknown & self.older.keys()
+        new = list(unknown - again)
+        codes = self.vocabulary.merge(new)
+        self.vocabulary.check(new, codes)
+        self.recent.update((stretch, self.older[stretch]) for stretch in again)
+        self.recent.update(zip(new, codes))
 
     def _forget(self, stretches: set[str]) -> None:
         for stretch in stretches:
@@ -154,14 +240,15 @@ class Encoder:
             self.vocabulary.stretches((SPACE + text).replace(" ", SPACE)) if text else []
             for text in texts
         ]
-        met = set(chain.from_iterable(cut))
+        met = set().union(*cut)
         self._meet(met)
         known, end = self.recent, self.vocabulary.end
+        names = self.vocabulary.names.__getitem__
         for stretches in cut:
-            codes = [known[stretch] for stretch in stretches]
-            ids = list(chain.from_iterable(code[0] for code in codes))
+            code = b"".join(map(known.__getitem__, stretches))
+            ids = np.frombuffer(code, np.int32).tolist()
             ids.append(end)
-            yield ids, " ".join([*(code[1] for code in codes), str(end)])
+            yield ids, " ".join(map(names, ids))
         self._forget(met)
 
     def decode(self, ids: list[int]) -> str:
@@ -175,9 +262,14 @@ def _encoder(model: bytes) -> Encoder:
 
 
 def _in_parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of (id, text) of some million bytes, or of a single longer text."""
     for batch in batches:
-        for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
-            yield batch.slice(start, TEXTS_AT_ONCE)
+        sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+        parts = sizes // BYTES_AT_ONCE
+        cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            if end > start:
+                yield batch.slice(start, end - start)
 
 
 def encode(docs: DataFrame, model: bytes, id_column: str = "doc_id", column: str = "text") -> DataFrame:
@@ -205,10 +297,10 @@ def decode(encoded: DataFrame, model: bytes, id_column: str = "doc_id") -> DataF
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model)
-        for part in _in_parts(batches):
-            texts = [encoder.decode(ids or []) for ids in part.column(1).to_pylist()]
+        for batch in batches:
+            texts = [encoder.decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(texts, pa.string())], ["id", "text"]
+                [batch.column(0), pa.array(texts, pa.string())], ["id", "text"]
             )
 
     kind = encoded.schema[id_column].dataType.simpleString()

@@ -62,7 +62,7 @@ def test_no_rows_and_null_ids(documents):
 def test_a_difference_to_the_library_is_an_error():
     known = agenda_pieces.vocabulary(model_bytes())
     with pytest.raises(ValueError, match="the library encodes"):
-        known.check(["the"], [[1, 2, 3]])
+        known.check(["the"], [b"\x01\x00\x00\x00"])
 
 
 def test_the_whole_query_against_the_library(spark, library):
