@@ -14,6 +14,7 @@ from learnsilver.llm import (
     chat_prefix_targets,
     line_chunks,
     positive_unlabelled,
+    string_kernel_toxicity,
 )
 from learnsilver.llm.shared import held_out, read
 
@@ -44,6 +45,15 @@ def op2_chat_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
     return chat_prefix_targets.digests(chat_prefix_targets.examples(turns.union(added)))
 
 
+def op3_string_kernel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    machine = string_kernel_toxicity.fit_on(docs, read(spark, folder, "labels"))
+    toxic = F.col("score") >= string_kernel_toxicity.LEAST_SCORE
+    return string_kernel_toxicity.score(docs, machine).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", toxic.cast("int").alias("predicted")
+    )
+
+
 def op5_block_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return block_mixture.taken(read(spark, folder, "documents").select("doc_id", "text", "source"))
 
@@ -69,6 +79,7 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found = (
         op2_chat_prefix_targets,
+        op3_string_kernel_toxicity,
         op5_block_mixture,
         op8_sentencepiece,
         op9_positive_unlabelled,
