@@ -13,7 +13,9 @@ from learnsilver.llm import (
     block_mixture,
     chat_prefix_targets,
     line_chunks,
+    permutation_index,
     positive_unlabelled,
+    sorted_projections,
     string_kernel_toxicity,
 )
 from learnsilver.llm.shared import held_out, read
@@ -30,6 +32,11 @@ def model_bytes(path: str = VOCABULARY) -> bytes:
         return file.read()
 
 
+def op1_sorted_projections(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    return sorted_projections.near_duplicates(rows)
+
+
 def op2_chat_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
     turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     trap = F.explode(
@@ -72,15 +79,22 @@ def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return line_chunks.remove_repeated(docs)
 
 
+def op7_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return permutation_index.nearest(rows, F.col("vec_id") % 20 == 0)
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return agenda_pieces.digests(read(spark, folder, "documents"), model_bytes())
 
 
 def queries() -> dict[str, Query]:
     found = (
+        op1_sorted_projections,
         op2_chat_prefix_targets,
         op3_string_kernel_toxicity,
         op5_block_mixture,
+        op7_permutation_index,
         op8_sentencepiece,
         op9_positive_unlabelled,
         op10_line_chunks,
