@@ -12,6 +12,7 @@ from learnsilver.llm import (
     agenda_pieces,
     block_mixture,
     chat_prefix_targets,
+    group_prefix_join,
     line_chunks,
     permutation_index,
     positive_unlabelled,
@@ -61,6 +62,10 @@ def op3_string_kernel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_group_prefix_join(spark: SparkSession, folder: str) -> DataFrame:
+    return group_prefix_join.linked(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op5_block_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return block_mixture.taken(read(spark, folder, "documents").select("doc_id", "text", "source"))
 
@@ -93,6 +98,7 @@ def queries() -> dict[str, Query]:
         op1_sorted_projections,
         op2_chat_prefix_targets,
         op3_string_kernel_toxicity,
+        op4_group_prefix_join,
         op5_block_mixture,
         op7_permutation_index,
         op8_sentencepiece,
