@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from learnsilver.llm.shared import WORD, text_of
+from learnsilver.llm.shared import WORD, stored, text_of
 
 WEIGHTS = (5, 2, 1)  # of the sources in order, repeating
 SHARE = 1.5  # words of the mixture, of all words
@@ -110,7 +110,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _slots(spark, sources: Sources, seed: int) -> DataFrame:
-    """(shard, slot, source_no, pass, block): every slot of the mixture."""
+    """(shard, slot, source_no, pass, block): every slot of the mixture.
+
+    Joins with it carry a merge hint: Spark would take it for as small as the
+    list of shards it is made from, and broadcast it.
+    """
     total = int(sources.quotas.sum())
     width = max(SHARD_SLOTS, -(-total // MOST_SHARDS))
     shards = -(-total // width)
@@ -189,9 +193,10 @@ def _numbered(sized: DataFrame, sources: Sources) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = dealt.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return placed.join(starts, ["source_no", "bucket"]).select(
+    found = placed.join(starts, ["source_no", "bucket"]).select(
         "doc_id", "source_no", "size", (F.col("start") + F.col("before")).alias("offset")
     )
+    return stored(found, "offsets")
 
 
 def _spans(numbered: DataFrame, block_words: int) -> DataFrame:
@@ -211,8 +216,10 @@ def _spans(numbered: DataFrame, block_words: int) -> DataFrame:
 
 
 def _sized(docs: DataFrame) -> DataFrame:
+    """Sizes of the documents, written down: the texts are read once."""
     words = F.regexp_count(text_of("text"), F.lit(WORD)).cast("long")
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), words.alias("size"))
+    sizes = docs.select("doc_id", F.col("source").cast("string").alias("source"), words.alias("size"))
+    return stored(sizes, "sizes")
 
 
 def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 11) -> DataFrame:
@@ -223,7 +230,8 @@ def mixture(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 11) ->
     sized = _sized(docs)
     sources = _sources(sized, block_words)
     spans = _spans(_numbered(sized, sources), block_words)
-    return _slots(docs.sparkSession, sources, seed).join(spans, ["source_no", "block"])
+    slots = _slots(docs.sparkSession, sources, seed)
+    return slots.join(spans.hint("merge"), ["source_no", "block"])
 
 
 def taken(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 11) -> DataFrame:
@@ -241,7 +249,7 @@ def taken(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 11) -> Da
     uses = _slots(docs.sparkSession, sources, seed).groupBy("source_no", "block").agg(
         F.count(F.lit(1)).alias("uses")
     )
-    held = _spans(numbered, block_words).join(uses, ["source_no", "block"])
+    held = _spans(numbered, block_words).join(uses.hint("merge"), ["source_no", "block"])
     used = held.groupBy("source_no", "offset").agg(
         F.sum((F.col("end") - F.col("start")) * F.col("uses")).alias("used")
     )
@@ -250,7 +258,7 @@ def taken(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 11) -> Da
         "source_no int, source_size long, target double",
     )
     # Documents without words share their offset with the next one, and take nothing.
-    found = numbered.join(used, ["source_no", "offset"], "left").join(F.broadcast(facts), "source_no")
+    found = numbered.join(used.hint("merge"), ["source_no", "offset"], "left").join(F.broadcast(facts), "source_no")
     return found.select(
         "doc_id", "size", "source_size", "target",
         F.when(F.col("size") > 0, F.coalesce("used", F.lit(0))).otherwise(0).cast("long").alias("taken"),
@@ -270,7 +278,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int =
     sources = _sources(sized, block_words)
     spans = _spans(_numbered(sized, sources), block_words)
     slots = _slots(docs.sparkSession, sources, seed).select("source_no", "block", "pass")
-    drawn = spans.join(slots, ["source_no", "block"]).groupBy("doc_id", "source_no", "offset", "pass").agg(
+    drawn = spans.join(slots.hint("merge"), ["source_no", "block"]).groupBy("doc_id", "source_no", "offset", "pass").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans")
     )
     names = docs.sparkSession.createDataFrame(
@@ -282,7 +290,7 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int =
     rows = docs.dropDuplicates(["doc_id", "source"]).select(F.struct(*docs.columns).alias("_row"))
     same = F.col("_row.doc_id").eqNullSafe(F.col("_doc_id"))
     same &= F.col("_row.source").cast("string").eqNullSafe(F.col("_source"))
-    joined = rows.join(drawn, same)
+    joined = rows.join(drawn.hint("merge"), same)
     words = F.regexp_extract_all("_row.text", F.lit(f"({WORD})"))
     chosen = F.transform(F.array(words), lambda all_words: F.array_join(F.flatten(F.transform(
         F.col("_spans"),
