@@ -16,6 +16,7 @@ from learnsilver.llm import (
     line_chunks,
     permutation_index,
     positive_unlabelled,
+    recurrent_extraction,
     sorted_projections,
     string_kernel_toxicity,
 )
@@ -84,6 +85,11 @@ def op10_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return line_chunks.remove_repeated(docs)
 
 
+def op6_recurrent_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages")
+    return recurrent_extraction.extract(pages, recurrent_extraction.fit_on(pages))
+
+
 def op7_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
     rows = read(spark, folder, "embeddings").select("vec_id", "embedding")
     return permutation_index.nearest(rows, F.col("vec_id") % 20 == 0)
@@ -100,6 +106,7 @@ def queries() -> dict[str, Query]:
         op3_string_kernel_toxicity,
         op4_group_prefix_join,
         op5_block_mixture,
+        op6_recurrent_extraction,
         op7_permutation_index,
         op8_sentencepiece,
         op9_positive_unlabelled,
