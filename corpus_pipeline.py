@@ -1,12 +1,77 @@
-"""The training-data pipeline over the documents: each stage reads what its predecessor wrote."""
+"""The training-data pipeline over the documents: each stage reads what its predecessor wrote.
+
+All stages but the last return the columns of the documents. Rows without id
+are documents of their own throughout; other columns are carried along.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from learnsilver.llm import (
+    agenda_pieces,
+    block_mixture,
+    group_prefix_join,
+    line_chunks,
+    positive_unlabelled,
+)
+from learnsilver.llm.queries import model_bytes
 from learnsilver.llm.shared import read, stored
 
-STAGES = []
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Words of a block of the mixture: long enough to leave most documents whole.
+BLOCK_WORDS = 512
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier takes for good."""
+    model = positive_unlabelled.fit_on(docs, read(spark, sf_dir, "labels"))
+    whole = docs.select("text", F.struct(*docs.columns).alias("row"))
+    scored = positive_unlabelled.score(whole, model)
+    return scored.filter(F.col("score") >= positive_unlabelled.LEAST_SCORE).select("row.*")
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the line chunks that an earlier one has.
+
+    A copy of a document loses most of its lines here; it stays, with what is left.
+    """
+    left = line_chunks.remove_repeated(docs)
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.length("text").cast("long"))
+    return left.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id."""
+    found = group_prefix_join.linked(docs.select("doc_id", "text"))
+    lost = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as the mixture of sources has them, once for each pass that drew from them."""
+    return block_mixture.mixed_documents(docs, BLOCK_WORDS)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of every text, and digests of them and of what they decode to."""
+    return agenda_pieces.digests(docs, model_bytes(), with_ids=True)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("mixture", mixture),
+    ("encoding", encoding),
+]
+
+#: Classifier, mixture and encoding have no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -308,30 +308,36 @@ def decode(encoded: DataFrame, model: bytes, id_column: str = "doc_id") -> DataF
     return chosen.mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id_column)
 
 
-def digests(docs: DataFrame, model: bytes, id_column: str = "doc_id", column: str = "text") -> DataFrame:
+def digests(
+    docs: DataFrame, model: bytes, id_column: str = "doc_id", column: str = "text", with_ids: bool = False
+) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): each text encoded, then its ids decoded.
 
-    Both in one pass over the texts, so that the ids need not be moved. Nulls,
-    repeated rows and other columns as for ``encode``.
+    Both in one pass over the texts, so that the ids need not be moved; with
+    the ids as a last column, if asked for. Nulls, repeated rows and other
+    columns as for ``encode``.
     """
+    kind = docs.schema[id_column].dataType.simpleString()
+    schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model)
         for part in _in_parts(batches):
-            counts, codes, texts = [], [], []
+            counts, codes, texts, every = [], [], [], []
             for ids, decimals in encoder.encode(part.column(1).to_pylist()):
                 counts.append(len(ids))
                 codes.append(hashlib.sha256(decimals.encode()).hexdigest())
                 texts.append(hashlib.sha256(encoder.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(counts, pa.int64()), pa.array(codes, pa.string()),
-                 pa.array(texts, pa.string())],
-                ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                if with_ids:
+                    every.append(np.array(ids, np.int32))
+            columns = [
+                part.column(0), pa.array(counts, pa.int64()), pa.array(codes, pa.string()), pa.array(texts, pa.string())
+            ]
+            if with_ids:
+                columns.append(pa.array(every, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    kind = docs.schema[id_column].dataType.simpleString()
     chosen = docs.select(F.col(id_column).alias("id"), text_of(column).alias("text"))
-    found = chosen.mapInArrow(
-        run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    found = chosen.mapInArrow(run, schema + ", ids array<int>" * with_ids)
     return found.withColumnRenamed("id", id_column)
