@@ -62,7 +62,8 @@ def _window(ids: np.ndarray, units: np.ndarray, new: int) -> Iterator[pd.DataFra
 
 PAIRS = "a long, b long"
 #: A found link, or (with ``border``) a row at the end of a sorted part.
-FOUND = f"{PAIRS}, border int, place int, turn int, label long, size int, embedding array<double>"
+FOUND = f"{PAIRS}, border int, place int, turn int, label long, size int"
+SIGNED_ROWS = 1_000  # signed at a time: each makes a row for every pass
 
 
 def _compare_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,18 +120,22 @@ def links(distinct: DataFrame) -> DataFrame:
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for size, some in batch.groupby(batch["embedding"].map(len)):
-                rows = matrix(some["embedding"])
-                for turn in range(PASSES):
-                    yield some.assign(turn=turn, size=size, key=signatures(rows, turn))
-
+            for start in range(0, len(batch), SIGNED_ROWS):
+                part = batch.iloc[start : start + SIGNED_ROWS]
+                for size, some in part.groupby(part["embedding"].map(len)):
+                    rows = matrix(some["embedding"])
+                    for turn in range(PASSES):
+                        yield some.assign(turn=turn, size=size, key=signatures(rows, turn))
+
+    kind = distinct.schema["embedding"].dataType.simpleString()
     signed = distinct.select("id", "label", "embedding").mapInPandas(
-        sign, "id long, label long, embedding array<double>, turn int, size int, key long"
+        sign, f"id long, label long, embedding {kind}, turn int, size int, key long"
     )
     parts = max(1, -(-distinct.count() * PASSES // PART_ROWS))
     order = ["turn", "label", "size", "key", "id"]
     ranged = signed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    found = stored(ranged.mapInPandas(lambda it: _outer(_compare_parts(it)), FOUND), "passes")
+    compared = ranged.mapInPandas(lambda it: _outer(_compare_parts(it)), f"{FOUND}, embedding {kind}")
+    found = stored(compared, "passes")
     over = found.filter("border IS NOT NULL").groupBy("border").applyInPandas(_compare_borders, PAIRS)
     return found.filter("border IS NULL").select("a", "b").union(over)
 
@@ -140,7 +145,7 @@ def _outer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = dict(part.split() for part in FOUND.split(", "))
     numbers = {name: kind.replace("long", "Int64").replace("int", "Int32") for name, kind in columns.items() if kind in ("long", "int")}
     for frame in frames:
-        whole = frame.reindex(columns=list(columns)).astype(numbers)
+        whole = frame.reindex(columns=[*columns, "embedding"]).astype(numbers)
         if "embedding" not in frame:
             whole["embedding"] = None
         yield whole
@@ -157,7 +162,7 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     Other columns are not looked at.
     """
     able = usable_rows(rows.select("vec_id", "label", "embedding")).filter("label IS NOT NULL")
-    able = able.select("vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    able = able.select("vec_id", F.col("label").cast("long").alias("label"), "embedding")
     alike = ["label", "embedding"]
     distinct = stored(
         able.groupBy(*alike).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors"
