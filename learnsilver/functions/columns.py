@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from learnsilver.schemas import Contract
@@ -79,3 +80,18 @@ def utc(df: DataFrame, name: str) -> str:
     if isinstance(dtype, T.TimestampType):
         return _utc_of_instant(f"`{name}`")
     return f"cast(`{name}` as timestamp_ntz)"
+
+
+def with_last_metadata(sessions: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
+    """Numbers per ``session`` (a record of the keys), with the last metadata text of each.
+
+    The last of several texts can only be found by sorting them. Reduced by
+    itself, it leaves the numbers to a hash aggregation, and both are grouped
+    by the same record, so that the join moves nothing again. A record equals
+    another also where both have a NULL.
+    """
+    texts = seen.filter("metadata is not null").groupBy(F.struct(*keys).alias("session")).agg(
+        F.max("metadata").alias("metadata")
+    )
+    numbers = [name for name in sessions.columns if name != "session"]
+    return sessions.join(texts, "session", "left").select("session.*", *numbers, "metadata")

@@ -43,13 +43,12 @@ def changed_since(
     columns: list[str] | None = None,
     overlap: str | None = None,
 ) -> DataFrame:
-    """Rows changed strictly after ``since``.
+    """Rows changed strictly after ``since``, and rows that do not say when they changed.
 
     One cursor column is used; with several, a row counts when any of them is
-    later. A table without any is loaded whole, and so are documents that do
-    not say when they changed and statements that do not say when they were
-    stored. ``overlap`` (an interval, such as ``1 hour``) reads that much
-    again, for late rows; the upsert makes all that harmless.
+    later, or none is set. A table without any is loaded whole. ``overlap`` (an
+    interval, such as ``1 hour``) reads that much again, for late rows; the
+    upsert makes all that harmless.
     """
     if columns is None:
         found = cursor_column(df)
@@ -57,10 +56,9 @@ def changed_since(
     if not columns:
         return df
     bound = F.expr(as_cursor(since) + (f" - interval {overlap}" if overlap else ""))
-    conditions = [F.col(f"`{c}`") > bound for c in columns]
-    if columns in ([CHANGED_AT], ["stored"]):
-        conditions.append(F.col(columns[0]).isNull())
-    return df.filter(reduce(lambda a, b: a | b, conditions))
+    later = reduce(lambda a, b: a | b, [F.col(f"`{c}`") > bound for c in columns])
+    unsaid = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNull() for c in columns])
+    return df.filter(later | unsaid)
 
 
 def cursor_of(df: DataFrame) -> str:
@@ -80,31 +78,37 @@ def cursor_state(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def _hashable(field: T.StructField) -> str:
+    """A column as something to hash: maps as sorted entries, variants as their text."""
+    name = f"`{field.name}`"
+    if isinstance(field.dataType, T.MapType):
+        return f"to_json(array_sort(map_entries({name})))"
+    return f"to_json({name})" if isinstance(field.dataType, T.VariantType) else name
+
+
 def latest_per_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per key: the latest by cursor, ties broken by a hash of the row.
+    """One row per key: the latest by cursor, ties broken by a hash of the whole row.
 
-    Spark keeps one row per key on the map side already (window group limit),
-    so a key with very many versions does not reach one task whole.
+    Rows without a key are no versions of each other: all of them stay. Spark
+    keeps one row per key on the map side already (window group limit), so a
+    key with very many versions does not reach one task whole, nor do the rows
+    without key.
     """
-    hashable = [
-        f"`{f.name}`" for f in df.schema if not isinstance(f.dataType, (T.VariantType, T.MapType))
-    ]
-    order = [F.expr(cursor_of(df)).desc_nulls_last(), F.expr(f"xxhash64({', '.join(hashable)})")]
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    return ranked.filter("_rank = 1").drop("_rank")
+    hashes = ", ".join(map(_hashable, df.schema))
+    order = [F.expr(cursor_of(df)).desc_nulls_last(), F.expr(f"xxhash64({hashes})")]
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    versions = Window.partitionBy(key, "_alone").orderBy(*order)
+    ranked = df.withColumn("_alone", alone).withColumn("_rank", F.row_number().over(versions))
+    return ranked.filter("_rank = 1").drop("_rank", "_alone")
 
 
-def upsert(
-    target: DataFrame, incoming: DataFrame, key: str, broadcast: bool = False
-) -> DataFrame:
+def upsert(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Replace the rows whose key comes in, keep the others, add the new ones.
 
-    ``incoming`` must hold a key once (see ``latest_per_key``). With
-    ``broadcast``, for a batch whose size the caller has checked, the target
-    is scanned without a shuffle; without, Spark decides by its own estimate.
+    ``incoming`` must hold a key once (see ``latest_per_key``). Spark sends its
+    keys to the target's tasks or joins by key, by their size.
     """
-    keys = incoming.select(key)
-    kept = target.join(F.broadcast(keys) if broadcast else keys, key, "left_anti")
+    kept = target.join(incoming.select(key), key, "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 

@@ -1,39 +1,36 @@
-"""Raw tables on shared storage: parquet folders, and a log of what is current.
+"""Raw tables on shared storage: a base in parts, recent loads beside it, and a state.
 
-A load writes its rows to a fresh folder and only then adds a line to the
-table's log that makes the folder current, together with the cursor it
-reached. A load that fails leaves a folder no line names: it is never read.
-The log is plain JSON appended by Spark; a table has one writer at a time.
+A load writes its rows to a fresh folder and only then publishes a state that
+names the folder, together with the cursor it reached. A load that fails
+leaves a folder no state names: it is never read. So a load costs what it
+holds, whatever the size of the table and wherever its keys lie.
 
-A table is split by a partition expression, so that a merge reads and
-rewrites only the parts its rows fall into. The part must hang on the key:
-the day a statement was stored, or a hash of a document id.
+Reading puts the loads over the base: of every key, the rows of its last merge
+count, over the whole table and whatever part they are in. ``compact`` folds
+the loads into the parts of the base they touch; a merge does so by itself
+when there are many. ``vacuum`` deletes folders that no kept state names.
+
+A table has one writer at a time; two would find each other's state.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from learnsilver.operators.incremental import (
-    changed_since,
-    cursor_of,
-    latest_per_key,
-    upsert,
-)
-
-_LOG = (
-    "version bigint, folder string, part string, mode string, cursor string, batch string, "
-    "rows bigint, schema string"
-)
+from learnsilver.operators.incremental import changed_since, cursor_of, latest_per_key
+from learnsilver.operators.states import Folder, States
+
 PART = "_part"
-# Up to this many keys a batch is small enough to be sent to every executor:
-# some tens of megabytes for ids of usual length.
-BROADCAST_KEYS = 500_000
+# Rows without a key stand apart under this column: they cannot be merged.
+ASIDE = "_aside"
+VERSION = "_version"
+# Loads that a merge leaves beside the base before it folds them in.
+MOST_LOADS = 16
 # Partition expression of statements: the day they were stored.
 STORED_DAY = "to_date(stored)"
 
@@ -44,157 +41,145 @@ def hashed_parts(key: str, count: int) -> str:
 
 
 class RawStore:
-    def __init__(self, spark: SparkSession, root: str, parts: dict[str, str] | None = None):
-        """``parts`` gives the partition expression of a table; others are one part."""
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        parts: dict[str, str] | None = None,
+        most_loads: int = MOST_LOADS,
+    ):
+        """``parts`` gives the partition expression of a table's base; others are one part.
+
+        It may change between versions of a row: a row that comes again with
+        another part replaces the old one all the same.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
         self.parts = parts or {}
-        self._logged: set[str] = set()
-        self._ensure_log("_none")  # so that the folder of the logs is there
-
-    # -- the log ---------------------------------------------------------------
+        self.most_loads = most_loads
+        self._states = States(spark, self.root)
+        self._folder = Folder(spark, self.root)
 
-    def _log_path(self, table: str) -> str:
-        return f"{self.root}/_log/table={table}"
-
-    def _add_lines(self, table: str, lines: list[tuple]) -> None:
-        self.spark.createDataFrame(lines, _LOG).coalesce(1).write.mode("append").json(
-            self._log_path(table)
-        )
-
-    def _ensure_log(self, table: str) -> None:
-        if table not in self._logged:
-            self._add_lines(table, [])
-            self._logged.add(table)
-
-    def _lines(self, table: str) -> DataFrame:
-        self._ensure_log(table)
-        return self.spark.read.schema(_LOG).json(self._log_path(table))
-
-    def _status(self, table: str, batch: str | None = None) -> Row:
-        """Version and cursor of the last load, and whether a batch is known."""
-        return self._lines(table).agg(
-            F.coalesce(F.max("version"), F.lit(0)).alias("version"),
-            F.max("cursor").alias("cursor"),
-            F.max_by("schema", "version").alias("schema"),
-            F.coalesce(F.bool_or(F.col("batch") == F.lit(batch)), F.lit(False)).alias("known"),
-        ).first()
-
-    def _current(self, table: str) -> list[Row]:
-        """The log lines that name the table's present folders.
-
-        Per part, those are the last rewrite and the appends after it. Only
-        these lines reach the driver.
-        """
-        lines = self._lines(table)
-        rewrites = (
-            lines.filter("mode = 'merge'").groupBy("part").agg(F.max("version").alias("rewritten"))
-        )
-        current = lines.join(rewrites, "part", "left").filter("version >= coalesce(rewritten, 0)")
-        return current.select("version", "folder", "part", "schema").collect()
+    # -- state -------------------------------------------------------------------
 
     def cursor(self, table: str) -> str | None:
         """The cursor of the last load."""
-        return self._status(table).cursor
+        return self._states.latest(table).get("cursor")
 
     def state(self) -> DataFrame:
-        """One row per table: version and cursor of the last load."""
-        logs = self.spark.read.schema(f"{_LOG}, table string").json(f"{self.root}/_log")
-        return logs.groupBy("table").agg(
-            F.max("version").alias("version"), F.max("cursor").alias("last_cursor")
+        """One row per table: version, cursor of the last load, and rows set aside so far."""
+        rows = []
+        for table in self._states.tables():
+            state = self._states.latest(table)
+            rows.append((table, state["version"], state.get("cursor"), state.get("rows_aside", 0)))
+        return self.spark.createDataFrame(
+            rows, "table string, version bigint, last_cursor string, rows_aside bigint"
         )
 
-    # -- reading ---------------------------------------------------------------
-
-    def read(self, table: str, only: set[str] | None = None) -> DataFrame | None:
-        """The table, or some parts of it; None when nothing is there yet.
-
-        The schema is that of the last load, which has the columns of all
-        loads before it; no file is opened to find it out.
-        """
-        lines = self._current(table)
-        paths = [
-            f"{self.root}/{table}/{line.folder}/{PART}={line.part}"
-            for line in lines
-            if only is None or line.part in only
-        ]
-        if not paths:
-            return None
-        schema = T.StructType.fromJson(json.loads(max(lines, key=lambda l: l.version).schema))
-        return self.spark.read.schema(schema).parquet(*paths)
+    def tables(self) -> list[str]:
+        """The tables that something was loaded into."""
+        return self._states.tables()
 
-    # -- writing ---------------------------------------------------------------
+    # -- reading -----------------------------------------------------------------
 
-    def _write(self, table: str, df: DataFrame, scattered: bool) -> str:
-        """Write rows by part to a fresh folder; its name.
+    def read(self, table: str) -> DataFrame | None:
+        """The table as its loads left it; None when nothing is there yet."""
+        state = self._states.latest(table)
+        return self._rows(table, state) if state["version"] else None
 
-        Rows that are scattered over tasks whatever their part are gathered
-        by part first, else every task would write a file per part. Spark
-        splits a part with very many rows over tasks (rebalance).
-        """
-        folder = f"load-{uuid.uuid4().hex}"
-        part = self.parts.get(table)
-        # Folder names: no value stands as its own part, other signs as underscores.
-        name = f"coalesce(regexp_replace(cast({part} as string), '[^A-Za-z0-9.-]', '_'), 'none')"
-        rows = df.selectExpr("*", f"{name if part else repr('all')} as {PART}")
-        if part and scattered:
-            rows = rows.hint("rebalance", PART)
-        rows.write.partitionBy(PART).parquet(f"{self.root}/{table}/{folder}")
-        return folder
-
-    def _landed(self, table: str, folder: str, like: DataFrame) -> DataFrame:
-        """A written batch read back, so that what follows does not compute it again."""
-        schema = T.StructType([*like.schema, T.StructField(PART, T.StringType())])
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/{folder}")
-
-    def _land(self, table: str, df: DataFrame) -> tuple[str, list[Row]]:
-        """Write a batch; its folder, and per part the row count and latest cursor."""
-        folder = self._write(table, df, scattered=True)
-        parts = (
-            self._landed(table, folder, df)
-            .groupBy(PART)
-            .agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.expr(f"cast(max({cursor_of(df)}) as string)").alias("cursor"),
+    def set_aside(self, table: str) -> DataFrame | None:
+        """The rows that came without a key; None when there are none."""
+        state = self._states.latest(table)
+        if not state.get("aside"):
+            return None
+        paths = [f"{self.root}/{table}/{folder}/{ASIDE}=true" for folder in state["aside"]]
+        return self.spark.read.schema(_schema(state)).parquet(*paths)
+
+    def _rows(self, table: str, state: dict, parts: list[str] | None = None) -> DataFrame:
+        """The current rows; with ``parts``, of these parts of the base, and of all loads."""
+        read = self.spark.read.schema(_schema(state))
+        frames = []
+        base = [
+            f"{self.root}/{table}/{folder}/{PART}={part}"
+            for part, folder in state["base"].items()
+            if parts is None or part in parts
+        ]
+        if base:
+            frames.append(read.parquet(*base).withColumn(VERSION, F.lit(0)))
+        loads = [
+            (load, read.parquet(f"{self.root}/{table}/{load['folder']}/{ASIDE}=false"))
+            for load in state["loads"]
+        ]
+        frames += [rows.withColumn(VERSION, F.lit(load["version"])) for load, rows in loads]
+        if not frames:
+            return self.spark.createDataFrame([], _schema(state))
+        whole = reduce(DataFrame.union, frames)
+        merges = [
+            rows.select(F.col(state["key"]).alias("_key"), F.lit(load["version"]).alias("_merged"))
+            for load, rows in loads
+            if load["mode"] == "merge"
+        ]
+        if merges and len(frames) > 1:
+            # Keys and numbers only: Spark broadcasts them by their measured size, or joins by key.
+            last = reduce(DataFrame.union, merges).groupBy("_key").agg(F.max("_merged").alias("_merged"))
+            whole = whole.join(last, F.col(state["key"]) == F.col("_key"), "left").filter(
+                f"_merged IS NULL OR _merged <= {VERSION}"
             )
-            .collect()
-        )
-        return folder, parts
+        return whole.select(*_schema(state).names)
+
+    # -- writing -----------------------------------------------------------------
+
+    def _fresh(self) -> str:
+        return f"load-{uuid.uuid4().hex}"
+
+    def _land(self, table: str, df: DataFrame, key: str | None) -> tuple[str, int, int, str | None]:
+        """Write a batch; its folder, the rows with and without key, and the latest cursor."""
+        folder = self._fresh()
+        aside = F.col(key).isNull() if key else F.lit(False)
+        path = f"{self.root}/{table}/{folder}"
+        df.withColumn(ASIDE, aside).write.partitionBy(ASIDE).parquet(path)
+        schema = T.StructType([*df.schema, T.StructField(ASIDE, T.BooleanType())])
+        facts = self.spark.read.schema(schema).parquet(path).agg(
+            F.count_if(F.expr(f"NOT {ASIDE}")).alias("rows"),
+            F.count_if(F.expr(ASIDE)).alias("aside"),
+            F.expr(f"cast(max({cursor_of(df)}) as string)").alias("cursor"),
+        ).first()
+        return folder, facts.rows, facts.aside, facts.cursor
 
-    def _commit(
-        self,
-        table: str,
-        folder: str,
-        parts: list[Row],
-        mode: str,
-        status: Row,
-        batch: str | None,
-        schema: T.StructType,
+    def _load(
+        self, table: str, state: dict, df: DataFrame, mode: str, key: str | None, batch: str | None
     ) -> int:
-        """Make a folder current; the number of rows that came in."""
-        if status.schema:
-            known = T.StructType.fromJson(json.loads(status.schema))
-            new = [f for f in schema if f.name not in known.names]
-            schema = T.StructType([*known, *new])
-        cursor = max((c for c in [status.cursor, *[p.cursor for p in parts]] if c), default=None)
-        self._add_lines(
-            table,
-            [
-                (status.version + 1, folder, p[PART], mode, cursor, batch, p.rows, schema.json())
-                for p in parts
-            ],
-        )
-        return sum(p.rows for p in parts)
+        folder, rows, aside, cursor = self._land(table, df, key)
+        if not rows and not aside:
+            return 0
+        known = _schema(state) if state.get("schema") else T.StructType()
+        schema = T.StructType([*known, *[f for f in df.schema if f.name not in known.names]])
+        stream, _, number = (batch or "").rpartition("#")
+        version = state["version"] + 1
+        load = {"folder": folder, "version": version, "mode": mode, "rows": rows}
+        new = {
+            "version": version,
+            "key": key or state.get("key"),
+            "cursor": max((c for c in (state.get("cursor"), cursor) if c), default=None),
+            "schema": schema.jsonValue(),
+            "batches": {**state.get("batches", {}), **({stream: int(number)} if batch else {})},
+            "base": state.get("base", {}),
+            "loads": [*state.get("loads", []), *([load] if rows else [])],
+            "aside": [*state.get("aside", []), *([folder] if aside else [])],
+            "rows_aside": state.get("rows_aside", 0) + aside,
+        }
+        self._states.publish(table, new)
+        return rows
 
     def append(self, table: str, df: DataFrame, batch: str | None = None) -> int:
-        """Add rows as they are; the number of rows. A known batch is not added again."""
-        status = self._status(table, batch)
-        if status.known:
-            return 0
-        folder, parts = self._land(table, df)
-        if not parts:
+        """Add rows as they are; the number of rows. A known batch is not added again.
+
+        ``batch`` is ``<stream>#<number>``; a stream's numbers go up.
+        """
+        state = self._states.latest(table)
+        if _is_known(state, batch):
             return 0
-        return self._commit(table, folder, parts, "append", status, batch, df.schema)
+        return self._load(table, state, df, "append", None, batch)
 
     def merge(
         self,
@@ -210,24 +195,86 @@ class RawStore:
 
         ``since`` overrides the stored cursor; ``changed_only=False`` takes all
         rows, for a source that knows itself what is new. A batch that is
-        known already is not loaded again.
+        known already is not loaded again. Rows without a key are set aside
+        and counted (``set_aside``, ``state``), not loaded.
         """
-        status = self._status(table, batch)
-        if status.known:
+        state = self._states.latest(table)
+        if _is_known(state, batch):
             return 0
         if changed_only:
-            df = changed_since(df, since or status.cursor, overlap=overlap)
-        fresh = latest_per_key(df, key)
-        folder, parts = self._land(table, fresh)
-        if not parts:
-            return 0
-        touched = self.read(table, only={p[PART] for p in parts})
-        if touched is not None:
-            # A small batch leaves the target's rows where they are, by part; a
-            # large one is joined by key, which scatters them.
-            small = sum(p.rows for p in parts) <= BROADCAST_KEYS
-            landed = self._landed(table, folder, fresh).drop(PART)
-            folder = self._write(
-                table, upsert(touched, landed, key, broadcast=small), scattered=not small
+            df = changed_since(df, since or state.get("cursor"), overlap=overlap)
+        rows = self._load(table, state, latest_per_key(df, key), "merge", key, batch)
+        if rows and len(state.get("loads", [])) + 1 >= self.most_loads:
+            self.compact(table)
+        return rows
+
+    def compact(self, table: str) -> None:
+        """Fold the loads into the base: the parts that hold one of their keys, before or now."""
+        state = self._states.latest(table)
+        if not state.get("loads"):
+            return
+        schema = _schema(state)
+        part = self._part_of(table)
+        touched = self._part_names(self._loaded(table, state).selectExpr(f"{part} as {PART}"))
+        if state["base"] and state["key"] and any(load["mode"] == "merge" for load in state["loads"]):
+            keys = self._loaded(table, state).select(state["key"]).distinct()
+            paths = [f"{self.root}/{table}/{f}/{PART}={p}" for p, f in state["base"].items()]
+            base = self.spark.read.schema(schema).parquet(*paths)
+            touched |= self._part_names(
+                base.join(keys, state["key"], "left_semi").selectExpr(f"{part} as {PART}")
             )
-        return self._commit(table, folder, parts, "merge", status, batch, df.schema)
+        folder = self._fresh()
+        rows = self._rows(table, state, sorted(touched)).selectExpr("*", f"{part} as {PART}")
+        if table in self.parts:
+            # Gather by part, else every task writes a file per part; Spark splits a large part.
+            rows = rows.hint("rebalance", PART)
+        rows.write.partitionBy(PART).parquet(f"{self.root}/{table}/{folder}")
+        written = {
+            name.removeprefix(f"{PART}=")
+            for name in self._folder.names(f"{table}/{folder}")
+            if name.startswith(f"{PART}=")
+        }
+        base = {p: f for p, f in state["base"].items() if p not in touched}
+        base |= dict.fromkeys(written, folder)
+        self._states.publish(
+            table, {**state, "version": state["version"] + 1, "base": base, "loads": []}
+        )
+
+    def _loaded(self, table: str, state: dict) -> DataFrame:
+        """All rows of the loads that are not in the base yet."""
+        paths = [f"{self.root}/{table}/{load['folder']}/{ASIDE}=false" for load in state["loads"]]
+        return self.spark.read.schema(_schema(state)).parquet(*paths)
+
+    def _part_of(self, table: str) -> str:
+        """The part of a row, as a folder name: other signs as underscores."""
+        part = self.parts.get(table)
+        if not part:
+            return "'all'"
+        return f"coalesce(regexp_replace(cast({part} as string), '[^A-Za-z0-9.-]', '_'), 'none')"
+
+    def _part_names(self, rows: DataFrame) -> set[str]:
+        """The parts that rows fall into: as many as the partition expression has values."""
+        return {row[PART] for row in rows.select(PART).distinct().collect()}
+
+    def vacuum(self, table: str) -> int:
+        """Delete the folders that no kept state names; how many. For the table's writer alone."""
+        named = set()
+        for state in self._states.kept(table):
+            named |= {*state["base"].values(), *state["aside"]}
+            named |= {load["folder"] for load in state["loads"]}
+        gone = [name for name in self._folder.names(table) if name not in named]
+        for name in gone:
+            self._folder.remove(f"{table}/{name}")
+        return len(gone)
+
+
+def _schema(state: dict) -> T.StructType:
+    """The columns of all loads so far; no file is opened to find them out."""
+    return T.StructType.fromJson(state["schema"])
+
+
+def _is_known(state: dict, batch: str | None) -> bool:
+    if batch is None:
+        return False
+    stream, _, number = batch.rpartition("#")
+    return int(number) <= state.get("batches", {}).get(stream, -1)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from learnsilver.operators.lineage import assert_schema, with_comments
+from learnsilver.operators.states import Folder, States
 from learnsilver.plans import REGISTRY, build_model
 from learnsilver.schemas import MODELS, RAW, SILVER
 from learnsilver.sources.catalog import layer_name
@@ -21,7 +23,9 @@ class Warehouse:
 
     Fourteen models read the staging view. It is written once, as parquet,
     and the models read the columns they need, instead of parsing the
-    statements each. Every table is fully rebuilt.
+    statements each. Every table is fully rebuilt, in a folder of its own that
+    is made current when it is whole: a build that fails changes nothing, and
+    readers of the table before keep their files until ``vacuum``.
     """
 
     def __init__(
@@ -40,10 +44,26 @@ class Warehouse:
         self.run_ts = run_ts
         self.staging_options = staging_options
         self.built: set[str] = set()
+        self._states = States(spark, self.root)
+
+    def _name(self, name: str) -> str:
+        return f"{layer_name(REGISTRY[name].layer, self.prefix)}/{name}"
 
     def path(self, name: str) -> str:
-        layer = layer_name(REGISTRY[name].layer, self.prefix)
-        return f"{self.root}/{layer}/{name}"
+        """The folder of the current build."""
+        state = self._states.latest(self._name(name))
+        if not state["version"]:
+            raise LookupError(f"{name} is not built yet")
+        return f"{self.root}/{self._name(name)}/{state['folder']}"
+
+    def vacuum(self, name: str) -> int:
+        """Delete the builds that are long replaced; how many."""
+        kept = {state["folder"] for state in self._states.kept(self._name(name))}
+        folder = Folder(self.spark, f"{self.root}/{self._name(name)}")
+        gone = [build for build in folder.names() if build not in kept]
+        for build in gone:
+            folder.remove(build)
+        return len(gone)
 
     def table(self, name: str) -> DataFrame:
         """A built model, or a raw table; a raw table not loaded yet is empty."""
@@ -66,7 +86,10 @@ class Warehouse:
         """Write a model anew. Staging must be there where the model reads it."""
         df = self.plan(name)
         assert_schema(df, MODELS[name])
-        with_comments(df, MODELS[name]).write.mode("overwrite").parquet(self.path(name))
+        folder = f"build-{uuid.uuid4().hex}"
+        with_comments(df, MODELS[name]).write.parquet(f"{self.root}/{self._name(name)}/{folder}")
+        version = self._states.latest(self._name(name))["version"] + 1
+        self._states.publish(self._name(name), {"version": version, "folder": folder})
         self.built.add(name)
 
     def build_all(self, names: Iterable[str] = tuple(SILVER)) -> None:

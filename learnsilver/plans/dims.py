@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learnsilver.functions.columns import conform, joined_key, utc
+from learnsilver.functions.columns import conform, joined_key, utc, with_last_metadata
 from learnsilver.functions.jsonx import explode_records, json_text
 from learnsilver.functions.timeids import date_id, time_of_day_id
 from learnsilver.plans.registry import model
@@ -328,18 +328,14 @@ def dim_standard(rules: DataFrame) -> DataFrame:
 def dim_session(events: DataFrame) -> DataFrame:
     """One row per session and the setting it was seen in."""
     keys = ["sessionId", "userId", "schoolId", "courseId", "sectionId", "platformId"]
-    sessions = (
-        events.filter("sessionId is not null")
-        .groupBy(*keys)
-        .agg(
-            F.min("event_timestamp").alias("first"),
-            F.max("event_timestamp").alias("last"),
-            F.sum("durationSeconds").alias("seconds"),
-            F.max("metadata").alias("metadata"),
-        )
+    seen = events.filter("sessionId is not null")
+    sessions = seen.groupBy(F.struct(*keys).alias("session")).agg(
+        F.min("event_timestamp").alias("first"),
+        F.max("event_timestamp").alias("last"),
+        F.sum("durationSeconds").alias("seconds"),
     )
     return conform(
-        sessions,
+        with_last_metadata(sessions, seen, keys),
         SILVER["dim_session"],
         session_id="sessionId",
         source_system="'xapi'",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learnsilver.functions.columns import conform, joined_key, utc, utc_from_text
+from learnsilver.functions.columns import conform, joined_key, utc, utc_from_text, with_last_metadata
 from learnsilver.functions.jsonx import explode_records, json_text
 from learnsilver.functions.timeids import date_id, micros_text, time_of_day_id
 from learnsilver.plans.registry import model
@@ -176,28 +176,23 @@ def fact_session_summary(events: DataFrame) -> DataFrame:
     second step counts contents without a distinct, each event is read once,
     and a session with very many events is spread over its contents.
     """
-    session = ["sessionId", "userId", "schoolId", "courseId", "sectionId"]
-    per_content = (
-        events.filter("sessionId is not null")
-        .groupBy(*session, "contentId")
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.sum("durationSeconds").alias("seconds"),
-            F.expr("coalesce(max(isCorrect), false)").alias("mastered"),
-            F.count("aiToolId").alias("ai_events"),
-            F.max("metadata").alias("metadata"),
-        )
+    keys = ["sessionId", "userId", "schoolId", "courseId", "sectionId"]
+    seen = events.filter("sessionId is not null")
+    per_content = seen.groupBy(F.struct(*keys).alias("session"), "contentId").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum("durationSeconds").alias("seconds"),
+        F.expr("coalesce(max(isCorrect), false)").alias("mastered"),
+        F.count("aiToolId").alias("ai_events"),
     )
-    sessions = per_content.groupBy(*session).agg(
+    sessions = per_content.groupBy("session").agg(
         F.sum("events").alias("events"),
         F.sum("seconds").alias("seconds"),
         F.count("contentId").alias("contents"),
         F.expr("count_if(mastered and contentId is not null)").alias("mastered"),
         F.sum("ai_events").alias("ai_events"),
-        F.max("metadata").alias("metadata"),
     )
     return conform(
-        sessions,
+        with_last_metadata(sessions, seen, keys),
         SILVER["fact_session_summary"],
         session_summary_id="sessionId",
         learner_id="userId",

@@ -4,31 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnsilver.operators import incremental, quality
-from learnsilver.operators.rawstore import RawStore, hashed_parts
+from learnsilver.operators.rawstore import STORED_DAY, RawStore, hashed_parts
 from learnsilver.operators.report import load_report
+from learnsilver.operators.states import Folder
 from learnsilver.operators.warehouse import Warehouse
 from learnsilver.plans import REGISTRY, build_model
 from learnsilver.plans.staging import staging_rejects
 from learnsilver.schemas import MODELS, RAW, SILVER, STAGING
-from learnsilver.session import scratch_path, tune
-from learnsilver.sources.documents import default_tables, parse_documents, valid_documents
+from learnsilver.session import scratch_path, tuned
+from learnsilver.sources.documents import (
+    default_tables,
+    parse_documents,
+    rejected_documents,
+    valid_documents,
+)
 from learnsilver.sources.fixtures import (
     EXTENSION_PREFIX,
     EXTRA_EXTENSIONS,
     raw_reader,
     table_reader,
 )
-from learnsilver.sources.statements import flatten_pages
+from learnsilver.sources.statements import flatten_pages, rejected_pages
 from learnsilver.streaming.loader import landed_stream, merge_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_TS = "timestamp_ntz'2024-02-01 00:00:00'"
 STAGING_OPTIONS = {"extension_map": EXTRA_EXTENSIONS, "extension_prefix": EXTENSION_PREFIX}
+# Models that are typed and empty by nature read no table, and are no queries.
 TYPED_EMPTY = ("dim_device", "ref_signal_type", "fact_learning_signal", "fact_variant_exposure")
 _QUERIES: dict[str, Query] = {}
 
@@ -38,22 +46,27 @@ def _query(build: Query) -> Query:
     return build
 
 
-_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple, Warehouse] = {}
+_BUILDING = Lock()
 
 
 def warehouse(spark: SparkSession, folder: str, models: Iterable[str]) -> Warehouse:
     """The tables of a data folder, in the shared folder; builds the models not yet built.
 
-    One per application and data folder, so that the staging table that most
-    event models read is written once and not parsed anew by each of them.
+    One per application and state of the data folder (times and sizes of its
+    files), so that the staging table that most event models read is written
+    once and not parsed anew by each of them, and anew when a file changes.
     """
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse(
-            spark, scratch_path(spark, "warehouse"), raw_reader(spark, folder),
-            run_ts=RUN_TS, **STAGING_OPTIONS,
-        )
-    _WAREHOUSES[key].build_missing(models)
+    data = Folder(spark, folder)
+    files = tuple((name, data.stamp(name)) for name in data.names() if name.endswith(".parquet"))
+    key = (spark.sparkContext.applicationId, folder, files)
+    with _BUILDING:
+        if key not in _WAREHOUSES:
+            _WAREHOUSES[key] = Warehouse(
+                spark, scratch_path(spark, "warehouse"), raw_reader(spark, folder),
+                run_ts=RUN_TS, **STAGING_OPTIONS,
+            )
+        _WAREHOUSES[key].build_missing(models)
     return _WAREHOUSES[key]
 
 
@@ -64,8 +77,6 @@ def _model(name: str) -> Query:
         raw = raw_reader(spark, folder)
         if name in STAGING:
             return build_model(name, raw, **STAGING_OPTIONS)
-        if name in TYPED_EMPTY:  # nothing is read, so nothing needs to be written
-            return build_model(name, lambda n: build_model(n, raw, **STAGING_OPTIONS))
         staged = [i for i in REGISTRY[name].inputs if i in STAGING]
         read = warehouse(spark, folder, staged).table if staged else raw
         return build_model(name, read, run_ts=RUN_TS)
@@ -97,8 +108,7 @@ def silver_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@_query
-def ingest_page_flatten(spark: SparkSession, folder: str) -> DataFrame:
+def _pages(spark: SparkSession, folder: str) -> DataFrame:
     """Every event gives a page of none to three statements, in one of the two shapes."""
     statement = (
         "named_struct('id', cast(event_id * 4 + n as string), 'timestamp', "
@@ -107,7 +117,7 @@ def ingest_page_flatten(spark: SparkSession, folder: str) -> DataFrame:
         "'actor', named_struct('account', named_struct('name', cast(user_id as string))), "
         "'verb', named_struct('id', 'http://verbs.example/' || event_type))"
     )
-    pages = (
+    return (
         table_reader(spark, folder)("events")
         .selectExpr(
             "event_id",
@@ -115,11 +125,17 @@ def ingest_page_flatten(spark: SparkSession, folder: str) -> DataFrame:
             "as statements",
         )
         .selectExpr(
+            "event_id",
             "if(event_id % 2 = 0, to_json(named_struct('statements', statements, 'more', '')), "
             "to_json(statements)) as value"
         )
     )
-    return flatten_pages(pages).select("id", "timestamp", "stored", "actor", "verb")
+
+
+@_query
+def ingest_page_flatten(spark: SparkSession, folder: str) -> DataFrame:
+    statements = flatten_pages(_pages(spark, folder))
+    return statements.select("id", "timestamp", "stored", "actor", "verb")
 
 
 def _exported_users(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,12 +155,99 @@ def _exported_users(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _exported_in_all_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """Times as text for some documents and counted for others, and a wrapped number."""
+    users = _exported_users(spark, folder)
+    day = "regexp_extract(value, '\"created_on\":.\"\\\\$date\":\"([^\"]*)Z', 1)"
+    counted = (
+        f"timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01', cast({day} as timestamp_ntz))"
+    )
+    return users.selectExpr(
+        "if(value like '%0\"},\"role\"%', "
+        f"regexp_replace(value, '\"created_on\":.\"\\\\$date\":\"[^\"]*\"', "
+        f"concat('\"created_on\":{{ \"\\\\$date\" : {{\"\\\\$numberLong\": \"', {counted}, '\"}}')), value) as value"
+    ).selectExpr("replace(value, '\"last_name\"', '\"grade\":{\"$numberInt\":\"7\"},\"last_name\"') as value")
+
+
 @_query
 def ingest_document_normalise(spark: SparkSession, folder: str) -> DataFrame:
-    users = parse_documents(_exported_users(spark, folder), RAW["lms_users"])
-    return users.select("_id", "role", "last_name", "school", "created_on", "modified_on")
+    users = parse_documents(_exported_in_all_forms(spark, folder), RAW["lms_users"])
+    return users.select("_id", "role", "last_name", "school", "grade", "created_on", "modified_on")
+
+
+def _counts(**rows: DataFrame) -> DataFrame:
+    """One row per table: its name here, and how many rows it has."""
+    return reduce(
+        DataFrame.unionByName,
+        [df.agg(F.lit(what).alias("what"), F.count(F.lit(1)).alias("rows")) for what, df in rows.items()],
+    )
+
+
+@_query
+def ingest_document_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Some documents are cut off, and some have a word for a time."""
+    spoilt = _exported_users(spark, folder).selectExpr(
+        "case when value like '%7\"},\"role\"%' then left(value, length(value) - 3) "
+        "when value like '%5\"},\"role\"%' then replace(value, '\"created_on\":{\"$date\":\"', "
+        "'\"created_on\":{\"$date\":\"about ') else value end as value"
+    )
+    parsed = parse_documents(spoilt, RAW["lms_users"])
+    rejects = rejected_documents(parsed)
+    return _counts(
+        given=spoilt,
+        loaded=valid_documents(parsed),
+        unreadable=rejects.filter("field is null"),
+        created_on=rejects.filter("field = 'created_on'"),
+    )
+
+
+@_query
+def ingest_page_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Some pages are cut off."""
+    pages = _pages(spark, folder).selectExpr(
+        "if(event_id % 9 = 0, left(value, length(value) - 1), value) as value"
+    )
+    return _counts(given=pages, rejected=rejected_pages(pages), statements=flatten_pages(pages))
 
 
+@_query
+def ingest_cursor_null(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that do not say when they changed come with every load."""
+    users = _users(spark, folder).withColumn(
+        "modified_on", F.expr("if(c_custkey % 4 = 0, null, modified_on)")
+    )
+    return incremental.changed_since(users.drop("c_custkey"), "2023-06-01T00:00:00Z")
+
+
+@_query
+def ingest_merge_resent(spark: SparkSession, folder: str) -> DataFrame:
+    """Statements come again, stored on a later day: another part of the table, the same row."""
+    store = RawStore(spark, scratch_path(spark, "raw"), parts={"lrs_statements": STORED_DAY})
+    first = raw_reader(spark, folder)("lrs_statements").select("id", "timestamp", "stored")
+    again = first.filter("cast(id as long) % 3 = 0").withColumn(
+        "stored", F.expr("stored + make_dt_interval(9)")
+    )
+    store.merge("lrs_statements", first, "id")
+    store.compact("lrs_statements")
+    store.merge("lrs_statements", again, "id", changed_only=False)
+    return store.read("lrs_statements")
+
+
+@_query
+def ingest_merge_no_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows without key are neither versions of each other nor lost."""
+    store = RawStore(spark, scratch_path(spark, "raw"))
+    users = _users(spark, folder).withColumn("_id", F.expr("if(c_custkey % 5 = 0, null, _id)"))
+    for _ in range(2):
+        store.merge("lms_users", users, "_id", changed_only=False)
+    return _counts(loaded=store.read("lms_users"), aside=store.set_aside("lms_users"))
+
+
+@_query
+def stg_lrs_events_any_host(spark: SparkSession, folder: str) -> DataFrame:
+    """Staging without a prefix: extension keys of whatever host."""
+    return build_model("stg_lrs_events", raw_reader(spark, folder), extension_map=EXTRA_EXTENSIONS)
+
 @_query
 def ingest_cursor_filter(spark: SparkSession, folder: str) -> DataFrame:
     enrollments = raw_reader(spark, folder)("lms_enrollments")
@@ -169,7 +272,7 @@ def ingest_cursor_state(spark: SparkSession, folder: str) -> DataFrame:
         DataFrame.unionByName,
         [
             incremental.cursor_state(read(table), table)
-            for table in ("lms_enrollments", "lms_lessons", "lrs_statements")
+            for table in ("lms_enrollments", "lms_blocks", "lms_lessons", "lrs_statements")
         ],
     )
 
@@ -250,9 +353,9 @@ def ingest_append(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def ingest_load_report(spark: SparkSession, folder: str) -> DataFrame:
     """All raw tables but one, against all that are expected."""
+    read = raw_reader(spark, folder)
     expected = [*default_tables(), "lrs_statements"]
-    present = [table for table in expected if table != "lms_surveys"]
-    return load_report(raw_reader(spark, folder), present, expected)
+    return load_report(spark, lambda table: None if table == "lms_surveys" else read(table), expected)
 
 
 def _check(check: Callable[..., DataFrame]) -> Query:
@@ -261,8 +364,8 @@ def _check(check: Callable[..., DataFrame]) -> Query:
 
 def _tuned(query: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        tune(spark)
-        return query(spark, folder)
+        with tuned(spark):
+            return query(spark, folder)
 
     return run
 
@@ -277,9 +380,10 @@ def queries() -> dict[str, Query]:
         "dq_required": quality.required_columns,
         "dq_accepted_values": quality.accepted_values,
         "dq_referential": quality.referential,
+        "dq_failing_rows": quality.failing_values,
     }
     found = {
-        **{name: _model(name) for name in REGISTRY},
+        **{name: _model(name) for name in REGISTRY if name not in TYPED_EMPTY},
         **named,
         **{name: _check(check) for name, check in checks.items()},
     }

@@ -45,10 +45,24 @@ class Contract:
 
 # The collections loaded by default, under their source spelling.
 DEFAULT_COLLECTIONS = (
-    "users schools courses modules lessons pages blocks exercises submissions "
-    "enrollments projects project-enrollments surveys survey-enrollments "
-    "survey-submissions assessment-profiles rules"
-).split()
+    "users",
+    "schools",
+    "courses",
+    "modules",
+    "lessons",
+    "pages",
+    "blocks",
+    "exercises",
+    "submissions",
+    "enrollments",
+    "projects",
+    "project-enrollments",
+    "surveys",
+    "survey-enrollments",
+    "survey-submissions",
+    "assessment-profiles",
+    "rules",
+)
 
 STATEMENTS_TABLE = "lrs_statements"
 STATEMENTS_ALIAS = "xapi_statements"
@@ -622,31 +636,30 @@ ACCEPTED_VALUES = {("dim_person", "person_type"): ("LEARNER", "TEACHER", "STAFF"
 # A column of this name refers to the key of the table, wherever it stands,
 # except in the table whose own key it is.
 _REFERENCE_BY_COLUMN = {
-    "dim_organization": "organization_id owner_organization_id home_organization_id "
-    "parent_organization_id",
-    "dim_person": "person_id learner_id teacher_id impersonated_person_id",
-    "dim_academic_term": "term_id",
-    "dim_course": "course_id",
-    "dim_section": "section_id",
-    "dim_platform": "platform_id",
-    "dim_lti_tool": "lti_tool_id",
-    "dim_ai_tool": "ai_tool_id",
-    "dim_device": "device_id",
-    "dim_content": "content_id",
-    "dim_assessment": "assessment_id",
-    "dim_assessment_item": "item_id",
-    "dim_skill": "skill_id parent_skill_id",
-    "dim_standard": "standard_id parent_standard_id",
-    "dim_session": "session_id",
-    "dim_date": "date_id",
-    "dim_time_of_day": "time_of_day_id",
-    "ref_event_type": "event_type_key",
-    "ref_verb": "verb_id",
-    "ref_object_type": "object_type_key target_type_key generated_type_key",
-    "ref_signal_type": "signal_type_key",
-    "ref_membership_role": "role_key",
-    "bridge_section_membership": "membership_id",
-    "fact_assessment_attempt": "assessment_attempt_id",
+    "dim_organization": ("organization_id", "owner_organization_id", "home_organization_id", "parent_organization_id",),
+    "dim_person": ("person_id", "learner_id", "teacher_id", "impersonated_person_id",),
+    "dim_academic_term": ("term_id",),
+    "dim_course": ("course_id",),
+    "dim_section": ("section_id",),
+    "dim_platform": ("platform_id",),
+    "dim_lti_tool": ("lti_tool_id",),
+    "dim_ai_tool": ("ai_tool_id",),
+    "dim_device": ("device_id",),
+    "dim_content": ("content_id",),
+    "dim_assessment": ("assessment_id",),
+    "dim_assessment_item": ("item_id",),
+    "dim_skill": ("skill_id", "parent_skill_id",),
+    "dim_standard": ("standard_id", "parent_standard_id",),
+    "dim_session": ("session_id",),
+    "dim_date": ("date_id",),
+    "dim_time_of_day": ("time_of_day_id",),
+    "ref_event_type": ("event_type_key",),
+    "ref_verb": ("verb_id",),
+    "ref_object_type": ("object_type_key", "target_type_key", "generated_type_key",),
+    "ref_signal_type": ("signal_type_key",),
+    "ref_membership_role": ("role_key",),
+    "bridge_section_membership": ("membership_id",),
+    "fact_assessment_attempt": ("assessment_attempt_id",),
 }
 # The target model declares no role reference on course membership.
 _NO_REFERENCE = {("bridge_course_membership", "role_key")}
@@ -657,7 +670,7 @@ def references() -> list[tuple[str, str, str, str]]:
     parents = {
         column: parent
         for parent, columns in _REFERENCE_BY_COLUMN.items()
-        for column in columns.split()
+        for column in columns
     }
     return [
         (child, column, parents[column], SILVER[parents[column]].key)

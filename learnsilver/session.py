@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,10 +25,6 @@ SESSION_CONF = {
     **TUNING,
 }
 
-# Folders of this machine, for local sessions that name no shared folder.
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def local_session(cpus: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A local session for tests and the bench; on a cluster the caller brings its own."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("learnsilver")
@@ -44,28 +41,32 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return spark
 
 
-def tune(spark: SparkSession) -> None:
-    """Settings the wide tables profit from, on a session of the caller's."""
+@contextmanager
+def tuned(spark: SparkSession) -> Iterator[None]:
+    """Settings the wide tables profit from, on a session of the caller's, for a while."""
+    before = {key: spark.conf.get(key, None) for key in TUNING}
     for key, value in TUNING.items():
         spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
+    """The folder for scratch tables, which every executor can reach.
 
-    Only a local-mode session may fall back to a folder of this machine: on a
-    cluster such a folder would not be shared, and work in it would not
-    survive the loss of an executor.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, it
+    is a folder of Spark's warehouse, which executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="learnsilver-")
-    return _LOCAL_FOLDERS[application]
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

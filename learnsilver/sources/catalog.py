@@ -12,10 +12,8 @@ Read = Callable[[str], DataFrame]
 
 
 def layer_name(layer: str, prefix: str = "") -> str:
-    """Schema name of a layer; a prefix is set off by an underscore."""
-    if prefix and not prefix.endswith("_"):
-        prefix += "_"
-    return prefix + layer
+    """Schema name of a layer, after the prefix and one underscore where there is a prefix."""
+    return "_".join(part for part in (prefix.removesuffix("_"), layer) if part)
 
 
 def with_alias(read: Read) -> Read:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learnsilver.functions.columns import utc_from_text
+from learnsilver.functions.columns import cast_text, utc_from_text
 from learnsilver.functions.jsonx import quoted
 from learnsilver.operators.incremental import CHANGE_FIELDS, CHANGED_AT
 from learnsilver.schemas import DEFAULT_COLLECTIONS, RAW, Contract
 
 CORRUPT = "_corrupt_record"
 DOCUMENT = "_document"
+REJECTED = "_rejected"
 
 
 def table_of(collection: str) -> str:
@@ -25,25 +26,58 @@ def default_tables() -> list[str]:
 
 
 def normalise(json: str) -> str:
-    """Exported ids ``{"$oid":".."}`` and times ``{"$date":".."}`` as plain text, at any depth."""
+    """Extended JSON as plain JSON, at any depth: ids, times and numbers lose their wrapping.
+
+    Times become ISO text, also those counted in milliseconds.
+    """
+    counted = r'\{\s*"\$date"\s*:\s*\{\s*"\$numberLong"\s*:\s*"(-?\d{1,15})"\s*\}\s*\}'
+    tight = f"regexp_replace({json}, {quoted(counted)}, {quoted(_counted_time('$1', chr(92)))})"
+    moment = (
+        "replace(cast(timestampadd(MILLISECOND, cast(ms as bigint), "
+        "timestamp_ntz'1970-01-01 00:00:00') as string), ' ', 'T')"
+    )
+    told = (
+        f"aggregate(array_distinct(regexp_extract_all({json}, {quoted(counted)}, 1)), {tight}, "
+        f"(text, ms) -> replace(text, {quoted(_counted_time('@', ''))[:-1].replace('@', chr(39) + ' || ms || ' + chr(39))}', "
+        f"'\"' || {moment} || 'Z\"'))"
+    )
     wrapped = r'\{\s*"\$(?:oid|date)"\s*:\s*("[^"]*")\s*\}'
-    return f"regexp_replace({json}, {quoted(wrapped)}, '$1')"
+    number = r'\{\s*"\$number(?:Int|Long|Double|Decimal)"\s*:\s*"(-?\d[^"]*)"\s*\}'
+    plain = f"regexp_replace({told}, {quoted(wrapped)}, '$1')"
+    return f"regexp_replace({plain}, {quoted(number)}, '$1')"
+
+
+def _counted_time(milliseconds: str, escape: str) -> str:
+    """The one spelling in which times counted in milliseconds are looked for."""
+    return f'{{"{escape}$date":{{"{escape}$numberLong":"{milliseconds}"}}}}'
+
+
+def _typed(text: str, dtype: str) -> str:
+    """The text of a field as its type; NULL where it does not fit."""
+    if dtype == "string":
+        return text
+    if dtype == "timestamp_ntz":
+        return utc_from_text(text)
+    if dtype == "int":
+        number = f"try_cast({text} as double)"
+        return f"if({number} = floor({number}), try_cast({number} as int), null)"
+    if dtype.startswith("array"):
+        return f"from_json({text}, '{dtype}')"
+    return cast_text(text, dtype, strict=False)
 
 
 def parse_documents(documents: DataFrame, contract: Contract, column: str = "value") -> DataFrame:
     """Document text to the contract's columns; one parse, no Python.
 
-    Nested values of text columns stay as JSON text. Times are read as text
-    and shifted to UTC. Besides, a row holds the whole document as text, so
-    that no field is lost; the time of its last change under whatever name the
-    document has it; and the text itself where it is no JSON.
+    Fields are read one by one: a value that does not fit its type is NULL, and
+    the field's name stands in ``_rejected``. Nested values of text columns
+    stay as JSON text. Times are shifted to UTC. Besides, a row holds the whole
+    document as text, so that no field is lost; the time of its last change
+    under whatever name the document has it; and the text itself where it is no
+    JSON.
     """
-    stamps = [name for name, dtype in contract.columns if dtype == "timestamp_ntz"]
-    times = dict.fromkeys([*stamps, *CHANGE_FIELDS])
-    others = {name: dtype for name, dtype in contract.columns if name not in times}
-    ddl = ",".join(
-        f"`{name}` {dtype}" for name, dtype in {**others, **dict.fromkeys(times, "string")}.items()
-    )
+    names = dict.fromkeys([*contract.names, *CHANGE_FIELDS])
+    ddl = ",".join(f"`{name}` string" for name in names)
     parsed = documents.select(F.expr(normalise(f"`{column}`")).alias(DOCUMENT)).select(
         DOCUMENT,
         F.from_json(
@@ -51,13 +85,17 @@ def parse_documents(documents: DataFrame, contract: Contract, column: str = "val
         ).alias("doc"),
     )
     changes = ", ".join(utc_from_text(f"doc.`{name}`") for name in CHANGE_FIELDS)
+    typed = {name: _typed(f"doc.`{name}`", dtype) for name, dtype in contract.columns}
+    bad = [
+        f"if(doc.`{name}` is not null and {typed[name]} is null, '{name}', null)"
+        for name, dtype in contract.columns
+        if dtype != "string"
+    ]
     return parsed.selectExpr(
-        *[
-            f"{utc_from_text(f'doc.`{name}`')} as `{name}`" if name in times else f"doc.`{name}`"
-            for name in contract.names
-        ],
+        *[f"{value} as `{name}`" for name, value in typed.items()],
         f"coalesce({changes}) as {CHANGED_AT}",
         DOCUMENT,
+        f"array_compact(cast(array({', '.join(bad)}) as array<string>)) as {REJECTED}",
         f"doc.`{CORRUPT}`",
     )
 
@@ -67,6 +105,17 @@ def valid_documents(parsed: DataFrame) -> DataFrame:
     return parsed.filter(f"{CORRUPT} is null").drop(CORRUPT)
 
 
+def rejected_documents(parsed: DataFrame) -> DataFrame:
+    """(field, document): a row for each value that did not fit, and for each unreadable document.
+
+    An unreadable document has no field.
+    """
+    return parsed.selectExpr(
+        f"explode(if({CORRUPT} is null, {REJECTED}, array(cast(null as string)))) as field",
+        f"coalesce({CORRUPT}, {DOCUMENT}) as document",
+    )
+
+
 def read_collection(
     spark: SparkSession, path: str, table: str, fmt: str = "text", **options: str
 ) -> DataFrame:

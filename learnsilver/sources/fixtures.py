@@ -465,9 +465,8 @@ def lms_survey_enrollments(read: Read) -> DataFrame:
 
 @_fixture
 def lms_survey_submissions(read: Read) -> DataFrame:
-    return _support_table(
-        read("conversations").filter(F.col("turn") == 0), "su", "conv_id", F.col("text")
-    )
+    turns = read("conversations").withColumn("key", F.col("conv_id") * 1000 + F.col("turn"))
+    return _support_table(turns, "su", "key", F.col("text"))
 
 
 def table_reader(spark: SparkSession, folder: str) -> Read:

@@ -10,19 +10,24 @@ from learnsilver.schemas import RAW, STATEMENTS_TABLE
 _RECORD = ",".join(f"`{name}`:string" for name in RAW[STATEMENTS_TABLE].names)
 
 
+def _statements(column: str) -> str:
+    """The statements of a page as an array; NULL where there are none or they cannot be read."""
+    page = f"`{column}`"
+    records = f"array<struct<{_RECORD}>>"
+    return (
+        f"if(startswith(ltrim({page}), '['), from_json({page}, '{records}'), "
+        f"from_json({page}, 'struct<statements:{records}>').statements)"
+    )
+
+
 def flatten_pages(pages: DataFrame, column: str = "value") -> DataFrame:
     """One row per statement of a page.
 
     A page is an object with a ``statements`` array, or the bare array. The
-    statements' JSON parts stay as text.
+    statements' JSON parts stay as text. Pages that cannot be read give no row
+    here; they are what ``rejected_pages`` returns.
     """
-    page = f"`{column}`"
-    records = f"array<struct<{_RECORD}>>"
-    statements = pages.selectExpr(
-        f"explode(if(startswith(ltrim({page}), '['), from_json({page}, '{records}'), "
-        f"from_json({page}, 'struct<statements:{records}>').statements)) as s"
-    )
-    return statements.selectExpr(
+    return pages.selectExpr(f"explode({_statements(column)}) as s").selectExpr(
         *[
             f"{utc_from_text(f's.`{name}`')} as `{name}`"
             if dtype == "timestamp_ntz"
@@ -32,8 +37,15 @@ def flatten_pages(pages: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def stored_since(statements: DataFrame, since: str | None) -> DataFrame:
-    """Statements received after a time; all of them when there is none."""
-    if since is None:
-        return statements
-    return statements.filter(f"stored > timestamp_ntz'{since}'")
+def rejected_pages(pages: DataFrame, column: str = "value") -> DataFrame:
+    """The pages whose statements cannot be read, as they came.
+
+    An object without ``statements`` is a page without statements, and no
+    reject.
+    """
+    page = f"`{column}`"
+    empty = (
+        f"schema_of_variant(try_parse_json({page})) like 'OBJECT%' "
+        f"and get_json_object({page}, '$.statements') is null"
+    )
+    return pages.filter(f"{_statements(column)} is null and not coalesce({empty}, false)")

@@ -480,7 +480,7 @@ def _ingest() -> dict[str, str]:
         "lms_exercises": "part", "lms_exercise_submissions": "orders",
         "lms_enrollments": "orders", "lms_projects": "supplier",
         "lms_project_enrollments": "customer", "lms_survey_enrollments": "labels",
-        "lms_survey_submissions": "conversations WHERE turn = 0",
+        "lms_survey_submissions": "conversations",
         "lms_assessment_profiles": "supplier", "lms_rules": "part", "lrs_statements": "events",
     }
     report = " UNION ALL ".join(
@@ -516,7 +516,7 @@ def _ingest() -> dict[str, str]:
             FROM events, (VALUES (1), (2), (3)) AS numbers(n) WHERE n <= event_id % 4""",
         "ingest_document_normalise": f"""
             SELECT {text('c_custkey')} AS _id, '["student"]' AS role, c_name AS last_name,
-              'n' || c_nationkey AS school, {exported} FROM customer""",
+              'n' || c_nationkey AS school, '7' AS grade, {exported} FROM customer""",
         "ingest_cursor_filter": f"""
             SELECT id AS _id, student, modified AS modified_on FROM {_ENROLLMENTS}
             WHERE modified > TIMESTAMP '1998-01-01'""",
@@ -528,11 +528,31 @@ def _ingest() -> dict[str, str]:
               OR {_EARLIER['created_at']} > DATE '2022-08-01'""",
         "ingest_cursor_state": f"""
             SELECT 'lms_enrollments' AS "table", max(modified) AS last_cursor FROM {_ENROLLMENTS}
-            UNION ALL SELECT 'lms_lessons',
+            UNION ALL SELECT if(doc_id % 2 = 1, 'lms_lessons', 'lms_blocks'),
               max(CAST({_day('2023-06-01', 'doc_id % 300')} AS TIMESTAMP))
-              FROM documents WHERE doc_id % 2 = 1
+              FROM documents GROUP BY 1
             UNION ALL SELECT 'lrs_statements',
               max(ts + to_minutes(CAST(event_id % 7 AS INTEGER))) FROM events""",
+        "ingest_document_rejects": """
+            SELECT 'given' AS what, count(*) AS rows FROM customer
+            UNION ALL SELECT 'loaded', count(*) FROM customer WHERE c_custkey % 10 <> 7
+            UNION ALL SELECT 'unreadable', count(*) FROM customer WHERE c_custkey % 10 = 7
+            UNION ALL SELECT 'created_on', count(*) FROM customer WHERE c_custkey % 10 = 5""",
+        "ingest_page_rejects": """
+            SELECT 'given' AS what, count(*) AS rows FROM events
+            UNION ALL SELECT 'rejected', count(*) FROM events WHERE event_id % 9 = 0
+            UNION ALL SELECT 'statements', CAST(sum(event_id % 4) AS BIGINT) FROM events
+              WHERE event_id % 9 <> 0""",
+        "ingest_cursor_null": f"""
+            SELECT _id, last_name, if(CAST(_id AS BIGINT) % 4 = 0, NULL, modified_on) AS modified_on
+            FROM ({users}) WHERE CAST(_id AS BIGINT) % 4 = 0 OR modified_on > TIMESTAMP '2023-06-01'""",
+        "ingest_merge_resent": f"""
+            SELECT {text('event_id')} AS id, ts AS timestamp,
+              ts + to_minutes(CAST(event_id % 7 AS INTEGER))
+                + to_days(if(event_id % 3 = 0, 9, 0)) AS stored FROM events""",
+        "ingest_merge_no_key": """
+            SELECT 'loaded' AS what, count(*) AS rows FROM customer WHERE c_custkey % 5 <> 0
+            UNION ALL SELECT 'aside', 2 * count(*) FROM customer WHERE c_custkey % 5 = 0""",
         "ingest_upsert": merged,
         "ingest_incremental_load": merged,
         "ingest_stream_upsert": f"SELECT {text('c_custkey')} AS _id, c_name AS last_name, "
@@ -589,7 +609,45 @@ def _checks(models: dict[str, str]) -> dict[str, str]:
     def union(parts) -> str:
         return f"{tables} " + " UNION ALL ".join(parts)
 
+    def failing(model: str, column: str, check: str, condition: str, having: str = "TRUE") -> str:
+        return (
+            f"SELECT '{model}' AS model, '{check}' AS \"check\", '{column}' AS \"column\", "
+            f"CAST(\"{column}\" AS VARCHAR) AS value, count(*) AS rows FROM m_{model} "
+            f"WHERE {condition} GROUP BY ALL HAVING {having}"
+        )
+
+    def repeated_lists(model: str, columns: tuple[str, ...]) -> str:
+        if len(columns) == 1:
+            return failing(
+                model, columns[0], "composite_unique", f'"{columns[0]}" IS NOT NULL', "count(*) > 1"
+            )
+        record = ", ".join(f"'{c}': \"{c}\"" for c in columns)
+        filled = " AND ".join(f'"{c}" IS NOT NULL' for c in columns)
+        return (
+            f"SELECT '{model}', 'composite_unique', '{', '.join(columns)}', "
+            f"CAST(to_json({{{record}}}) AS VARCHAR), count(*) FROM m_{model} WHERE {filled} "
+            f"GROUP BY ALL HAVING count(*) > 1"
+        )
+
+    def orphan(child: str, column: str, parent: str, key: str) -> str:
+        return failing(
+            child, column, f"references {parent}",
+            f'"{column}" IS NOT NULL AND NOT EXISTS (SELECT 1 FROM m_{parent} AS p '
+            f'WHERE CAST(p."{key}" AS VARCHAR) = CAST(m_{child}."{column}" AS VARCHAR))',
+        )
+
+    failing_rows = [
+        *[failing(m, c.key, "unique", f'"{c.key}" IS NOT NULL', "count(*) > 1") for m, c in SILVER.items()],
+        *[repeated_lists(m, columns) for m, c in SILVER.items() for columns in c.unique],
+        *[failing(m, c.key, "not_null", f'"{c.key}" IS NULL') for m, c in SILVER.items()],
+        *[failing(m, column, "required", f'"{column}" IS NULL') for m, c in SILVER.items() for column in c.required],
+        *[failing(m, column, "accepted_values", f'"{column}" NOT IN {values}')
+          for (m, column), values in ACCEPTED_VALUES.items()],
+        *[orphan(*rule) for rule in references()],
+    ]
+
     return {
+        "dq_failing_rows": union(failing_rows),
         "dq_unique": union(repeated(m, (c.key,), "unique") for m, c in SILVER.items()),
         "dq_not_null": union(
             counted(m, c.key, "not_null", f'"{c.key}" IS NULL') for m, c in SILVER.items()
@@ -619,6 +677,12 @@ def _checks(models: dict[str, str]) -> dict[str, str]:
     }
 
 
+#: Models that are empty by nature; they read no table and are no queries.
+EMPTY = ("dim_device", "ref_signal_type", "fact_learning_signal", "fact_variant_exposure")
+
+
 def oracle_sql() -> dict[str, str]:
     models = _models()
-    return {**models, **_ingest(), **_checks(models)}
+    shown = {name: sql for name, sql in models.items() if name not in EMPTY}
+    any_host = {"stg_lrs_events_any_host": models["stg_lrs_events"]}
+    return {**shown, **any_host, **_ingest(), **_checks(models)}

@@ -12,7 +12,7 @@ IRI = "https://host.example/xapi/extensions/"
 CHANGED = {"$date": "2024-01-01T00:00:00Z"}
 DOCUMENTS = {
     "users": [
-        {"_id": {"$oid": "u1"}, "first_name": "Ada", "last_name": "Lovelace", "role": ["student"],
+        {"_id": {"$oid": "u1"}, "first_name": "Mira", "last_name": "Brandt", "role": ["student"],
          "school": {"$oid": "o1"}, "modified_on": CHANGED},
         {"_id": {"$oid": "u2"}, "role": "teacher", "school": {"$oid": "o9"}, "modified_on": CHANGED},
     ],
@@ -68,7 +68,7 @@ def test_from_exports_to_checked_tables(spark, tmp_path):
     (summary,) = silver.table("fact_session_summary").collect()
     assert (summary.total_events, summary.active_seconds, summary.items_mastered) == (2, 3, 1)
     people = {r.person_id: r for r in silver.table("dim_person").collect()}
-    assert (people["u1"].full_name, people["u1"].person_type) == ("Ada Lovelace", "LEARNER")
+    assert (people["u1"].full_name, people["u1"].person_type) == ("Mira Brandt", "LEARNER")
     assert people["u2"].person_type == "TEACHER"
     (answer,) = silver.table("fact_item_response").collect()
     assert (answer.item_response_id, answer.date_id, answer.is_correct) == ("s1_x1_0", 19723, True)

@@ -14,10 +14,11 @@ from learnsilver.sources.documents import (
     default_tables,
     parse_documents,
     read_collection,
+    rejected_documents,
     table_of,
     valid_documents,
 )
-from learnsilver.sources.statements import flatten_pages, stored_since
+from learnsilver.sources.statements import flatten_pages, rejected_pages
 from learnsilver.streaming.loader import landed_stream, merge_stream
 
 
@@ -42,7 +43,7 @@ def test_documents_are_normalised_at_any_depth(frame):
     )
     row = parse_documents(frame([(document,)], "value string"), RAW["lms_exercises"]).first()
     assert row["_id"] == "65a"
-    assert json.loads(row["items"]) == [{"ref": "65b", "n": {"$numberLong": "5"}}]
+    assert json.loads(row["items"]) == [{"ref": "65b", "n": 5}]
     assert row["title"] == 'a {"$oid":"x"} b'
     assert str(row["createdAt"]) == "2024-01-02 03:04:05.500000"
     assert (row["maxScore"], row["metadata"], row["updatedAt"]) == (3.0, '{"a":[1]}', None)
@@ -81,11 +82,49 @@ def test_both_page_shapes_give_the_same_rows(frame):
     assert {r.verb for r in rows} == {'{"id":"v"}'}
 
 
-def test_stored_since_is_strict(frame):
-    page = json.dumps([statement("a"), statement("b", "2024-01-02T00:00:00Z")])
-    rows = flatten_pages(frame([(page,)], "value string"))
-    assert [r.id for r in stored_since(rows, "2024-01-01 00:00:00").collect()] == ["b"]
-    assert stored_since(rows, None).count() == 2
+def test_unreadable_pages_are_set_aside(frame):
+    good = json.dumps([statement("a")])
+    rows = [good, '{"more":""}', "[]", '{"statements":[]}', '[{"id":"a"},', "words", "5", None, '{"statements":3}']
+    pages = frame([(row,) for row in rows], "value string")
+    assert [r.id for r in flatten_pages(pages).collect()] == ["a"]
+    rejected = sorted((r.value for r in rejected_pages(pages).collect()), key=str)
+    assert rejected == sorted(['[{"id":"a"},', "words", "5", None, '{"statements":3}'], key=str)
+
+
+def test_a_bad_value_costs_the_value_alone(frame):
+    documents = [
+        {"_id": "1", "maxScore": "many", "createdAt": "2024-01-02T03:04:05Z", "title": "kept"},
+        {"_id": "2", "maxScore": {"$numberInt": "7"}, "createdAt": {"$date": "soon"}},
+        {"_id": "3", "maxScore": [1], "title": {"a": 1}},
+        {"_id": {"$oid": "4"}, "maxScore": 2.5},
+    ]
+    parsed = parse_documents(
+        frame([(json.dumps(d),) for d in documents] + [("{no",)], "value string"), RAW["lms_exercises"]
+    )
+    rows = {r["_id"]: r for r in valid_documents(parsed).collect()}
+    assert {k: (r.maxScore, r.title, r._rejected) for k, r in rows.items()} == {
+        "1": (None, "kept", ["maxScore"]), "2": (7.0, None, ["createdAt"]),
+        "3": (None, '{"a":1}', ["maxScore"]), "4": (2.5, None, []),
+    }
+    rejects = sorted((r.field or "", r.document) for r in rejected_documents(parsed).collect())
+    assert [field for field, _ in rejects] == ["", "createdAt", "maxScore", "maxScore"]
+    assert rejects[0][1] == "{no"
+
+
+@pytest.mark.parametrize(
+    "moment", ['{"$date":"2024-01-02T03:04:05.500Z"}', '{"$date":{"$numberLong":"1704164645500"}}',
+               '{ "$date" : { "$numberLong" : "1704164645500" } }', '"2024-01-02T04:04:05.5+01:00"']
+)
+def test_canonical_extended_json(frame, moment):
+    text = (
+        '{"_id":{"$oid":"1"},"maxScore":{"$numberDouble":"2.5"},"updatedAt":' + moment
+        + ',"items":[{"at":' + moment + ',"n":{ "$numberLong" : "-5" },"d":{"$numberDecimal":"1.50"}}]}'
+    )
+    row = valid_documents(parse_documents(frame([(text,)], "value string"), RAW["lms_exercises"])).first()
+    assert (row["_id"], row.maxScore, str(row.updatedAt)) == ("1", 2.5, "2024-01-02 03:04:05.500000")
+    assert str(row._changed_at) == "2024-01-02 03:04:05.500000"
+    (item,) = json.loads(row["items"])
+    assert (item["n"], item["d"]) == (-5, 1.5) and item["at"].startswith("2024-01-02T0")
 
 
 DAYS = "_id string, modified_on timestamp_ntz"
@@ -106,10 +145,10 @@ def test_cursor_fields_in_order_of_preference(spark):
 
 def test_cursor_is_strict_and_first_run_takes_all(spark):
     df = users(spark, ("a", 1, ""), ("b", 2, ""), ("c", None, ""))
-    assert [r._id for r in inc.changed_since(df, "2024-01-02T00:00:00Z").collect()] == ["b"]
-    assert inc.changed_since(df, None).count() == 2
-    assert inc.changed_since(df, "nonsense").count() == 2
-    assert inc.changed_since(df, "2024-01-02T00:00:00Z", overlap="1 hour").count() == 2
+    assert [r._id for r in inc.changed_since(df, "2024-01-02T00:00:00Z").collect()] == ["b", "c"]
+    assert inc.changed_since(df, None).count() == 3
+    assert inc.changed_since(df, "nonsense").count() == 3
+    assert inc.changed_since(df, "2024-01-02T00:00:00Z", overlap="1 hour").count() == 3
     assert inc.changed_since(df.drop("modified_on"), "2024-01-02").count() == 3
 
 
@@ -123,11 +162,11 @@ def test_cursor_filter_reaches_the_scan(spark, tmp_path):
 def test_any_of_several_cursors(spark):
     df = spark.sql(
         "select * from values (1, timestamp_ntz'2024-01-01', timestamp_ntz'2024-02-01'), "
-        "(2, timestamp_ntz'2024-02-01', null), (3, timestamp_ntz'2024-01-01', null) "
+        "(2, timestamp_ntz'2024-02-01', null), (3, timestamp_ntz'2024-01-01', null), (4, null, null) "
         "as t(id, updatedAt, modifiedAt)"
     )
     found = inc.changed_since(df, "2024-01-15", ["updatedAt", "modifiedAt"])
-    assert sorted(r.id for r in found.collect()) == [1, 2]
+    assert sorted(r.id for r in found.collect()) == [1, 2, 4]
 
 
 def test_cursor_state_falls_back_to_creation(spark):
@@ -146,12 +185,19 @@ def test_latest_per_key_limits_on_the_map_side(spark, tmp_path):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_large_batch_is_merged_by_a_shuffled_join(spark, store, monkeypatch):
-    monkeypatch.setattr("learnsilver.operators.rawstore.BROADCAST_KEYS", 3)
-    store.merge("users", users(spark, *[(str(n), 1, "x") for n in range(50)]), "_id")
-    store.merge("users", users(spark, *[(str(n), 2, "y") for n in range(20)]), "_id")
-    names = [r.name for r in store.read("users").collect()]
-    assert (names.count("x"), names.count("y")) == (30, 20)
+def test_rows_without_key_are_no_versions_of_each_other(spark):
+    rows = users(spark, ("a", 1, "x"), ("a", 2, "y"), (None, 1, "x"), (None, 1, "x"), (None, 2, "z"))
+    found = sorted(((r._id, r.name) for r in inc.latest_per_key(rows, "_id").collect()), key=str)
+    assert found == [("a", "y"), (None, "x"), (None, "x"), (None, "z")]
+
+
+def test_ties_are_broken_by_maps_too(spark):
+    rows = spark.sql(
+        "select 'a' as _id, timestamp_ntz'2024-01-01' as modified_on, map('k', v) as m "
+        "from explode(sequence(1, 9)) as t(v)"
+    )
+    kept = {inc.latest_per_key(rows.repartition(n), "_id").first().m["k"] for n in (1, 2, 5)}
+    assert len(kept) == 1
 
 
 def test_raw_load_of_all_collections(spark, tmp_path):
@@ -251,14 +297,98 @@ def test_rewritten_cursor_never_goes_back(spark, store):
     assert store.cursor("users") == "2024-01-10 00:00:00"
 
 
-def test_merge_rewrites_only_the_parts_it_touches(spark, store):
+def folders(frame):
+    return {path.rsplit("/", 1)[0] for path in frame.inputFiles()}
+
+
+def test_a_batch_writes_what_it_holds(spark, store):
+    store.merge("users", users(spark, *[(str(n), 1, "x") for n in range(200)]), "_id")
+    store.compact("users")
+    before = folders(store.read("users"))
+    store.merge("users", users(spark, *[(str(n), 2, "y") for n in range(100)]), "_id")
+    after = folders(store.read("users"))
+    assert len(before) == 4 and before < after and len(after) == 5
+    names = [r.name for r in store.read("users").collect()]
+    assert (names.count("x"), names.count("y")) == (100, 100)
+
+
+def test_compaction_rewrites_the_parts_that_hold_a_key(spark, store):
     store.merge("users", users(spark, *[(str(n), 1, "x") for n in range(50)]), "_id")
-    before = set(store.read("users").inputFiles())
+    store.compact("users")
+    before = folders(store.read("users"))
     store.merge("users", users(spark, ("7", 2, "y")), "_id")
-    folders = {path.rsplit("/", 1)[0] for path in before}
-    after = {path.rsplit("/", 1)[0] for path in store.read("users").inputFiles()}
-    assert len(folders) == len(after) == 4 and len(folders & after) == 3
-    assert store.read("users").count() == 50
+    rows = sorted(map(tuple, store.read("users").collect()))
+    store.compact("users")
+    after = folders(store.read("users"))
+    assert len(before) == len(after) == 4 and len(before & after) == 3
+    assert sorted(map(tuple, store.read("users").collect())) == rows and len(rows) == 50
+    store.compact("users")
+    assert folders(store.read("users")) == after
+
+
+def test_a_row_that_changes_its_part_replaces_the_old_one(spark, tmp_path):
+    store = RawStore(spark, f"{tmp_path}/raw", parts={"lrs_statements": STORED_DAY})
+
+    def load(*statements):
+        pages = spark.createDataFrame([(json.dumps(list(statements)),)], "value string")
+        load_statements(store, pages, since="1970-01-01")
+        return sorted((r.id, str(r.stored)[:10]) for r in store.read("lrs_statements").collect())
+
+    no_time = {"id": "b", "timestamp": "2024-01-01T00:00:00Z"}
+    assert load(statement("a"), no_time) == [("a", "2024-01-01"), ("b", "None")]
+    store.compact("lrs_statements")
+    expected = [("a", "2024-01-05"), ("b", "2024-01-02")]
+    assert load(statement("a", "2024-01-05T00:00:00Z"), statement("b", "2024-01-02T00:00:00Z")) == expected
+    store.compact("lrs_statements")
+    assert load() == expected
+    assert store.vacuum("lrs_statements") == 1  # of the empty load; kept states name the others
+
+
+def test_rows_without_key_are_set_aside_and_counted(spark, store):
+    rows = users(spark, ("a", 1, "x"), (None, 1, "y"), (None, 1, "y"))
+    assert store.merge("users", rows, "_id") == 1
+    assert store.merge("users", rows, "_id", since="1970-01-01") == 1
+    assert [r._id for r in store.read("users").collect()] == ["a"]
+    assert store.set_aside("users").count() == 4
+    assert store.state().first().rows_aside == 4
+    assert store.merge("users", users(spark, (None, 9, "z")), "_id") == 0
+    assert store.set_aside("users").count() == 5
+
+
+def test_many_loads_stay_bounded(spark, tmp_path):
+    store = RawStore(spark, f"{tmp_path}/raw", most_loads=5)
+    for n in range(50):
+        store.merge("users", users(spark, ("a", n, f"v{n}"), (str(n), n, "x")), "_id")
+    assert store.read("users").count() == 51
+    assert [r.name for r in store.read("users").filter("_id = 'a'").collect()] == ["v49"]
+    assert len(folders(store.read("users"))) <= 5
+    states = store._states.folder.names("users")
+    assert len([name for name in states if name.endswith(".json")]) <= 5
+    assert store.vacuum("users") > 30
+    assert len(store._folder.names("users")) <= 10
+    assert store.read("users").count() == 51
+
+
+def test_two_writers_find_each_other(spark, store):
+    store.merge("users", users(spark, ("a", 1, "x")), "_id")
+    state = store._states.latest("users")
+    with pytest.raises(RuntimeError, match="another writer"):
+        store._states.publish("users", state)
+    assert store.read("users").count() == 1
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(loads=st.lists(ROWS, min_size=1, max_size=4), compact=st.sets(st.integers(0, 3)))
+def test_reading_over_loads_is_the_same_as_one_dictionary(spark, tmp_path_factory, loads, compact):
+    store = RawStore(spark, str(tmp_path_factory.mktemp("raw")), parts={"users": "name"})
+    wanted = {}
+    for k, rows in enumerate(loads):
+        store.merge("users", users(spark, *rows), "_id", changed_only=False)
+        for r in inc.latest_per_key(users(spark, *rows), "_id").collect():
+            wanted[r._id] = tuple(r)
+        if k in compact:
+            store.compact("users")
+    assert sorted(map(tuple, store.read("users").collect())) == sorted(wanted.values())
 
 
 def test_append_keeps_all_rows(spark, store):
@@ -271,7 +401,7 @@ def test_append_keeps_all_rows(spark, store):
 
 def test_folders_the_log_does_not_name_are_never_read(spark, store):
     store.merge("users", users(spark, ("a", 1, "x")), "_id")
-    store._write("users", users(spark, ("left", 1, "over")), scattered=True)
+    store._land("users", users(spark, ("left", 1, "over")), "_id")
     assert [r._id for r in store.read("users").collect()] == ["a"]
 
 
@@ -332,10 +462,16 @@ def test_stream_of_pages_by_stored_day(spark, tmp_path):
 
 
 def test_load_report_names_missing_tables(spark):
-    report = load_report(lambda t: spark.range(3), ["x"], ["x", "y"])
+    report = load_report(spark, lambda t: spark.range(3) if t == "x" else None, ["x", "y"])
     assert sorted(map(tuple, report.collect())) == [("x", 3, True), ("y", None, False)]
 
 
+def test_load_report_looks_at_the_store(spark, store):
+    store.merge("users", users(spark, ("a", 1, "x"), ("b", 1, "x")), "_id")
+    report = load_report(spark, store.read, ["users", "courses"])
+    assert sorted(map(tuple, report.collect())) == [("courses", None, False), ("users", 2, True)]
+
+
 def test_views_and_alias(spark):
     read = with_alias(lambda t: spark.createDataFrame([(t,)], "name string"))
     register_views(read, ["lrs_statements"])

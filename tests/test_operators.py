@@ -188,3 +188,47 @@ def test_session_summary_spreads_a_hot_session(spark):
     assert "Expand" not in text
     row = plan.first()
     assert (row.items_attempted, row.items_mastered, row.ai_interactions) == (10, 10, 10)
+
+
+def test_failing_values_and_the_mode_that_fails(spark):
+    read = reader(
+        spark, dim_person=people(spark, ("1", "LEARNER"), ("1", "CAT"), ("1", "CAT"), (None, "LEARNER"))
+    )
+    found = {tuple(r) for r in quality.failing_values(read, ["dim_person"]).collect()}
+    assert {
+        ("dim_person", "unique", "person_id", "1", 3),
+        ("dim_person", "not_null", "person_id", None, 1),
+        ("dim_person", "accepted_values", "person_type", "CAT", 2),
+        ("dim_person", "references dim_organization", "home_organization_id", "o1", 4),
+    } <= found
+    with pytest.raises(quality.ChecksFailed, match="person_type accepted_values: 2"):
+        quality.assert_checks(read, ["dim_person"])
+    quality.assert_checks(reader(spark), ["dim_person"])
+
+
+def test_a_failed_build_leaves_the_table_as_it_was(spark, tmp_path):
+    users = spark.createDataFrame([("1",), ("2",)], "_id string")
+    tables = {"lms_users": users}
+    built = Warehouse(spark, str(tmp_path), lambda name: tables.get(name))
+    built.build("dim_person")
+    before = built.path("dim_person")
+    assert built.table("dim_person").count() == 2
+    tables["lms_users"] = users.selectExpr("raise_error('broken') as _id")
+    with pytest.raises(Exception, match="broken"):
+        built.build("dim_person")
+    assert built.path("dim_person") == before and built.table("dim_person").count() == 2
+    tables["lms_users"] = users.limit(1)
+    built.build("dim_person")
+    assert built.path("dim_person") != before and built.table("dim_person").count() == 1
+    assert built.vacuum("dim_person") == 1  # what the failed build left
+
+
+@pytest.mark.parametrize("name", ["dim_session", "fact_session_summary"])
+def test_numbers_of_sessions_are_not_sorted(spark, name):
+    from learnsilver.plans import REGISTRY  # noqa: F401
+
+    events = spark.createDataFrame([], CONTRACTS["stg_lrs_events"].ddl)
+    plan = build_model(name, lambda _: events)._jdf.queryExecution().sparkPlan().toString()
+    lines = [line for line in plan.splitlines() if "SortAggregate" in line]
+    assert lines and all("max(metadata" in line and "event_timestamp" not in line for line in lines)
+    assert any("HashAggregate" in line and "durationSeconds" in line for line in plan.splitlines())

@@ -1,38 +1,41 @@
-import pytest
-
 from learnsilver import session
 
 
 class FakeConf:
-    def __init__(self, folder):
-        self.folder = folder
+    def __init__(self, **settings):
+        self.settings = settings
 
-    def get(self, key, default):
-        assert key == "spark.checkpoint.dir"
-        return self.folder or default
+    def get(self, key, default=None):
+        return self.settings.get(key.replace(".", "_"), default)
 
 
-class FakeSpark:
-    def __init__(self, master, folder=None):
-        self.conf = FakeConf(folder)
-        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+def fake(**settings):
+    return type("Session", (), {"conf": FakeConf(**settings)})
 
 
-def test_the_named_folder_is_used():
-    assert session.shared_folder(FakeSpark("spark://host", "s3a://lake/tmp/")) == "s3a://lake/tmp"
+WAREHOUSE = {"spark_sql_warehouse_dir": "s3a://lake/warehouse/"}
 
 
-def test_a_cluster_must_name_a_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(FakeSpark("spark://host"))
+def test_the_named_folder_is_used():
+    spark = fake(spark_checkpoint_dir="s3a://lake/tmp/", **WAREHOUSE)
+    assert session.shared_folder(spark) == "s3a://lake/tmp"
 
 
-def test_a_local_session_has_one_folder_of_its_own():
-    first = session.shared_folder(FakeSpark("local[2]"))
-    assert first == session.shared_folder(FakeSpark("local[2]"))
+def test_without_one_it_is_in_the_warehouse():
+    assert session.shared_folder(fake(**WAREHOUSE)) == "s3a://lake/warehouse/_scratch"
 
 
 def test_scratch_paths_are_never_shared():
-    spark = FakeSpark("local[2]", "/shared")
+    spark = fake(spark_checkpoint_dir="/shared")
     one, two = session.scratch_path(spark, "raw"), session.scratch_path(spark, "raw")
     assert one != two and one.startswith("/shared/raw-")
+
+
+def test_settings_are_set_back(spark):
+    key = next(iter(session.TUNING))
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1234")
+    with session.tuned(spark):
+        assert spark.conf.get(key) == session.TUNING[key]
+    assert spark.conf.get(key) == "1234"
+    spark.conf.set(key, before)
