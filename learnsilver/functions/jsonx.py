@@ -53,20 +53,15 @@ def struct_ddl(fields: Iterable[str]) -> str:
     return "struct<" + ",".join(f"`{field}`:string" for field in fields) + ">"
 
 
-def explode_records(
+def _record_texts(
     df: DataFrame,
     column: str,
-    fields: Mapping[str, str],
+    fields: Iterable[str],
     keep: Iterable[str],
     position: str | None = None,
 ) -> DataFrame:
-    """One row per record of an array column: the kept expressions, then the record's fields.
-
-    The array is native (of records, VARIANT or JSON text) or JSON text as a
-    whole. A field is cast to its type; one that is absent or does not fit is
-    NULL. Rows whose array is empty or NULL give no row. ``position`` names a
-    column for the place in the array, from 0.
-    """
+    """One row per record of an array column: the kept expressions, then the fields as text."""
+    fields = list(fields)
     dtype = df.schema[column].dataType
     ddl = struct_ddl(fields)
     native = isinstance(dtype, T.ArrayType)
@@ -87,13 +82,46 @@ def explode_records(
         if isinstance(element, T.VariantType):
             return f"try_variant_get(_item, {quoted(key_path(name))}, 'string')"
         if name not in element.names:
-            return "null"
+            return "cast(null as string)"
         nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
         return f"to_json(_item.`{name}`)" if isinstance(element[name].dataType, nested) else (
-            f"_item.`{name}`"
+            f"cast(_item.`{name}` as string)"
         )
 
+    return rows.selectExpr("* except (_item)", *[f"{field(name)} as `{name}`" for name in fields])
+
+
+def explode_records(
+    df: DataFrame,
+    column: str,
+    fields: Mapping[str, str],
+    keep: Iterable[str],
+    position: str | None = None,
+) -> DataFrame:
+    """One row per record of an array column: the kept expressions, then the record's fields.
+
+    The array is native (of records, VARIANT or JSON text) or JSON text as a
+    whole. A field is cast to its type; one that is absent or does not fit is
+    NULL (``rejected_fields`` returns those that do not fit). Rows whose array
+    is empty or NULL give no row. ``position`` names a column for the place in
+    the array, from 0.
+    """
+    rows = _record_texts(df, column, fields, keep, position)
+    kept = [f"`{name}`" for name in rows.columns if name not in fields]
     return rows.selectExpr(
-        "* except (_item)",
-        *[f"try_cast({field(name)} as {dtype}) as `{name}`" for name, dtype in fields.items()],
+        *kept, *[f"try_cast(`{name}` as {dtype}) as `{name}`" for name, dtype in fields.items()]
+    )
+
+
+def rejected_fields(
+    df: DataFrame, column: str, fields: Mapping[str, str], keep: Iterable[str]
+) -> DataFrame:
+    """The kept expressions, field and value of fields of an array's records that do not fit their type."""
+    rows = _record_texts(df, column, fields, keep)
+    kept = [f"`{name}`" for name in rows.columns if name not in fields]
+    bad = ", ".join(
+        f"if(`{name}` is not null and try_cast(`{name}` as {dtype}) is null, "
+        f"named_struct('field', '{name}', 'value', `{name}`), null)"
+        for name, dtype in fields.items()
     )
+    return rows.selectExpr(*kept, f"inline(array_compact(array({bad})))")

@@ -101,6 +101,7 @@ def _skill_fields(df: DataFrame) -> DataFrame:
         "* except (entry, record)",
         "if(startswith(entry, '{'), record.skillId, entry) as skill_id",
         "try_cast(record.skillWeight as double) as weight",
+        "record.skillWeight as weight_text",
     )
 
 
@@ -113,6 +114,14 @@ def _content_skills(df: DataFrame) -> DataFrame:
     return _skill_fields(entries).filter("skill_id is not null")
 
 
+def rejected_skill_weights(*tables: DataFrame) -> DataFrame:
+    """(content_id, skill_id, weight) of weights that are no numbers; they count as 1."""
+    skills = reduce(DataFrame.unionByName, map(_content_skills, tables))
+    return skills.filter("weight is null and weight_text is not null").selectExpr(
+        "content_id", "skill_id", "weight_text as weight"
+    )
+
+
 @model("lms_pages", "lms_blocks", "lms_lessons", stamped=True)
 def bridge_content_skill_map(
     pages: DataFrame, blocks: DataFrame, lessons: DataFrame, run_ts: str

@@ -87,17 +87,17 @@ def person_type(role: str) -> str:
     """LEARNER, TEACHER or STAFF by precedence, else UNKNOWN.
 
     The role is a JSON list, of which any entry counts, or a plain word. A
-    plain word is no JSON and so never matches as a list.
+    plain word is no JSON and so never matches as a list. The list is parsed
+    once, whatever number of words it is compared with.
     """
-    listed = f"to_json(try_parse_json({role}))"
     as_list = " ".join(
-        f"when contains({listed}, '\"{word}\"') then '{kind}'"
-        for word, kind in PERSON_TYPES.items()
+        f"when contains(listed, '\"{word}\"') then '{kind}'" for word, kind in PERSON_TYPES.items()
     )
     as_word = " ".join(
         f"when {role} = '{word}' then '{kind}'" for word, kind in PERSON_TYPES.items()
     )
-    return f"case {as_list} {as_word} else 'UNKNOWN' end"
+    cases = f"case {as_list} {as_word} else 'UNKNOWN' end"
+    return f"transform(array(to_json(try_parse_json({role}))), listed -> {cases})[0]"
 
 
 @model("lms_users")

@@ -15,6 +15,7 @@ from learnsilver.operators.report import load_report
 from learnsilver.operators.states import Folder
 from learnsilver.operators.warehouse import Warehouse
 from learnsilver.plans import REGISTRY, build_model
+from learnsilver.plans.bridges import rejected_skill_weights
 from learnsilver.plans.staging import staging_rejects
 from learnsilver.schemas import MODELS, RAW, SILVER, STAGING
 from learnsilver.session import scratch_path, tuned
@@ -95,6 +96,16 @@ def staging_rejects_query(spark: SparkSession, folder: str) -> DataFrame:
     return staging_rejects(spoilt, extension_prefix=EXTENSION_PREFIX)
 
 
+@_query
+def skill_weight_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Blocks give some weights as words."""
+    read = raw_reader(spark, folder)
+    spoilt = read("lms_blocks").withColumn(
+        "metadata", F.expr("replace(metadata, '\"skillWeight\":0.5', '\"skillWeight\":\"heavy\"')")
+    )
+    return rejected_skill_weights(read("lms_pages"), spoilt, read("lms_lessons"))
+
+
 @_query
 def silver_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per written table, after a full build."""

@@ -550,6 +550,10 @@ def _ingest() -> dict[str, str]:
             SELECT {text('event_id')} AS id, ts AS timestamp,
               ts + to_minutes(CAST(event_id % 7 AS INTEGER))
                 + to_days(if(event_id % 3 = 0, 9, 0)) AS stored FROM events""",
+        "skill_weight_rejects": """
+            SELECT 'bl-' || doc_id AS content_id, 's' || ((doc_id + 1) % 25 * 3) AS skill_id,
+              'heavy' AS weight FROM documents
+            WHERE doc_id % 2 = 0 AND doc_id % 11 <> 0 AND doc_id % 4 <> 0""",
         "ingest_merge_no_key": """
             SELECT 'loaded' AS what, count(*) AS rows FROM customer WHERE c_custkey % 5 <> 0
             UNION ALL SELECT 'aside', 2 * count(*) FROM customer WHERE c_custkey % 5 = 0""",

@@ -19,7 +19,7 @@ from learnsilver.sources.documents import (
     valid_documents,
 )
 from learnsilver.sources.statements import flatten_pages, rejected_pages
-from learnsilver.streaming.loader import landed_stream, merge_stream
+from learnsilver.streaming.loader import landed_stream, load_landed, merge_stream
 
 
 def test_table_names():
@@ -461,6 +461,31 @@ def test_stream_of_pages_by_stored_day(spark, tmp_path):
     assert run() == [*expected, ("d", "2024-01-03")]
 
 
+def test_landed_files_are_read_once_and_rejects_kept(spark, tmp_path):
+    store = RawStore(spark, f"{tmp_path}/raw")
+
+    def land(collection, *lines):
+        rows = spark.createDataFrame([(line,) for line in lines], "v string").coalesce(1)
+        rows.write.mode("append").text(f"{tmp_path}/landing/{collection}")
+
+    def run():
+        load_landed(spark, store, f"{tmp_path}/landing", f"{tmp_path}/seen", ["users", "schools", "rules"])
+        return store.cursor("lms_users"), store._states.latest("lms_users")["version"]
+
+    land("users", '{"_id":"1"}', "{broken", '{"_id":"2","created_on":"soon"}', '{"role":"student"}')
+    land("schools", '{"_id":"s"}')
+    first = run()
+    assert sorted(r._id for r in store.read("lms_users").collect()) == ["1", "2"]
+    assert store.set_aside("lms_users").count() == 1
+    rejected = store.read("lms_users_rejected").collect()
+    assert sorted((r.field or "", r.document[:3]) for r in rejected) == [("", "{br"), ("created_on", '{"_')]
+    assert run() == first
+    land("users", '{"_id":"3"}')
+    run()
+    assert store.read("lms_users").count() == 3 and store.read("lms_users_rejected").count() == 2
+    assert set(store.tables()) == {"lms_schools", "lms_users", "lms_users_rejected"}
+
+
 def test_load_report_names_missing_tables(spark):
     report = load_report(spark, lambda t: spark.range(3) if t == "x" else None, ["x", "y"])
     assert sorted(map(tuple, report.collect())) == [("x", 3, True), ("y", None, False)]

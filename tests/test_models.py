@@ -327,3 +327,19 @@ def test_contracts_have_the_key_first_and_known_columns():
         assert set(contract.required) <= set(contract.names)
         for columns in contract.unique:
             assert set(columns) <= set(contract.names)
+
+
+def test_fields_of_records_that_do_not_fit(spark):
+    from learnsilver.functions.jsonx import explode_records, rejected_fields
+
+    rows = spark.createDataFrame(
+        [("a", '[{"n":1.5,"t":"x"},{"n":"many"},{"t":{"k":1}}]'), ("b", "[]"), ("c", None)],
+        "id string, items string",
+    )
+    fields = {"n": "double", "t": "string"}
+    assert [tuple(r) for r in explode_records(rows, "items", fields, ["id"]).collect()] == [
+        ("a", 1.5, "x"), ("a", None, None), ("a", None, '{"k":1}'),
+    ]
+    assert [tuple(r) for r in rejected_fields(rows, "items", fields, ["id"]).collect()] == [
+        ("a", "n", "many")
+    ]
