@@ -12,6 +12,7 @@ from learnsilver.llm import (
     agenda_pieces,
     block_mixture,
     chat_prefix_targets,
+    expected,
     group_prefix_join,
     line_chunks,
     permutation_index,
@@ -117,6 +118,8 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_sorted_projections": expected.SORTED_PROJECTIONS,
         "op2_chat_prefix_targets": chat_prefix_targets.ORACLE_SQL,
+        "op4_group_prefix_join": expected.GROUP_PREFIX_JOIN,
         "op10_line_chunks": line_chunks.ORACLE_SQL,
     }
