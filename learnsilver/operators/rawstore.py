@@ -87,6 +87,27 @@ class RawStore:
         state = self._states.latest(table)
         return self._rows(table, state) if state["version"] else None
 
+    def version(self, table: str) -> int:
+        """The number of the table's present version; 0 before the first load."""
+        return self._states.latest(table)["version"]
+
+    def last_batch(self, table: str, stream: str) -> int:
+        """The number of the last batch of a stream that the table has; 0 before the first."""
+        return self._states.latest(table).get("batches", {}).get(stream, 0)
+
+    def changes(self, table: str, after: int) -> DataFrame | None:
+        """The current rows that came after a version, or all where these are folded in already.
+
+        None when there are none.
+        """
+        state = self._states.latest(table)
+        if not state["version"] or (after and state["version"] <= after):
+            return None
+        if after < state.get("folded", 0) or not after:
+            return self._rows(table, state)
+        loads = [load for load in state["loads"] if load["version"] > after]
+        return self._rows(table, {**state, "base": {}, "loads": loads}) if loads else None
+
     def set_aside(self, table: str) -> DataFrame | None:
         """The rows that came without a key; None when there are none."""
         state = self._states.latest(table)
@@ -164,6 +185,7 @@ class RawStore:
             "schema": schema.jsonValue(),
             "batches": {**state.get("batches", {}), **({stream: int(number)} if batch else {})},
             "base": state.get("base", {}),
+            "folded": state.get("folded", 0),
             "loads": [*state.get("loads", []), *([load] if rows else [])],
             "aside": [*state.get("aside", []), *([folder] if aside else [])],
             "rows_aside": state.get("rows_aside", 0) + aside,
@@ -237,7 +259,12 @@ class RawStore:
         base = {p: f for p, f in state["base"].items() if p not in touched}
         base |= dict.fromkeys(written, folder)
         self._states.publish(
-            table, {**state, "version": state["version"] + 1, "base": base, "loads": []}
+            table,
+            {
+                **state, "version": state["version"] + 1, "base": base, "loads": [],
+                # What came since the last fold is no longer told apart from here on.
+                "folded": max(load["version"] for load in state["loads"]),
+            },
         )
 
     def _loaded(self, table: str, state: dict) -> DataFrame:

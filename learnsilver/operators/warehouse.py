@@ -9,13 +9,16 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from learnsilver.operators.lineage import assert_schema, with_comments
+from learnsilver.operators.rawstore import RawStore
 from learnsilver.operators.states import Folder, States
 from learnsilver.plans import REGISTRY, build_model
-from learnsilver.schemas import MODELS, RAW, SILVER
+from learnsilver.schemas import MODELS, RAW, SILVER, STAGING, STATEMENTS_TABLE
 from learnsilver.sources.catalog import layer_name
 
 # Fixed value: how many models are built at the same time.
 CONCURRENT_MODELS = 8
+# Partition expression of staging that is kept up to date.
+EVENT_DAY = "to_date(event_timestamp)"
 
 
 class Warehouse:
@@ -26,6 +29,10 @@ class Warehouse:
     statements each. Every table is fully rebuilt, in a folder of its own that
     is made current when it is whole: a build that fails changes nothing, and
     readers of the table before keep their files until ``vacuum``.
+
+    With ``statements``, the raw store they are in, staging is not rebuilt:
+    only statements that came since the last build are parsed and merged by
+    id, into a table by day.
     """
 
     def __init__(
@@ -35,6 +42,7 @@ class Warehouse:
         read_raw: Callable[[str], DataFrame | None],
         prefix: str = "",
         run_ts: str = "current_timestamp()",
+        statements: RawStore | None = None,
         **staging_options,
     ):
         self.spark = spark
@@ -45,6 +53,10 @@ class Warehouse:
         self.staging_options = staging_options
         self.built: set[str] = set()
         self._states = States(spark, self.root)
+        self.statements = statements
+        self.staging = RawStore(
+            spark, f"{self.root}/{layer_name('staging', prefix)}_loads", parts=dict.fromkeys(STAGING, EVENT_DAY)
+        )
 
     def _name(self, name: str) -> str:
         return f"{layer_name(REGISTRY[name].layer, self.prefix)}/{name}"
@@ -67,6 +79,8 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """A built model, or a raw table; a raw table not loaded yet is empty."""
+        if name in STAGING and self.statements:
+            return self.staging.read(name).select(*MODELS[name].names)
         if name in MODELS:
             return self.spark.read.schema(MODELS[name].ddl).parquet(self.path(name))
         raw = self.read_raw(name)
@@ -84,6 +98,9 @@ class Warehouse:
 
     def build(self, name: str) -> None:
         """Write a model anew. Staging must be there where the model reads it."""
+        if name in STAGING and self.statements:
+            self._refresh(name)
+            return
         df = self.plan(name)
         assert_schema(df, MODELS[name])
         folder = f"build-{uuid.uuid4().hex}"
@@ -92,6 +109,21 @@ class Warehouse:
         self._states.publish(self._name(name), {"version": version, "folder": folder})
         self.built.add(name)
 
+    def _refresh(self, name: str) -> None:
+        """Merge the statements that came since the last build into staging."""
+        version = self.statements.version(STATEMENTS_TABLE)
+        after = self.staging.last_batch(name, STATEMENTS_TABLE)
+        new = self.statements.changes(STATEMENTS_TABLE, after)
+        if new is None:
+            new = self.spark.createDataFrame([], RAW[STATEMENTS_TABLE].ddl) if not after else None
+        if new is not None:
+            staged = build_model(name, lambda _: new, **self.staging_options)
+            assert_schema(staged, MODELS[name])
+            self.staging.merge(
+                name, staged, MODELS[name].key, batch=f"{STATEMENTS_TABLE}#{version}", changed_only=False
+            )
+        self.built.add(name)
+
     def build_all(self, names: Iterable[str] = tuple(SILVER)) -> None:
         """Write the named models anew, and staging first where one of them reads it."""
         names = list(names)

@@ -688,5 +688,7 @@ EMPTY = ("dim_device", "ref_signal_type", "fact_learning_signal", "fact_variant_
 def oracle_sql() -> dict[str, str]:
     models = _models()
     shown = {name: sql for name, sql in models.items() if name not in EMPTY}
-    any_host = {"stg_lrs_events_any_host": models["stg_lrs_events"]}
+    any_host = dict.fromkeys(
+        ("stg_lrs_events_any_host", "staging_after_second_load"), models["stg_lrs_events"]
+    )
     return {**shown, **any_host, **_ingest(), **_checks(models)}

@@ -232,3 +232,34 @@ def test_numbers_of_sessions_are_not_sorted(spark, name):
     lines = [line for line in plan.splitlines() if "SortAggregate" in line]
     assert lines and all("max(metadata" in line and "event_timestamp" not in line for line in lines)
     assert any("HashAggregate" in line and "durationSeconds" in line for line in plan.splitlines())
+
+
+def test_staging_parses_only_what_came_since(spark, tmp_path):
+    from learnsilver.operators.rawstore import STORED_DAY, RawStore
+
+    store = RawStore(spark, f"{tmp_path}/raw", parts={"lrs_statements": STORED_DAY})
+    built = Warehouse(spark, f"{tmp_path}/lake", store.read, statements=store)
+
+    def statements(*rows):
+        return spark.createDataFrame(rows, "id string, day int").selectExpr(
+            "id", *[f"timestamp_ntz'2024-01-01' + make_dt_interval(day) as {c}" for c in ("timestamp", "stored")],
+            *[f"cast(null as string) as {c}" for c in ("actor", "verb", "object", "result", "context", "authority")],
+        )
+
+    def staged():
+        built.build("stg_lrs_events")
+        rows = built.table("stg_lrs_events").select("event_id", "event_timestamp").collect()
+        return sorted((r.event_id, r.event_timestamp.day) for r in rows)
+
+    store.merge("lrs_statements", statements(("a", 0), ("b", 0)), "id")
+    assert staged() == [("a", 1), ("b", 1)]
+    store.merge("lrs_statements", statements(("b", 3), ("c", 3)), "id")
+    assert store.changes("lrs_statements", 1).count() == 2
+    assert staged() == [("a", 1), ("b", 4), ("c", 4)]
+    assert staged() == [("a", 1), ("b", 4), ("c", 4)]
+    version = built.staging.version("stg_lrs_events")
+    assert staged() and built.staging.version("stg_lrs_events") == version  # nothing new, nothing written
+    store.merge("lrs_statements", statements(("d", 5)), "id")
+    store.compact("lrs_statements")
+    assert store.changes("lrs_statements", 2).count() == 4  # folded in: all of them
+    assert staged() == [("a", 1), ("b", 4), ("c", 4), ("d", 6)]
