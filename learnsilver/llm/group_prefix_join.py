@@ -2,9 +2,9 @@
 
 A document is the set of its five-word shingles, as 64-bit hashes. Two sets
 link when they share 80 % of their union. With all shingles in one order, two
-linked sets share one among their first fifth (the prefix); the order has the
-commonest shingles last, so that prefixes meet on rare ones. Which order is
-taken changes the work, never the result.
+linked sets share one among their first fifth (the prefix). The order is that of the hashes with the
+common shingles last, the commonest at the end, so that prefixes meet on rare
+ones. Which order is taken changes the work, never the result.
 
 * Documents of one prefix and size form a group; a group is posted once, under
   each shingle of its prefix. Sizes and places in the prefix rule out most
@@ -22,40 +22,47 @@ A list that near copies fill so costs as many comparisons as it is long.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnsilver.llm.components import components
-from learnsilver.llm.shared import stored, text_of
+from learnsilver.llm.shared import small_batches, stored, text_of
 
 WORDS = 5
-#: The shingles that stand last in the order, at most; a bounded list for every task.
-COMMONEST = 200_000
-LEAST_COMMON = 16  # documents
+#: Shingles that stand last in the order, at most; a bounded list for every task.
+COMMONEST = 400_000
+LEAST_COMMON = 6  # documents
 BUCKET_DOCUMENTS = 4_000  # whose shingles are counted by one task at a time
-COUNTED = 0.4  # of a set, in the order of the hashes, is counted: twice a prefix
-STAR_ROUNDS = 2
-REMEMBERED = 400_000  # hashes of words kept by a worker
-SHINGLES_AT_ONCE = 2_000_000
-
-#: Odd multipliers of the words of a shingle, and of its length: any fixed random values would do.
-_FACTORS = np.random.default_rng(20).integers(1, 2**63, WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-class _Hashes(dict):
-    """Hashes of words, as they are asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _Hashes()
+TEXTS_IN_BATCH = 2_000
+BYTES_AT_ONCE = 1_000_000  # of text, or one longer text
+SHINGLES_AT_ONCE = 1_000_000
+ROWS_AT_ONCE = 256  # of texts or pairs of sets in Python
+#: Up to so many ids (some megabytes) are sent to the tasks that read the texts; more are joined by id.
+MOST_SENT = 300_000
+STAR_ROUNDS = 1
+
+#: Odd multipliers of a word's bytes, of the words of a shingle, and of its length: fixed random values.
+_RANDOM = np.random.default_rng(20).integers(1, 2**63, WORDS + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS, _BASE = _RANDOM[: WORDS + 1], int(_RANDOM[-1])
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+@lru_cache(2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the byte multiplier, and of its inverse, modulo 2**64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 2**64)):
+        powers = np.full(size, base, np.uint64)
+        powers[0] = 1
+        out.append(np.cumprod(powers))
+    return out[0], out[1]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -65,23 +72,67 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str) -> np.ndarray:
-    """The set of a text's shingles, sorted: all words as one, if there are fewer than five.
+def _hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text start, and their hashes: polynomials of their bytes, mixed."""
+    points = np.frombuffer(data, np.uint8)
+    inside = np.concatenate([[False], ~_SPACE[points], [False]])
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = turns[::2], turns[1::2]
+    forth, back = _powers(1 << max(20, int(len(points)).bit_length()))
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points + np.uint64(1)) * forth[: len(points)], out=sums[1:])
+    return starts, _mix((sums[ends] - sums[starts]) * back[starts])
 
-    Words are runs of anything but ASCII white space, A-Z as a-z.
-    """
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(_HASHES) > REMEMBERED:
-        _HASHES.clear()
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    width = min(WORDS, len(words))
+
+def _sums(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every ``width`` words in a row."""
     count = len(words) - width + 1
     total = np.full(count, width, np.uint64) * _FACTORS[WORDS]
     for k in range(width):
-        total += hashes[k : k + count] * _FACTORS[k]
-    return np.unique(_mix(total))
+        total += words[k : k + count] * _FACTORS[k]
+    return _mix(total)
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def shingle_sets(texts: Iterable[str]) -> Iterator[np.ndarray]:
+    """The set of each text's shingles, sorted: all words as one, if there are fewer than five.
+
+    Words are runs of anything but ASCII white space, A-Z as a-z.
+    """
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        held.append(text.encode("utf-8", "surrogatepass").lower())
+        size += len(held[-1]) + 1
+        if size > BYTES_AT_ONCE:
+            yield from _sets_of(held)
+            held, size = [], 0
+    yield from _sets_of(held)
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[str]:
+    """The texts of a batch (id, text), a few at a time."""
+    for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+        yield from batch.column(1).slice(start, ROWS_AT_ONCE).to_pylist()
+
+
+def _sets_of(texts: list[bytes]) -> Iterator[np.ndarray]:
+    if not texts:
+        return
+    starts, words = _hashed_words(b"\n".join(texts))
+    ends = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in texts])).tolist()
+    # Also the shingles that reach over the end of a text; they are left out of the sets.
+    every = _sums(words, WORDS) if len(words) >= WORDS else words
+    for start, end in zip([0, *ends], ends):
+        width = min(WORDS, end - start)
+        if width == WORDS:
+            yield _distinct(every[start : end - WORDS + 1])
+        else:
+            yield _sums(words[start:end], width) if width else np.empty(0, np.uint64)
 
 
 def prefix_length(n: int) -> int:
@@ -94,32 +145,38 @@ def _digest(array: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(raw, np.int64).tolist())
 
 
-def _common(docs: DataFrame) -> np.ndarray:
-    """The commonest shingles (the upper 40 bits), from rare to common.
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    flat = np.concatenate([np.empty(0, np.uint64), *rows]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
+def _common(texts: DataFrame) -> np.ndarray:
+    """The commonest shingles (the upper 40 bits) of ``texts`` (doc_id, text), from rare to common.
 
     Each task counts what it reads and sends one row for each bucket of
     shingles; nothing but counts of common ones leaves a bucket.
     """
-    buckets = max(1, docs.count() // BUCKET_DOCUMENTS)
+    buckets = max(1, texts.count() // BUCKET_DOCUMENTS)
 
-    def send(tokens: list[np.ndarray]) -> pd.DataFrame:
-        every, counts = np.unique(np.concatenate(tokens) >> np.uint64(24), return_counts=True)
-        bucket = (every % np.uint64(buckets)).astype(np.int32)
+    def send(sets: list[np.ndarray]) -> pa.RecordBatch:
+        every, counts = _counted(np.concatenate(sets) >> np.uint64(24))
+        bucket = every % np.uint64(buckets)
         rows = []
-        for b in np.unique(bucket).tolist():
+        for b in range(buckets):
             own = bucket == b
-            once = own & (counts == 1)
-            often = own & (counts > 1)
+            once, often = own & (counts == 1), own & (counts > 1)
             rows.append((b, _packed(every[once]), _packed(every[often]), counts[often].astype(np.uint32).tobytes()))
-        return pd.DataFrame(rows, columns=["bucket", "once", "often", "counts"])
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "once", "often", "counts"])
 
-    def count(batches: Iterable[pd.Series]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for text in batch["text"]:
-                own = shingles(text)
-                held.append(own[: int(np.ceil(COUNTED * len(own)))])
-                size += len(held[-1])
+            for own in shingle_sets(_texts(batch)):
+                held.append(own)
+                size += len(own)
                 if size > SHINGLES_AT_ONCE:
                     yield send(held)
                     held, size = [], 0
@@ -129,19 +186,31 @@ def _common(docs: DataFrame) -> np.ndarray:
     def total(rows: pd.DataFrame) -> pd.DataFrame:
         once = [_unpacked(blob) for blob in rows["once"]]
         often = [_unpacked(blob) for blob in rows["often"]]
-        counts = [np.ones(len(some), np.int64) for some in once]
+        counts = [np.ones(sum(map(len, once)), np.int64)]
         counts += [np.frombuffer(blob, np.uint32).astype(np.int64) for blob in rows["counts"]]
-        tokens, place = np.unique(np.concatenate(once + often), return_inverse=True)
-        sums = np.bincount(place, weights=np.concatenate(counts))
+        tokens, sums = _counted(np.concatenate(once + often), np.concatenate(counts))
         common = sums >= LEAST_COMMON
-        return pd.DataFrame({"shingle": tokens[common].astype(np.int64), "documents": sums[common].astype(np.int64)})
+        return pd.DataFrame({"shingle": tokens[common].astype(np.int64), "documents": sums[common]})
 
-    sent = docs.select(text_of("text").alias("text")).mapInPandas(
-        count, "bucket int, once binary, often binary, counts binary"
-    )
+    sent = texts.mapInArrow(count, "bucket int, once binary, often binary, counts binary")
     counted = sent.groupBy("bucket").applyInPandas(total, "shingle long, documents long")
-    rows = counted.orderBy(F.desc("documents"), "shingle").limit(COMMONEST).collect()
-    return np.array([row.shingle for row in reversed(rows)], dtype=np.uint64)
+    rows = counted.orderBy(F.desc("documents"), "shingle").limit(COMMONEST).select("shingle")
+    with small_batches(texts.sparkSession, TEXTS_IN_BATCH):
+        found = rows.toArrow()["shingle"]
+    return found.to_numpy().astype(np.uint64)[::-1]
+
+
+def _counted(values: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, sorted, and the sums of their counts (or how many there are)."""
+    if counts is None:
+        values = np.sort(values)
+    else:
+        order = np.argsort(values, kind="stable")
+        values, counts = values[order], counts[order]
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)])
+    if counts is None:
+        return values[first], np.diff(np.append(first, len(values)))
+    return values[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def _packed(tokens: np.ndarray) -> bytes:
@@ -155,44 +224,49 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def ordered_prefix(own: np.ndarray, common: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """The first shingles of a set: in the order of the hashes, common ones last, the commonest at the end.
+def ranks(shingle: np.ndarray, common: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """What goes before the hash in the order: how common a shingle is, 0 for all rare ones.
 
     ``common`` is sorted, and ``order`` says how common each is.
     """
-    length = prefix_length(len(own)) if len(own) else 0
-    if not len(common) or not length:
-        return own[:length]
-    upper = own >> np.uint64(24)
-    at = np.minimum(np.searchsorted(common, upper), len(common) - 1)
-    rank = np.where(common[at] == upper, order[at] + 1, 0)
-    if not rank.any():
-        return own[:length]
-    return own[np.lexsort((own, rank))[:length]]
+    out = np.zeros(len(shingle), np.int32)
+    if len(common):
+        upper = shingle >> np.uint64(24)
+        at = np.minimum(np.searchsorted(common, upper), len(common) - 1)
+        known = common[at] == upper
+        out[known] = order[at[known]] + 1
+    return out
 
 
-SETS = "doc_id long, n long, s1 long, s2 long, g1 long, g2 long, prefix array<long>"
+PREFIXES = "doc_id long, n long, s1 long, s2 long, g1 long, g2 long, prefix array<long>"
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """Of every row its id, the size of its set, digests of the set and of its prefix, and the prefix."""
-    rare_first = _common(docs)
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """Of every row the size and a digest of its set, its prefix, and a digest of that."""
+    rare_first = _common(texts)
     by_value = np.argsort(rare_first)
-    shared = docs.sparkSession.sparkContext.broadcast((rare_first[by_value], by_value.astype(np.int32)))
+    shared = texts.sparkSession.sparkContext.broadcast((rare_first[by_value], by_value.astype(np.int32)))
+
+    def prefix_of(own: np.ndarray) -> np.ndarray:
+        rank = ranks(own, *shared.value)
+        if rank.any():
+            own = own[np.argsort(rank, kind="stable")]
+        return own[: prefix_length(len(own))] if len(own) else own
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common, order = shared.value
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for i, text in zip(batch["id"], batch["text"]):
-                own = shingles(text)
-                prefix = ordered_prefix(own, common, order)
-                rows.append((None if pd.isna(i) else int(i), len(own), *_digest(own), *_digest(prefix), prefix.view(np.int64)))
-            found = pd.DataFrame(rows, columns=[part.split()[0] for part in SETS.split(", ")])
-            yield found.astype({"doc_id": "Int64"})
+            facts, prefixes = [], []
+            for own in shingle_sets(_texts(batch)):
+                prefixes.append(prefix_of(own))
+                facts.append((len(own), *_digest(own), *_digest(prefixes[-1])))
+            columns = np.array(facts, np.int64).reshape(-1, 5).T
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *map(pa.array, columns), _lists(prefixes)],
+                [part.split()[0] for part in PREFIXES.split(", ")],
+            )
 
-    chosen = docs.select(F.col("doc_id").cast("long").alias("id"), text_of("text").alias("text"))
-    return stored(chosen.mapInPandas(run, SETS), "shingle_sets")
+    with small_batches(texts.sparkSession, TEXTS_IN_BATCH):
+        return stored(texts.mapInArrow(run, PREFIXES), "prefixes")
 
 
 def _may_link(n: Column, m: Column, at_n: Column, at_m: Column) -> Column:
@@ -200,30 +274,36 @@ def _may_link(n: Column, m: Column, at_n: Column, at_m: Column) -> Column:
     return 9 * F.least(n - at_n, m - at_m) >= 4 * (n + m)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (hub, other) whose whole sets link."""
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): those of the pairs (hub, other) whose whole sets link."""
     pairs = stored(pairs.distinct(), "pairs")
-    needed = pairs.select(F.col("hub").alias("id")).union(pairs.select("other")).distinct()
+    needed = stored(pairs.select(F.col("hub").alias("id")).union(pairs.select("other")).distinct(), "pair_ids")
+    if needed.count() <= MOST_SENT:
+        needed = F.broadcast(needed)
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "own": [shingles(t).tobytes() for t in batch["text"]]})
+            sets = [own.tobytes() for own in shingle_sets(_texts(batch))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "own"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of("text").alias("text"))
-    sets = stored(texts.join(needed, "id", "left_semi").mapInPandas(run, "id long, own binary"), "pair_sets")
+    found = texts.withColumnRenamed("doc_id", "id").join(needed, "id", "left_semi")
+    with small_batches(texts.sparkSession, TEXTS_IN_BATCH):
+        sets = stored(found.mapInArrow(run, "id long, own binary"), "pair_sets")
 
     @F.pandas_udf("boolean")
     def link(one: pd.Series, two: pd.Series) -> pd.Series:
-        def linked(a: bytes, b: bytes) -> bool:
+        def similar(a: bytes, b: bytes) -> bool:
             x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
             both = len(np.intersect1d(x, y, assume_unique=True))
             return 100 * both >= 80 * (len(x) + len(y) - both)
 
-        return pd.Series([linked(a, b) for a, b in zip(one, two)], dtype=bool)
+        return pd.Series([similar(a, b) for a, b in zip(one, two)], dtype=bool)
 
     others = pairs.join(sets.select(F.col("id").alias("other"), "own"), "other")
     both = others.join(sets.select(F.col("id").alias("hub"), F.col("own").alias("hubs")), "hub")
-    return both.filter(link("own", "hubs")).select(F.col("hub").alias("a"), F.col("other").alias("b"))
+    linked_pairs = both.filter(link("own", "hubs")).select(F.col("hub").alias("a"), F.col("other").alias("b"))
+    with small_batches(texts.sparkSession, ROWS_AT_ONCE):
+        return stored(linked_pairs, "links")
 
 
 def _connected(nodes: DataFrame, links: list[DataFrame]) -> DataFrame:
@@ -242,12 +322,14 @@ def _open(lists: DataFrame) -> DataFrame:
 def _stars(lists: DataFrame, turn: int) -> DataFrame:
     """(hub, other): each row of a list with the list's hub, if they can link and are not connected.
 
-    Lists are cut by size, in other places each turn. The hub is the row of the
-    least hash of its id: lists of the same rows have the same hub.
+    Lists are cut by size, in other places each turn. First, the hub is the
+    row that has fewest rarer shingles, which is nearest to what the list has in
+    common; then, any.
     """
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + turn / STAR_ROUNDS)
     cut = lists.withColumn("_step", step)
-    first = Window.partitionBy("token", "_step").orderBy(F.xxhash64(F.lit(turn), "node"), "node")
+    nearest = [F.col("pos")] if turn == 0 else []
+    first = Window.partitionBy("token", "_step").orderBy(*nearest, F.xxhash64(F.lit(turn), "node"), "node")
     hubbed = cut.select("*", *[F.first(c).over(first).alias(f"_{c}") for c in ("node", "n", "pos", "component")])
     able = _may_link(F.col("n"), F.col("_n"), F.col("pos"), F.col("_pos"))
     found = hubbed.filter((F.col("component") != F.col("_component")) & able)
@@ -267,9 +349,9 @@ def _crossing(lists: DataFrame) -> DataFrame:
     minor = known.filter("component <> _main").select(
         "token", *[F.col(c).alias(f"_{c}") for c in ("node", "n", "pos", "component")]
     )
-    met = known.join(minor, "token").filter("component <> _component")
-    met = met.filter((F.col("component") == F.col("_main")) | (F.col("node") < F.col("_node")))
-    met = met.filter(_may_link(F.col("n"), F.col("_n"), F.col("pos"), F.col("_pos")))
+    once = (F.col("component") == F.col("_main")) | (F.col("node") < F.col("_node"))
+    able = _may_link(F.col("n"), F.col("_n"), F.col("pos"), F.col("_pos"))
+    met = known.join(minor, "token").filter((F.col("component") != F.col("_component")) & once & able)
     return met.select(F.col("node").alias("hub"), F.col("_node").alias("other"))
 
 
@@ -282,7 +364,8 @@ def linked(docs: DataFrame) -> DataFrame:
     without id link with nothing and have no component. An empty table gives an
     empty table. Other columns are not looked at.
     """
-    sets = _sets(docs.select("doc_id", "text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
+    sets = _prefixes(texts)
     able = sets.filter("n > 0 AND doc_id IS NOT NULL")
     # Documents of one set are one node, under the smallest id.
     same = ["n", "s1", "s2"]
@@ -295,10 +378,13 @@ def linked(docs: DataFrame) -> DataFrame:
     posted = able.join(
         nodes.filter("node = group").select(*same, F.col("node").alias("doc_id")), [*same, "doc_id"], "left_semi"
     )
-    postings = posted.select(F.col("doc_id").alias("group"), "n", F.posexplode("prefix").alias("pos", "token"))
+    postings = posted.select(
+        F.col("doc_id").alias("group"), "n", F.posexplode("prefix").alias("pos", "token")
+    )
     met = Window.partitionBy("token")
     shared = postings.withColumn("_rows", F.count(F.lit(1)).over(met)).filter("_rows > 1").drop("_rows")
-    shared = stored(shared.distinct(), "postings")
+    # (Repeated rows are posted repeatedly; that makes no pair more.)
+    shared = stored(shared, "postings")
     # The documents of a group are a list of their own.
     own = nodes.filter("members > 1").select(
         F.xxhash64(F.lit("group"), *alike).alias("token"), "node", "n", F.lit(0).alias("pos")
@@ -310,21 +396,18 @@ def linked(docs: DataFrame) -> DataFrame:
     known = nodes.withColumn("component", F.col("node"))
     for turn in range(STAR_ROUNDS):
         open_lists = stored(_open(lists.join(known.select("node", "component"), "node")), "open_lists")
-        links.append(stored(_verified(_stars(open_lists, turn), docs), "links"))
+        links.append(_verified(_stars(open_lists, turn), texts))
         known = stored(_connected(nodes, links), "connected")
     # Now every document stands in the lists of its group.
-    every = shared.join(known.select("group", "node", "component"), "group").select(
-        "token", "node", "n", "pos", "component"
-    )
-    every = every.union(own.join(known.select("node", "component"), "node").select("token", "node", "n", "pos", "component"))
-    links.append(stored(_verified(_crossing(_open(every)), docs), "links"))
+    columns = ["token", "node", "n", "pos", "component"]
+    every = shared.join(known.select("group", "node", "component"), "group").select(columns)
+    every = every.union(own.join(known.select("node", "component"), "node").select(columns))
+    links.append(_verified(_crossing(_open(every)), texts))
     known = _connected(nodes, links)
 
-    of_set = stored(
-        able.groupBy(*same).agg(F.min("doc_id").alias("node")).join(known.select("node", "component"), "node"), "classes"
-    )
-    # An id with several texts is one node in several components: these are one.
-    found = sets.join(of_set.select(*same, "component"), same, "left")
+    of_set = able.groupBy(*same).agg(F.min("doc_id").alias("node"))
+    of_set = stored(of_set.join(known.select("node", "component"), "node").select(*same, "component"), "classes")
+    found = sets.select("doc_id", *same).join(of_set, same, "left")
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
