@@ -35,7 +35,7 @@ from learnsilver.llm.shared import held_out, text_of
 
 MOST_TOXIC = 1_500  # labelled toxic texts to fit on
 MOST_CLEAN = 2_500  # labelled clean texts to fit on
-LANDMARKS = 200
+LANDMARKS = 300
 ROUNDS = 4  # of fitting, each with the clean words that the last took for toxic
 BENT = 0.5  # weight of a toxic word with a letter put in
 DECAY = 0.75  # for each character that a subsequence is spread beyond three
@@ -305,13 +305,17 @@ def fit(toxic: list[str], clean: list[str]) -> Machine:
     chance = np.random.default_rng(3)
     per_text, per_clean = ([_sentences(text) for text in texts] for texts in (toxic, clean))
     telling = _telling(per_text, per_clean)
-    in_clean = Counter(word for sentences in per_clean for word in {w for s in sentences for w in s})
+    in_toxic, in_clean = (
+        Counter(word for sentences in texts for word in {w for s in sentences for w in s})
+        for texts in (per_text, per_clean)
+    )
 
     @lru_cache(None)
     def evidence(word: str) -> float:
-        """Of a word that is no commoner in clean texts than its telling runs may be."""
-        best = max((telling[run] for run in _runs(word) if run in telling), default=0.0)
-        return best if len(word) >= SHORTEST and in_clean[word] <= len(clean) / 500 else 0.0
+        """That of its most telling run; none for a word that clean texts have about as often."""
+        if len(word) < SHORTEST or in_toxic[word] * len(clean) < COMMONER * in_clean[word] * len(toxic):
+            return 0.0
+        return max((telling[run] for run in _runs(word) if run in telling), default=0.0)
 
     # Each toxic sentence is explained by its most telling word.
     told = Counter(
