@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from learnsilver.llm.shared import text_of
 
 SPACE = "▁"  # what stands for a space inside pieces
-REMEMBERED = 500_000  # stretches kept by a worker, twice at most
+REMEMBERED = 150_000  # stretches kept by a worker, twice at most
 LONGEST_REMEMBERED = 40  # characters of a stretch worth keeping
 BYTES_AT_ONCE = 2_000_000
 PLACE = (1 << 40) - 1  # mask of a place, below the rank of a score

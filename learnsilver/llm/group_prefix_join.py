@@ -36,12 +36,12 @@ from learnsilver.llm.shared import small_batches, stored, text_of
 
 WORDS = 5
 #: Shingles that stand last in the order, at most; a bounded list for every task.
-COMMONEST = 400_000
+COMMONEST = 300_000
 LEAST_COMMON = 6  # documents
-BUCKET_DOCUMENTS = 4_000  # whose shingles are counted by one task at a time
-TEXTS_IN_BATCH = 2_000
+BUCKET_DOCUMENTS = 2_500  # whose shingles are counted by one task at a time
+TEXTS_IN_BATCH = 1_000
 BYTES_AT_ONCE = 1_000_000  # of text, or one longer text
-SHINGLES_AT_ONCE = 1_000_000
+SHINGLES_AT_ONCE = 500_000
 ROWS_AT_ONCE = 256  # of texts or pairs of sets in Python
 #: Up to so many ids (some megabytes) are sent to the tasks that read the texts; more are joined by id.
 MOST_SENT = 300_000
