@@ -19,7 +19,7 @@ from learnsilver.llm import (
     positive_unlabelled,
 )
 from learnsilver.llm.queries import model_bytes
-from learnsilver.llm.shared import read, stored
+from learnsilver.llm.shared import importable, read, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -63,12 +63,20 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return agenda_pieces.digests(docs, model_bytes(), with_ids=True)
 
 
+def _ready(stage: Stage) -> Stage:
+    def apply(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return stage(spark, docs, sf_dir)
+
+    return apply
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality", quality),
-    ("line_dedup", line_dedup),
-    ("near_duplicates", near_duplicates),
-    ("mixture", mixture),
-    ("encoding", encoding),
+    ("quality", _ready(quality)),
+    ("line_dedup", _ready(line_dedup)),
+    ("near_duplicates", _ready(near_duplicates)),
+    ("mixture", _ready(mixture)),
+    ("encoding", _ready(encoding)),
 ]
 
 #: Classifier, mixture and encoding have no SQL; tests compare the stages with brute force.

@@ -21,7 +21,7 @@ from learnsilver.llm import (
     sorted_projections,
     string_kernel_toxicity,
 )
-from learnsilver.llm.shared import held_out, read
+from learnsilver.llm.shared import held_out, importable, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,7 +113,15 @@ def queries() -> dict[str, Query]:
         op9_positive_unlabelled,
         op10_line_chunks,
     )
-    return {query.__name__: query for query in found}
+    return {query.__name__: _ready(query) for query in found}
+
+
+def _ready(query: Query) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        importable(spark)
+        return query(spark, folder)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:
