@@ -36,12 +36,12 @@ from learnsilver.llm.shared import small_batches, stored, text_of
 
 WORDS = 5
 #: Shingles that stand last in the order, at most; a bounded list for every task.
-COMMONEST = 300_000
+COMMONEST = 500_000
 LEAST_COMMON = 6  # documents
 BUCKET_DOCUMENTS = 2_500  # whose shingles are counted by one task at a time
 TEXTS_IN_BATCH = 1_000
-BYTES_AT_ONCE = 1_000_000  # of text, or one longer text
-SHINGLES_AT_ONCE = 500_000
+BYTES_AT_ONCE = 300_000  # of text, or one longer text
+SHINGLES_AT_ONCE = 1_000_000
 ROWS_AT_ONCE = 256  # of texts or pairs of sets in Python
 #: Up to so many ids (some megabytes) are sent to the tasks that read the texts; more are joined by id.
 MOST_SENT = 300_000
@@ -78,7 +78,7 @@ def _hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     inside = np.concatenate([[False], ~_SPACE[points], [False]])
     turns = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = turns[::2], turns[1::2]
-    forth, back = _powers(1 << max(20, int(len(points)).bit_length()))
+    forth, back = _powers(1 << max(18, len(points).bit_length()))
     sums = np.zeros(len(points) + 1, np.uint64)
     np.cumsum((points + np.uint64(1)) * forth[: len(points)], out=sums[1:])
     return starts, _mix((sums[ends] - sums[starts]) * back[starts])
