@@ -10,10 +10,14 @@ A dense group may be wider than the windows of all passes. So the members of a
 component are then compared with each other, in blocks of bounded size that
 go to different tasks, and each member's links are counted; no pairs are
 written for that. Vectors that are equal are one vector with a count.
+
+The more rows a label has, the more signs must agree for two vectors to stand
+close; the number of passes follows the largest label.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +31,8 @@ from learnsilver.llm.shared import stored
 from learnsilver.llm.vectors import matrix, usable, usable_rows
 
 LEAST_COSINE = 0.93
-PASSES = 12
+PASSES = 12  # at least
+MOST_MISSED = 0.01  # of the pairs at ``LEAST_COSINE``, expected, for rows that the signs split evenly
 WINDOW = 48
 SIGNS = 62  # of a pass, in one number
 PART_ROWS = 4_000  # of a sorted part
@@ -35,6 +40,19 @@ BLOCK_ROWS = 1_024  # of a component's block
 BUCKETS_PER_ROW = 1 / 500  # small components are compared together, so many rows a task group
 
 
+def passes(rows: int) -> int:
+    """How many passes bring all but ``MOST_MISSED`` of the pairs at ``LEAST_COSINE`` together.
+
+    In one pass, a pair stands in one window if so many leading signs agree as
+    split ``rows`` to windows.
+    """
+    agree = 1 - math.acos(LEAST_COSINE) / math.pi
+    together = agree ** math.log2(max(1, rows / WINDOW))
+    if together == 1:
+        return PASSES
+    return max(PASSES, math.ceil(math.log(MOST_MISSED) / math.log1p(-together)))
+
+
 def signatures(vectors: np.ndarray, turn: int) -> np.ndarray:
     """The signs of a pass's random projections, as one number."""
     planes = np.random.Generator(np.random.Philox(key=[turn, vectors.shape[1]])).normal(
@@ -117,21 +135,24 @@ def _in_component(rows: pd.DataFrame) -> pd.DataFrame:
 
 def links(distinct: DataFrame) -> DataFrame:
     """(a, b): pairs of ``distinct`` (id, label, embedding) that the passes find; both ways may occur."""
+    groups = distinct.groupBy("label", F.size("embedding")).agg(F.count(F.lit(1)).alias("n"))
+    rows, largest = groups.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    turns = passes(largest)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), SIGNED_ROWS):
                 part = batch.iloc[start : start + SIGNED_ROWS]
                 for size, some in part.groupby(part["embedding"].map(len)):
-                    rows = matrix(some["embedding"])
-                    for turn in range(PASSES):
-                        yield some.assign(turn=turn, size=size, key=signatures(rows, turn))
+                    vectors = matrix(some["embedding"])
+                    for turn in range(turns):
+                        yield some.assign(turn=turn, size=size, key=signatures(vectors, turn))
 
     kind = distinct.schema["embedding"].dataType.simpleString()
     signed = distinct.select("id", "label", "embedding").mapInPandas(
         sign, f"id long, label long, embedding {kind}, turn int, size int, key long"
     )
-    parts = max(1, -(-distinct.count() * PASSES // PART_ROWS))
+    parts = max(1, -(-rows * turns // PART_ROWS))
     order = ["turn", "label", "size", "key", "id"]
     ranged = signed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     compared = ranged.mapInPandas(lambda it: _outer(_compare_parts(it)), f"{FOUND}, embedding {kind}")

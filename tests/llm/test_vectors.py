@@ -95,6 +95,35 @@ def test_borders_between_sorted_parts(spark, monkeypatch):
     check_links(spark, rows)
 
 
+def test_passes_follow_the_rows_so_that_few_pairs_are_missed():
+    chance = np.random.default_rng(7)
+    n, pairs = 200_000, 2_000
+    rows = chance.normal(size=(n, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    one, off = rows[:pairs], chance.normal(size=(pairs, 64))
+    off -= (off * one).sum(1, keepdims=True) * one
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    rows[pairs : 2 * pairs] = near.LEAST_COSINE * one + math.sqrt(1 - near.LEAST_COSINE**2) * off
+    met = np.zeros(pairs, dtype=bool)
+    for turn in range(near.passes(n)):
+        place = np.argsort(np.argsort(near.signatures(rows, turn), kind="stable"))
+        met |= np.abs(place[:pairs] - place[pairs : 2 * pairs]) <= near.WINDOW
+    assert met.mean() >= 0.985
+    assert near.passes(0) == near.passes(near.WINDOW) == near.PASSES < near.passes(n) < near.passes(10**9)
+
+
+def test_more_passes_are_run_where_a_label_needs_them(spark, monkeypatch):
+    monkeypatch.setattr(near, "PASSES", 1)
+    monkeypatch.setattr(near, "WINDOW", 2)
+    chance = np.random.default_rng(8)
+    rows = []
+    for i in range(400):
+        v = chance.normal(size=24)
+        rows += [(2 * i, v.tolist(), 0), (2 * i + 1, (v + chance.normal(size=24) * 0.2).tolist(), 0)]
+    found = near.near_duplicates(frame(spark, rows)).collect()
+    assert sum(r.n_links for r in found) >= 0.97 * 2 * len(brute_links(rows))
+
+
 def test_whole_table_with_near_copies_against_all_pairs(spark):
     table = read(spark, FOLDER, "embeddings").toPandas()[["vec_id", "embedding", "label"]]
     chance = np.random.default_rng(4)
