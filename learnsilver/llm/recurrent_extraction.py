@@ -35,10 +35,14 @@ LONGEST_SIDE_BY_SIDE = 50_000  # padded blocks
 
 # Fixed values of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|template|noscript|textarea|svg|math|iframe|object|select|title|canvas|audio|video"
+RAW = "script|style|textarea|title"  # hold no elements; unclosed, they go on to the end of the page
+UNSEEN = frozenset("template noscript svg iframe object select canvas audio video annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr br ruby rt rp output".split()
+    "strike strong sub sup time tt u var wbr br ruby rt rp output "
+    # of formulas
+    "math semantics maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot "
+    "mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none".split()
 )
 CLOSED_BY_SAME = frozenset("li dt dd tr td th option p".split())
 CONTAINERS = frozenset("ul ol dl table body html div section article main aside nav".split())
@@ -50,14 +54,17 @@ ASIDE = frozenset(
     "notice banner comment comments related share social promo newsletter breadcrumb footer header nav".split()
 )
 
+_ATTRIBUTES = r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+"
+_NOT_ELEMENTS = rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>]){_ATTRIBUTES}>.*?(?:</\1\s*>|\Z)"
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<({RAW})\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</\1\s*>|\Z)"
-    r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>"
+    _NOT_ELEMENTS + r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S | re.I,
 )
+_UNSEEN = re.compile(
+    _NOT_ELEMENTS + rf"|<(/?)({'|'.join(sorted(UNSEEN))})(?=[\s/>])({_ATTRIBUTES})>", re.S | re.I
+)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
 
@@ -79,8 +86,27 @@ def _parts(tag: str, attributes: str) -> tuple[str, ...]:
     return ("<" + tag, *(part for some in named for part in _PART.findall(some.lower())))
 
 
+def _hidden(page: str, at: int) -> dict[int, int]:
+    """Where each hidden element of a page from ``at`` on starts, and where it ends, if it is closed."""
+    ends: dict[int, int] = {}
+    starts: dict[str, list[int]] = {}
+    for match in _UNSEEN.finditer(page, at):
+        if match[3] is None or match[4].endswith("/"):
+            continue
+        same = starts.setdefault(match[3].lower(), [])
+        if not match[2]:
+            same.append(match.start())
+        elif same:
+            ends[same.pop()] = match.end()
+    return ends
+
+
 def blocks(page: str) -> list[Block]:
-    """The blocks of a page in order, references decoded, white space as single spaces."""
+    """The blocks of a page in order, references decoded, white space as single spaces.
+
+    Hidden elements count with all that is in them; one that is closed in its
+    own tag, or nowhere, is that tag alone.
+    """
     found: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = [("", ())]
     texts: list[str] = []
@@ -115,7 +141,8 @@ def blocks(page: str) -> list[Block]:
         return False
 
     at = 0
-    for match in _MARKUP.finditer(page):
+    hidden: dict[int, int] | None = None
+    while match := _MARKUP.search(page, at):
         if match.start() > at:
             texts.append(page[at : match.start()])
             linked += (match.start() - at) * (links > 0)
@@ -128,6 +155,12 @@ def blocks(page: str) -> list[Block]:
                 texts.append(" ")
             continue
         tag = tag.lower()
+        if tag in UNSEEN:
+            texts.append(" ")
+            if not end:
+                hidden = _hidden(page, match.start()) if hidden is None else hidden
+                at = hidden.get(match.start(), at)
+            continue
         if tag not in INLINE:
             flush()
         elif tag == "br":

@@ -45,6 +45,31 @@ def test_blocks_of_broken_markup():
     assert [b.text for b in rec.blocks("plain words")] == ["plain words"]
 
 
+@pytest.mark.parametrize("inside", [
+    "<svg class='i'/>", "<svg-icon name=x></svg-icon>", "<video-player src=y></video-player>", "<SELECT-box>\n</SELECT-box>",
+    "<object data=z />", "<iframe src='/a'/>", "<video src=a>", "<svg><svg/><title>no</title><g>no</g></svg>",
+    "<svg><svg>no</svg>no</svg>", "<select><option>no<option>no</select>", "<video>no</VIDEO >", "</svg>", "<script-x></script-x>",
+    "<noscript><script>'</noscript>'</script>no</noscript>", "<title-bar/>", "<canvas><!-- </canvas> -->no</canvas>",
+])
+def test_hidden_elements_end_where_they_do(inside):
+    rest = "<p>third</p><svg>no</svg><video>no</video><object>no</object><iframe>no</iframe><p>fourth</p>"
+    found = rec.blocks(f"<article><p>first</p>{inside}<p>second {inside}words</p>{rest}</article>")
+    assert " ".join(b.text for b in found) == "first second words third fourth"
+
+
+def test_formulas_are_text():
+    page = (
+        "<p>So <math display='inline'><semantics><mrow><mi>a</mi><mo>=</mo><mfrac><mn>1</mn><mi>b</mi></mfrac></mrow>"
+        "<annotation encoding='TeX'>a=\\frac1b</annotation></semantics></math> holds.</p>"
+    )
+    assert [b.text for b in rec.blocks(page)] == ["So a=1b holds."]
+
+
+def test_many_hidden_elements_take_no_more_than_a_look_each():
+    for page in ("<svg>" * 50_000, "<svg>" * 50_000 + "</svg>" * 50_000, "<video/>" * 50_000, "<svg-x>" * 3_000):
+        assert rec.blocks(page + "<p>end</p>")[-1].text == "end"
+
+
 def test_deep_long_and_hostile_pages_are_read():
     assert len(rec.blocks("<div>" * 3_000 + "x" + "</div>" * 3_000)) == 1
     assert len(rec.blocks("<p>word " * 20_000)) == 20_000
