@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnsilver.llm.shared import WORD, stored, text_of
@@ -169,11 +169,12 @@ def _slots(spark, sources: Sources, seed: int) -> DataFrame:
     )
 
 
-def _numbered(sized: DataFrame, sources: Sources) -> DataFrame:
+def _numbered(sized: DataFrame, sources: Sources, *carried: str) -> DataFrame:
     """``sized`` with source_no, and ``offset``: where a document starts among its source's words.
 
     Sums run in two steps, first over buckets of documents, so that no task
-    gets all documents of a source.
+    gets all documents of a source. Columns ``carried`` come along; documents
+    alike in id and size are in their order.
     """
     spark = sized.sparkSession
     names = spark.createDataFrame(
@@ -189,20 +190,20 @@ def _numbered(sized: DataFrame, sources: Sources) -> DataFrame:
     )
     within = (
         Window.partitionBy("source_no", "bucket")
-        .orderBy(order, "doc_id", "size")
+        .orderBy(order, "doc_id", "size", *carried)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = dealt.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
     found = placed.join(starts, ["source_no", "bucket"]).select(
-        "doc_id", "source_no", "size", (F.col("start") + F.col("before")).alias("offset")
+        "doc_id", "source_no", "size", (F.col("start") + F.col("before")).alias("offset"), *carried
     )
     return stored(found, "offsets")
 
 
-def _spans(numbered: DataFrame, block_words: int) -> DataFrame:
+def _spans(numbered: DataFrame, block_words: int, *carried: str) -> DataFrame:
     """(doc_id, source_no, offset, block, start, end): which words of a document a block holds.
 
-    Start and end count from the document's first word.
+    Start and end count from the document's first word. Columns ``carried`` come along.
     """
     first = F.floor(F.col("offset") / block_words)
     last = F.floor((F.col("offset") + F.col("size") - 1) / block_words)
@@ -212,13 +213,29 @@ def _spans(numbered: DataFrame, block_words: int) -> DataFrame:
         "doc_id", "source_no", "offset", "block",
         F.greatest(begin, F.lit(0)).alias("start"),
         F.least(begin + block_words, F.col("size")).alias("end"),
+        *carried,
     )
 
 
-def _sized(docs: DataFrame) -> DataFrame:
+#: All digits of times, so that rows that differ in the last one differ in their JSON.
+_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def _row_key(docs: DataFrame) -> Column:
+    """A digest of all columns of a row: rows that share it are equal, and one stands for all."""
+    text = F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("null"))
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]), _JSON)
+    return F.sha2(F.concat_ws(" ", text, others), 256)
+
+
+def _sized(docs: DataFrame, *carried: Column) -> DataFrame:
     """Sizes of the documents, written down: the texts are read once."""
     words = F.regexp_count(text_of("text"), F.lit(WORD)).cast("long")
-    sizes = docs.select("doc_id", F.col("source").cast("string").alias("source"), words.alias("size"))
+    sizes = docs.select("doc_id", F.col("source").cast("string").alias("source"), words.alias("size"), *carried)
     return stored(sizes, "sizes")
 
 
@@ -271,26 +288,21 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int =
     A row for every document and pass over its source in which a word of it was
     drawn; its text is what was drawn in that pass: the whole text if all words
     were, else its drawn words with one space between. ``n_chars`` follows the
-    text where there is such a column. Rows are told apart by doc_id and source;
-    repeated rows must not differ in their text.
+    text where there is such a column. Null and repeated ids are documents of
+    their own, whatever their texts.
     """
-    sized = _sized(docs)
+    key = _row_key(docs)
+    sized = _sized(docs, key.alias("_key"))
     sources = _sources(sized, block_words)
-    spans = _spans(_numbered(sized, sources), block_words)
+    spans = _spans(_numbered(sized, sources, "_key"), block_words, "_key")
     slots = _slots(docs.sparkSession, sources, seed).select("source_no", "block", "pass")
-    drawn = spans.join(slots.hint("merge"), ["source_no", "block"]).groupBy("doc_id", "source_no", "offset", "pass").agg(
+    drawn = spans.join(slots.hint("merge"), ["source_no", "block"]).groupBy("_key", "source_no", "offset", "pass").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans")
     )
-    names = docs.sparkSession.createDataFrame(
-        [(name, i) for i, name in enumerate(sources.names)], "_source string, source_no int"
-    )
-    drawn = drawn.join(F.broadcast(names), "source_no").select(
-        F.col("doc_id").alias("_doc_id"), "_source", "_spans"
-    )
-    rows = docs.dropDuplicates(["doc_id", "source"]).select(F.struct(*docs.columns).alias("_row"))
-    same = F.col("_row.doc_id").eqNullSafe(F.col("_doc_id"))
-    same &= F.col("_row.source").cast("string").eqNullSafe(F.col("_source"))
-    joined = rows.join(drawn.hint("merge"), same)
+    drawn = drawn.select(F.col("_key").alias("_drawn"), "_spans")
+    rows = docs.select(key.alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    rows = rows.dropDuplicates(["_key"])
+    joined = rows.join(drawn.hint("merge"), F.col("_key") == F.col("_drawn"))
     words = F.regexp_extract_all("_row.text", F.lit(f"({WORD})"))
     chosen = F.transform(F.array(words), lambda all_words: F.array_join(F.flatten(F.transform(
         F.col("_spans"),

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from learnsilver.llm import block_mixture as mix
 from learnsilver.llm.queries import op5_block_mixture
@@ -106,3 +107,29 @@ def test_nulls_empty_texts_repeated_rows_and_no_rows(spark):
     assert mix.taken(frame.limit(0)).count() == 0
     assert mix.mixed_documents(frame.limit(0)).count() == 0
     assert mix.mixed_documents(frame).columns == frame.columns
+
+
+def test_rows_of_one_id_and_source_keep_their_own_texts(spark):
+    schema = "doc_id long, text string, source string, n_chars long, at timestamp_ntz, note string"
+    said = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    rows = [
+        (None, said("a", 90), "x", "1", None), (None, said("b", 90), "x", "1", None), (None, said("c", 7), "x", "1", None),
+        (1, said("d", 50), "x", "1", None), (1, said("e", 150), "x", "1", None), (1, said("f", 50), None, "1", None),
+        (1, said("g", 50), None, "1", None), (2, said("h", 40), "y", "1", None), (2, said("h", 40), "y", "1", None),
+        (2, said("h", 40), "y", "2", None), (2, said("h", 40), "y", "2", "n"), (None, said("i", 30), None, "1", None),
+        (None, None, "x", "1", None),
+    ]
+    made = spark.createDataFrame(
+        [(i, text, source, len(text or ""), at, note) for i, text, source, at, note in rows],
+        schema.replace("timestamp_ntz", "string"),
+    ).withColumn("at", F.concat(F.lit("2024-01-01 00:00:00.00000"), "at").cast("timestamp_ntz"))
+    found = mix.mixed_documents(made, 16).collect()
+    # The first pass over a source holds every word of it, so every row comes whole at least once.
+    whole = [r.asDict() for r in made.collect() if r.text]
+    got = [r.asDict() for r in found]
+    for row in whole:
+        assert got.count(row) >= whole.count(row), row
+    held = mix.mixture(made, 16).toPandas()
+    assert sum(len(r.text.split()) for r in found) == (held.end - held.start).sum()
+    again = mix.mixed_documents(made.repartition(5, "text"), 16).collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))
