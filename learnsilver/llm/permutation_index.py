@@ -1,6 +1,9 @@
 """Nearest neighbours by a permutation index.
 
-A vector is represented by its ``NEAREST`` nearest pivots in order. Rows are
+Rows get one more component, which fills them up to the largest norm of all;
+queries get a zero there. So the largest inner product is the smallest angle,
+whatever the norms. A vector is then represented by its ``NEAREST`` nearest
+pivots in order. Vectors of each length have an index of their own. Rows are
 dealt to shards; in a shard, every pivot has an inverted file of the rows that
 name it and at which place. A query adds up, over the files of its own pivots,
 how far the places differ: that is Spearman's footrule of the two lists, where
@@ -39,6 +42,17 @@ def representation(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.argsort(-products, axis=1, kind="stable")[:, :NEAREST].astype(np.int16)
 
 
+def filled_up(vectors: np.ndarray, most: float) -> np.ndarray:
+    """Rows with one more component, all of norm 1, in proportion to the largest norm ``most``."""
+    scaled = vectors / most
+    return np.hstack([scaled, np.sqrt(np.maximum(0, 1 - (scaled**2).sum(axis=1, keepdims=True)))])
+
+
+def asking(vectors: np.ndarray) -> np.ndarray:
+    """Queries with one more component."""
+    return np.hstack([vectors, np.zeros((len(vectors), 1))])
+
+
 def inverted_files(orders: np.ndarray, pivots: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each pivot, the rows that name it and the places at which they do."""
     flat = orders.ravel()
@@ -69,13 +83,12 @@ def _search(cell: pd.DataFrame) -> pd.DataFrame:
     queries, rows = cell[asks], cell[~asks].sort_values("vec_id")
     out = []
     if len(queries) and len(rows):
-        orders = np.stack(rows["pivots"].to_numpy())
-        files = inverted_files(orders, PIVOTS)
         ids, vectors = rows["vec_id"].to_numpy(), matrix(rows["embedding"])
         most = max(LEAST_RERANKED, int(np.ceil(RERANKED * len(rows))))
+        files = inverted_files(np.stack(rows["pivots"].to_numpy()), PIVOTS) if most < len(rows) else []
         for query, own, pivots in zip(queries["vec_id"], queries["embedding"], queries["pivots"]):
-            far = footrules(pivots, files, len(rows))
             if most < len(rows):  # ties at the limit are reranked too
+                far = footrules(pivots, files, len(rows))
                 chosen = np.flatnonzero(far <= np.partition(far, most - 1)[most - 1])
             else:
                 chosen = np.arange(len(rows))
@@ -95,44 +108,70 @@ def nearest(rows: DataFrame, asks: Column) -> DataFrame:
     By inner product in double precision, nearest first, ties to the smaller
     id; all others, if there are fewer than ``NEIGHBOURS``. Vectors that are
     null, zero or hold null or non-finite components take no part, nor do rows
-    without id. Rows of one id are one row, that with the smallest vector. Of
-    vectors of several lengths, the commonest length takes part. An empty table
-    gives an empty table. Other columns are not looked at.
+    without id. Rows of one id are one row, that with the smallest vector. The
+    nearest are of the query's length. An empty table gives an empty table.
+    Other columns are not looked at.
     """
     able = usable_rows(rows.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")))
     able = able.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    lengths = able.groupBy(F.size("embedding").alias("size")).agg(F.count(F.lit(1)).alias("n"))
-    common = lengths.orderBy(F.desc("n"), "size").first()
-    size, count = (common["size"], common["n"]) if common else (0, 0)
-    able = able.filter(F.size("embedding") == size)
-    sample = able.orderBy(F.xxhash64(F.lit("pivot"), "vec_id"), "vec_id").limit(PIVOTS).collect()
-    pivots = np.array([row.embedding for row in sample], dtype=np.float64).reshape(-1, max(1, size))
-    pivots /= np.maximum(np.linalg.norm(pivots, axis=1, keepdims=True), 1e-300)
+    able = able.select(
+        "vec_id", "embedding", F.coalesce(asks, F.lit(False)).alias("asks"), F.size("embedding").alias("size")
+    )
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x))
+    lengths = able.groupBy("size").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("asked"), F.max(norm).alias("most")
+    ).filter("asked > 0").collect()
+    # Where all rows are reranked, none is represented.
+    most = {row["size"]: row["most"] for row in lengths if row["n"] > LEAST_RERANKED}
+    hashed = F.xxhash64(F.lit("pivot"), "vec_id")
+    # A few times as many rows as are taken, so that no task sorts all of a length.
+    few = F.lit(False)
+    for row in lengths:
+        if row["size"] in most:
+            few |= (F.col("size") == row["size"]) & (F.pmod(hashed, F.lit(row["n"])) < 4 * PIVOTS)
+    by_hash = Window.partitionBy("size").orderBy(hashed, "vec_id")
+    sample = able.filter(few).withColumn("place", F.row_number().over(by_hash))
+    sampled: dict[int, list] = {size: [] for size in most}
+    for row in sample.filter(F.col("place") <= PIVOTS).select("size", "embedding").collect():
+        sampled[row["size"]].append(row["embedding"])
+    pivots = {size: filled_up(np.array(some, dtype=np.float64), most[size]) for size, some in sampled.items()}
 
     def represent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                yield batch.assign(pivots=list(representation(matrix(batch["embedding"]), pivots)))
+            for size, some in batch.groupby("size"):
+                if size not in pivots:
+                    yield some.assign(pivots=[[]] * len(some), asked=[[]] * len(some))
+                    continue
+                vectors = matrix(some["embedding"])
+                asked = np.flatnonzero(some["asks"])
+                lists: list = [[]] * len(some)
+                for i, own in zip(asked, representation(asking(vectors[asked]), pivots[size])):
+                    lists[i] = own
+                yield some.assign(pivots=list(representation(filled_up(vectors, most[size]), pivots[size])), asked=lists)
 
     index = stored(
-        able.withColumn("asks", F.coalesce(asks, F.lit(False))).mapInPandas(
-            represent, "vec_id long, embedding array<double>, asks boolean, pivots array<smallint>"
+        able.mapInPandas(
+            represent,
+            "vec_id long, embedding array<double>, asks boolean, size int, pivots array<smallint>, asked array<smallint>",
         ),
         "permutations",
     )
-    shards = max(1, -(-count // SHARD_ROWS))
-    asked = index.filter("asks")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    shard = F.pmod(F.xxhash64(F.lit("shard"), "vec_id"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int")
+    dealt = able.sparkSession.createDataFrame(
+        [(row["size"], -(-row["n"] // SHARD_ROWS), -(-row["asked"] // QUERY_BLOCK)) for row in lengths],
+        "size int, shards int, blocks int",
+    )
+    index = index.join(F.broadcast(dealt), "size")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "vec_id"), F.col("shards")).cast("int")
+    block = F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.col("blocks")).cast("int")
     held = index.select(
-        shard.alias("shard"), numbers(blocks).alias("block"), F.lit(False).alias("asks"), "vec_id", "embedding", "pivots"
+        "size", shard.alias("shard"), numbers("blocks").alias("block"), F.lit(False).alias("asks"), "vec_id", "embedding", "pivots"
     )
-    asking = asked.select(
-        numbers(shards).alias("shard"), block.alias("block"), F.lit(True).alias("asks"), "vec_id", "embedding", "pivots"
+    queries = index.filter("asks").select(
+        "size", numbers("shards").alias("shard"), block.alias("block"), F.lit(True).alias("asks"), "vec_id", "embedding",
+        F.col("asked").alias("pivots"),
     )
-    found = held.union(asking).groupBy("shard", "block").applyInPandas(
+    found = held.union(queries).groupBy("size", "shard", "block").applyInPandas(
         _search, "query_id long, vec_id long, score double"
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

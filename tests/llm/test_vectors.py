@@ -217,3 +217,39 @@ def test_search_with_nulls_ties_copies_and_few_rows(spark):
     able = [(i, x) for i, x, _ in rows if i in (0, 1, 2, 3, 4, 20)]
     assert got == {q: brute_nearest(able, q) for q in (0, 20)}
     assert index.nearest(frame(spark, []), F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("spread", [0.5, 1.0])
+def test_recall_where_norms_differ(spark, spread):
+    import pyspark.sql.functions as F
+
+    chance = np.random.default_rng(9)
+    vectors = chance.normal(size=(6_000, 64))
+    vectors *= np.exp(chance.normal(size=(6_000, 1)) * spread) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors = vectors.astype(np.float32).astype(float)
+    rows = [(i, v, 0) for i, v in enumerate(vectors.tolist())]
+    found = index.nearest(frame(spark, rows), F.col("vec_id") % 50 == 0).toPandas()
+    assert len(found) == 120 * index.NEIGHBOURS
+    hits = 0
+    for query, some in found.groupby("query_id"):
+        scores = vectors @ vectors[query]
+        scores[query] = -np.inf
+        hits += len(set(some.vec_id) & set(np.argsort(-scores)[: index.NEIGHBOURS]))
+    assert hits / len(found) >= 0.95
+
+
+def test_queries_of_every_length_are_answered(spark):
+    import pyspark.sql.functions as F
+
+    chance = np.random.default_rng(10)
+    sizes = {i: 3 if i < 600 else 2 if i < 630 else 5 for i in range(631)}
+    rows = [(i, chance.integers(-9, 9, size).astype(float).tolist(), 0) for i, size in sizes.items()]
+    rows = [(i, [1.0, *v[1:]], label) for i, v, label in rows]
+    found = index.nearest(frame(spark, rows), F.col("vec_id").isin(5, 605, 610, 630)).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r["rank"])):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert set(got) == {5, 605, 610}
+    for query in (605, 610):
+        assert got[query] == brute_nearest([(i, v) for i, v, _ in rows if len(v) == 2], query)
+    assert all(sizes[i] == 3 for i, _ in got[5]) and len(got[5]) == index.NEIGHBOURS
