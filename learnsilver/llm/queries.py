@@ -12,12 +12,15 @@ from learnsilver.llm import (
     agenda_pieces,
     block_mixture,
     chat_prefix_targets,
+    davidson_whitening,
     expected,
     group_prefix_join,
     line_chunks,
     permutation_index,
+    permuterm_variants,
     positive_unlabelled,
     recurrent_extraction,
+    signed_fingerprints,
     sorted_projections,
     string_kernel_toxicity,
 )
@@ -100,6 +103,20 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return agenda_pieces.digests(read(spark, folder, "documents"), model_bytes())
 
 
+def op11_davidson_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return davidson_whitening.whiten(rows)
+
+
+def op12_signed_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return signed_fingerprints.fingerprints(docs, F.col("doc_id") % 50 == 0)
+
+
+def op13_permuterm_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return permuterm_variants.variants(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_sorted_projections,
@@ -112,6 +129,9 @@ def queries() -> dict[str, Query]:
         op8_sentencepiece,
         op9_positive_unlabelled,
         op10_line_chunks,
+        op11_davidson_whitening,
+        op12_signed_fingerprints,
+        op13_permuterm_variants,
     )
     return {query.__name__: _ready(query) for query in found}
 
@@ -130,4 +150,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat_prefix_targets": chat_prefix_targets.ORACLE_SQL,
         "op4_group_prefix_join": expected.GROUP_PREFIX_JOIN,
         "op10_line_chunks": line_chunks.ORACLE_SQL,
+        "op13_permuterm_variants": permuterm_variants.ORACLE_SQL,
     }

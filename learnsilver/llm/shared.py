@@ -65,12 +65,19 @@ def held_out(doc_id: str) -> Column:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """For what is run inside: at most so many rows go to Python at a time."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int, size: int | None = None) -> Iterator[None]:
+    """For what is run inside: at most so many rows go to Python at a time, and about so many bytes."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}
+    if size:
+        wanted["spark.sql.execution.arrow.maxBytesPerBatch"] = str(size)
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
