@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -113,6 +114,9 @@ class Warehouse:
         """Merge the statements that came since the last build into staging."""
         version = self.statements.version(STATEMENTS_TABLE)
         after = self.staging.last_batch(name, STATEMENTS_TABLE)
+        # What staging has not seen is kept for it, also where the store folds it in.
+        consumer = f"{name}-{hashlib.sha256(self.staging.root.encode()).hexdigest()[:16]}"
+        self.statements.mark(STATEMENTS_TABLE, consumer, after)
         new = self.statements.changes(STATEMENTS_TABLE, after)
         if new is None:
             new = self.spark.createDataFrame([], RAW[STATEMENTS_TABLE].ddl) if not after else None
