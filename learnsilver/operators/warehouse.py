@@ -7,12 +7,13 @@ import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from learnsilver.operators.lineage import assert_schema, with_comments
 from learnsilver.operators.rawstore import RawStore
 from learnsilver.operators.states import Folder, States
 from learnsilver.plans import REGISTRY, build_model
+from learnsilver.plans.staging import observed_rejects
 from learnsilver.schemas import MODELS, RAW, SILVER, STAGING, STATEMENTS_TABLE
 from learnsilver.sources.catalog import layer_name
 
@@ -53,6 +54,7 @@ class Warehouse:
         self.run_ts = run_ts
         self.staging_options = staging_options
         self.built: set[str] = set()
+        self._rejects: list[tuple[str, int, int]] = []
         self._states = States(spark, self.root)
         self.statements = statements
         self.staging = RawStore(
@@ -92,22 +94,32 @@ class Warehouse:
         for name in names:
             self.table(name).createOrReplaceTempView(name)
 
-    def plan(self, name: str) -> DataFrame:
+    def plan(self, name: str, observation: Observation | None = None) -> DataFrame:
         """A model as a lazy DataFrame over the tables it reads."""
-        options = self.staging_options if REGISTRY[name].layer == "staging" else {}
+        options = {**self.staging_options, "observation": observation} if name in STAGING else {}
         return build_model(name, self.table, run_ts=self.run_ts, **options)
 
+    def rejects(self) -> DataFrame:
+        """(column, given, rejected): values that the last build of staging met, and those that did not fit.
+
+        Counted as staging was written. With ``statements``, of what came since the build before.
+        """
+        return self.spark.createDataFrame(self._rejects, "column string, given bigint, rejected bigint")
+
     def build(self, name: str) -> None:
         """Write a model anew. Staging must be there where the model reads it."""
         if name in STAGING and self.statements:
             self._refresh(name)
             return
-        df = self.plan(name)
+        counts = Observation() if name in STAGING else None
+        df = self.plan(name, counts)
         assert_schema(df, MODELS[name])
         folder = f"build-{uuid.uuid4().hex}"
         with_comments(df, MODELS[name]).write.parquet(f"{self.root}/{self._name(name)}/{folder}")
         version = self._states.latest(self._name(name))["version"] + 1
         self._states.publish(self._name(name), {"version": version, "folder": folder})
+        if counts:
+            self._rejects = observed_rejects(counts.get)
         self.built.add(name)
 
     def _refresh(self, name: str) -> None:
@@ -121,11 +133,13 @@ class Warehouse:
         if new is None:
             new = self.spark.createDataFrame([], RAW[STATEMENTS_TABLE].ddl) if not after else None
         if new is not None:
-            staged = build_model(name, lambda _: new, **self.staging_options)
+            counts = Observation()
+            staged = build_model(name, lambda _: new, **{**self.staging_options, "observation": counts})
             assert_schema(staged, MODELS[name])
             self.staging.merge(
                 name, staged, MODELS[name].key, batch=f"{STATEMENTS_TABLE}#{version}", changed_only=False
             )
+            self._rejects = observed_rejects(counts.get)
         self.built.add(name)
 
     def build_all(self, names: Iterable[str] = tuple(SILVER)) -> None:

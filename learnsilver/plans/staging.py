@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from learnsilver.functions.columns import cast_text, conform, utc
 from learnsilver.functions.jsonx import (
@@ -131,15 +132,23 @@ def stg_lrs_events(
     extension_map: Mapping[str, str] | None = None,
     extension_prefix: str | None = None,
     strict: bool = False,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Flatten statements; columns nothing is read from are typed NULLs.
 
     ``extension_map`` names further context extensions to read, by staging
     column; ``extension_prefix`` is the IRI they are under (any IRI when
     None). A value that does not fit its type is NULL, or an error when
-    ``strict``.
+    ``strict``. An ``observation`` counts those values as the rows are made
+    (see ``observed_rejects``).
     """
     parsed, texts = _extracted(statements, extension_map, extension_prefix)
+    if observation:
+        parsed = parsed.observe(observation, *[
+            F.expr(f"count_if({condition})").alias(f"{what}_{column}")
+            for column, conditions in _conditions(texts).items()
+            for what, condition in conditions.items()
+        ])
     return conform(
         parsed,
         STAGING["stg_lrs_events"],
@@ -159,11 +168,9 @@ def staging_rejects(
 ) -> DataFrame:
     """Per typed column, how many values were given and how many did not fit the type."""
     parsed, texts = _extracted(statements, extension_map, extension_prefix)
-    typed = {c: t for c, t in texts.items() if _TYPES[c] != "string"}
     checks = [
-        f"named_struct('column', '{column}', 'given', ({text}) is not null, "
-        f"'rejected', ({text}) is not null and {_typed(column, text, False)} is null)"
-        for column, text in typed.items()
+        f"named_struct('column', '{column}', 'given', {c['given']}, 'rejected', {c['rejected']})"
+        for column, c in _conditions(texts).items()
     ]
     return (
         parsed.selectExpr(f"inline(array({', '.join(checks)}))")
@@ -171,3 +178,21 @@ def staging_rejects(
         .agg({"given": "count_if", "rejected": "count_if"})
         .toDF("column", "given", "rejected")
     )
+
+
+def _conditions(texts: Mapping[str, str]) -> dict[str, dict[str, str]]:
+    """Per typed column, when a value was given and when it did not fit the type."""
+    return {
+        column: {
+            "given": f"({text}) is not null",
+            "rejected": f"({text}) is not null and {_typed(column, text, False)} is null",
+        }
+        for column, text in texts.items()
+        if _TYPES[column] != "string"
+    }
+
+
+def observed_rejects(counts: Mapping[str, int]) -> list[tuple[str, int, int]]:
+    """(column, given, rejected) from what an observation of ``stg_lrs_events`` counted."""
+    columns = sorted(name.removeprefix("given_") for name in counts if name.startswith("given_"))
+    return [(column, counts[f"given_{column}"], counts[f"rejected_{column}"]) for column in columns]

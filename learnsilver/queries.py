@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnsilver.operators import incremental, quality
+from learnsilver.operators.pagechains import page_gaps
+from learnsilver.operators.ingestion import load_collections
 from learnsilver.operators.rawstore import STORED_DAY, RawStore, hashed_parts
 from learnsilver.operators.report import load_report
 from learnsilver.operators.states import Folder
@@ -18,11 +20,13 @@ from learnsilver.plans import REGISTRY, build_model
 from learnsilver.plans.bridges import rejected_skill_weights
 from learnsilver.plans.staging import staging_rejects
 from learnsilver.schemas import MODELS, RAW, SILVER, STAGING
-from learnsilver.session import scratch_path, tuned
+from learnsilver.session import scratch_path
 from learnsilver.sources.documents import (
     default_tables,
     parse_documents,
+    read_collection,
     rejected_documents,
+    table_of,
     valid_documents,
 )
 from learnsilver.sources.fixtures import (
@@ -31,8 +35,13 @@ from learnsilver.sources.fixtures import (
     raw_reader,
     table_reader,
 )
-from learnsilver.sources.statements import flatten_pages, rejected_pages
-from learnsilver.streaming.loader import landed_stream, merge_stream
+from learnsilver.sources.statements import (
+    flatten_pages,
+    page_links,
+    rejected_elements,
+    rejected_pages,
+)
+from learnsilver.streaming.loader import landed_stream, load_landed_pages, merge_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_TS = "timestamp_ntz'2024-02-01 00:00:00'"
@@ -116,6 +125,32 @@ def staging_after_second_load(spark: SparkSession, folder: str) -> DataFrame:
     return built.table("stg_lrs_events")
 
 
+@_query
+def staging_after_fold(spark: SparkSession, folder: str) -> DataFrame:
+    """Staging built between loads that the store folds in meanwhile, some of them unseen by it."""
+    store = RawStore(spark, scratch_path(spark, "raw"), most_loads=3)
+    built = Warehouse(
+        spark, scratch_path(spark, "warehouse"), store.read, statements=store, **STAGING_OPTIONS
+    )
+    statements = raw_reader(spark, folder)("lrs_statements")
+    for k in range(5):
+        load = statements.filter(f"cast(id as long) % 5 = {k} or cast(id as long) % 50 = 0")
+        store.merge("lrs_statements", load, "id", changed_only=False)
+        if k != 1:
+            built.build("stg_lrs_events")
+    return built.table("stg_lrs_events")
+
+
+@_query
+def staging_view(spark: SparkSession, folder: str) -> DataFrame:
+    """Built tables as views, asked in SQL."""
+    warehouse(spark, folder, ["stg_lrs_events"]).register_views(["stg_lrs_events"])
+    return spark.sql(
+        "SELECT eventType, count(*) AS events, count(DISTINCT userId) AS users, max(scoreRaw) AS best "
+        "FROM stg_lrs_events GROUP BY eventType"
+    )
+
+
 @_query
 def skill_weight_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Blocks give some weights as words."""
@@ -241,6 +276,101 @@ def ingest_page_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return _counts(given=pages, rejected=rejected_pages(pages), statements=flatten_pages(pages))
 
 
+@_query
+def ingest_page_elements(spark: SparkSession, folder: str) -> DataFrame:
+    """A number stands among the statements of some pages: it alone is lost, and shown."""
+    pages = _pages(spark, folder).selectExpr(
+        "if(event_id % 5 = 0, replace(value, '[{', '[5,{'), value) as value"
+    )
+    return flatten_pages(pages).selectExpr("'statement' as what", "id as text").unionByName(
+        rejected_elements(pages).selectExpr("'element ' || place as what", "element as text")
+    )
+
+
+@_query
+def ingest_page_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Chains of a hundred pages, of which some were not landed and some lead round in a circle."""
+    following = (
+        "case when event_id % 1000 = 599 then event_id - 50 when event_id % 100 = 99 then null else event_id + 1 end"
+    )
+    pages = table_reader(spark, folder)("events").filter("event_id % 250 <> 7").selectExpr(
+        "'https://lrs.example/more/' || event_id as address",
+        f"to_json(named_struct('statements', array(), 'more', coalesce('/more/' || ({following}), ''))) as value",
+    )
+    return page_gaps(page_links(pages))
+
+
+@_query
+def ingest_cursor_tie(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that come late, at the time that the first load had come to, are loaded, and once."""
+    store = RawStore(spark, scratch_path(spark, "raw"))
+    users = _users(spark, folder)
+    numbers = [
+        store.merge("lms_users", users.filter("c_custkey % 2 = 0").drop("c_custkey"), "_id"),
+        *[store.merge("lms_users", users.drop("c_custkey"), "_id") for _ in range(2)],
+    ]
+    loads = spark.createDataFrame(list(enumerate(numbers)), "load long, rows long")
+    return store.read("lms_users").selectExpr("_id", "cast(modified_on as string) as what").unionByName(
+        loads.selectExpr("'load ' || load as _id", "cast(rows as string) as what")
+    )
+
+
+@_query
+def ingest_since_override(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows taken again from a given time on, whatever the state says."""
+    store = RawStore(spark, scratch_path(spark, "raw"))
+    users = _users(spark, folder).drop("c_custkey")
+    store.merge("lms_users", users, "_id")
+    renamed = users.withColumn("last_name", F.lit("renamed"))
+    store.merge("lms_users", renamed, "_id", since="2023-09-01T00:00:00Z")
+    return store.read("lms_users")
+
+
+@_query
+def ingest_clean_start(spark: SparkSession, folder: str) -> DataFrame:
+    """A load that breaks off leaves nothing that is read, and the next one has it all."""
+    store = RawStore(spark, scratch_path(spark, "raw"))
+    users = _users(spark, folder).drop("c_custkey")
+    half = users.filter("cast(_id as long) % 2 = 0")
+    store.merge("lms_users", half, "_id")
+    broken = users.withColumn("last_name", F.expr("if(_id = '1', raise_error('broken off'), 'never')"))
+    try:
+        store.merge("lms_users", broken, "_id", changed_only=False)
+    except Exception as error:  # noqa: BLE001  the failure is the point
+        if "broken off" not in str(error):
+            raise
+    store.merge("lms_users", users, "_id", changed_only=False)
+    return store.read("lms_users")
+
+
+@_query
+def ingest_append_folded(spark: SparkSession, folder: str) -> DataFrame:
+    """More appended loads than stay apart, and rows that a merge between them replaces."""
+    store = RawStore(spark, scratch_path(spark, "raw"))
+    statements = raw_reader(spark, folder)("lrs_statements").select("id", "timestamp")
+    number = "cast(id as long)"
+    for k in range(9):
+        store.append("lrs_statements", statements.filter(f"{number} % 10 = {k}"))
+    again = statements.filter(f"{number} % 10 < 2").withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    store.merge("lrs_statements", again, "id", changed_only=False)
+    store.append("lrs_statements", statements.filter(f"{number} % 10 = 9"))
+    return store.read("lrs_statements")
+
+
+@_query
+def ingest_type_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """A field is a whole number at first, a fraction later and a word in the end."""
+    store = RawStore(spark, scratch_path(spark, "raw"), parts={"lms_users": hashed_parts("_id", 4)})
+    users = _users(spark, folder)
+    grades = ["cast(c_custkey % 7 as int)", "c_custkey / 2", "'grade ' || c_custkey % 7"]
+    for k, grade in enumerate(grades):
+        load = users.filter(f"c_custkey % 3 = {k} or c_custkey % 30 = 0").selectExpr("_id", f"{grade} as grade")
+        store.merge("lms_users", load, "_id", changed_only=False)
+        if k < 2:
+            store.compact("lms_users")
+    return store.read("lms_users")
+
+
 @_query
 def ingest_cursor_null(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that do not say when they changed come with every load."""
@@ -356,6 +486,40 @@ def ingest_incremental_load(spark: SparkSession, folder: str) -> DataFrame:
     return store.read("lms_users").select("_id", "last_name", "modified_on")
 
 
+@_query
+def ingest_collection_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Collections read from exported files, and one through a connector, loaded as a job."""
+    landing = scratch_path(spark, "landing")
+    _exported_users(spark, folder).write.text(f"{landing}/users")
+    courses = raw_reader(spark, folder)("lms_courses")
+    courses.write.parquet(f"{landing}/courses")
+    store = RawStore(spark, scratch_path(spark, "raw"))
+
+    def read(collection: str) -> DataFrame:
+        fmt = "parquet" if collection == "courses" else "text"
+        return valid_documents(read_collection(spark, f"{landing}/{collection}", table_of(collection), fmt))
+
+    load_collections(store, read, ["users", "courses"])
+    return store.read("lms_users").selectExpr("'lms_users' as table", "_id", "modified_on").unionByName(
+        store.read("lms_courses").selectExpr("'lms_courses' as table", "_id", "modified_on")
+    )
+
+
+@_query
+def ingest_landed_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed pages, some of them cut off, loaded by the periodic job; a second run finds nothing new."""
+    landing, seen = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    _pages(spark, folder).selectExpr(
+        "if(event_id % 9 = 0, left(value, length(value) - 1), value) as value"
+    ).repartition(3).write.text(landing)
+    store = RawStore(spark, scratch_path(spark, "raw"), parts={"lrs_statements": STORED_DAY})
+    for _ in range(2):
+        load_landed_pages(spark, store, landing, seen, files_at_once=2).awaitTermination()
+    return _counts(
+        statements=store.read("lrs_statements"), rejected=store.read("lrs_statements_rejected")
+    )
+
+
 @_query
 def ingest_stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Exported documents landed as files, read as a stream and merged batch by batch."""
@@ -393,14 +557,6 @@ def _check(check: Callable[..., DataFrame]) -> Query:
     return lambda spark, folder: check(warehouse(spark, folder, MODELS).table)
 
 
-def _tuned(query: Query) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        with tuned(spark):
-            return query(spark, folder)
-
-    return run
-
-
 def queries() -> dict[str, Query]:
     named = dict(_QUERIES)
     named["staging_rejects"] = named.pop("staging_rejects_query")
@@ -413,9 +569,8 @@ def queries() -> dict[str, Query]:
         "dq_referential": quality.referential,
         "dq_failing_rows": quality.failing_values,
     }
-    found = {
+    return {
         **{name: _model(name) for name in REGISTRY if name not in TYPED_EMPTY},
         **named,
         **{name: _check(check) for name, check in checks.items()},
     }
-    return {name: _tuned(query) for name, query in found.items()}

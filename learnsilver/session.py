@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -41,22 +39,6 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return spark
 
 
-@contextmanager
-def tuned(spark: SparkSession) -> Iterator[None]:
-    """Settings the wide tables profit from, on a session of the caller's, for a while."""
-    before = {key: spark.conf.get(key, None) for key in TUNING}
-    for key, value in TUNING.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder for scratch tables, which every executor can reach.
 

@@ -30,21 +30,30 @@ def normalise(json: str) -> str:
 
     Times become ISO text, also those counted in milliseconds.
     """
-    counted = r'\{\s*"\$date"\s*:\s*\{\s*"\$numberLong"\s*:\s*"(-?\d{1,15})"\s*\}\s*\}'
-    tight = f"regexp_replace({json}, {quoted(counted)}, {quoted(_counted_time('$1', chr(92)))})"
+    counted = r'\{\s*"\$date"\s*:\s*(?:\{\s*"\$numberLong"\s*:\s*"(-?\d{1,15})"\s*\}|(-?\d{1,15}))\s*\}'
+    one_spelling = quoted(_counted_time("$1$2", chr(92)))
+    tight = f"regexp_replace({json}, {quoted(counted)}, {one_spelling})"
     moment = (
         "replace(cast(timestampadd(MILLISECOND, cast(ms as bigint), "
         "timestamp_ntz'1970-01-01 00:00:00') as string), ' ', 'T')"
     )
+    times = quoted(_counted_time("(-?[0-9]+)", chr(92)).replace("{", chr(92) + "{").replace("}", chr(92) + "}"))
     told = (
-        f"aggregate(array_distinct(regexp_extract_all({json}, {quoted(counted)}, 1)), {tight}, "
+        f"aggregate(array_distinct(regexp_extract_all({tight}, {times}, 1)), {tight}, "
         f"(text, ms) -> replace(text, {quoted(_counted_time('@', ''))[:-1].replace('@', chr(39) + ' || ms || ' + chr(39))}', "
         f"'\"' || {moment} || 'Z\"'))"
     )
+    # Most documents have no counted times, many no wrapped numbers: a look for the signs is cheaper.
+    told = f"if({json} rlike {quoted(_COUNTED_SIGN)}, {told}, {json})"
     wrapped = r'\{\s*"\$(?:oid|date)"\s*:\s*("[^"]*")\s*\}'
     number = r'\{\s*"\$number(?:Int|Long|Double|Decimal)"\s*:\s*"(-?\d[^"]*)"\s*\}'
     plain = f"regexp_replace({told}, {quoted(wrapped)}, '$1')"
-    return f"regexp_replace({plain}, {quoted(number)}, '$1')"
+    numbers = f"if(contains({json}, '\"$number'), regexp_replace({plain}, {quoted(number)}, '$1'), {plain})"
+    return f"if(contains({json}, '\"$'), {numbers}, {json})"
+
+
+# What a time counted in milliseconds begins with.
+_COUNTED_SIGN = r'"\$date"\s*:\s*[{0-9-]'
 
 
 def _counted_time(milliseconds: str, escape: str) -> str:
@@ -101,15 +110,20 @@ def parse_documents(documents: DataFrame, contract: Contract, column: str = "val
 
 
 def valid_documents(parsed: DataFrame) -> DataFrame:
-    """The documents that could be read; the others stand in ``_corrupt_record``."""
-    return parsed.filter(f"{CORRUPT} is null").drop(CORRUPT)
+    """The documents that could be read; the others stand in ``_corrupt_record``.
+
+    All rows of a table that comes through a connector: it says nothing of what it could not read.
+    """
+    return parsed.filter(f"{CORRUPT} is null").drop(CORRUPT) if CORRUPT in parsed.columns else parsed
 
 
 def rejected_documents(parsed: DataFrame) -> DataFrame:
     """(field, document): a row for each value that did not fit, and for each unreadable document.
 
-    An unreadable document has no field.
+    An unreadable document has no field. None of a table that comes through a connector.
     """
+    if CORRUPT not in parsed.columns:
+        return parsed.sparkSession.createDataFrame([], "field string, document string")
     return parsed.selectExpr(
         f"explode(if({CORRUPT} is null, {REJECTED}, array(cast(null as string)))) as field",
         f"coalesce({CORRUPT}, {DOCUMENT}) as document",

@@ -11,13 +11,14 @@ from pyspark.sql.streaming import StreamingQuery
 from learnsilver.operators.ingestion import CONCURRENT_LOADS
 from learnsilver.operators.rawstore import RawStore
 from learnsilver.operators.states import Folder
-from learnsilver.schemas import DEFAULT_COLLECTIONS, RAW
+from learnsilver.schemas import DEFAULT_COLLECTIONS, RAW, STATEMENTS_TABLE
 from learnsilver.sources.documents import (
     parse_documents,
     rejected_documents,
     table_of,
     valid_documents,
 )
+from learnsilver.sources.statements import flatten_pages, rejected_parts
 
 # Fixed value: how often the load runs when it runs by itself.
 INTERVAL = "15 minutes"
@@ -89,3 +90,29 @@ def load_landed(
 
     with ThreadPoolExecutor(CONCURRENT_LOADS) as pool:
         list(pool.map(load, [name for name in collections if name in there]))
+
+
+def load_landed_pages(
+    spark: SparkSession,
+    store: RawStore,
+    landing: str,
+    checkpoint: str,
+    interval: str | None = None,
+    files_at_once: int | None = None,
+    page_per_file: bool = False,
+) -> StreamingQuery:
+    """Merge the statements of landed pages that no run before has seen.
+
+    Pages are lines of text files, or whole files with ``page_per_file``.
+    ``files_at_once`` bounds a batch, so that a long backlog is loaded in
+    pieces. Unreadable pages and elements are kept in
+    ``lrs_statements_rejected``. Without an interval the query ends when all
+    that is there has been loaded.
+    """
+    options = {"wholetext": str(page_per_file).lower()}
+    if files_at_once:
+        options["maxFilesPerTrigger"] = str(files_at_once)
+    return merge_stream(
+        landed_stream(spark, landing, **options), store, STATEMENTS_TABLE, RAW[STATEMENTS_TABLE].key,
+        checkpoint, prepare=flatten_pages, rejects=rejected_parts, interval=interval,
+    )

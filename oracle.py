@@ -543,6 +543,55 @@ def _ingest() -> dict[str, str]:
             UNION ALL SELECT 'rejected', count(*) FROM events WHERE event_id % 9 = 0
             UNION ALL SELECT 'statements', CAST(sum(event_id % 4) AS BIGINT) FROM events
               WHERE event_id % 9 <> 0""",
+        "ingest_page_elements": """
+            SELECT 'statement' AS what, CAST(event_id * 4 + n AS VARCHAR) AS text
+            FROM events, (VALUES (1), (2), (3)) AS numbers(n) WHERE n <= event_id % 4
+            UNION ALL SELECT 'element 0', '5' FROM events WHERE event_id % 5 = 0 AND event_id % 4 > 0""",
+        "ingest_page_gaps": """
+            WITH pages AS (
+              SELECT event_id, CASE WHEN event_id % 1000 = 599 THEN event_id - 50
+                WHEN event_id % 100 = 99 THEN NULL ELSE event_id + 1 END AS following
+              FROM events WHERE event_id % 250 <> 7)
+            SELECT '/more/' || event_id AS address, '/more/' || following AS more, 'missing' AS problem
+            FROM pages WHERE following NOT IN (SELECT event_id FROM pages)
+            UNION ALL SELECT '/more/' || event_id, '/more/' || following, 'endless' FROM pages
+            WHERE event_id % 1000 BETWEEN 508 AND 599
+              AND event_id - event_id % 1000 + 599 IN (SELECT event_id FROM pages)""",
+        "ingest_cursor_tie": f"""
+            WITH users AS ({users}),
+            first AS (SELECT * FROM users WHERE CAST(_id AS BIGINT) % 2 = 0),
+            late AS (SELECT * FROM users WHERE CAST(_id AS BIGINT) % 2 = 1
+              AND modified_on >= (SELECT max(modified_on) FROM first))
+            SELECT _id, CAST(modified_on AS VARCHAR) AS what FROM first
+            UNION ALL SELECT _id, CAST(modified_on AS VARCHAR) FROM late
+            UNION ALL SELECT 'load 0', CAST(count(*) AS VARCHAR) FROM first
+            UNION ALL SELECT 'load 1', CAST((SELECT count(*) FROM late) + (SELECT count(*) FROM first
+              WHERE modified_on > (SELECT max(modified_on) FROM first)) AS VARCHAR)
+            UNION ALL SELECT 'load 2', '0'""",
+        "ingest_since_override": f"""
+            SELECT _id, if(modified_on > TIMESTAMP '2023-09-01', 'renamed', last_name) AS last_name, modified_on
+            FROM ({users})""",
+        "ingest_clean_start": users,
+        "ingest_append_folded": f"""
+            SELECT {text('event_id')} AS id, if(event_id % 10 < 2, NULL, ts) AS timestamp FROM events""",
+        "ingest_type_drift": """
+            SELECT CAST(c_custkey AS VARCHAR) AS _id, CASE
+              WHEN c_custkey % 3 = 2 OR c_custkey % 30 = 0 THEN 'grade ' || c_custkey % 7
+              WHEN c_custkey % 3 = 0 THEN CAST(c_custkey % 7 AS VARCHAR)
+              WHEN c_custkey % 2 = 0 THEN CAST(c_custkey // 2 AS VARCHAR)
+              ELSE c_custkey // 2 || '.5' END AS grade FROM customer""",
+        "ingest_collection_scan": f"""
+            SELECT 'lms_users' AS "table", _id, modified_on FROM (
+              SELECT {text('c_custkey')} AS _id, {exported} FROM customer)
+            UNION ALL SELECT 'lms_courses', 'c' || p_partkey,
+              CAST({_EARLIER['updated_at'].replace('key', 'p_partkey')} AS TIMESTAMP) FROM part""",
+        "ingest_landed_pages": """
+            SELECT 'statements' AS what, CAST(sum(event_id % 4) AS BIGINT) AS rows FROM events
+              WHERE event_id % 9 <> 0
+            UNION ALL SELECT 'rejected', count(*) FROM events WHERE event_id % 9 = 0""",
+        "staging_view": f"""
+            SELECT "eventType", count(*) AS events, count(DISTINCT "userId") AS users, max("scoreRaw") AS best
+            FROM ({_models()["stg_lrs_events"]}) GROUP BY ALL""",
         "ingest_cursor_null": f"""
             SELECT _id, last_name, if(CAST(_id AS BIGINT) % 4 = 0, NULL, modified_on) AS modified_on
             FROM ({users}) WHERE CAST(_id AS BIGINT) % 4 = 0 OR modified_on > TIMESTAMP '2023-06-01'""",
@@ -689,6 +738,6 @@ def oracle_sql() -> dict[str, str]:
     models = _models()
     shown = {name: sql for name, sql in models.items() if name not in EMPTY}
     any_host = dict.fromkeys(
-        ("stg_lrs_events_any_host", "staging_after_second_load"), models["stg_lrs_events"]
+        ("stg_lrs_events_any_host", "staging_after_second_load", "staging_after_fold"), models["stg_lrs_events"]
     )
     return {**shown, **any_host, **_ingest(), **_checks(models)}
