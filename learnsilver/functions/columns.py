@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 from learnsilver.schemas import Contract
 
 
+# What a row of a model is made from, where the model's table is patched (see ``Warehouse``).
+GROUP = "_group"
+
+
 def widen(df: DataFrame, contract: Contract) -> DataFrame:
     """Add the contract's columns that the table lacks, as typed NULLs."""
     present = set(df.columns)
@@ -21,7 +25,10 @@ def widen(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def conform(df: DataFrame, contract: Contract, /, **columns: str) -> DataFrame:
-    """Project to the contract: the given expressions cast to their type, others typed NULLs."""
+    """Project to the contract: the given expressions cast to their type, others typed NULLs.
+
+    A column ``GROUP`` of the rows goes along.
+    """
     unknown = set(columns) - set(contract.names)
     if unknown:
         raise ValueError(f"{contract.name} has no column {sorted(unknown)}")
@@ -29,7 +36,8 @@ def conform(df: DataFrame, contract: Contract, /, **columns: str) -> DataFrame:
         *[
             f"cast({columns.get(name, 'null')} as {dtype}) as `{name}`"
             for name, dtype in contract.columns
-        ]
+        ],
+        *[GROUP for name in df.columns if name == GROUP],
     )
 
 

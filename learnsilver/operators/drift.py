@@ -8,8 +8,6 @@ the steps it took there: ``1`` and ``1.0`` are both ``1``.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,11 +94,12 @@ def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The rows with the columns of ``schema``, which is as wide as theirs or wider."""
     own = {f.name: f.dataType for f in df.schema}
     return df.select(*[
-        (as_type(F.col(f"`{f.name}`"), storable(own[f.name]), f.dataType) if f.name in own
+        (as_type(_stored(F.col(f"`{f.name}`"), own[f.name]), storable(own[f.name]), f.dataType) if f.name in own
          else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema
     ])
 
 
-def common(schemas: list[T.StructType]) -> T.StructType:
-    return reduce(merged, schemas)
+def _stored(value: Column, dtype: T.DataType) -> Column:
+    """The value under the type it is written as."""
+    return value.cast(storable(dtype)) if "void" in dtype.simpleString() else value

@@ -180,7 +180,10 @@ class RawStore:
         """All rows of some loads, as they came."""
         by_schema: dict[int, list[str]] = {}
         for load in loads:
-            by_schema.setdefault(load["schema"], []).append(self._at(table, load["folder"], f"{ASIDE}={aside}"))
+            if load.get("rows", 1):
+                by_schema.setdefault(load["schema"], []).append(self._at(table, load["folder"], f"{ASIDE}={aside}"))
+        if not by_schema:
+            return self.spark.createDataFrame([], _schema(state))
         return reduce(DataFrame.union, [self._open(state, schema, paths) for schema, paths in by_schema.items()])
 
     def _base(self, table: str, state: dict, parts: list[str] | None = None) -> list[DataFrame]:
@@ -199,19 +202,27 @@ class RawStore:
         if not frames:
             return self.spark.createDataFrame([], _schema(state))
         whole = reduce(DataFrame.union, frames)
-        merges = [
-            rows.select(F.col(state["key"]).alias("_key"), F.lit(load["version"]).alias("_merged"))
-            for load, rows in loads
-            if load["mode"] == "merge"
-        ]
+        merges = [load for load in state["loads"] if load["mode"] == "merge"]
         if merges and len(frames) > 1:
             # Keys and numbers only: Spark broadcasts them by their measured size, or joins by key.
-            last = reduce(DataFrame.union, merges).groupBy("_key").agg(F.max("_merged").alias("_merged"))
+            last = self._merged_keys(table, state, merges).groupBy("_key").agg(F.max("_merged").alias("_merged"))
             whole = whole.join(last, F.col(state["key"]) == F.col("_key"), "left").filter(
                 f"_merged IS NULL OR _merged <= {VERSION}"
             )
         return whole.select(*_schema(state).names)
 
+    def _merged_keys(self, table: str, state: dict, merges: list[dict]) -> DataFrame:
+        """(_key, _merged) of the keys that merges replaced, and the merge's version."""
+        key = next(f for f in _schema(state) if f.name == state["key"])
+        found = []
+        for load in merges:
+            if "keys" in load:
+                rows = self.spark.read.parquet(f"{self.root}/{table}/{load['keys']}").select(F.col("_key").cast(key.dataType))
+            else:
+                rows = self._loaded(table, state, [load]).select(F.col(f"`{key.name}`").alias("_key"))
+            found.append(rows.withColumn("_merged", F.lit(load["version"])))
+        return reduce(DataFrame.union, found)
+
     # -- writing -----------------------------------------------------------------
 
     def _fresh(self, kind: str = "load") -> str:
@@ -234,18 +245,26 @@ class RawStore:
         return folder, facts.get["rows"], facts.get["aside"], facts.get["cursor"]
 
     def _load(
-        self, table: str, state: dict, df: DataFrame, mode: str, key: str | None, batch: str | None
+        self, table: str, state: dict, df: DataFrame, mode: str, key: str | None, batch: str | None,
+        replaced: DataFrame | None = None,
     ) -> int:
-        folder, rows, aside, cursor = self._land(table, df, key)
-        if not rows and not aside:
-            return 0
         state = {**_EMPTY, **state}
+        # A column of nothing but nulls says nothing of its type.
+        known = {f.name: f.dataType for f in _schema(state)} if state["schema"] is not None else {}
+        nulls = {f.name: known[f.name] for f in df.schema if isinstance(f.dataType, T.NullType) and f.name in known}
+        df = df.withColumns({name: F.lit(None).cast(dtype) for name, dtype in nulls.items()})
+        folder, rows, aside, cursor = self._land(table, df, None if replaced else key)
+        if not rows and not aside and not replaced:
+            return 0
         own = storable(df.schema)
         state, schema = _with_schema(state, own)
         state, _ = _with_schema(state, merged(_schema(state), own) if state["schema"] is not None else own, table=True)
         stream, _, number = (batch or "").rpartition("#")
         version = state["version"] + 1
         load = {"folder": folder, "version": version, "mode": mode, "rows": rows, "schema": schema}
+        if replaced:
+            load["keys"] = self._fresh("keys")
+            replaced.toDF("_key").distinct().write.parquet(f"{self.root}/{table}/{load['keys']}")
         last = max((c for c in (state["cursor"], cursor) if c), default=None)
         ties = (state["ties"] if last == state["cursor"] else []) + ([load] if cursor and cursor == last and rows else [])
         state |= {
@@ -254,7 +273,7 @@ class RawStore:
             "cursor": last,
             "ties": [{"folder": t["folder"], "schema": t["schema"]} for t in ties],
             "batches": {**state["batches"], **({stream: int(number)} if batch else {})},
-            "loads": [*state["loads"], *([load] if rows else [])],
+            "loads": [*state["loads"], *([load] if rows or replaced else [])],
             "aside": [*state["aside"], *([{**load, "mode": "append", "rows": aside}] if aside else [])],
             "rows_aside": state["rows_aside"] + aside,
         }
@@ -301,6 +320,19 @@ class RawStore:
             df = found if late is None else found.unionByName(late)
         return self._load(table, state, latest_per_key(df, key), "merge", key, batch)
 
+    def replace(
+        self, table: str, df: DataFrame, key: str, keys: DataFrame, batch: str | None = None
+    ) -> int:
+        """Put the rows of ``df`` in place of all rows whose key is one of ``keys`` (one column).
+
+        A key may have several rows, or none any more. The keys of ``df`` must
+        be among ``keys``. A known batch is not loaded again.
+        """
+        state = self._states.latest(table)
+        if _is_known(state, batch):
+            return 0
+        return self._load(table, state, df, "merge", key, batch, replaced=keys)
+
     def _late(self, table: str, state: dict, df: DataFrame, key: str) -> DataFrame | None:
         """The rows at the stored cursor whose keys were not loaded with it; rows without key are not known apart."""
         column = cursor_column(df)
@@ -422,7 +454,7 @@ class RawStore:
         """The parts of the base that hold a key of the loads; only files that may hold one are opened."""
         key, live = state["key"], [(p, f) for p, f in state["base"].items()]
         loads = [load for load in state["loads"] if load["mode"] == "merge"]
-        keys = self._loaded(table, state, loads).select(key).distinct()
+        keys = self._merged_keys(table, state, loads).select(F.col("_key").alias(key)).distinct()
         files = self.files_that_may_hold(table, keys)
         if files is None:
             paths = [self._at(table, f, f"{PART}={p}") for p, f in live]
@@ -476,7 +508,8 @@ class RawStore:
         for state in self._states.kept(table):
             state = {**_EMPTY, **state}
             named |= {*state["base"].values(), *state["indexes"].values()}
-            named |= {load["folder"] for part in ("loads", "feed", "aside", "ties") for load in state[part]}
+            listed = [load for part in ("loads", "feed", "aside", "ties") for load in state[part]]
+            named |= {load["folder"] for load in listed} | {load["keys"] for load in listed if "keys" in load}
         gone = [name for name in self._folder.names(table) if name not in named]
         for name in gone:
             self._folder.remove(f"{table}/{name}")

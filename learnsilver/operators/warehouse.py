@@ -8,7 +8,9 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from learnsilver.functions.columns import GROUP
 from learnsilver.operators.lineage import assert_schema, with_comments
 from learnsilver.operators.rawstore import RawStore
 from learnsilver.operators.states import Folder, States
@@ -19,6 +21,21 @@ from learnsilver.sources.catalog import layer_name
 
 # Fixed value: how many models are built at the same time.
 CONCURRENT_MODELS = 8
+# Models whose rows each hang on the events of one value of a staging column: the column.
+GROUPED = {
+    "fact_learning_event": "event_id",
+    "fact_ai_interaction": "event_id",
+    "fact_launch": "event_id",
+    "dim_session": "sessionId",
+    "fact_session_summary": "sessionId",
+}
+# Partition expressions of the tables of those models.
+GROUPED_PARTS = {
+    "fact_learning_event": "to_date(event_timestamp_utc)",
+    "fact_ai_interaction": "to_date(interaction_timestamp)",
+    "fact_launch": "to_date(launch_timestamp_utc)",
+    "dim_session": "to_date(session_start)",
+}
 # Partition expression of staging that is kept up to date.
 EVENT_DAY = "to_date(event_timestamp)"
 
@@ -34,7 +51,9 @@ class Warehouse:
 
     With ``statements``, the raw store they are in, staging is not rebuilt:
     only statements that came since the last build are parsed and merged by
-    id, into a table by day.
+    id, into a table by day. Nor are the models of ``GROUPED``: what hangs on
+    events that came or changed since is made anew and put in place of what
+    hung on them before.
     """
 
     def __init__(
@@ -60,6 +79,7 @@ class Warehouse:
         self.staging = RawStore(
             spark, f"{self.root}/{layer_name('staging', prefix)}_loads", parts=dict.fromkeys(STAGING, EVENT_DAY)
         )
+        self.patched = RawStore(spark, f"{self.root}/{layer_name('silver', prefix)}_loads", parts=GROUPED_PARTS)
 
     def _name(self, name: str) -> str:
         return f"{layer_name(REGISTRY[name].layer, self.prefix)}/{name}"
@@ -84,6 +104,8 @@ class Warehouse:
         """A built model, or a raw table; a raw table not loaded yet is empty."""
         if name in STAGING and self.statements:
             return self.staging.read(name).select(*MODELS[name].names)
+        if name in GROUPED and self.statements:
+            return self.patched.read(name).select(*MODELS[name].names)
         if name in MODELS:
             return self.spark.read.schema(MODELS[name].ddl).parquet(self.path(name))
         raw = self.read_raw(name)
@@ -111,6 +133,9 @@ class Warehouse:
         if name in STAGING and self.statements:
             self._refresh(name)
             return
+        if name in GROUPED and self.statements:
+            self._patch(name)
+            return
         counts = Observation() if name in STAGING else None
         df = self.plan(name, counts)
         assert_schema(df, MODELS[name])
@@ -127,8 +152,7 @@ class Warehouse:
         version = self.statements.version(STATEMENTS_TABLE)
         after = self.staging.last_batch(name, STATEMENTS_TABLE)
         # What staging has not seen is kept for it, also where the store folds it in.
-        consumer = f"{name}-{hashlib.sha256(self.staging.root.encode()).hexdigest()[:16]}"
-        self.statements.mark(STATEMENTS_TABLE, consumer, after)
+        self.statements.mark(STATEMENTS_TABLE, self._consumer(name), after)
         new = self.statements.changes(STATEMENTS_TABLE, after)
         if new is None:
             new = self.spark.createDataFrame([], RAW[STATEMENTS_TABLE].ddl) if not after else None
@@ -142,6 +166,50 @@ class Warehouse:
             self._rejects = observed_rejects(counts.get)
         self.built.add(name)
 
+    def _consumer(self, name: str) -> str:
+        return f"{name}-{hashlib.sha256(self.root.encode()).hexdigest()[:16]}"
+
+    def _patch(self, name: str) -> None:
+        """Make the rows anew that hang on events that came or changed since the last build."""
+        (staged,) = REGISTRY[name].inputs
+        column, members = GROUPED[name], f"{name}_members"
+        version, after = self.staging.version(staged), self.patched.last_batch(name, staged)
+        self.staging.mark(staged, self._consumer(name), after)
+        by_event = column == MODELS[staged].key
+        if not by_event and self.patched.last_batch(members, staged) != after:
+            after = 0  # a build broke off between the two tables
+        changes = self.staging.changes(staged, after)
+        if changes is None and after:
+            self.built.add(name)
+            return
+        whole = self.staging.read(staged)
+        changes = whole if changes is None else changes
+        if by_event or not after:
+            events = changes
+            groups = changes.select(column).filter(f"{column} is not null")
+        else:
+            # The groups that the events are in now, and those they were in before.
+            ids = changes.select("event_id")
+            before = self.patched.read(members).join(ids, "event_id", "left_semi").select(column)
+            groups = changes.select(column).union(before).filter(f"{column} is not null").distinct()
+            events = whole.join(groups, column, "left_semi")
+        rows = build_model(
+            name, lambda _: events.withColumn(GROUP, F.col(column)) if by_event else events, run_ts=self.run_ts
+        )
+        if not by_event:
+            rows = rows.withColumn(GROUP, F.col("session_id"))
+        assert_schema(rows.drop(GROUP), MODELS[name])
+        if not after and self.patched.version(name):
+            # Everything anew: what is there goes, whatever it hung on.
+            groups = groups.union(self.patched.read(name).select(GROUP)).filter(f"{column} is not null")
+        batch = f"{staged}#{version}"
+        # A table that is made anew has the batch already where a build broke off after it.
+        done = self.patched.last_batch(name, staged) >= version
+        self.patched.replace(name, rows, GROUP, groups, batch=None if done else batch)
+        if not by_event:
+            self.patched.merge(members, changes.select("event_id", column), "event_id", batch=batch, changed_only=False)
+        self.built.add(name)
+
     def build_all(self, names: Iterable[str] = tuple(SILVER)) -> None:
         """Write the named models anew, and staging first where one of them reads it."""
         names = list(names)

@@ -141,6 +141,33 @@ def staging_after_fold(spark: SparkSession, folder: str) -> DataFrame:
     return built.table("stg_lrs_events")
 
 
+def _patched(model: str) -> Query:
+    """A model built after each of two loads; the second has new and resent statements, some in other sessions."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        store = RawStore(spark, scratch_path(spark, "raw"), parts={"lrs_statements": STORED_DAY})
+        built = Warehouse(
+            spark, scratch_path(spark, "warehouse"), store.read, statements=store, run_ts=RUN_TS, **STAGING_OPTIONS
+        )
+        statements = raw_reader(spark, folder)("lrs_statements")
+        number = "cast(id as long)"
+        moved = "replace(replace(context, 'session_id\":\"', 'session_id\":\"old-'), '_tool_id', '_no_id')"
+        early = statements.filter(f"{number} % 4 <> 0").withColumn(
+            "context", F.expr(f"if({number} % 8 = 1, {moved}, context)")
+        )
+        for load in (early, statements.filter(f"{number} % 4 = 0 or {number} % 8 = 1")):
+            store.merge("lrs_statements", load, "id", changed_only=False)
+            built.build_all([model])
+        return built.table(model)
+
+    return run
+
+
+_QUERIES["silver_after_second_load"] = _patched("fact_learning_event")
+_QUERIES["launches_after_second_load"] = _patched("fact_launch")
+_QUERIES["sessions_after_second_load"] = _patched("fact_session_summary")
+
+
 @_query
 def staging_view(spark: SparkSession, folder: str) -> DataFrame:
     """Built tables as views, asked in SQL."""

@@ -740,4 +740,9 @@ def oracle_sql() -> dict[str, str]:
     any_host = dict.fromkeys(
         ("stg_lrs_events_any_host", "staging_after_second_load", "staging_after_fold"), models["stg_lrs_events"]
     )
-    return {**shown, **any_host, **_ingest(), **_checks(models)}
+    patched = {
+        "silver_after_second_load": models["fact_learning_event"],
+        "launches_after_second_load": models["fact_launch"],
+        "sessions_after_second_load": models["fact_session_summary"],
+    }
+    return {**shown, **any_host, **patched, **_ingest(), **_checks(models)}

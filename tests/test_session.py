@@ -29,13 +29,3 @@ def test_scratch_paths_are_never_shared():
     spark = fake(spark_checkpoint_dir="/shared")
     one, two = session.scratch_path(spark, "raw"), session.scratch_path(spark, "raw")
     assert one != two and one.startswith("/shared/raw-")
-
-
-def test_settings_are_set_back(spark):
-    key = next(iter(session.TUNING))
-    before = spark.conf.get(key)
-    spark.conf.set(key, "1234")
-    with session.tuned(spark):
-        assert spark.conf.get(key) == session.TUNING[key]
-    assert spark.conf.get(key) == "1234"
-    spark.conf.set(key, before)
