@@ -1,6 +1,6 @@
 """Table contracts: columns, types, keys, references and descriptions.
 
-A contract is written as ``name type`` pairs. Silver contracts list the output
+Columns are written as Spark DDL; names, order and types are fixed values. Silver contracts list the output
 columns in order; raw contracts list the columns the models read, and a raw
 table that lacks one of them gets it as a typed NULL.
 """
@@ -12,13 +12,9 @@ from dataclasses import dataclass
 Columns = tuple[tuple[str, str], ...]
 
 
-def _columns(text: str) -> Columns:
-    """Read ``type: name name ...`` groups, one per line, in column order."""
-    out: list[tuple[str, str]] = []
-    for line in text.strip().splitlines():
-        dtype, _, names = line.strip().partition(":")
-        out.extend((name, dtype.strip()) for name in names.split())
-    return tuple(out)
+def _columns(ddl: str) -> Columns:
+    """The columns of a DDL string, in order; none of the types here has a comma."""
+    return tuple(tuple(column.split(maxsplit=1)) for column in " ".join(ddl.split()).split(","))
 
 
 @dataclass(frozen=True)
@@ -67,42 +63,36 @@ DEFAULT_COLLECTIONS = (
 STATEMENTS_TABLE = "lrs_statements"
 STATEMENTS_ALIAS = "xapi_statements"
 
-_SNAKE_TIMES = "timestamp_ntz: created_on modified_on"
-_CAMEL_TIMES = "timestamp_ntz: createdAt updatedAt"
+_SNAKE_TIMES = "created_on timestamp_ntz, modified_on timestamp_ntz"
+_CAMEL_TIMES = "createdAt timestamp_ntz, updatedAt timestamp_ntz"
 _CONTENT = f"""
-    string: _id schoolId courseId sectionId interactionType title description
-    double: difficultyEstimate
-    string: metadata
-    {_CAMEL_TIMES}
+    _id string, schoolId string, courseId string, sectionId string, interactionType string,
+    title string, description string, difficultyEstimate double, metadata string, {_CAMEL_TIMES}
 """
 _RAW = {
     "lms_users": (
         f"""
-        string: _id role first_name last_name school grade
+        _id string, role string, first_name string, last_name string, school string, grade string,
         {_SNAKE_TIMES}
         """,
         "People known to the learning platform, with their role or list of roles",
     ),
     "lms_schools": (
         f"""
-        string: _id name location
-        {_SNAKE_TIMES}
+        _id string, name string, location string, {_SNAKE_TIMES}
         """,
         "Schools taking part",
     ),
     "lms_courses": (
         f"""
-        string: _id caption
-        array<string>: disciplines grades
+        _id string, caption string, disciplines array<string>, grades array<string>,
         {_SNAKE_TIMES}
         """,
         "Course catalogue",
     ),
     "lms_enrollments": (
         f"""
-        string: _id student course group
-        int: year
-        string: status
+        _id string, student string, course string, group string, year int, status string,
         {_SNAKE_TIMES}
         """,
         "Which student attends which course, in which group and year",
@@ -112,94 +102,86 @@ _RAW = {
     "lms_lessons": (_CONTENT, "Lessons"),
     "lms_exercises": (
         f"""
-        string: _id schoolId courseId sectionId termId title description
-        double: maxScore passingScore
-        string: metadata items
-        {_CAMEL_TIMES}
+        _id string, schoolId string, courseId string, sectionId string, termId string,
+        title string, description string, maxScore double, passingScore double, metadata string,
+        items string, {_CAMEL_TIMES}
         """,
         "Exercises and their items",
     ),
     "lms_assessment_profiles": (
         f"""
-        string: _id schoolId courseId sectionId termId contentId title description
-        string: assessmentType gradingScheme
-        double: maxScore passingScore
-        string: metadata items
+        _id string, schoolId string, courseId string, sectionId string, termId string,
+        contentId string, title string, description string, assessmentType string,
+        gradingScheme string, maxScore double, passingScore double, metadata string, items string,
         {_CAMEL_TIMES}
         """,
         "Assessment definitions and the items they are made of",
     ),
     "lms_exercise_submissions": (
         """
-        string: _id userId sessionId schoolId termId courseId sectionId exerciseId
-        timestamp_ntz: startedAt submittedAt
-        double: scoreRaw scoreScaled scorePercent
-        boolean: passed
-        int: attemptNumber itemCount completedItemCount
-        string: metadata sourcePayload itemId
-        int: itemPosition
-        double: itemPoints
-        string: itemResponses
+        _id string, userId string, sessionId string, schoolId string, termId string,
+        courseId string, sectionId string, exerciseId string, startedAt timestamp_ntz,
+        submittedAt timestamp_ntz, scoreRaw double, scoreScaled double, scorePercent double,
+        passed boolean, attemptNumber int, itemCount int, completedItemCount int, metadata string,
+        sourcePayload string, itemId string, itemPosition int, itemPoints double,
+        itemResponses string
         """,
         "Handed-in attempts with one entry per answered item",
     ),
     "lms_rules": (
         f"""
-        string: _id type externalCode name description domain strand level
-        string: parentSkillId framework gradeBand subject parentStandardId metadata
-        {_CAMEL_TIMES}
+        _id string, type string, externalCode string, name string, description string,
+        domain string, strand string, level string, parentSkillId string, framework string,
+        gradeBand string, subject string, parentStandardId string, metadata string, {_CAMEL_TIMES}
         """,
         "Skill and standard definitions",
     ),
     "lms_modules": (
         f"""
-        string: _id schoolId courseId title description
-        int: order
-        string: metadata
-        {_CAMEL_TIMES}
+        _id string, schoolId string, courseId string, title string, description string, order int,
+        metadata string, {_CAMEL_TIMES}
         """,
         "Course modules; loaded, read by no model",
     ),
     "lms_projects": (
         f"""
-        string: _id schoolId courseId title description metadata
-        {_CAMEL_TIMES}
+        _id string, schoolId string, courseId string, title string, description string,
+        metadata string, {_CAMEL_TIMES}
         """,
         "Projects; loaded, read by no model",
     ),
     "lms_project_enrollments": (
         f"""
-        string: _id userId projectId status metadata
+        _id string, userId string, projectId string, status string, metadata string,
         {_CAMEL_TIMES}
         """,
         "Project members; loaded, read by no model",
     ),
     "lms_surveys": (
         f"""
-        string: _id schoolId title description metadata
+        _id string, schoolId string, title string, description string, metadata string,
         {_CAMEL_TIMES}
         """,
         "Surveys; loaded, read by no model",
     ),
     "lms_survey_enrollments": (
         f"""
-        string: _id userId surveyId status metadata
-        {_CAMEL_TIMES}
+        _id string, userId string, surveyId string, status string, metadata string, {_CAMEL_TIMES}
         """,
         "Survey members; loaded, read by no model",
     ),
     "lms_survey_submissions": (
         f"""
-        string: _id userId surveyId responses metadata
-        timestamp_ntz: submittedAt createdAt updatedAt
+        _id string, userId string, surveyId string, responses string, metadata string,
+        submittedAt timestamp_ntz, createdAt timestamp_ntz, updatedAt timestamp_ntz
         """,
         "Survey answers; loaded, read by no model",
     ),
     STATEMENTS_TABLE: (
         """
-        string: id
-        timestamp_ntz: timestamp stored
-        string: actor verb object result context authority version attachments
+        id string, timestamp timestamp_ntz, stored timestamp_ntz, actor string, verb string,
+        object string, result string, context string, authority string, version string,
+        attachments string
         """,
         "xAPI statements as received, JSON parts kept as text",
     ),
@@ -225,22 +207,22 @@ STAGING = {
         key="event_id",
         columns=_columns(
             """
-            string: event_id
-            timestamp_ntz: event_timestamp
-            string: userId verbId verbIri verbShortCode verbDescription objectId objectType
-            string: sessionId schoolId courseId sectionId assessmentId skillId
-            string: platformId ltiToolId aiToolId deviceId deviceType os browser userAgent
-            string: termId membershipId targetType targetId generatedType generatedId
-            string: contentId itemId standardId
-            int: attemptNumber
-            boolean: success completion isCorrect
-            double: scoreRaw scoreMin scoreMax scoreScaled scorePercent
-            string: response
-            int: durationSeconds latencyMs
-            string: eventType eventSource timezone actorType impersonatedUserId
-            string: toolName provider modelName capabilityType platformName vendor version
-            string: environment launchType ltiLaunchId variantId experimentId
-            string: signalType signalValue metadata fullStatement
+            event_id string, event_timestamp timestamp_ntz, userId string, verbId string,
+            verbIri string, verbShortCode string, verbDescription string, objectId string,
+            objectType string, sessionId string, schoolId string, courseId string,
+            sectionId string, assessmentId string, skillId string, platformId string,
+            ltiToolId string, aiToolId string, deviceId string, deviceType string, os string,
+            browser string, userAgent string, termId string, membershipId string,
+            targetType string, targetId string, generatedType string, generatedId string,
+            contentId string, itemId string, standardId string, attemptNumber int,
+            success boolean, completion boolean, isCorrect boolean, scoreRaw double,
+            scoreMin double, scoreMax double, scoreScaled double, scorePercent double,
+            response string, durationSeconds int, latencyMs int, eventType string,
+            eventSource string, timezone string, actorType string, impersonatedUserId string,
+            toolName string, provider string, modelName string, capabilityType string,
+            platformName string, vendor string, version string, environment string,
+            launchType string, ltiLaunchId string, variantId string, experimentId string,
+            signalType string, signalValue string, metadata string, fullStatement string
             """
         ),
         description="One row per statement, flattened",
@@ -251,17 +233,13 @@ STAGING = {
 # Silver
 # ---------------------------------------------------------------------------
 
-_RECORD_TIMES = "timestamp_ntz: created_at updated_at"
+_RECORD_TIMES = "created_at timestamp_ntz, updated_at timestamp_ntz"
 _MEMBERSHIP = f"""
-    string: role_key
-    date: begin_date end_date
-    string: status metadata
+    role_key string, begin_date date, end_date date, status string, metadata string,
     {_RECORD_TIMES}
 """
 _MAP_TAIL = f"""
-    double: weight
-    string: source metadata
-    {_RECORD_TIMES}
+    weight double, source string, metadata string, {_RECORD_TIMES}
 """
 
 # name -> (columns, description, required columns, unique column lists); the
@@ -269,12 +247,9 @@ _MAP_TAIL = f"""
 _SILVER: dict[str, tuple] = {
     "dim_date": (
         """
-        int: date_id
-        date: date
-        int: year month day quarter week_of_year day_of_week
-        string: day_name
-        boolean: is_weekend is_holiday
-        string: holiday_name
+        date_id int, date date, year int, month int, day int, quarter int, week_of_year int,
+        day_of_week int, day_name string, is_weekend boolean, is_holiday boolean,
+        holiday_name string
         """,
         "Calendar days on which something happened",
         "date year month day quarter week_of_year day_of_week day_name is_weekend is_holiday",
@@ -282,8 +257,7 @@ _SILVER: dict[str, tuple] = {
     ),
     "dim_time_of_day": (
         """
-        int: time_of_day_id hour minute second
-        string: label
+        time_of_day_id int, hour int, minute int, second int, label string
         """,
         "Seconds of the day at which something happened",
         "hour minute second label",
@@ -291,89 +265,80 @@ _SILVER: dict[str, tuple] = {
     ),
     "dim_organization": (
         f"""
-        string: organization_id source_system source_organization_key name
-        string: organization_type parent_organization_id country_code region timezone
-        string: external_ref_uri metadata
-        {_RECORD_TIMES}
+        organization_id string, source_system string, source_organization_key string, name string,
+        organization_type string, parent_organization_id string, country_code string,
+        region string, timezone string, external_ref_uri string, metadata string, {_RECORD_TIMES}
         """,
         "Schools and other organisations",
         "name",
     ),
     "dim_person": (
         f"""
-        string: person_id source_system source_person_key external_user_id person_type
-        string: full_name given_name family_name primary_language secondary_language
-        date: birth_date
-        string: home_organization_id grade_level employment_type demographics
-        string: enrollment_status metadata
-        {_RECORD_TIMES}
+        person_id string, source_system string, source_person_key string, external_user_id string,
+        person_type string, full_name string, given_name string, family_name string,
+        primary_language string, secondary_language string, birth_date date,
+        home_organization_id string, grade_level string, employment_type string,
+        demographics string, enrollment_status string, metadata string, {_RECORD_TIMES}
         """,
         "Learners, teachers and staff in one dimension",
         "person_type",
     ),
     "dim_academic_term": (
         f"""
-        string: term_id source_system source_term_key organization_id school_year
-        string: term_type name
-        date: start_date end_date
-        string: metadata
-        {_RECORD_TIMES}
+        term_id string, source_system string, source_term_key string, organization_id string,
+        school_year string, term_type string, name string, start_date date, end_date date,
+        metadata string, {_RECORD_TIMES}
         """,
         "Terms, one default term per enrolment year",
     ),
     "dim_course": (
         f"""
-        string: course_id source_system source_course_key organization_id code name
-        string: subject grade_band academic_year metadata
-        {_RECORD_TIMES}
+        course_id string, source_system string, source_course_key string, organization_id string,
+        code string, name string, subject string, grade_band string, academic_year string,
+        metadata string, {_RECORD_TIMES}
         """,
         "Courses",
         "name",
     ),
     "dim_section": (
         f"""
-        string: section_id source_system source_section_key organization_id course_id
-        string: term_id code name
-        date: start_date end_date
-        string: delivery_mode metadata
-        {_RECORD_TIMES}
+        section_id string, source_system string, source_section_key string,
+        organization_id string, course_id string, term_id string, code string, name string,
+        start_date date, end_date date, delivery_mode string, metadata string, {_RECORD_TIMES}
         """,
         "Teaching groups of a course in a year",
     ),
     "dim_content": (
         f"""
-        string: content_id source_system source_content_key owner_organization_id
-        string: course_id section_id content_type interaction_type title description
-        double: difficulty_estimate
-        string: metadata
-        {_RECORD_TIMES}
+        content_id string, source_system string, source_content_key string,
+        owner_organization_id string, course_id string, section_id string, content_type string,
+        interaction_type string, title string, description string, difficulty_estimate double,
+        metadata string, {_RECORD_TIMES}
         """,
         "Pages, blocks and lessons",
     ),
     "dim_assessment": (
         f"""
-        string: assessment_id source_system source_assessment_key organization_id
-        string: course_id section_id term_id content_id title description assessment_type
-        double: max_score passing_score
-        string: grading_scheme metadata
+        assessment_id string, source_system string, source_assessment_key string,
+        organization_id string, course_id string, section_id string, term_id string,
+        content_id string, title string, description string, assessment_type string,
+        max_score double, passing_score double, grading_scheme string, metadata string,
         {_RECORD_TIMES}
         """,
         "Assessment profiles and scored exercises",
     ),
     "dim_assessment_item": (
         f"""
-        string: item_id source_system source_item_key assessment_id content_id item_type
-        string: interaction_type prompt_summary
-        double: difficulty_estimate max_score
-        string: metadata
-        {_RECORD_TIMES}
+        item_id string, source_system string, source_item_key string, assessment_id string,
+        content_id string, item_type string, interaction_type string, prompt_summary string,
+        difficulty_estimate double, max_score double, metadata string, {_RECORD_TIMES}
         """,
         "Items of exercises, numbered within the exercise",
     ),
     "dim_skill": (
         f"""
-        string: skill_id external_skill_code name description domain strand level
-        string: parent_skill_id metadata
+        skill_id string, external_skill_code string, name string, description string,
+        domain string, strand string, level string, parent_skill_id string, metadata string,
         {_RECORD_TIMES}
         """,
         "Skills",
@@ -381,66 +346,65 @@ _SILVER: dict[str, tuple] = {
     ),
     "dim_standard": (
         f"""
-        string: standard_id framework external_code name description grade_band subject
-        string: parent_standard_id metadata
-        {_RECORD_TIMES}
+        standard_id string, framework string, external_code string, name string,
+        description string, grade_band string, subject string, parent_standard_id string,
+        metadata string, {_RECORD_TIMES}
         """,
         "Curriculum standards",
     ),
     "dim_session": (
         """
-        string: session_id source_system source_session_key learner_id organization_id
-        string: course_id section_id platform_id device_type user_agent ip_hash
-        timestamp_ntz: session_start session_end
-        bigint: session_duration_seconds
-        string: metadata
+        session_id string, source_system string, source_session_key string, learner_id string,
+        organization_id string, course_id string, section_id string, platform_id string,
+        device_type string, user_agent string, ip_hash string, session_start timestamp_ntz,
+        session_end timestamp_ntz, session_duration_seconds bigint, metadata string
         """,
         "Learning sessions seen in the statements",
     ),
     "dim_platform": (
-        "string: platform_id name vendor version environment metadata",
+        "platform_id string, name string, vendor string, version string, environment string, metadata string",
         "Platforms seen in the statements",
         "name",
     ),
     "dim_lti_tool": (
-        "string: lti_tool_id platform_id issuer client_id name deployment_id metadata",
+        "lti_tool_id string, platform_id string, issuer string, client_id string, name string, deployment_id string, metadata string",
         "LTI tools seen in the statements",
     ),
     "dim_ai_tool": (
-        "string: ai_tool_id name provider model_name capability_type metadata",
+        "ai_tool_id string, name string, provider string, model_name string, capability_type string, metadata string",
         "AI tools seen in the statements",
         "name",
     ),
     "dim_device": (
-        "string: device_id device_type os browser user_agent metadata",
+        "device_id string, device_type string, os string, browser string, user_agent string, metadata string",
         "Devices; statements carry none, so the table is typed and empty",
     ),
     "ref_event_type": (
-        "string: event_type_key description",
+        "event_type_key string, description string",
         "Event types in use",
     ),
     "ref_verb": (
-        "string: verb_id iri short_code description",
+        "verb_id string, iri string, short_code string, description string",
         "Verbs in use",
         "iri",
         ("iri",),
     ),
     "ref_object_type": (
-        "string: object_type_key description",
+        "object_type_key string, description string",
         "Object types in use",
     ),
     "ref_membership_role": (
-        "string: role_key description",
+        "role_key string, description string",
         "Roles in use and their names",
     ),
     "ref_signal_type": (
-        "string: signal_type_key description category",
+        "signal_type_key string, description string, category string",
         "Signal types; statements carry none, so the table is typed and empty",
     ),
     "bridge_section_membership": (
         f"""
-        string: section_membership_id source_system source_membership_key section_id person_id
-        {_MEMBERSHIP}
+        section_membership_id string, source_system string, source_membership_key string,
+        section_id string, person_id string, {_MEMBERSHIP}
         """,
         "Members of teaching groups",
         "section_id person_id role_key",
@@ -448,16 +412,15 @@ _SILVER: dict[str, tuple] = {
     ),
     "bridge_course_membership": (
         f"""
-        string: course_membership_id source_system source_membership_key course_id person_id
-        {_MEMBERSHIP}
+        course_membership_id string, source_system string, source_membership_key string,
+        course_id string, person_id string, {_MEMBERSHIP}
         """,
         "Members of courses",
         "course_id person_id role_key",
     ),
     "bridge_content_skill_map": (
         f"""
-        string: content_skill_map_id content_id skill_id
-        {_MAP_TAIL}
+        content_skill_map_id string, content_id string, skill_id string, {_MAP_TAIL}
         """,
         "Skills tagged on content",
         "content_id skill_id",
@@ -465,8 +428,7 @@ _SILVER: dict[str, tuple] = {
     ),
     "bridge_item_skill_map": (
         f"""
-        string: item_skill_map_id item_id skill_id
-        {_MAP_TAIL}
+        item_skill_map_id string, item_id string, skill_id string, {_MAP_TAIL}
         """,
         "Skills tagged on items",
         "item_id skill_id",
@@ -474,8 +436,7 @@ _SILVER: dict[str, tuple] = {
     ),
     "bridge_skill_standard_map": (
         f"""
-        string: skill_standard_map_id skill_id standard_id
-        {_MAP_TAIL}
+        skill_standard_map_id string, skill_id string, standard_id string, {_MAP_TAIL}
         """,
         "Standards a skill answers to",
         "skill_id standard_id",
@@ -483,11 +444,8 @@ _SILVER: dict[str, tuple] = {
     ),
     "bridge_assessment_item_map": (
         f"""
-        string: assessment_item_map_id assessment_id item_id
-        int: position
-        double: points
-        string: metadata
-        {_RECORD_TIMES}
+        assessment_item_map_id string, assessment_id string, item_id string, position int,
+        points double, metadata string, {_RECORD_TIMES}
         """,
         "Items of an assessment with position and points",
         "assessment_id item_id",
@@ -495,118 +453,98 @@ _SILVER: dict[str, tuple] = {
     ),
     "fact_learning_event": (
         """
-        string: event_id source_system source_event_key
-        timestamp_ntz: event_timestamp_utc
-        int: date_id time_of_day_id
-        string: timezone event_type_key
-        int: verb_id
-        string: verb_raw person_id actor_type impersonated_person_id session_id platform_id
-        string: lti_tool_id ai_tool_id device_id organization_id term_id course_id section_id
-        string: membership_id object_type_key object_id target_type_key target_id
-        string: generated_type_key generated_id content_id assessment_id item_id skill_id
-        string: standard_id
-        int: attempt_number
-        boolean: success completion is_correct
-        double: score_raw score_min score_max score_scaled score_percent
-        string: response
-        int: duration_seconds latency_ms
-        string: event_source metadata
+        event_id string, source_system string, source_event_key string,
+        event_timestamp_utc timestamp_ntz, date_id int, time_of_day_id int, timezone string,
+        event_type_key string, verb_id int, verb_raw string, person_id string, actor_type string,
+        impersonated_person_id string, session_id string, platform_id string, lti_tool_id string,
+        ai_tool_id string, device_id string, organization_id string, term_id string,
+        course_id string, section_id string, membership_id string, object_type_key string,
+        object_id string, target_type_key string, target_id string, generated_type_key string,
+        generated_id string, content_id string, assessment_id string, item_id string,
+        skill_id string, standard_id string, attempt_number int, success boolean,
+        completion boolean, is_correct boolean, score_raw double, score_min double,
+        score_max double, score_scaled double, score_percent double, response string,
+        duration_seconds int, latency_ms int, event_source string, metadata string
         """,
         "One row per learning event",
         "event_timestamp_utc date_id",
     ),
     "fact_assessment_attempt": (
         """
-        string: assessment_attempt_id source_system source_attempt_key
-        int: time_id
-        timestamp_ntz: attempt_start attempt_end
-        string: learner_id session_id organization_id course_id section_id assessment_id
-        string: content_id
-        double: score_raw score_scaled score_percent
-        boolean: passed
-        int: attempt_number item_count completed_item_count
-        string: metadata
+        assessment_attempt_id string, source_system string, source_attempt_key string,
+        time_id int, attempt_start timestamp_ntz, attempt_end timestamp_ntz, learner_id string,
+        session_id string, organization_id string, course_id string, section_id string,
+        assessment_id string, content_id string, score_raw double, score_scaled double,
+        score_percent double, passed boolean, attempt_number int, item_count int,
+        completed_item_count int, metadata string
         """,
         "One row per attempt at an assessment",
         "learner_id assessment_id",
     ),
     "fact_item_response": (
         """
-        string: item_response_id source_system source_response_key
-        timestamp_ntz: response_timestamp_utc
-        int: date_id time_of_day_id
-        string: assessment_attempt_id person_id session_id organization_id term_id course_id
-        string: section_id membership_id assessment_id item_id content_id skill_id standard_id
-        int: attempt_number item_position
-        string: response
-        boolean: is_correct
-        double: score_raw score_scaled
-        int: latency_ms hints_used
-        string: metadata source_payload
+        item_response_id string, source_system string, source_response_key string,
+        response_timestamp_utc timestamp_ntz, date_id int, time_of_day_id int,
+        assessment_attempt_id string, person_id string, session_id string, organization_id string,
+        term_id string, course_id string, section_id string, membership_id string,
+        assessment_id string, item_id string, content_id string, skill_id string,
+        standard_id string, attempt_number int, item_position int, response string,
+        is_correct boolean, score_raw double, score_scaled double, latency_ms int, hints_used int,
+        metadata string, source_payload string
         """,
         "One row per answered item",
         "response_timestamp_utc date_id assessment_attempt_id person_id item_id",
     ),
     "fact_session_summary": (
         """
-        string: session_summary_id session_id learner_id organization_id course_id section_id
-        int: total_events active_seconds idle_seconds items_attempted items_mastered
-        int: hints_requested ai_interactions signals_generated
-        string: metadata
+        session_summary_id string, session_id string, learner_id string, organization_id string,
+        course_id string, section_id string, total_events int, active_seconds int,
+        idle_seconds int, items_attempted int, items_mastered int, hints_requested int,
+        ai_interactions int, signals_generated int, metadata string
         """,
         "Totals per session",
         "session_id",
     ),
     "fact_ai_interaction": (
         """
-        string: ai_interaction_id
-        int: time_id
-        timestamp_ntz: interaction_timestamp
-        string: learner_id teacher_id session_id organization_id course_id section_id
-        string: content_id skill_id ai_tool_id interaction_role
-        bigint: input_tokens output_tokens latency_ms
-        double: feedback_rating
-        string: feedback_label transcript_snippet metadata
+        ai_interaction_id string, time_id int, interaction_timestamp timestamp_ntz,
+        learner_id string, teacher_id string, session_id string, organization_id string,
+        course_id string, section_id string, content_id string, skill_id string,
+        ai_tool_id string, interaction_role string, input_tokens bigint, output_tokens bigint,
+        latency_ms bigint, feedback_rating double, feedback_label string,
+        transcript_snippet string, metadata string
         """,
         "Events in which an AI tool took part",
         "interaction_timestamp ai_tool_id",
     ),
     "fact_launch": (
         """
-        string: launch_id source_system
-        timestamp_ntz: launch_timestamp_utc
-        int: date_id time_of_day_id
-        string: platform_id lti_tool_id session_id registration_id person_id organization_id
-        string: term_id course_id section_id membership_id launch_type launch_context
-        string: metadata source_payload
+        launch_id string, source_system string, launch_timestamp_utc timestamp_ntz, date_id int,
+        time_of_day_id int, platform_id string, lti_tool_id string, session_id string,
+        registration_id string, person_id string, organization_id string, term_id string,
+        course_id string, section_id string, membership_id string, launch_type string,
+        launch_context string, metadata string, source_payload string
         """,
         "Tool launches",
         "launch_timestamp_utc date_id",
     ),
     "fact_learning_signal": (
         """
-        string: learning_signal_id
-        int: time_id
-        timestamp_ntz: signal_timestamp
-        string: signal_type_key learner_id organization_id course_id section_id skill_id
-        string: content_id session_id
-        double: signal_value
-        string: value_explanation
-        timestamp_ntz: window_start window_end
-        string: metadata
+        learning_signal_id string, time_id int, signal_timestamp timestamp_ntz,
+        signal_type_key string, learner_id string, organization_id string, course_id string,
+        section_id string, skill_id string, content_id string, session_id string,
+        signal_value double, value_explanation string, window_start timestamp_ntz,
+        window_end timestamp_ntz, metadata string
         """,
         "Computed signals; statements carry none, so the table is typed and empty",
         "signal_timestamp signal_type_key learner_id",
     ),
     "fact_variant_exposure": (
         """
-        string: variant_exposure_id
-        int: time_id
-        timestamp_ntz: exposure_timestamp
-        string: learner_id session_id organization_id course_id section_id content_id skill_id
-        string: experiment_key variant_key
-        boolean: is_control
-        string: metadata
+        variant_exposure_id string, time_id int, exposure_timestamp timestamp_ntz,
+        learner_id string, session_id string, organization_id string, course_id string,
+        section_id string, content_id string, skill_id string, experiment_key string,
+        variant_key string, is_control boolean, metadata string
         """,
         "Experiment exposures; statements carry none, so the table is typed and empty",
         "exposure_timestamp learner_id experiment_key variant_key",
