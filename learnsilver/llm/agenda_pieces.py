@@ -19,7 +19,7 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 from operator import add
 
 import numpy as np
@@ -36,6 +36,8 @@ REMEMBERED = 150_000  # stretches kept by a worker, twice at most
 LONGEST_REMEMBERED = 40  # characters of a stretch worth keeping
 BYTES_AT_ONCE = 2_000_000
 PLACE = (1 << 40) - 1  # mask of a place, below the rank of a score
+SPREAD = np.uint64(0x9E3779B97F4A7C15)  # the golden ratio's 64 bits: spreads keys over slots
+CHECKED_AT_ONCE = 50  # stretches that the library encodes as one text
 SHORT = 32  # characters of a stretch that is merged side by side with others
 
 
@@ -77,6 +79,7 @@ class Vocabulary:
         nothing = (len(order) + 1) * (PLACE + 1)
         self.pair_ranks = np.array([*(pairs[key][0] for key in self.pairs.tolist()), nothing], np.int64)
         self.merged = np.array([*(pairs[key][1] for key in self.pairs.tolist()), -1], np.int32)
+        self._hash_pairs()
         longer = [piece for piece in self.ids if len(piece) > 1]
         if any(re.search(f"[^{SPACE}]{SPACE}", piece) for piece in longer):
             raise ValueError("pieces that reach over white space are not supported")
@@ -88,17 +91,23 @@ class Vocabulary:
         if self.wall in joining:
             raise ValueError("the line feed must be in no longer piece")
         self.wall_ids = len(library.encode(self.wall))
+        #: What the library makes of a wall, and of the start of a text before it.
+        self.wall_code = np.array(library.encode(self.wall + self.wall)[self.wall_ids :], np.int32).tobytes()
+        self.wall_lead = np.array(library.encode(self.wall), np.int32).tobytes()[: -len(self.wall_code)]
         self.end = library.eos_id()
 
     def merge(self, stretches: list[str]) -> list[bytes]:
         """The ids of each stretch, by the agenda, as 32-bit numbers in a row."""
+        long = [i for i, size in enumerate(map(len, stretches)) if size > SHORT]
+        if not long:
+            return self._merge_short(stretches)
         found = [b""] * len(stretches)
-        short = [i for i, stretch in enumerate(stretches) if len(stretch) <= SHORT]
+        for i in long:
+            found[i] = np.array(self._merge_long(stretches[i]), np.int32).tobytes()
+        apart = set(long)
+        short = [i for i in range(len(stretches)) if i not in apart]
         for i, code in zip(short, self._merge_short([stretches[i] for i in short])):
             found[i] = code
-        for i, stretch in enumerate(stretches):
-            if len(stretch) > SHORT:
-                found[i] = np.array(self._merge_long(stretch), np.int32).tobytes()
         return found
 
     def _merge_long(self, stretch: str) -> list[int]:
@@ -140,12 +149,46 @@ class Vocabulary:
                 found += [i] if i is not None else [self.bytes[b] for b in symbol.encode()]
         return found
 
+    def _hash_pairs(self) -> None:
+        """A table of the pairs that merge: each in its slot, or in one of the next ones."""
+        digits = max(4, len(self.pairs).bit_length() + 2)
+        self.shift = np.uint64(64 - digits)
+        slots = np.full((1 << digits) + len(self.pairs), len(self.pairs), np.int32)
+        todo, at = np.arange(len(self.pairs)), self._slots(self.pairs)
+        self.probes = 0
+        while len(todo):
+            self.probes += 1
+            free = slots[at] == len(self.pairs)
+            # Of several pairs for one slot the first takes it.
+            taken = np.flatnonzero(free)[np.unique(at[free], return_index=True)[1]]
+            slots[at[taken]] = todo[taken]
+            left = np.ones(len(todo), bool)
+            left[taken] = False
+            todo, at = todo[left], at[left] + 1
+        self.slots = slots
+        self.slot_pairs = np.append(self.pairs, -1)[slots]
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * SPREAD) >> self.shift).astype(np.int64)
+
     def _pair_entries(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Where each pair of ids stands among the pairs that merge, or the place after them."""
         keys = left.astype(np.int64) * len(self.names) + right
-        at = np.searchsorted(self.pairs, keys)
-        hit = (left >= 0) & (right >= 0) & (self.pairs[np.minimum(at, len(self.pairs) - 1)] == keys)
-        return np.where(hit, at, len(self.pairs))
+        keys[(left < 0) | (right < 0)] = -2
+        at = self._slots(keys)
+        found = self.slots[at]
+        held = self.slot_pairs[at]
+        other = np.flatnonzero((held != keys) & (held >= 0))
+        found[held != keys] = len(self.pairs)
+        for _ in range(1, self.probes):
+            if not len(other):
+                break
+            at[other] += 1
+            held = self.slot_pairs[at[other]]
+            hit = held == keys[other]
+            found[other[hit]] = self.slots[at[other[hit]]]
+            other = other[~hit & (held >= 0)]
+        return found
 
     def _merge_short(self, stretches: list[str]) -> list[bytes]:
         """Many stretches side by side: in every round the best pair of each agenda is merged."""
@@ -174,7 +217,10 @@ class Vocabulary:
             place = np.cumsum(keep) - 1
             owner, symbols, last, entry = owner[keep], symbols[keep], last[keep], entry[keep]
             at = place[at]
-            changed = np.unique(np.concatenate([at, at[at > 0] - 1]))
+            moved = np.zeros(len(owner), bool)
+            moved[at] = True
+            moved[at[at > 0] - 1] = True
+            changed = np.flatnonzero(moved)
             changed_pairs = self._pair_entries(symbols[changed], symbols[np.minimum(changed + 1, len(symbols) - 1)])
             entry[changed] = np.where(last[changed], none, changed_pairs)
         owners = np.concatenate([part[0] for part in done])
@@ -194,11 +240,15 @@ class Vocabulary:
 
     def check(self, stretches: list[str], codes: list[bytes]) -> None:
         """Raise if the library encodes one of the stretches in another way."""
+        # Many in one text, a wall before each: nothing of theirs but a wall is encoded as one.
+        starts = range(0, len(stretches), CHECKED_AT_ONCE)
+        groups = [self.wall + self.wall.join(stretches[k : k + CHECKED_AT_ONCE]).replace(SPACE, " ") for k in starts]
+        whole = np.fromiter(chain.from_iterable(self.library.encode(groups, num_threads=1)), np.int32)
+        wanted = (self.wall_lead + b"".join(chain.from_iterable(zip(repeat(self.wall_code), codes[k : k + CHECKED_AT_ONCE]))) for k in starts)
+        if whole.tobytes() == b"".join(wanted):
+            return
         texts = [self.wall + stretch.replace(SPACE, " ") for stretch in stretches]
         theirs = [ids[self.wall_ids :] for ids in self.library.encode(texts, num_threads=1)]
-        flat = np.fromiter(chain.from_iterable(theirs), np.int32)
-        if flat.tobytes() == b"".join(codes) and [4 * len(ids) for ids in theirs] == list(map(len, codes)):
-            return
         for stretch, code, ids in zip(stretches, codes, theirs):
             if (own := np.frombuffer(code, np.int32).tolist()) != ids:
                 raise ValueError(f"the library encodes {stretch!r} as {ids}, not as {own}")
@@ -216,6 +266,7 @@ class Encoder:
         self.vocabulary = vocabulary(model)
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.long: list[str] = []  # of the last texts: not remembered
 
     def _meet(self, stretches: set[str]) -> None:
         """Have the codes of all stretches at hand, new ones checked against the library."""
@@ -226,11 +277,11 @@ class Encoder:
         self.vocabulary.check(new, codes)
         self.recent.update((stretch, self.older[stretch]) for stretch in again)
         self.recent.update(zip(new, codes))
+        self.long = [stretch for stretch in new if len(stretch) > LONGEST_REMEMBERED]
 
-    def _forget(self, stretches: set[str]) -> None:
-        for stretch in stretches:
-            if len(stretch) > LONGEST_REMEMBERED:
-                self.recent.pop(stretch)
+    def _forget(self) -> None:
+        for stretch in self.long:
+            self.recent.pop(stretch)
         if len(self.recent) > REMEMBERED:
             self.older, self.recent = self.recent, {}
 
@@ -249,7 +300,7 @@ class Encoder:
             ids = np.frombuffer(code, np.int32).tolist()
             ids.append(end)
             yield ids, " ".join(map(names, ids))
-        self._forget(met)
+        self._forget()
 
     def decode(self, ids: list[int]) -> str:
         return self.vocabulary.library.decode(ids)
