@@ -73,6 +73,7 @@ def test_no_rows(documents):
 def test_whole_query_against_its_sql(spark):
     folder = "/root/testdata/sf0.001"
     found = {tuple(r) for r in op10_line_chunks(spark, folder).collect()}
-    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS FROM '{folder}/documents.parquet'")
-    assert found == set(duckdb.sql(line_chunks.ORACLE_SQL).fetchall())
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS FROM '{folder}/documents.parquet'")
+        assert found == set(db.sql(line_chunks.ORACLE_SQL).fetchall())
     assert sum(row[3] for row in found) > 50

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -58,3 +59,59 @@ def test_small_and_odd_tables(spark, documents, rows):
     assert found.columns == [*docs.columns, "score"]
     scores = [r.score for r in found.collect()]
     assert len(scores) == len(rows) and all(0 <= s <= 1 for s in scores)
+
+
+def plain_output(weights, x):
+    """The network, one row and one unit at a time."""
+    w1, b1, w2, b2 = weights
+    out = []
+    for row in x:
+        hidden = [math.tanh(sum(row[i] * w1[i, j] for i in range(len(row))) + b1[j]) for j in range(len(b1))]
+        out.append(sum(h * w for h, w in zip(hidden, w2)) + float(b2[0]))
+    return out
+
+
+def plain_risk(weights, positive, unlabelled, prior):
+    """The unbiased risk and its part for negatives, by their definition."""
+    s = lambda z: 1 / (1 + math.exp(-z))
+    p, u = plain_output(weights, positive), plain_output(weights, unlabelled)
+    as_positive = prior * sum(1 - s(z) for z in p) / len(p)
+    negatives = sum(s(z) for z in u) / len(u) - prior * sum(s(z) for z in p) / len(p)
+    return as_positive + negatives, negatives
+
+
+@pytest.mark.parametrize("prior", [0.2, 1.9])
+def test_slopes_are_those_of_the_non_negative_risk(prior, monkeypatch):
+    """One step of the fit against differences of the plain risk; with a large prior the negatives' part is below zero."""
+    chance = np.random.default_rng(2)
+    width = len(pu.FEATURES)
+    positive, unlabelled = chance.normal(0.5, 1, (9, width)), chance.normal(0, 1, (14, width))
+    seen = {}
+
+    def descend(slopes, p, u):
+        weights = [chance.normal(0, 0.3, (width, 4)), chance.normal(0, 0.3, 4), chance.normal(0.4, 0.3, 4), np.zeros(1)]
+        hidden, out = pu._forward(weights, np.vstack([p, u]))
+        slope = np.concatenate(slopes(out[: len(p)], out[len(p) :]))
+        seen.update(weights=weights, p=p, u=u, gradients=pu._backward(weights, np.vstack([p, u]), hidden, slope))
+        return tuple(weights)
+
+    monkeypatch.setattr(pu, "estimate_prior", lambda p, u: prior)
+    monkeypatch.setattr(pu, "_descend", descend)
+    pu.fit(positive, unlabelled)
+    weights, p, u = seen["weights"], seen["p"], seen["u"]
+    _, negatives = plain_risk(weights, p, u, prior)
+    assert (negatives < 0) == (prior > 1)
+
+    def goal():
+        whole, part = plain_risk(weights, p, u, prior)
+        return whole if negatives >= 0 else -part
+
+    for own, gradient in zip(weights, seen["gradients"]):
+        for at in list(np.ndindex(own.shape))[:6]:
+            middle = own[at]
+            own[at] = middle + 1e-6
+            above = goal()
+            own[at] = middle - 1e-6
+            below = goal()
+            own[at] = middle
+            assert (above - below) / 2e-6 == pytest.approx(np.asarray(gradient)[at], rel=1e-4, abs=1e-8)
