@@ -23,8 +23,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from learnsilver.llm.components import components
 from learnsilver.llm.shared import stored
@@ -80,7 +81,7 @@ def _window(ids: np.ndarray, units: np.ndarray, new: int) -> Iterator[pd.DataFra
 
 PAIRS = "a long, b long"
 #: A found link, or (with ``border``) a row at the end of a sorted part.
-FOUND = f"{PAIRS}, border int, place int, turn int, label long, size int"
+FOUND = f"{PAIRS}, border int, place int, turn int, size int"
 SIGNED_ROWS = 1_000  # signed at a time: each makes a row for every pass
 
 
@@ -148,42 +149,53 @@ def links(distinct: DataFrame) -> DataFrame:
                     for turn in range(turns):
                         yield some.assign(turn=turn, size=size, key=signatures(vectors, turn))
 
-    kind = distinct.schema["embedding"].dataType.simpleString()
+    kind, label = (distinct.schema[name].dataType.simpleString() for name in ("embedding", "label"))
     signed = distinct.select("id", "label", "embedding").mapInPandas(
-        sign, f"id long, label long, embedding {kind}, turn int, size int, key long"
+        sign, f"id long, label {label}, embedding {kind}, turn int, size int, key long"
     )
     parts = max(1, -(-rows * turns // PART_ROWS))
     order = ["turn", "label", "size", "key", "id"]
     ranged = signed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    compared = ranged.mapInPandas(lambda it: _outer(_compare_parts(it)), f"{FOUND}, embedding {kind}")
+    compared = ranged.mapInPandas(lambda it: _outer(_compare_parts(it), label), f"{FOUND}, label {label}, embedding {kind}")
     found = stored(compared, "passes")
     over = found.filter("border IS NOT NULL").groupBy("border").applyInPandas(_compare_borders, PAIRS)
     return found.filter("border IS NULL").select("a", "b").union(over)
 
 
-def _outer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The frames with all columns of ``FOUND``, null where they have none."""
-    columns = dict(part.split() for part in FOUND.split(", "))
+def _outer(frames: Iterator[pd.DataFrame], label: str) -> Iterator[pd.DataFrame]:
+    """The frames with all columns of ``FOUND``, the label and the vector, null where they have none."""
+    columns = dict(part.split() for part in FOUND.split(", ")) | {"label": {"bigint": "long"}.get(label, label)}
     numbers = {name: kind.replace("long", "Int64").replace("int", "Int32") for name, kind in columns.items() if kind in ("long", "int")}
     for frame in frames:
         whole = frame.reindex(columns=[*columns, "embedding"]).astype(numbers)
-        if "embedding" not in frame:
-            whole["embedding"] = None
+        for name in {"label", "embedding"} - {*frame.columns, *numbers}:
+            whole[name] = None
         yield whole
 
 
+def _label(rows: DataFrame) -> Column:
+    """The label as something to sort by that only equal labels share: a long, or text."""
+    kind, label = rows.schema["label"].dataType, F.col("label")
+    if isinstance(kind, T.IntegralType):
+        return label.cast("long")
+    if isinstance(kind, T.FractionalType):
+        label = label + F.lit(0).cast(kind)  # one zero
+    return F.to_json(label) if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else label.cast("string")
+
+
 def near_duplicates(rows: DataFrame) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``rows`` (vec_id, embedding, label).
 
     Links are between vectors of one label and length with a cosine of
     ``LEAST_COSINE`` or more. Vectors that are null, zero or hold null or
-    non-finite components, and rows without label, link with nothing; rows
+    non-finite components, and rows without label, link with nothing; labels of
+    any type are equal or not, as they are, text too; rows
     without id neither, and have no component. Repeated rows are vectors of
     their own, linked with each other. An empty table gives an empty table.
     Other columns are not looked at.
     """
     able = usable_rows(rows.select("vec_id", "label", "embedding")).filter("label IS NOT NULL")
-    able = able.select("vec_id", F.col("label").cast("long").alias("label"), "embedding")
+    able = able.select("vec_id", _label(able).alias("label"), "embedding")
     alike = ["label", "embedding"]
     distinct = stored(
         able.groupBy(*alike).agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors"

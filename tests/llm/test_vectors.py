@@ -253,3 +253,15 @@ def test_queries_of_every_length_are_answered(spark):
     for query in (605, 610):
         assert got[query] == brute_nearest([(i, v) for i, v, _ in rows if len(v) == 2], query)
     assert all(sizes[i] == 3 for i, _ in got[5]) and len(got[5]) == index.NEIGHBOURS
+
+
+@pytest.mark.parametrize("kind, labels", [
+    ("string", ["x", "x", "y", "", None]), ("double", [1.2, 1.2, 1.9, -0.0, 0.0]), ("boolean", [True, True, False, False, None]),
+])
+def test_labels_of_other_types_are_equal_or_not(spark, kind, labels):
+    vectors = [(k, [1.0, 2.0, 3.0 + k / 1000], label) for k, label in enumerate(labels)]
+    found = near.near_duplicates(spark.createDataFrame(vectors, f"vec_id long, embedding array<double>, label {kind}"))
+    linked = [
+        sum(a is not None and a == b for j, b in enumerate(labels) if j != k) for k, a in enumerate(labels)
+    ]
+    assert [r.n_links for r in found.orderBy("vec_id").collect()] == linked
