@@ -49,6 +49,7 @@ CONTAINERS = frozenset("ul ol dl table body html div section article main aside
 
 # What the training labels take from the markup.
 ARTICLE = frozenset(["<article", "<main"])
+HEADINGS = frozenset(["<h1", "<h2", "<h3"])
 ASIDE = frozenset(
     "<nav <footer <aside <header <form <button <menu <dialog ad ads advert advertisement sidebar menu cookie "
     "notice banner comment comments related share social promo newsletter breadcrumb footer header nav".split()
@@ -184,7 +185,19 @@ def blocks(page: str) -> list[Block]:
 
 @lru_cache(100_000)
 def _path_ids(path: tuple[str, ...]) -> tuple[int, ...]:
-    return tuple(zlib.crc32(part.encode()) % PATHS for part in path) or (0,)
+    return tuple(_part_id(part) for part in path) or (0,)
+
+
+@lru_cache(10_000)
+def _part_id(part: str) -> int:
+    """Tags and names that pages use for parts of a page; all other names are one."""
+    return 1 + zlib.crc32(part.encode()) % (PATHS - 1) if part[0] == "<" or part in known_names() else 0
+
+
+@lru_cache(1)
+def known_names() -> frozenset[str]:
+    shapes = " ".join((*EXTRAS, *BODIES, *RUNS, *HEADS)).split()
+    return frozenset(part for part in (*shapes, *ASIDE, *ARTICLE) if part[0] not in "<*")
 
 
 class _WordIds(dict):
@@ -210,6 +223,26 @@ class Page:
     sizes: np.ndarray
 
 
+def _at_home(some: list[Block], letters: list[float]) -> np.ndarray:
+    """Of each block, whether it is (2) where the one path down the page leads that holds half of its text outside links."""
+    half = sum(letters) / 2
+    inside, depth = range(len(some)), 0
+    while half:
+        held: dict[str, float] = {}
+        for k in inside:
+            path = some[k].path
+            if len(path) > depth + 1:
+                held[path[depth]] = held.get(path[depth], 0.0) + letters[k]
+        part = max(held, key=held.__getitem__, default=None)
+        if part is None or held[part] < half:
+            break
+        inside = [k for k in inside if len(some[k].path) > depth + 1 and some[k].path[depth] == part]
+        depth += 1
+    home = np.zeros(len(some))
+    home[list(inside)] = 2
+    return home
+
+
 def numbers(some: list[Block]) -> Page:
     paths = [_path_ids(block.path) for block in some]
     words = [block.text.split() for block in some]
@@ -218,7 +251,8 @@ def numbers(some: list[Block]) -> Page:
     linked = np.array([block.linked for block in some], dtype=float)
     last = np.array([block.text[-1] in ".!?" for block in some], dtype=float)
     place = np.arange(len(some)) / max(1, len(some) - 1)
-    sizes = np.stack([np.log1p(length) / 5, np.minimum(1, linked / length), counts / (counts + 10), last, place], 1)
+    home = _at_home(some, (length - linked).clip(0).tolist())
+    sizes = np.stack([np.log1p(length) / 5, np.minimum(1, linked / length), counts / (counts + 10), last, place, home], 1)
     return Page(
         np.fromiter((i for own in paths for i in own), np.int64),
         np.cumsum([0, *map(len, paths[:-1])]),
@@ -229,7 +263,7 @@ def numbers(some: list[Block]) -> Page:
     )
 
 
-SIZES = 5
+SIZES = 6
 WIDTH = 2 * PATH_SIZE + WORD_SIZE + SIZES
 Weights = dict[str, np.ndarray]
 
@@ -396,11 +430,20 @@ def fit(pages: list[list[Block]]) -> Weights:
 
 
 def labelled(some: list[Block]) -> list[Block]:
-    """The blocks with labels from the page's own markup, or none, if it marks no article."""
+    """The blocks with labels from the page's own markup, or none, if it marks no article.
+
+    Headings in a header of the article's own are its headings.
+    """
     found = []
     for block in some:
-        parts = set(block.path)
-        found.append(replace(block, main=int(bool(parts & ARTICLE) and not parts & ASIDE)))
+        start = next((k for k, part in enumerate(block.path) if part in ARTICLE), None)
+        main = start is not None and not set(block.path[:start]) & ASIDE
+        if main:
+            inside = set(block.path[start:])
+            if block.path[-1] in HEADINGS:
+                inside -= {"<header", "header"}
+            main = not inside & ASIDE
+        found.append(replace(block, main=int(main)))
     return found if any(block.main for block in found) else []
 
 
@@ -412,11 +455,24 @@ EXTRAS = (
     "<div related <ul <li", "<div share <a", "<div newsletter <p", "<div promo <p", "<ul menu <li", "<div menu <a",
     "<nav <a", "<nav <ul <li", "<footer <p", "<footer", "<div footer <p", "<div breadcrumb <a", "<dialog <p", "<div popup <p",
     "<div disclaimer <p", "<section related <h2", "<section comments <h2", "<table menu <tr <td",
+    "<div respond <p", "<div respond <div <p", "<ol commentlist <li <p", "<div replies <p", "<section discussion <p",
+    "<div feedback <p", "<ul thread <li <p", "<div responses <blockquote", "<div reader comments <p",
+    "<div gdpr overlay <p", "<div gdpr overlay", "<div consent modal <p", "<div overlay <div <p", "<div modal <p",
+    "<div popup overlay <p", "<div subscribe <p", "<div signup <p", "<div toolbar <a", "<table navigation <tr <td <a",
 )
+#: Beside an article that is marked as one, also what has a name that says nothing is no part of it.
+UNNAMED = ("<div * <p", "<section * <p", "<div * <div <p", "<div * <div * <p", "<ol * <li <p", "<div *", "<div * <h3")
 BODIES = (
     "<article", "<main", "<main <article", "<div content", "<div article body", "<div post content", "<section content",
-    "<div main", "<div entry content", "<div story", "<div",
+    "<div main", "<div entry content", "<div story", "<div", "<div page", "<div page <div", "<table <tr <td",
+    "<table <tbody <tr <td", "<table layout <tbody <tr <td <div", "<div *", "<div * <div *", "<section *", "<div * <div",
+)
+#: Ways in which some of an article's blocks, one after another, can stand in it.
+RUNS = (
+    "<ul <li", "<ol <li", "<ul * <li", "<ul <li <p", "<table <tr <td", "<table <tbody <tr <td", "<table * <tbody <tr <td",
+    "<table <tbody <tr <th", "<dl <dd", "<blockquote <p", "<figure <figcaption", "<section <p", "<div <p", "<div * <p", "<details <p",
 )
+HEADS = ("<h1", "<header <h1", "<header * <h1", "<div * <h1", "<h2")
 LEAVES = ("<p", "<h1", "<h2", "<h3", "<li", "<blockquote", "<pre", "<td", "<div")
 
 
@@ -426,23 +482,40 @@ def varied(pages: list[list[Block]], seed: int = 29) -> list[list[Block]]:
     texts = [block.text for some in pages for block in some] or ["some words of a text."]
     short = [text for text in texts if len(text) < 120] or texts
     pick = lambda some: some[chance.integers(len(some))]
+
+    def path_of(shape: str) -> tuple[str, ...]:
+        """The parts of a path; a star is a name that says nothing."""
+        return tuple(
+            "".join(chance.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) if part == "*" else part for part in shape.split()
+        )
+
     out = []
     for some in pages:
-        body = tuple(pick(BODIES).split())
+        body = path_of(pick(BODIES))
         wraps = ("<html", "<body", *(("<div",) * int(chance.integers(0, 3))))
         plain = body in (("<div",), ("<div", "main"))
         new = []
+        run, left, titled = (), 0, False
         for block in some:
             if block.main == 1:
-                leaf = block.path[-1] if block.path and block.path[-1] in LEAVES else "<p"
-                if leaf == "<p" and chance.random() < 0.1:
-                    leaf = pick(LEAVES)
-                new.append(replace(block, path=(*wraps, *body, leaf)))
+                leaf = (block.path[-1] if block.path and block.path[-1] in LEAVES else "<p",)
+                if leaf == ("<p",) and chance.random() < 0.1:
+                    leaf = (pick(LEAVES),)
+                if leaf[0] in HEADINGS and not titled:
+                    leaf = path_of(pick(HEADS))
+                elif left:
+                    leaf, left = run, left - 1
+                elif chance.random() < 0.15:
+                    run, left = path_of(pick(RUNS)), int(chance.integers(0, 6))
+                    leaf = run
+                titled = True
+                new.append(replace(block, path=(*wraps, *body, *leaf)))
             elif chance.random() < (1.0 if plain else 0.6):
                 new.append(replace(block, path=(*wraps[: 2], *block.path[2:])))
-        for _ in range(int(chance.integers(1, 5))):
-            extra = tuple(pick(EXTRAS).split())
-            inside = chance.random() < 0.25
+        for _ in range(int(chance.integers(1, 6))):
+            marked = body[0] in ARTICLE and chance.random() < 0.6
+            extra = path_of(pick(UNNAMED if marked else EXTRAS))
+            inside = not marked and chance.random() < 0.25
             path = (*wraps, *(body if inside else ()), *extra)
             count = int(chance.integers(1, 5))
             text = [str(pick(texts if chance.random() < 0.5 else short)) for _ in range(count)]

@@ -156,3 +156,35 @@ def test_nulls_repeated_rows_and_clashing_columns(spark, network):
     )
     empty = frame.limit(0)
     assert rec.extract(empty, rec.fit_on(empty)).count() == 0
+
+
+STORY = [f"Sentence number {k} of the story, with some more words in it, is here." for k in range(8)]
+POINTS = [f"Point {k} of the list says something short." for k in range(5)]
+CELLS = ["Year", "Share", *(cell for k in range(4) for cell in (str(2000 + k), f"{k} per cent"))]
+COMMENTS = "<p>I do not agree with this at all.</p><p>Me too! Thanks for writing.</p><p>Great read.</p>"
+
+
+def paragraphs(texts, tag="p"):
+    return "".join(f"<{tag}>{text}</{tag}>" for text in texts)
+
+
+@pytest.mark.parametrize("inside, wanted", [
+    (f"<article><h2>Title of it</h2>{paragraphs(STORY)}<ul>{paragraphs(POINTS, 'li')}</ul>{paragraphs(STORY)}</article>",
+     ["Title of it", *STORY, *POINTS, *STORY]),
+    (f"<article>{paragraphs(STORY)}<table><tr>{paragraphs(CELLS[:2], 'th')}</tr><tr>"
+     + "</tr><tr>".join(paragraphs(CELLS[k : k + 2], "td") for k in range(2, 10, 2))
+     + f"</tr></table>{paragraphs(STORY)}</article>", [*STORY, *CELLS, *STORY]),
+    (f"<article><header><h1>The title of the story</h1></header>{paragraphs(STORY)}</article>",
+     ["The title of the story", *STORY]),
+    (f"<div id='page'><h1>The title</h1>{paragraphs(STORY)}</div><div id='comments'>{COMMENTS}</div>", ["The title", *STORY]),
+    (f"<table><tr><td><h1>The title</h1>{paragraphs(STORY)}</td></tr></table>", ["The title", *STORY]),
+    (f"<article>{paragraphs(STORY)}</article><div id='respond'>{COMMENTS}</div>", STORY),
+    ("<div class='gdpr-overlay'><p>We and our partners use cookies to improve your visit.</p><button>Accept</button></div>"
+     f"<article>{paragraphs(STORY)}</article>", STORY),
+])
+def test_articles_of_other_shapes(network, inside, wanted):
+    page = (
+        "<html><body><header><p>Site name</p></header><nav><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></nav>"
+        f"{inside}<footer><p>Imprint</p></footer></body></html>"
+    )
+    assert main_text(network, page) == "\n".join(wanted)
