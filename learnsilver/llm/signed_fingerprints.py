@@ -19,25 +19,24 @@ together afterwards.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from learnsilver.llm.shared import small_batches, stored, text_of
+from learnsilver.llm.shared import hashed_words, mixed, small_batches, stored, text_of
 
 BITS = 128
 RADIUS = 4
 #: First bit and width of each block, three to a half of the fingerprint.
 BLOCKS = [(half, start, width) for half in (0, 1) for start, width in ((0, 21), (21, 21), (42, 22))]
 TERMS_AT_ONCE = 20_000
-KNOWN_WORDS = 200_000  # hashes that a task remembers
+BYTES_AT_ONCE = 300_000  # of text, or one longer text
 BATCH_ROWS, BATCH_BYTES = 500, 4_000_000
 
 #: What a byte of a hash votes: +1 or -1 for each of its bits, the highest first.
@@ -47,54 +46,47 @@ _PLACES = np.arange(BITS // 8, dtype=np.int64) * 256
 _FIRST, _SECOND = np.random.default_rng(12).integers(1, 2**63, (2, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class Fingerprints:
-    """Fingerprints of texts; remembers the hashes of words, up to a bound."""
-
-    def __init__(self) -> None:
-        self._known: dict[bytes, int] = {}
-        self._hashes = np.empty((0, 2), np.uint64)
-
-    def _words(self, words: list[bytes]) -> np.ndarray:
-        """The hash of each word, as two numbers."""
-        known = self._known
-        fresh = [word for word in set(words) if word not in known]
-        if fresh:
-            if len(known) + len(fresh) > KNOWN_WORDS:
-                known.clear()
-                self._hashes = np.empty((0, 2), np.uint64)
-                fresh = list(set(words))
-            known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
-            digests = b"".join(map(xxhash.xxh3_128_digest, fresh))
-            self._hashes = np.vstack([self._hashes, np.frombuffer(digests, np.uint64).reshape(-1, 2)])
-        return self._hashes[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
-
-    def of(self, text: str) -> bytes:
-        """16 bytes; of a text without words, zeros."""
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        if not words:
-            return bytes(BITS // 8)
-        single = self._words(words)
-        pairs = _mixed(single[:-1] * _FIRST + single[1:] * _SECOND)
-        terms = np.concatenate([single, pairs])
-        terms = terms[np.argsort(terms[:, 0], kind="stable")]
-        starts = np.flatnonzero(np.append(True, terms[1:, 0] != terms[:-1, 0]))
-        counts = np.diff(np.append(starts, len(terms)))
-        weights = np.frexp(counts.astype(np.float64))[1].astype(np.float64)  # binary digits of the count
-        octets = np.ascontiguousarray(terms[starts]).view(np.uint8).reshape(-1, BITS // 8)
-        weighed = np.zeros(len(_PLACES) * 256)
-        for at in range(0, len(octets), TERMS_AT_ONCE):
-            cells = (octets[at : at + TERMS_AT_ONCE] + _PLACES).ravel()
-            repeated = np.repeat(weights[at : at + TERMS_AT_ONCE], len(_PLACES))
-            weighed += np.bincount(cells, repeated, len(weighed))
-        votes = weighed.reshape(len(_PLACES), 256) @ _VOTES
-        return np.packbits(votes.ravel() > 0).tobytes()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Each number's bits spread over the whole of it, by xor-shifts and odd multipliers."""
-    for k in range(2):
-        x = (x ^ (x >> np.uint64(31))) * _FIRST[::-1][k]
-    return x ^ (x >> np.uint64(32))
+def _prints_of(texts: list[bytes]) -> Iterator[bytes]:
+    """The fingerprints of some texts (UTF-8, A-Z as a-z)."""
+    starts, words = hashed_words(b"\n".join(texts))
+    ends = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in texts])).tolist()
+    # Terms as two numbers each; pairs that reach over the end of a text are left out below.
+    single = np.stack([words, mixed(words * _FIRST[0] + _SECOND[0])], axis=1)
+    pairs = mixed(single[:-1] * _FIRST + single[1:] * _SECOND)
+    for start, end in zip([0, *ends], ends):
+        yield _votes(np.concatenate([single[start:end], pairs[start : max(start, end - 1)]]))
+
+
+def _votes(terms: np.ndarray) -> bytes:
+    """16 bytes; of no terms, zeros."""
+    if not len(terms):
+        return bytes(BITS // 8)
+    terms = terms[np.argsort(terms[:, 0], kind="stable")]
+    starts = np.flatnonzero(np.append(True, terms[1:, 0] != terms[:-1, 0]))
+    counts = np.diff(np.append(starts, len(terms)))
+    weights = np.frexp(counts.astype(np.float64))[1].astype(np.float64)  # binary digits of the count
+    octets = np.ascontiguousarray(terms[starts]).view(np.uint8).reshape(-1, BITS // 8)
+    weighed = np.zeros(len(_PLACES) * 256)
+    for at in range(0, len(octets), TERMS_AT_ONCE):
+        cells = (octets[at : at + TERMS_AT_ONCE] + _PLACES).ravel()
+        repeated = np.repeat(weights[at : at + TERMS_AT_ONCE], len(_PLACES))
+        weighed += np.bincount(cells, repeated, len(weighed))
+    votes = weighed.reshape(len(_PLACES), 1, 256) @ _VOTES
+    return np.packbits(votes.ravel() > 0).tobytes()
+
+
+def fingerprints_of(texts: Iterable[str]) -> Iterator[bytes]:
+    """16 bytes for each text; of a text without words, zeros."""
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        held.append(text.encode("utf-8", "surrogatepass").lower())
+        size += len(held[-1]) + 1
+        if size > BYTES_AT_ONCE:
+            yield from _prints_of(held)
+            held, size = [], 0
+    if held:
+        yield from _prints_of(held)
 
 
 def edited(text: str, following: str) -> str:
@@ -114,27 +106,28 @@ PRINTS = "f0 long, f1 long, e0 long, e1 long, g0 long, g1 long"
 ROWS = f"doc_id long, n_chars long, edited_sha256 string, {PRINTS}"
 
 
-def _batch(ids: list, texts: list[str], prints: list[bytes], nexts: list[tuple[str, bytes] | None], maker: Fingerprints) -> list[pa.Array]:
+def _batch(ids: list, texts: list[str], prints: list[bytes], nexts: list[tuple[str, bytes] | None]) -> list[pa.Array]:
     """The columns of ``ROWS``; what hangs on the next document is null where that is not there."""
     changed = [None if n is None else edited(text, n[0]) for text, n in zip(texts, nexts)]
+    made = fingerprints_of(c for c in changed if c is not None)
     shas = [None if c is None else hashlib.sha256(c.encode("utf-8", "surrogatepass")).hexdigest() for c in changed]
     return [
         pa.array(ids, pa.int64()), pa.array(list(map(len, texts)), pa.int64()), pa.array(shas, pa.string()),
-        *_halves(prints), *_halves([None if c is None else maker.of(c) for c in changed]),
+        *_halves(prints), *_halves([None if c is None else next(made) for c in changed]),
         *_halves([None if n is None else n[1] for n in nexts]),
     ]
 
 
 def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of ``ROWS`` of a sorted range (doc_id, text); its first and last text go along."""
-    part, maker = TaskContext.get().partitionId(), Fingerprints()
+    part = TaskContext.get().partitionId()
     names = [c.split()[0] for c in ROWS.split(", ")] + ["part", "first", "text"]
     pending, first = None, True
 
     def out(rows: list, following: list, ends: bool) -> pa.RecordBatch:
         nonlocal first
         ids, texts, prints = map(list, zip(*rows))
-        columns = _batch(ids, texts, prints, following, maker)
+        columns = _batch(ids, texts, prints, following)
         marks = [first and k == 0 for k in range(len(rows))]
         kept = [t if mark or (ends and k == len(rows) - 1) else None for k, (t, mark) in enumerate(zip(texts, marks))]
         first = False
@@ -143,7 +136,7 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         texts = batch.column(1).to_pylist()
-        rows = list(zip(batch.column(0).to_pylist(), texts, map(maker.of, texts)))
+        rows = list(zip(batch.column(0).to_pylist(), texts, fingerprints_of(texts)))
         rows = rows if pending is None else [pending, *rows]
         if len(rows) > 1:
             yield out(rows[:-1], [row[1:] for row in rows[1:]], False)
@@ -154,14 +147,13 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of ``ROWS`` of what stands at an end (doc_id, text, f0, f1, next's text, g0, g1)."""
-    maker = Fingerprints()
     names = [c.split()[0] for c in ROWS.split(", ")]
     for batch in batches:
         ids, texts, f0, f1, nexts, g0, g1 = (column.to_pylist() for column in batch.columns)
         own, following = (
             [np.array(pair, ">i8").tobytes() for pair in zip(*halves)] for halves in ((f0, f1), (g0, g1))
         )
-        yield pa.RecordBatch.from_arrays(_batch(ids, texts, own, list(zip(nexts, following)), maker), names)
+        yield pa.RecordBatch.from_arrays(_batch(ids, texts, own, list(zip(nexts, following))), names)
 
 
 def neighbours(docs: DataFrame) -> DataFrame:

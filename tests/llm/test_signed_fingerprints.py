@@ -1,12 +1,13 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from learnsilver.llm import signed_fingerprints as signed
 from learnsilver.llm.queries import op12_signed_fingerprints
-from learnsilver.llm.shared import read
+from learnsilver.llm.shared import hashed_words, mixed, read
 
 
 def agree(a, b):
@@ -16,12 +17,12 @@ def agree(a, b):
 def plain_fingerprint(text):
     """By a vote for every bit and term, one at a time."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
-    maker = signed.Fingerprints()
     if not words:
         return "0" * 32
     counts = {}
-    single = maker._words(words)
-    pairs = signed._mixed(single[:-1] * signed._FIRST + single[1:] * signed._SECOND)
+    lane = np.array([hashed_words(word)[1][0] for word in words])
+    single = np.stack([lane, mixed(lane * signed._FIRST[0] + signed._SECOND[0])], axis=1)
+    pairs = mixed(single[:-1] * signed._FIRST + single[1:] * signed._SECOND)
     for term in [r.tobytes() for r in single] + [r.tobytes() for r in pairs]:
         counts[term] = counts.get(term, 0) + 1
     votes = [0] * 128
