@@ -3,8 +3,9 @@
 The covariance is never formed. All that is known of it are its products with
 a few columns, each one pass over the distinct vectors: a task centres its
 vectors, multiplies them by the columns and the result by the vectors again,
-and sums; Spark adds the tasks' sums cell by cell. The driver holds matrices of
-as many rows as a vector has entries, whatever the number of vectors.
+and sums; the tasks' sums are added in a bounded number of groups, and those in
+the driver, which holds matrices of as many rows as a vector has entries,
+whatever the number of vectors.
 
 * The wanted eigenvectors, and some guards beyond them, are sought together.
 * Rayleigh-Ritz in the subspace so far gives the nearest pairs; what keeps each
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +43,8 @@ OUTER = 60
 LEAST_SHARE = 1e-10
 #: Entries are below this in size, so that their places on the grid are exact as doubles.
 LARGEST = 2.0**40
+#: The sums of all tasks meet in so many, and those in the driver.
+SLOTS = 64
 BLOCK_ROWS = 4_096
 BLOCK_BYTES = 4_000_000
 
@@ -193,6 +197,15 @@ def jacobi_davidson(product: Product, size: int, wanted: int, seed: int = 11) ->
 # ------------------------------------------------------------------ passes over the vectors
 
 
+_PARTIAL = "slot int, part binary"
+
+
+def _partial(slot: int, total: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([slot], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slot", "part"]
+    )
+
+
 @dataclass
 class FitList:
     """The distinct vectors, packed in blocks, and what one pass said of them."""
@@ -215,13 +228,15 @@ class FitList:
                 for block in batch.column(0):
                     rows = np.frombuffer(block.as_py(), np.int64).reshape(-1, size)
                     total += cells(rows - mean)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(count, dtype=np.int32)), pa.array(total)], ["cell", "value"])
+            yield _partial(TaskContext.get().partitionId() % SLOTS, total)
+
+        def add(rows: pa.Table) -> pa.Table:
+            parts = [np.frombuffer(part.as_py(), np.float64) for part in rows["part"]]
+            return pa.Table.from_batches([_partial(rows["slot"][0].as_py(), sum(parts))])
 
-        found = self.blocks.mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value"))
-        table = found.toArrow()
-        out = np.zeros(count)
-        out[table["cell"].to_numpy()] = table["value"].to_numpy()
-        return out
+        # One row of each task, then one of each slot.
+        sums = self.blocks.mapInArrow(run, _PARTIAL).groupBy("slot").applyInArrow(add, _PARTIAL)
+        return sum((np.frombuffer(part.as_py(), np.float64) for part in sums.toArrow()["part"]), np.zeros(count))
 
     def product(self, columns: np.ndarray) -> np.ndarray:
         """The covariance times ``columns``: one pass."""
