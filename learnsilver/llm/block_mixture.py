@@ -19,14 +19,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from learnsilver.llm.shared import WORD, stored, text_of
+from learnsilver.llm.shared import WORD, mixed, stored, text_of
 
 WEIGHTS = (5, 2, 1)  # of the sources in order, repeating
 SHARE = 1.5  # words of the mixture, of all words
 MOST_PASSES = 2  # times a source may be used
 BLOCK_WORDS = 64
-SHARD_SLOTS = 4096  # slots of an output shard, more if there would be too many shards
-MOST_SHARDS = 10_000
+SHARD_SLOTS = 4096  # slots of an output shard
+SHARDS_IN_SUM = 1024  # shards whose draws are summed by one task
+SHARDS_IN_TASK = 32  # shards that are laid out by one task
 BUCKET_ROWS = 20_000  # documents of a source that are laid out by one task
 #: One row for each source is held by the driver; more is refused, not cut off.
 MOST_SOURCES = 100_000
@@ -95,20 +96,13 @@ def permute(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     while todo.any():
         left, right = out[todo] >> half[todo], out[todo] & mask[todo]
         for salt in _SALTS:
-            mixed = _mix(right ^ (key[todo] + salt))
-            left, right = right, left ^ (mixed & mask[todo])
+            turned = mixed(right ^ (key[todo] + salt))
+            left, right = right, left ^ (turned & mask[todo])
         out[todo] = (left << half[todo]) | right
         todo = out >= n.astype(np.uint64)
     return out.astype(np.int64)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (the one of splitmix64; its constants are fixed values)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _slots(spark, sources: Sources, seed: int) -> DataFrame:
     """(shard, slot, source_no, pass, block): every slot of the mixture.
 
@@ -116,7 +110,7 @@ def _slots(spark, sources: Sources, seed: int) -> DataFrame:
     list of shards it is made from, and broadcast it.
     """
     total = int(sources.quotas.sum())
-    width = max(SHARD_SLOTS, -(-total // MOST_SHARDS))
+    width = SHARD_SLOTS
     shards = -(-total // width)
     quotas, blocks = sources.quotas, sources.blocks
     chances = quotas / max(1, total)
@@ -135,8 +129,17 @@ def _slots(spark, sources: Sources, seed: int) -> DataFrame:
                 )
 
     drawn = spark.range(shards).mapInPandas(draw, "shard long, source_no int, first long, count long")
-    before = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = drawn.withColumn("offset", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    drawn = stored(drawn, "draws")
+    # Sums run in two steps, first over groups of shards, so that no task gets all shards of a source.
+    grouped = drawn.withColumn("group", F.floor(F.col("shard") / SHARDS_IN_SUM))
+    before = Window.unboundedPreceding, -1
+    groups = grouped.groupBy("source_no", "group").agg(F.sum("count").alias("drawn"))
+    of_groups = Window.partitionBy("source_no").orderBy("group").rowsBetween(*before)
+    starts = groups.select("source_no", "group", F.coalesce(F.sum("drawn").over(of_groups), F.lit(0)).alias("start"))
+    of_shards = Window.partitionBy("source_no", "group").orderBy("shard").rowsBetween(*before)
+    within_group = F.coalesce(F.sum("count").over(of_shards), F.lit(0))
+    numbered = grouped.withColumn("within", within_group).join(starts, ["source_no", "group"])
+    numbered = numbered.withColumn("offset", F.col("start") + F.col("within"))
     # Draws beyond a source's quota go, in order, to the sources that were drawn too seldom.
     got = np.zeros(len(quotas), dtype=np.int64)
     for row in drawn.groupBy("source_no").agg(F.sum("count").alias("n")).collect():
@@ -155,7 +158,7 @@ def _slots(spark, sources: Sources, seed: int) -> DataFrame:
                 taker = source[over]
                 k[over] = got[taker] + number - (lack_upto[taker] - lack[taker])
                 turn, index = k // blocks[source], k % blocks[source]
-                keys = _mix(_mix((source * MOST_PASSES + turn).astype(np.uint64)) ^ np.uint64(seed))
+                keys = mixed(mixed((source * MOST_PASSES + turn).astype(np.uint64)) ^ np.uint64(seed))
                 slots = np.full(len(k), min(width, total - row.shard * width))
                 shard_key = np.full(len(k), (row.shard + 1) * 7919, dtype=np.uint64)
                 yield pd.DataFrame({
@@ -164,7 +167,11 @@ def _slots(spark, sources: Sources, seed: int) -> DataFrame:
                     "block": permute(index, blocks[source], keys),
                 })
 
-    return numbered.select("shard", "source_no", "first", "count", "offset").mapInPandas(
+    # A few rows of each shard make thousands of slots: they are dealt by slots, not by their own size.
+    dealt = numbered.select("shard", "source_no", "first", "count", "offset").repartition(
+        max(1, -(-shards // SHARDS_IN_TASK)), "shard"
+    )
+    return dealt.mapInPandas(
         place, "shard long, slot long, source_no int, pass int, block long"
     )
 
