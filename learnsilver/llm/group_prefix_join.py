@@ -22,66 +22,29 @@ A list that near copies fill so costs as many comparisons as it is long.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache, reduce
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from learnsilver.llm.components import components
-from learnsilver.llm.shared import small_batches, stored, text_of
+from learnsilver.llm.shared import hashed_words, mixed, small_batches, stored, text_of
 
 WORDS = 5
 #: Shingles that stand last in the order, at most; a bounded list for every task.
 COMMONEST = 500_000
 LEAST_COMMON = 6  # documents
-BUCKET_DOCUMENTS = 2_500  # whose shingles are counted by one task at a time
-TEXTS_IN_BATCH = 1_000
+ROWS_IN_BATCH, BYTES_IN_BATCH = 1_000, 4_000_000  # that go to Python at a time
 BYTES_AT_ONCE = 300_000  # of text, or one longer text
-SHINGLES_AT_ONCE = 1_000_000
-ROWS_AT_ONCE = 256  # of texts or pairs of sets in Python
-#: Up to so many ids (some megabytes) are sent to the tasks that read the texts; more are joined by id.
+#: Up to so many ids (some megabytes) are sent to the tasks that read the sets; more are joined by id.
 MOST_SENT = 300_000
 STAR_ROUNDS = 1
 
-#: Odd multipliers of a word's bytes, of the words of a shingle, and of its length: fixed random values.
-_RANDOM = np.random.default_rng(20).integers(1, 2**63, WORDS + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_FACTORS, _BASE = _RANDOM[: WORDS + 1], int(_RANDOM[-1])
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-
-
-@lru_cache(2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of the byte multiplier, and of its inverse, modulo 2**64."""
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 2**64)):
-        powers = np.full(size, base, np.uint64)
-        powers[0] = 1
-        out.append(np.cumprod(powers))
-    return out[0], out[1]
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (the one of splitmix64; its constants are fixed values)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of a text start, and their hashes: polynomials of their bytes, mixed."""
-    points = np.frombuffer(data, np.uint8)
-    inside = np.concatenate([[False], ~_SPACE[points], [False]])
-    turns = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = turns[::2], turns[1::2]
-    forth, back = _powers(1 << max(18, len(points).bit_length()))
-    sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum((points + np.uint64(1)) * forth[: len(points)], out=sums[1:])
-    return starts, _mix((sums[ends] - sums[starts]) * back[starts])
+#: Odd multipliers of the words of a shingle, and of its length: fixed random values.
+_FACTORS = np.random.default_rng(20).integers(1, 2**63, WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _sums(words: np.ndarray, width: int) -> np.ndarray:
@@ -90,7 +53,7 @@ def _sums(words: np.ndarray, width: int) -> np.ndarray:
     total = np.full(count, width, np.uint64) * _FACTORS[WORDS]
     for k in range(width):
         total += words[k : k + count] * _FACTORS[k]
-    return _mix(total)
+    return mixed(total)
 
 
 def _distinct(values: np.ndarray) -> np.ndarray:
@@ -114,16 +77,10 @@ def shingle_sets(texts: Iterable[str]) -> Iterator[np.ndarray]:
     yield from _sets_of(held)
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[str]:
-    """The texts of a batch (id, text), a few at a time."""
-    for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-        yield from batch.column(1).slice(start, ROWS_AT_ONCE).to_pylist()
-
-
 def _sets_of(texts: list[bytes]) -> Iterator[np.ndarray]:
     if not texts:
         return
-    starts, words = _hashed_words(b"\n".join(texts))
+    starts, words = hashed_words(b"\n".join(texts))
     ends = np.searchsorted(starts, np.cumsum([len(text) + 1 for text in texts])).tolist()
     # Also the shingles that reach over the end of a text; they are left out of the sets.
     every = _sums(words, WORDS) if len(words) >= WORDS else words
@@ -152,76 +109,37 @@ def _lists(rows: list[np.ndarray]) -> pa.ListArray:
 
 
 def _common(texts: DataFrame) -> np.ndarray:
-    """The commonest shingles (the upper 40 bits) of ``texts`` (doc_id, text), from rare to common.
+    """The commonest shingles (the upper 40 bits) of ``texts`` (doc_id, text), from rare to common."""
 
-    Each task counts what it reads and sends one row for each bucket of
-    shingles; nothing but counts of common ones leaves a bucket.
-    """
-    buckets = max(1, texts.count() // BUCKET_DOCUMENTS)
-
-    def send(sets: list[np.ndarray]) -> pa.RecordBatch:
-        every, counts = _counted(np.concatenate(sets) >> np.uint64(24))
-        bucket = every % np.uint64(buckets)
-        rows = []
-        for b in range(buckets):
-            own = bucket == b
-            once, often = own & (counts == 1), own & (counts > 1)
-            rows.append((b, _packed(every[once]), _packed(every[often]), counts[often].astype(np.uint32).tobytes()))
-        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
-        return pa.RecordBatch.from_arrays(columns, ["bucket", "once", "often", "counts"])
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own in shingle_sets(_texts(batch)):
-                held.append(own)
-                size += len(own)
-                if size > SHINGLES_AT_ONCE:
-                    yield send(held)
-                    held, size = [], 0
-        if size:
-            yield send(held)
-
-    def total(rows: pd.DataFrame) -> pd.DataFrame:
-        once = [_unpacked(blob) for blob in rows["once"]]
-        often = [_unpacked(blob) for blob in rows["often"]]
-        counts = [np.ones(sum(map(len, once)), np.int64)]
-        counts += [np.frombuffer(blob, np.uint32).astype(np.int64) for blob in rows["counts"]]
-        tokens, sums = _counted(np.concatenate(once + often), np.concatenate(counts))
-        common = sums >= LEAST_COMMON
-        return pd.DataFrame({"shingle": tokens[common].astype(np.int64), "documents": sums[common]})
-
-    sent = texts.mapInArrow(count, "bucket int, once binary, often binary, counts binary")
-    counted = sent.groupBy("bucket").applyInPandas(total, "shingle long, documents long")
-    rows = counted.orderBy(F.desc("documents"), "shingle").limit(COMMONEST).select("shingle")
-    with small_batches(texts.sparkSession, TEXTS_IN_BATCH):
-        found = rows.toArrow()["shingle"]
+            for own in shingle_sets(text.as_py() for text in batch.column(1)):
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array((own >> np.uint64(24)).view(np.int64))], ["shingle"])
+
+    counted = texts.mapInArrow(_together(run), "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("documents"))
+    common = counted.filter(F.col("documents") >= LEAST_COMMON)
+    chosen = common.orderBy(F.desc("documents"), "shingle").limit(COMMONEST).select("shingle")
+    with small_batches(texts.sparkSession, ROWS_IN_BATCH, BYTES_IN_BATCH):
+        found = chosen.toArrow()["shingle"]
     return found.to_numpy().astype(np.uint64)[::-1]
 
 
-def _counted(values: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values, sorted, and the sums of their counts (or how many there are)."""
-    if counts is None:
-        values = np.sort(values)
-    else:
-        order = np.argsort(values, kind="stable")
-        values, counts = values[order], counts[order]
-    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)])
-    if counts is None:
-        return values[first], np.diff(np.append(first, len(values)))
-    return values[first], np.add.reduceat(counts, first) if len(first) else counts
-
-
-def _packed(tokens: np.ndarray) -> bytes:
-    """Numbers below 2**40, in five bytes each."""
-    return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+def _together(run):
+    """Batches of some ten thousand rows in place of many small ones."""
 
+    def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in run(batches):
+            held.append(batch)
+            size += batch.num_rows
+            if size >= 50_000:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-def _unpacked(blob: bytes) -> np.ndarray:
-    wide = np.zeros((len(blob) // 5, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(blob, np.uint8).reshape(-1, 5)
-    return wide.view("<u8").ravel()
+    return gathered
 
 
 def ranks(shingle: np.ndarray, common: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -256,7 +174,7 @@ def _prefixes(texts: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             facts, prefixes = [], []
-            for own in shingle_sets(_texts(batch)):
+            for own in shingle_sets(text.as_py() for text in batch.column(1)):
                 prefixes.append(prefix_of(own))
                 facts.append((len(own), *_digest(own), *_digest(prefixes[-1])))
             columns = np.array(facts, np.int64).reshape(-1, 5).T
@@ -265,7 +183,7 @@ def _prefixes(texts: DataFrame) -> DataFrame:
                 [part.split()[0] for part in PREFIXES.split(", ")],
             )
 
-    with small_batches(texts.sparkSession, TEXTS_IN_BATCH):
+    with small_batches(texts.sparkSession, ROWS_IN_BATCH, BYTES_IN_BATCH):
         return stored(texts.mapInArrow(run, PREFIXES), "prefixes")
 
 
@@ -277,33 +195,25 @@ def _may_link(n: Column, m: Column, at_n: Column, at_m: Column) -> Column:
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): those of the pairs (hub, other) whose whole sets link."""
     pairs = stored(pairs.distinct(), "pairs")
-    needed = stored(pairs.select(F.col("hub").alias("id")).union(pairs.select("other")).distinct(), "pair_ids")
+    needed = stored(pairs.select(F.col("hub").alias("doc_id")).union(pairs.select("other")).distinct(), "pair_ids")
     if needed.count() <= MOST_SENT:
         needed = F.broadcast(needed)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [own.tobytes() for own in shingle_sets(_texts(batch))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "own"])
-
-    found = texts.withColumnRenamed("doc_id", "id").join(needed, "id", "left_semi")
-    with small_batches(texts.sparkSession, TEXTS_IN_BATCH):
-        sets = stored(found.mapInArrow(run, "id long, own binary"), "pair_sets")
-
-    @F.pandas_udf("boolean")
-    def link(one: pd.Series, two: pd.Series) -> pd.Series:
-        def similar(a: bytes, b: bytes) -> bool:
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            return 100 * both >= 80 * (len(x) + len(y) - both)
-
-        return pd.Series([similar(a, b) for a, b in zip(one, two)], dtype=bool)
-
-    others = pairs.join(sets.select(F.col("id").alias("other"), "own"), "other")
-    both = others.join(sets.select(F.col("id").alias("hub"), F.col("own").alias("hubs")), "hub")
-    linked_pairs = both.filter(link("own", "hubs")).select(F.col("hub").alias("a"), F.col("other").alias("b"))
-    with small_batches(texts.sparkSession, ROWS_AT_ONCE):
-        return stored(linked_pairs, "links")
+            sets = list(shingle_sets(text.as_py() for text in batch.column(1)))
+            sizes = pa.array([len(own) for own in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, _lists(sets)], ["doc_id", "n", "own"])
+
+    found = texts.join(needed, "doc_id", "left_semi")
+    with small_batches(texts.sparkSession, ROWS_IN_BATCH, BYTES_IN_BATCH):
+        found = stored(found.mapInArrow(run, "doc_id long, n long, own array<long>"), "pair_sets")
+    others = pairs.join(found.select(F.col("doc_id").alias("other"), "n", "own"), "other")
+    hubs = found.select(F.col("doc_id").alias("hub"), F.col("n").alias("m"), F.col("own").alias("hubs"))
+    met = others.join(hubs, "hub").filter(5 * F.least("n", "m") >= 4 * F.greatest("n", "m"))
+    both = F.size(F.array_intersect("own", "hubs"))
+    linked_pairs = met.filter(100 * both >= 80 * (F.col("n") + F.col("m") - both))
+    return stored(linked_pairs.select(F.col("hub").alias("a"), F.col("other").alias("b")), "links")
 
 
 def _connected(nodes: DataFrame, links: list[DataFrame]) -> DataFrame:
