@@ -9,7 +9,7 @@ import corpus_pipeline as pipe
 from learnsilver.llm import block_mixture, line_chunks
 from learnsilver.llm import positive_unlabelled as pu
 from learnsilver.llm.queries import VOCABULARY
-from learnsilver.llm.shared import read, stored
+from learnsilver.llm.shared import read, stored, with_row_numbers
 
 from test_group_prefix_join import brute  # noqa: I001
 
@@ -46,8 +46,9 @@ def test_quality_keeps_what_the_model_scores_high(spark, steps):
 
 
 def test_line_dedup_against_its_sql(steps):
-    documents = steps[1].toPandas()  # noqa: F841  read by name below
-    wanted = duckdb.sql(f"SELECT doc_id, text FROM ({line_chunks.ORACLE_SQL})").fetchall()
+    with duckdb.connect() as db:
+        db.register("documents", steps[1].toPandas())
+        wanted = db.sql(f"SELECT doc_id, text FROM ({line_chunks.ORACLE_SQL})").fetchall()
     assert rows(steps[2].select("doc_id", "text")) == sorted(wanted, key=str)
     assert all(r.n_chars == len(r.text) for r in steps[2].collect())
 
@@ -91,3 +92,34 @@ def test_stages_on_odd_rows(spark, documents):
             frame = stored(stage(spark, frame, FOLDER), name)
             assert name == "encoding" or frame.columns == columns
         assert frame.filter("n_tokens < 1").count() == 0
+
+
+def test_rows_of_one_id_lose_no_text_of_their_own(spark, documents):
+    """A copy of another document goes, what else has its id stays; of equal rows one stays."""
+    chance = np.random.default_rng(3)
+    one, two, three = (" ".join(f"{c}{k}" for k in chance.integers(0, 999, 60)) for c in "abc")
+    rows = [(3, one), (5, one), (5, two), (7, three), (7, three), (None, two + " end"), (None, "short"), (9, ""), (9, None)]
+    left = pipe.near_duplicates(spark, documents(rows), FOLDER)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(
+        [(3, one), (5, two), (7, three), (None, "short"), (9, ""), (9, None)], key=str
+    )
+
+
+def test_rows_without_id_take_part_in_line_dedup(spark, documents):
+    text = "\n".join(f"line {k} of what both have" for k in range(12))
+    rows = [(None, text), (None, text), (4, "other\n" + text + "\nend"), (4, text), (6, None)]
+    left = pipe.line_dedup(spark, documents(rows), FOLDER)
+    assert left.columns == documents(rows).columns
+    texts = sorted((r.doc_id is None, r.doc_id or 0, r.text or "", r.n_chars) for r in left.collect())
+    whole = [row for row in texts if len(row[2]) >= len(text)]
+    assert len(texts) == 5 and len(whole) == 1 and not whole[0][0]
+    assert all(n == (len(t) if t else n) for _, _, t, n in texts)
+
+
+def test_rows_have_numbers_of_their_own(spark, documents):
+    path = stored(documents([(k % 3, "same") for k in range(50)]).repartition(4), "numbers")
+    found = [r._row for r in with_row_numbers(path).collect()]
+    assert len(set(found)) == 50
+    again = [r._row for r in with_row_numbers(path.select("text").filter("text = 'same'")).collect()]
+    assert sorted(found) == sorted(again)
+    assert with_row_numbers(path.limit(0)).count() == 0
