@@ -1,7 +1,8 @@
 """The training-data pipeline over the documents: each stage reads what its predecessor wrote.
 
-All stages but the last return the columns of the documents. Rows without id
-are documents of their own throughout; other columns are carried along.
+All stages but the last return the columns of the documents. Every row is a
+document of its own throughout, also where ids are missing or repeat; other
+columns are carried along.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from learnsilver.llm import (
     positive_unlabelled,
 )
 from learnsilver.llm.queries import model_bytes
-from learnsilver.llm.shared import importable, read, stored
+from learnsilver.llm.shared import importable, read, stored, with_row_numbers
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -40,17 +41,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A copy of a document loses most of its lines here; it stays, with what is left.
     """
-    left = line_chunks.remove_repeated(docs)
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.length("text").cast("long"))
-    return left.select(*docs.columns)
+    # In the order of ids, rows of one id and rows without each by themselves.
+    order = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), "_row")
+    rows = with_row_numbers(docs).select(order.alias("doc_id"), "text", F.struct(*docs.columns).alias("_document"))
+    left = line_chunks.remove_repeated(rows)
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return left.select(*[changed.get(c, F.col(f"_document.`{c}`")).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id."""
-    found = group_prefix_join.linked(docs.select("doc_id", "text"))
-    lost = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of linked documents the one with the smallest id; of rows of one id, the first."""
+    rows = with_row_numbers(docs)
+    found = group_prefix_join.linked(rows.select(F.col("_row").alias("doc_id"), "text"))
+    linked = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_row"), "component_id")
+    heads = linked.select(F.col("component_id").alias("_row"), "component_id").distinct()
+    members = stored(linked.union(heads), "members")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    kept = members.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(
+        F.min(order).getField("_row").alias("_kept")
+    )
+    lost = members.join(kept, "component_id").filter("_row <> _kept").select("_row")
+    return rows.join(lost, "_row", "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
