@@ -1,14 +1,15 @@
 """Raw tables derived with Spark from the test tables, row by row.
 
 Every derivation is arithmetic on one row (only the schools look up their
-nation), so a raw table grows with the table it comes from and needs no
-shuffle. JSON text holds integers and short decimals only, so that the same
+nation), so a raw table grows with the table it comes from. Only events are
+shuffled, still narrow, so that many tasks make statements of them. JSON text holds integers and short decimals only, so that the same
 values can be computed independently in SQL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ EXTRA_EXTENSIONS = {
     "schoolId": "school_id",
 }
 
+# Events that one task makes statements of: an event is a few bytes in its file, and a thousand and more as JSON.
+EVENTS_AT_ONCE = 10_000
+
 Read = Callable[[str], DataFrame]
 FIXTURES: dict[str, Callable[[Read], DataFrame]] = {}
 
@@ -67,10 +71,16 @@ def _select(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*[column.alias(name) for name, column in columns.items()])
 
 
+def _spread(rows: DataFrame, at_once: int, *columns: str) -> DataFrame:
+    """Narrow rows dealt by some columns, before they are made wide: a file's row group is one task, whatever it holds."""
+    tasks = ceil(rows.count() / at_once)
+    return rows.repartition(tasks, *columns) if tasks > 1 else rows
+
+
 @_fixture
 def lrs_statements(read: Read) -> DataFrame:
     k = F.regexp_extract("props", r"\d+", 0).cast("int")
-    events = read("events").select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
+    events = _spread(read("events"), EVENTS_AT_ONCE, "event_id", "ts", "user_id").select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
     k, kind = F.col("k"), F.col("event_type")
 
     def extensions(**values: Column) -> Column:

@@ -4,6 +4,7 @@ import pytest
 
 from learnsilver.plans import build_model
 from learnsilver.plans.staging import staging_rejects
+from learnsilver.sources.fixtures import raw_reader
 
 IRI = "https://host.example/xapi/extensions/"
 
@@ -193,3 +194,16 @@ def test_statement_is_parsed_once_per_part(frame):
     # An empty input folds away, so look at the analysed plan.
     plan = staged._jdf.queryExecution().analyzed().toString()
     assert plan.count("from_json(") == 5
+
+
+def test_statements_are_made_by_many_tasks_of_one_row_group(spark, tmp_path):
+    spark.range(25_000, numPartitions=1).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01' as ts", "id % 7 as user_id", "'view' as event_type",
+        "0.5D as value", "'{\"k\": 3}' as props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    statements = raw_reader(spark, str(tmp_path))("lrs_statements")
+    assert statements.rdd.getNumPartitions() == 3
+    # A load of some of them is spread too, and is no less than those.
+    load = statements.filter("cast(id as long) % 4 <> 0")
+    assert load.rdd.getNumPartitions() == 3
+    assert load.selectExpr("count(*) as n", "count(distinct id) as ids").first() == (18_750, 18_750)
