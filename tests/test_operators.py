@@ -206,6 +206,15 @@ def test_failing_values_and_the_mode_that_fails(spark):
     quality.assert_checks(reader(spark), ["dim_person"])
 
 
+def test_values_that_stand_alone_are_not_put_together_in_few_tasks(spark):
+    read = reader(spark, dim_person=people(spark, ("1", "LEARNER"), ("1", "CAT"), ("2", "CAT")))
+    for found in (quality.unique_keys(read), quality.unique_columns(read)):
+        assert found._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") == 1
+    rules = [("dim_person", ("person_id",)), ("dim_course", ("course_id",))]
+    assert [tuple(r) for r in quality._repeated(read, rules).collect()] == [(0, "1", 2)]
+    assert quality._repeated(read, rules).rdd.getNumPartitions() == 4
+
+
 def test_a_failed_build_leaves_the_table_as_it_was(spark, tmp_path):
     users = spark.createDataFrame([("1",), ("2",)], "_id string")
     tables = {"lms_users": users}
