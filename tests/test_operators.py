@@ -215,6 +215,12 @@ def test_values_that_stand_alone_are_not_put_together_in_few_tasks(spark):
     assert quality._repeated(read, rules).rdd.getNumPartitions() == 4
 
 
+def test_the_parents_of_references_are_not_put_together_in_few_tasks(spark):
+    read = reader(spark, dim_person=people(spark, ("1", "LEARNER"), ("2", "CAT")))
+    known = quality.referential(read, ["dim_person"])._jdf.queryExecution().executedPlan().toString()
+    assert known.count("REPARTITION_BY_NUM") == 1
+
+
 def test_a_failed_build_leaves_the_table_as_it_was(spark, tmp_path):
     users = spark.createDataFrame([("1",), ("2",)], "_id string")
     tables = {"lms_users": users}
