@@ -221,6 +221,20 @@ def test_the_parents_of_references_are_not_put_together_in_few_tasks(spark):
     assert known.count("REPARTITION_BY_NUM") == 1
 
 
+def test_what_fails_is_counted_by_task_and_what_repeats_by_value(spark):
+    rows = people(spark, *[(None, "CAT")] * 40, ("1", "CAT"), ("1", "CAT"), ("2", "CAT"))
+    read = reader(spark, dim_person=rows)
+    plan = quality.failing_values(read, ["dim_person"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 2
+    found = {tuple(r) for r in quality.failing_values(read, ["dim_person"]).collect() if r.check != "required"}
+    assert found == {
+        ("dim_person", "unique", "person_id", "1", 2),
+        ("dim_person", "not_null", "person_id", None, 40),
+        ("dim_person", "accepted_values", "person_type", "CAT", 43),
+        ("dim_person", "references dim_organization", "home_organization_id", "o1", 43),
+    }
+
+
 def test_a_failed_build_leaves_the_table_as_it_was(spark, tmp_path):
     users = spark.createDataFrame([("1",), ("2",)], "_id string")
     tables = {"lms_users": users}
