@@ -44,16 +44,20 @@ def built(rows: DataFrame, key: str) -> DataFrame:
     """The index of ``rows`` (part, file, and the key): a row for each file and block that has bits.
 
     Rows without key have no place in it. Blocks are as many as a power of two
-    of the file's rows asks for.
+    of the file's rows asks for. The keys of a file are not brought together:
+    each task sets the bits of the keys it reads, and only blocks are shuffled.
     """
-    keys = rows.select(PART, FILE, _text(F.col(key)).alias("_key")).filter("_key IS NOT NULL")
-    files = keys.groupBy(PART, FILE).agg(
+    # Files are told apart by a number here. Two that had the same would share a wider range, which misses nothing.
+    keys = rows.select(PART, FILE, _text(F.col(key)).alias("_key"), F.xxhash64(PART, FILE).alias("_number")).filter(
+        "_key IS NOT NULL"
+    )
+    files = keys.groupBy("_number").agg(
         F.min("_key").alias("least"), F.max("_key").alias("most"), F.count(F.lit(1)).alias("keys")
     )
     wanted = F.greatest(F.lit(1.0), F.col("keys") * (BITS_PER_KEY / BLOCK_BITS))
     files = files.withColumn("blocks", F.pow(F.lit(2.0), F.ceil(F.log2(wanted))).cast("bigint")).drop("keys")
     masks = [m.alias(f"w{k}") for k, m in enumerate(_masks(F.col("_key")))]
-    placed = keys.join(files, [PART, FILE]).select(
+    placed = keys.join(F.broadcast(files), "_number").select(
         PART, FILE, "least", "most", "blocks", _block(F.col("_key"), F.col("blocks")).alias("block"), *masks
     )
     return placed.groupBy(PART, FILE, "least", "most", "blocks", "block").agg(

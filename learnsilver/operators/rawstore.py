@@ -204,8 +204,11 @@ class RawStore:
         whole = reduce(DataFrame.union, frames)
         merges = [load for load in state["loads"] if load["mode"] == "merge"]
         if merges and len(frames) > 1:
-            # Keys and numbers only: Spark broadcasts them by their measured size, or joins by key.
-            last = self._merged_keys(table, state, merges).groupBy("_key").agg(F.max("_merged").alias("_merged"))
+            # Keys and numbers only: Spark broadcasts them by their measured size, or joins by key. The
+            # partitions of that join stay apart: rows of JSON text are ten times as large in memory as on the way.
+            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            keys = self._merged_keys(table, state, merges).repartition(tasks, "_key")
+            last = keys.groupBy("_key").agg(F.max("_merged").alias("_merged"))
             whole = whole.join(last, F.col(state["key"]) == F.col("_key"), "left").filter(
                 f"_merged IS NULL OR _merged <= {VERSION}"
             )

@@ -258,6 +258,22 @@ def test_the_index_misses_no_key_and_few_files_too_many(spark):
     index.unpersist()
 
 
+def test_the_keys_of_a_file_are_not_brought_together(spark):
+    keys = spark.range(1000).selectExpr("'all' as _part", "'f' as _file", "cast(id as string) as _id")
+    plan = keyindex.built(keys, "_id")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("block#" in line for line in exchanges)
+    assert not any("_file#" in line and "block#" not in line for line in exchanges)
+
+
+def test_rows_under_merges_are_joined_in_all_partitions(spark, store):
+    for name in ("a", "b"):
+        store.merge("t", spark.createDataFrame([("1", name), (name, name)], "_id string, v string"), "_id", changed_only=False)
+    plan = store.read("t")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1
+    assert {tuple(r) for r in store.read("t").collect()} == {("1", "b"), ("a", "a"), ("b", "b")}
+
+
 def test_a_fold_opens_files_that_may_hold_a_key(spark, tmp_path):
     """By ranges and filters: a hundred keys of one corner of the table are in a few of its files."""
     store = RawStore(spark, f"{tmp_path}/raw", parts={"log": "floor(n / 1000)"})
