@@ -86,19 +86,23 @@ def _hashable(field: T.StructField) -> str:
     return f"to_json({name})" if isinstance(field.dataType, T.VariantType) else name
 
 
-def latest_per_key(df: DataFrame, key: str) -> DataFrame:
+def latest_per_key(df: DataFrame, key: str, keyless: str | None = None) -> DataFrame:
     """One row per key: the latest by cursor, ties broken by a hash of the whole row.
 
     Rows without a key are no versions of each other: all of them stay. Spark
     keeps one row per key on the map side already (window group limit), so a
     key with very many versions does not reach one task whole, nor do the rows
-    without key.
+    without key. ``keyless`` names a column that tells those rows; they are
+    sorted by it then, and a write that is partitioned by it sorts no more.
     """
     hashes = ", ".join(map(_hashable, df.schema))
     order = [F.expr(cursor_of(df)).desc_nulls_last(), F.expr(f"xxhash64({hashes})")]
     alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    versions = Window.partitionBy(key, "_alone").orderBy(*order)
-    ranked = df.withColumn("_alone", alone).withColumn("_rank", F.row_number().over(versions))
+    rows = df.withColumn("_alone", alone)
+    if keyless:
+        rows = rows.withColumn(keyless, F.col(key).isNull())
+    versions = Window.partitionBy(*([keyless] if keyless else []), key, "_alone").orderBy(*order)
+    ranked = rows.withColumn("_rank", F.row_number().over(versions))
     return ranked.filter("_rank = 1").drop("_rank", "_alone")
 
 

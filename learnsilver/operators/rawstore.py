@@ -143,6 +143,16 @@ class RawStore:
         """The number of the table's present version; 0 before the first load."""
         return self._states.latest(table)["version"]
 
+    def has_one_each(self, table: str) -> bool:
+        """Whether all rows, and all ``changes``, surely have a key of their own each, as text.
+
+        So it is where all was merged by one key, that was text each time: of
+        other types, keys may be told apart before they widen, and not after.
+        """
+        state = {**_EMPTY, **self._states.latest(table)}
+        types = [f.dataType for schema in state["schemas"] for f in T.StructType.fromJson(schema) if f.name == state["key"]]
+        return state["one_each"] and all(dtype == T.StringType() for dtype in types)
+
     def last_batch(self, table: str, stream: str) -> int:
         """The number of the last batch of a stream that the table has; 0 before the first."""
         return self._states.latest(table).get("batches", {}).get(stream, 0)
@@ -231,35 +241,47 @@ class RawStore:
     def _fresh(self, kind: str = "load") -> str:
         return f"{kind}-{uuid.uuid4().hex}"
 
-    def _land(self, table: str, df: DataFrame, key: str | None) -> tuple[str, int, int, str | None]:
+    def _land(
+        self, table: str, df: DataFrame, key: str | None, told: bool = False
+    ) -> tuple[str, int, int, str | None]:
         """Write a batch; its folder, the rows with and without key, and the latest cursor.
 
-        The counts are taken as the rows are written: nothing is read again.
+        With ``told``, the rows say themselves in ``ASIDE`` whether they have no
+        key. The counts are taken as the rows are written: nothing is read again.
         """
         folder, facts = self._fresh(), Observation()
-        aside = F.col(key).isNull() if key else F.lit(False)
-        df = conformed(df, storable(df.schema)).withColumn(ASIDE, aside)
-        df.observe(
+        rows = conformed(df, storable(df.schema))
+        if key and not told:
+            rows = rows.withColumn(ASIDE, F.col(key).isNull())
+        aside = F.col(ASIDE) if key else F.lit(False)
+        written = rows.observe(
             facts,
-            F.count_if(~F.col(ASIDE)).alias("rows"),
-            F.count_if(F.col(ASIDE)).alias("aside"),
+            F.count_if(~aside).alias("rows"),
+            F.count_if(aside).alias("aside"),
             F.expr(f"cast(max({cursor_of(df)}) as string)").alias("cursor"),
-        ).write.partitionBy(ASIDE).parquet(f"{self.root}/{table}/{folder}")
+        ).write
+        if key:
+            written.partitionBy(ASIDE).parquet(f"{self.root}/{table}/{folder}")
+        else:
+            # All go to one folder: a write partitioned by it would sort the rows.
+            written.parquet(self._at(table, folder, f"{ASIDE}=false"))
         return folder, facts.get["rows"], facts.get["aside"], facts.get["cursor"]
 
     def _load(
         self, table: str, state: dict, df: DataFrame, mode: str, key: str | None, batch: str | None,
-        replaced: DataFrame | None = None,
+        replaced: DataFrame | None = None, one_each: bool = False,
     ) -> int:
+        """``one_each``: the rows have a key of their own each; other merged rows say in ``ASIDE`` if they have none."""
         state = {**_EMPTY, **state}
+        told = mode == "merge" and not replaced and not one_each
         # A column of nothing but nulls says nothing of its type.
         known = {f.name: f.dataType for f in _schema(state)} if state["schema"] is not None else {}
         nulls = {f.name: known[f.name] for f in df.schema if isinstance(f.dataType, T.NullType) and f.name in known}
         df = df.withColumns({name: F.lit(None).cast(dtype) for name, dtype in nulls.items()})
-        folder, rows, aside, cursor = self._land(table, df, None if replaced else key)
+        folder, rows, aside, cursor = self._land(table, df, key if told else None, told)
         if not rows and not aside and not replaced:
             return 0
-        own = storable(df.schema)
+        own = storable(df.drop(ASIDE).schema if told else df.schema)
         state, schema = _with_schema(state, own)
         state, _ = _with_schema(state, merged(_schema(state), own) if state["schema"] is not None else own, table=True)
         stream, _, number = (batch or "").rpartition("#")
@@ -273,6 +295,8 @@ class RawStore:
         state |= {
             "version": version,
             "key": key or state["key"],
+            "one_each": mode == "merge" and not replaced
+            and (not state["version"] or (state["one_each"] and state["key"] == key)),
             "cursor": last,
             "ties": [{"folder": t["folder"], "schema": t["schema"]} for t in ties],
             "batches": {**state["batches"], **({stream: int(number)} if batch else {})},
@@ -303,6 +327,7 @@ class RawStore:
         overlap: str | None = None,
         batch: str | None = None,
         changed_only: bool = True,
+        one_each: bool = False,
     ) -> int:
         """Load the rows changed since the last load by key; the number of rows.
 
@@ -312,7 +337,9 @@ class RawStore:
         ``changed_only=False`` takes all rows, for a source that knows itself
         what is new. A batch that is known already is not loaded again. Rows
         without a key are set aside and counted (``set_aside``, ``state``), not
-        loaded.
+        loaded. ``one_each`` says that every row has a key of its own, such as
+        the rows of a table that ``has_one_each``: they are neither shuffled nor
+        sorted then.
         """
         state = self._states.latest(table)
         if _is_known(state, batch):
@@ -321,7 +348,8 @@ class RawStore:
             found = changed_since(df, since or state.get("cursor"), overlap=overlap)
             late = None if since or overlap else self._late(table, state, df, key)
             df = found if late is None else found.unionByName(late)
-        return self._load(table, state, latest_per_key(df, key), "merge", key, batch)
+        latest = df if one_each else latest_per_key(df, key, keyless=ASIDE)
+        return self._load(table, state, latest, "merge", key, batch, one_each=one_each)
 
     def replace(
         self, table: str, df: DataFrame, key: str, keys: DataFrame, batch: str | None = None
@@ -525,7 +553,7 @@ _INDEX = f"{keyindex.PART} string, {keyindex.FILE} string, least string, most st
 )
 # What a state holds besides its version. ``schema`` is the place of the table's in ``schemas``.
 _EMPTY: dict = {
-    "key": None, "cursor": None, "ties": [], "schemas": [], "schema": None, "batches": {},
+    "key": None, "one_each": False, "cursor": None, "ties": [], "schemas": [], "schema": None, "batches": {},
     "base": {}, "written": {}, "indexes": {}, "loads": [], "feed": [], "released": 0,
     "aside": [], "rows_aside": 0,
 }

@@ -161,7 +161,9 @@ class Warehouse:
             staged = build_model(name, lambda _: new, **{**self.staging_options, "observation": counts})
             assert_schema(staged, MODELS[name])
             self.staging.merge(
-                name, staged, MODELS[name].key, batch=f"{STATEMENTS_TABLE}#{version}", changed_only=False
+                name, staged, MODELS[name].key, batch=f"{STATEMENTS_TABLE}#{version}", changed_only=False,
+                # A row of staging has the key of its statement.
+                one_each=self.statements.has_one_each(STATEMENTS_TABLE),
             )
             self._rejects = observed_rejects(counts.get)
         self.built.add(name)
@@ -207,7 +209,10 @@ class Warehouse:
         done = self.patched.last_batch(name, staged) >= version
         self.patched.replace(name, rows, GROUP, groups, batch=None if done else batch)
         if not by_event:
-            self.patched.merge(members, changes.select("event_id", column), "event_id", batch=batch, changed_only=False)
+            self.patched.merge(
+                members, changes.select("event_id", column), "event_id", batch=batch, changed_only=False,
+                one_each=self.staging.has_one_each(staged),
+            )
         self.built.add(name)
 
     def build_all(self, names: Iterable[str] = tuple(SILVER)) -> None:

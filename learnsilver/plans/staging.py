@@ -56,56 +56,60 @@ _PATHS = {
     "scoreScaled": ("result", "score", "scaled"),
     "response": ("result", "response"),
 }
+# The order in which parts are parsed, and then their texts read.
+_STEPS = (("context",), ("actor", "result"), ("verb", "object"))
+# A column's text stands under its name with this before it.
+_TEXT = "_text_"
 _TYPES = dict(STAGING["stg_lrs_events"].columns)
 
 
-def _parsed(statements: DataFrame, extension_keys: list[str] | None) -> DataFrame:
-    """Each JSON part as text and, parsed once, as ``_part``.
-
-    Context extensions are a record of the given keys, or a map of all of them.
-    """
-    extensions = struct_ddl(extension_keys) if extension_keys else "map<string,string>"
-    parts = {**_PARTS, "context": f"struct<extensions:{extensions}>"}
-    texts = statements.selectExpr(
+def _parts(statements: DataFrame) -> DataFrame:
+    """Id, time, and each JSON part as text."""
+    return statements.selectExpr(
         "cast(id as string) as event_id",
         f"{utc(statements, 'timestamp')} as event_timestamp",
-        *[f"{json_text(statements, part)} as `{part}`" for part in parts],
-    )
-    return texts.selectExpr(
-        "*", *[f"from_json(`{part}`, {quoted(ddl)}) as _{part}" for part, ddl in parts.items()]
+        *[f"{json_text(statements, part)} as `{part}`" for part in (*_PARTS, "context")],
     )
 
 
-def _extracted(
-    statements: DataFrame, extension_map: Mapping[str, str] | None, prefix: str | None
-) -> tuple[DataFrame, dict[str, str]]:
-    """The parsed statements, and per staging column the expression of its text.
+def _parse(part: str, ddls: Mapping[str, str]) -> str:
+    """A JSON part, parsed once, as ``_part``."""
+    return f"from_json(`{part}`, {quoted(ddls[part])}) as _{part}"
+
 
+def _texts(
+    extension_map: Mapping[str, str] | None, prefix: str | None
+) -> tuple[dict[str, str], dict[str, tuple[str, str]]]:
+    """The type of each parsed part, and per staging column its part and the expression of its text.
+
+    Context extensions are a record of the given keys, or a map of all of them.
     Extension keys are IRIs. With a prefix, the key is the prefix and the
     short name; without, it is the first IRI whose last segment is the short
     name, so that statements of any host are read.
     """
     names = {**DEFAULT_EXTENSIONS, **(extension_map or {})}
     keys = None if prefix is None else sorted({prefix + name for name in names.values()})
+    extensions = struct_ddl(keys) if keys else "map<string,string>"
     texts = {
-        column: scalar(
+        column: (part, scalar(
             f"_{part}." + ".".join(f"`{key}`" for key in path),
             value_at(f"`{part}`", key_path(*path)),
-        )
+        ))
         for column, (part, *path) in _PATHS.items()
     }
     for column, name in names.items():
         if prefix is not None:
             key = prefix + name
-            texts[column] = scalar(
+            text = scalar(
                 f"_context.extensions.`{key}`", value_at("`context`", key_path("extensions", key))
             )
         else:
             hits = f"map_filter(_context.extensions, (k, v) -> endswith(k, {quoted('/' + name)}))"
             hit = f"try_element_at(array_sort(map_entries({hits})), 1)"
             values = value_at("`context`", "$.extensions", "map<string,variant>")
-            texts[column] = scalar(f"{hit}.value", f"{values}[{hit}.key]")
-    return _parsed(statements, keys), texts
+            text = scalar(f"{hit}.value", f"{values}[{hit}.key]")
+        texts[column] = ("context", text)
+    return {**_PARTS, "context": f"struct<extensions:{extensions}>"}, texts
 
 
 def _typed(column: str, text: str, strict: bool) -> str:
@@ -142,22 +146,37 @@ def stg_lrs_events(
     ``strict``. An ``observation`` counts those values as the rows are made
     (see ``observed_rejects``).
     """
-    parsed, texts = _extracted(statements, extension_map, extension_prefix)
+    ddls, texts = _texts(extension_map, extension_prefix)
+    # The texts of some parts are read as the next ones are parsed: the code of all in one
+    # would be longer than what the JVM compiles. Each value is worked out once.
+    rows, parsed = _parts(statements), ()
+    for parts in (*_STEPS, ()):
+        rows = rows.selectExpr(
+            "*",
+            *[f"{text} as `{_TEXT}{column}`" for column, (part, text) in texts.items() if part in parsed],
+            *[_parse(part, ddls) for part in parts],
+        )
+        parsed = parts
+    typed = rows.selectExpr("*", *[f"{_typed(column, f'`{_TEXT}{column}`', strict)} as `{column}`" for column in texts])
     if observation:
-        parsed = parsed.observe(observation, *[
-            F.expr(f"count_if({condition})").alias(f"{what}_{column}")
-            for column, conditions in _conditions(texts).items()
-            for what, condition in conditions.items()
-        ])
+        given = {column: f"`{_TEXT}{column}` is not null" for column in texts if _TYPES[column] != "string"}
+        typed = typed.observe(
+            observation,
+            *[F.expr(f"count_if({there})").alias(f"given_{column}") for column, there in given.items()],
+            *[
+                F.expr(f"count_if({there} and `{column}` is null)").alias(f"rejected_{column}")
+                for column, there in given.items()
+            ],
+        )
     return conform(
-        parsed,
+        typed,
         STAGING["stg_lrs_events"],
         event_id="event_id",
         event_timestamp="event_timestamp",
         actorType="'learner'",
         metadata="`context`",
         fullStatement=_statement_text(),
-        **{column: _typed(column, text, strict) for column, text in texts.items()},
+        **{column: f"`{column}`" for column in texts},
     )
 
 
@@ -167,10 +186,11 @@ def staging_rejects(
     extension_prefix: str | None = None,
 ) -> DataFrame:
     """Per typed column, how many values were given and how many did not fit the type."""
-    parsed, texts = _extracted(statements, extension_map, extension_prefix)
+    ddls, texts = _texts(extension_map, extension_prefix)
+    parsed = _parts(statements).selectExpr("*", *[_parse(part, ddls) for part in ddls])
     checks = [
         f"named_struct('column', '{column}', 'given', {c['given']}, 'rejected', {c['rejected']})"
-        for column, c in _conditions(texts).items()
+        for column, c in _conditions({column: text for column, (_, text) in texts.items()}).items()
     ]
     return (
         parsed.selectExpr(f"inline(array({', '.join(checks)}))")

@@ -177,6 +177,16 @@ def test_cursor_state_falls_back_to_creation(spark):
     assert str(inc.cursor_state(df, "t").first().last_cursor) == "2024-02-01 00:00:00"
 
 
+def test_rows_told_by_their_key_are_not_sorted_again_to_be_parted(spark, tmp_path):
+    users(spark, ("a", 1, "x"), ("a", 2, "y"), (None, 1, "z"), (None, 1, "z")).write.parquet(f"{tmp_path}/users")
+    told = inc.latest_per_key(spark.read.parquet(f"{tmp_path}/users"), "_id", keyless="_none")
+    found = sorted(((r._id, r.name, r._none) for r in told.collect()), key=str)
+    assert found == [("a", "y", False), (None, "z", True), (None, "z", True)]
+    # One sort on each side of the shuffle.
+    plan = told.sortWithinPartitions("_none")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2
+
+
 def test_latest_per_key_limits_on_the_map_side(spark, tmp_path):
     users(spark, ("a", 1, "")).write.parquet(f"{tmp_path}/users")
     latest = inc.latest_per_key(spark.read.parquet(f"{tmp_path}/users"), "_id")

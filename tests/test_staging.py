@@ -1,10 +1,12 @@
 import json
+import re
 
 import pytest
+from pyspark.sql import Observation
 
 from learnsilver.plans import build_model
 from learnsilver.plans.staging import staging_rejects
-from learnsilver.sources.fixtures import raw_reader
+from learnsilver.sources.fixtures import EXTENSION_PREFIX, EXTRA_EXTENSIONS, raw_reader
 
 IRI = "https://host.example/xapi/extensions/"
 
@@ -207,3 +209,14 @@ def test_statements_are_made_by_many_tasks_of_one_row_group(spark, tmp_path):
     load = statements.filter("cast(id as long) % 4 <> 0")
     assert load.rdd.getNumPartitions() == 3
     assert load.selectExpr("count(*) as n", "count(distinct id) as ids").first() == (18_750, 18_750)
+
+
+def test_the_generated_code_is_short_enough_to_be_compiled(spark, tmp_path, capsys):
+    """The JVM interprets methods of more than 8,000 bytes, however often they run."""
+    raw_reader(spark, "/root/testdata/sf0.001")("lrs_statements").limit(20).write.parquet(f"{tmp_path}/raw")
+    build_model(
+        "stg_lrs_events", lambda _: spark.read.parquet(f"{tmp_path}/raw"), observation=Observation(),
+        extension_map=EXTRA_EXTENSIONS, extension_prefix=EXTENSION_PREFIX,
+    ).explain("codegen")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8_000

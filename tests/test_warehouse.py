@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from learnsilver.operators import rawstore
 from learnsilver.operators.rawstore import STORED_DAY, RawStore
 from learnsilver.operators.warehouse import GROUPED, Warehouse
 from learnsilver.sources.statements import flatten_pages
@@ -102,6 +103,38 @@ def test_a_load_of_one_day_writes_one_day(spark, tmp_path, store):
     assert silver.table("fact_learning_event").count() == 91
 
 
+def test_staging_looks_for_versions_only_where_statements_may_have_them(spark, tmp_path, store, monkeypatch):
+    """Merged statements have an id of their own each; appended ones may come twice."""
+    silver = Warehouse(spark, f"{tmp_path}/lake", store.read, statements=store, **OPTIONS)
+    sifted, latest = [], rawstore.latest_per_key
+    monkeypatch.setattr(rawstore, "latest_per_key", lambda df, key, **k: sifted.append(key) or latest(df, key, **k))
+    for keys in (range(9), (3, 3, 9)):
+        pages = page(spark, *[statement(k, 1 + k % 3, session_id=f"s{k % 2}") for k in keys])
+        store.merge("lrs_statements", pages, "id", changed_only=False)
+        silver.build_all(["fact_session_summary"])
+    assert sifted == ["id", "id"]
+    store.append("lrs_statements", page(spark, statement(4, 5, session_id="s9"), statement(4, 6, session_id="s9")))
+    silver.build_all(["fact_session_summary"])
+    assert sifted == ["id", "id", "event_id"]
+    assert sorted(r.event_id for r in silver.table("stg_lrs_events").collect()) == [str(k) for k in range(10)]
+    events = silver.table("fact_session_summary").groupBy("session_id").sum("total_events")
+    assert dict(map(tuple, events.collect())) == {"s0": 4, "s1": 5, "s9": 1}
+
+
+def test_keys_of_types_that_widened_may_be_the_same(spark, store):
+    one = lambda ddl, *k: store.merge("t", spark.createDataFrame([(x,) for x in k], ddl), "k", changed_only=False)
+    one("k bigint", 2**53, 2**53 + 1)
+    assert not store.has_one_each("t")
+    one("k string", "a")
+    assert not store.has_one_each("t")
+    store.merge("u", spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, n int"), "k")
+    assert store.has_one_each("u") and store.read("u").count() == store.set_aside("u").count() == 1
+    store.replace("u", spark.createDataFrame([("b", 1), ("b", 2)], "k string, n int"), "k", spark.createDataFrame([("b",)], "k string"))
+    assert not store.has_one_each("u")
+    store.merge("u", spark.createDataFrame([("b", 1)], "k string, n int"), "k", changed_only=False)
+    assert not store.has_one_each("u")
+
+
 def test_replacing_takes_away_what_has_no_rows_any_more(spark, store):
     frame = lambda *r: spark.createDataFrame(r, "g string, n int")
     keys = lambda *k: spark.createDataFrame([(x,) for x in k], "g string")
